@@ -1,0 +1,17 @@
+"""When a side may be broadcast."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+# Catalog rows are an id and a few short labels, some 100 bytes each, so this
+# many rows stay well below what an executor holds for one broadcast.
+BROADCAST_ROWS = 500_000
+
+
+def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
+    """True when the table is proven to hold at most `max_rows` rows.
+
+    Counting a Parquet catalog reads file footers only.
+    """
+    return df.count() <= max_rows
