@@ -85,12 +85,11 @@ def threshold_crossings(
 ) -> DataFrame:
     """First time above `limit` and the peak, per point and UTC day."""
     value = any_value_of()
-    if points is not None:
-        readings = readings.join(points.select("point_id"), "point_id", "left_semi")
     hot = readings.filter(value > limit).withColumn("_v", value)
-    return hot.groupBy("point_id", bucket_of(F.col("event_time"), "1 day").alias("day")).agg(
+    found = hot.groupBy("point_id", bucket_of(F.col("event_time"), "1 day").alias("day")).agg(
         F.min("event_time").alias("first_cross"), round_half_away(F.max("_v"), 1).alias("peak")
     )
+    return found if points is None else found.join(points.select("point_id"), "point_id", "left_semi")
 
 
 def over_temperature(
@@ -217,16 +216,17 @@ def evaluate_rules(
         F.when(raise_side, F.col("raise_match_operator")).otherwise(F.col("clear_match_operator")).alias("match"),
     )
 
-    # 1. Hits of every expression, and until when each hit counts.
-    rows = readings.select("point_id", "event_time", "value").join(side, "point_id")
+    # 1. Each reading's successor, then the hits of every expression.
+    watched = readings.select("point_id", "event_time", "value").join(side.select("point_id"), "point_id", "left_semi")
+    watched = watched.withColumn("_day", bucket_of(F.col("event_time"), "1 day"))
+    following = Running("_next", F.col("event_time"), "last", inclusive=False)
+    watched = running(watched, ["point_id"], "_day", "event_time", [following], descending=True)
+    rows = watched.drop("_day").join(side, "point_id")
     hit = _compare(F.col("value"), F.col("comparison_operator"), F.col("point_value").cast("double"))
     local = to_local(F.col("event_time"), F.col("timezone"))
     clock = F.hour(local) * 3600 + F.minute(local) * 60 + F.second(local)
     hit = F.coalesce(hit & (F.col("from_s").isNull() | (clock >= F.col("from_s"))), F.lit(False))
-    rows = rows.withColumn("hit", hit).withColumn("_day", bucket_of(F.col("event_time"), "1 day"))
     expr_keys = ["alarm_definition_id", "role", "group_number", "expression_id"]
-    following = Running("_next", F.col("event_time"), "last", inclusive=False)
-    rows = running(rows, expr_keys, "_day", "event_time", [following], descending=True)
     seconds = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.col("seconds").cast("decimal(18,6)"))
     until = F.when(F.col("seconds") > 0, F.col("event_time") + seconds).otherwise(F.col("_next"))
     step = F.explode(
@@ -235,7 +235,7 @@ def evaluate_rules(
             F.struct(until.alias("at"), F.lit(-1).alias("d")),
         )
     )
-    steps = rows.filter("hit").select(*expr_keys, "limit", step.alias("s")).filter("s.at IS NOT NULL")
+    steps = rows.filter(hit).select(*expr_keys, "limit", step.alias("s")).filter("s.at IS NOT NULL")
     steps = steps.select(*expr_keys, F.col("s.at").alias("at"), F.col("s.d").alias("d"), "limit")
 
     # 2. Expression -> group -> side: each level holds once enough parts hold.

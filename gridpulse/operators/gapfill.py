@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from gridpulse.functions.buckets import Bucket, bucket_of, is_utc, to_local, to_utc
 from gridpulse.functions.values import quality_code, quality_label, reading_value
-from gridpulse.operators.rollup import TYPED, raw_readings
+from gridpulse.operators.rollup import TYPED, choose_points, raw_readings
 from gridpulse.operators.sizing import fits_broadcast
 
 
@@ -43,7 +43,8 @@ def readings_gapfilled(
     never holds more rows than the grid has buckets.
     """
     width = Bucket.of(bucket)
-    seen = _last_per_bucket(raw_readings(readings, start, end, point_ids), points, width, tz)
+    points, listed = choose_points(points, point_ids)
+    seen = _last_per_bucket(raw_readings(readings, start, end, listed), points, width, tz)
 
     ntz = "timestamp_ntz"
     in_order = Window.partitionBy("point_id").orderBy("bucket")

@@ -2,12 +2,34 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gridpulse.session import checkpointed, settings
+
 MAX_DEPTH = 100
 
 
+# The tree may hold any number of rows; only its depth is limited.
+_RECURSION = {"spark.sql.cteRecursionRowLimit": "-1", "spark.sql.cteRecursionLevelLimit": str(MAX_DEPTH)}
+
+
+def _walk(spark: SparkSession, roots: DataFrame, edges: DataFrame) -> DataFrame:
+    return spark.sql(
+        """
+        WITH RECURSIVE walk(site_id, device_id, parent_device_id, name, device_type_id, depth) AS (
+            SELECT site_id, device_id, CAST(NULL AS STRING), name, device_type_id, 1 FROM {roots}
+            UNION ALL
+            SELECT w.site_id, e.device_id, e.parent_device_id, e.name, e.device_type_id, w.depth + 1
+            FROM walk w JOIN {edges} e ON e.parent_device_id = w.device_id
+        )
+        SELECT * FROM walk
+        """,
+        roots=roots,
+        edges=edges,
+    )
+
+
 def device_point_tree(
     devices: DataFrame,
     hierarchy: DataFrame,
@@ -20,12 +42,10 @@ def device_point_tree(
 
     A root has no parent. Without `site_id` the trees of all sites are returned,
     with the root's `site_id`. A device with two parents appears under both; a
-    tree deeper than `MAX_DEPTH` levels (a cycle) is an error.
+    tree deeper than `MAX_DEPTH` levels (a cycle) is an error. The recursion runs
+    once, when the function is called, and its result is kept in the shared folder.
     """
     spark = devices.sparkSession
-    # The tree may hold any number of rows; only its depth is limited.
-    spark.conf.set("spark.sql.cteRecursionRowLimit", "-1")
-    spark.conf.set("spark.sql.cteRecursionLevelLimit", str(MAX_DEPTH))
     children = hierarchy.select(F.col("child_device_id").alias("device_id"))
     roots = devices.join(children, "device_id", "left_anti")
     if site_id is not None:
@@ -33,19 +53,8 @@ def device_point_tree(
     edges = hierarchy.join(devices, F.col("child_device_id") == F.col("device_id")).select(
         "parent_device_id", "device_id", "name", "device_type_id"
     )
-    tree = spark.sql(
-        """
-        WITH RECURSIVE walk(site_id, device_id, parent_device_id, name, device_type_id, depth) AS (
-            SELECT site_id, device_id, CAST(NULL AS STRING), name, device_type_id, 1 FROM {roots}
-            UNION ALL
-            SELECT w.site_id, e.device_id, e.parent_device_id, e.name, e.device_type_id, w.depth + 1
-            FROM walk w JOIN {edges} e ON e.parent_device_id = w.device_id
-        )
-        SELECT * FROM walk
-        """,
-        roots=roots,
-        edges=edges,
-    )
+    with settings(spark, _RECURSION):
+        tree = checkpointed(_walk(spark, roots, edges))
     types = device_types.select("device_type_id", F.col("name").alias("device_type"))
     as_device = tree.join(types, "device_type_id").select(
         "site_id",

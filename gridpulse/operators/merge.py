@@ -2,7 +2,8 @@
 
 Winners are picked by aggregation, not by a row number over each key, so rows
 are combined before the shuffle and a key with very many rows costs no more
-than any other.
+than any other. The winner is the minimum of (order, row): it is the same on
+every run, even where two rows tie.
 """
 
 from __future__ import annotations
@@ -30,9 +31,9 @@ DEVICE_UPDATES = [c for c in SCHEMAS["devices"].names if c != "device_id"]
 POINT_UPDATES = [c for c in SCHEMAS["points"].names if c != "point_id"]
 
 
-def _newest_first(ts: Column, *ties: Column) -> Column:
-    """Sort key whose minimum is the newest time, ties in the given order."""
-    return F.struct((F.lit(_FAR).cast("timestamp_ntz") - ts).alias("age"), *ties)
+def _age(ts: Column) -> Column:
+    """Sorts newest first: its minimum belongs to the latest time."""
+    return (F.lit(_FAR).cast("timestamp_ntz") - ts).alias("age")
 
 
 def lww_fold(
@@ -49,15 +50,16 @@ def lww_fold(
     from the first arrival of all. `arrival` is any sortable column.
     """
     first_cols = first_cols or []
-    order = F.col(arrival)
-    picks = [F.min_by(F.struct(*update_cols), _newest_first(F.col(ts_col), order.alias("at"))).alias("_new")]
+    at = F.col(arrival).alias("at")
+    newest = F.struct(_age(F.col(ts_col)), at, F.struct(*update_cols).alias("row"))
+    picks = [F.min(newest).alias("_new")]
     if first_cols:
-        picks.append(F.min_by(F.struct(*first_cols), order).alias("_first"))
+        picks.append(F.min(F.struct(at, F.struct(*first_cols).alias("row"))).alias("_first"))
     folded = rows.groupBy(*keys).agg(*picks)
     return folded.select(
         *keys,
-        *[F.col("_first").getField(c).alias(c) for c in first_cols],
-        *[F.col("_new").getField(c).alias(c) for c in update_cols],
+        *[F.col(f"_first.row.{c}").alias(c) for c in first_cols],
+        *[F.col(f"_new.row.{c}").alias(c) for c in update_cols],
     )
 
 
@@ -160,18 +162,20 @@ def submit_control_requests(
     return grown, control_queue(grown, arrival), outcome
 
 
-def first_per_key(rows: DataFrame, keys: list[str], order: Column) -> DataFrame:
-    """The first row of every key; combined before the shuffle."""
+def _extreme_per_key(rows: DataFrame, keys: list[str], order: Column, pick) -> DataFrame:
     rest = [c for c in rows.columns if c not in keys]
-    picked = rows.groupBy(*keys).agg(F.min_by(F.struct(*rest), order).alias("_row"))
-    return picked.select(*keys, *[F.col("_row").getField(c).alias(c) for c in rest]).select(*rows.columns)
+    best = rows.groupBy(*keys).agg(pick(F.struct(order.alias("at"), F.struct(*rest).alias("row"))).alias("_best"))
+    return best.select(*keys, *[F.col(f"_best.row.{c}").alias(c) for c in rest]).select(*rows.columns)
+
+
+def first_per_key(rows: DataFrame, keys: list[str], order: Column) -> DataFrame:
+    """The first row of every key; rows that tie in `order` are told apart by content."""
+    return _extreme_per_key(rows, keys, order, F.min)
 
 
 def latest_per_key(rows: DataFrame, keys: list[str], order: Column) -> DataFrame:
-    """The last row of every key; combined before the shuffle."""
-    rest = [c for c in rows.columns if c not in keys]
-    picked = rows.groupBy(*keys).agg(F.max_by(F.struct(*rest), order).alias("_row"))
-    return picked.select(*keys, *[F.col("_row").getField(c).alias(c) for c in rest]).select(*rows.columns)
+    """The last row of every key; rows that tie in `order` are told apart by content."""
+    return _extreme_per_key(rows, keys, order, F.max)
 
 
 def _present(target: DataFrame, rows: DataFrame, keys: list[str]) -> DataFrame:

@@ -7,7 +7,8 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridpulse.functions.buckets import Bucket, bucket_of, is_utc, sample_bucket, to_local, to_utc
+from gridpulse.functions.buckets import Bucket, bucket_of, sample_bucket, to_local, to_utc
+from gridpulse.functions.scalars import safe_divide
 from gridpulse.functions.values import (
     collapse_quality,
     pick_value,
@@ -19,75 +20,110 @@ from gridpulse.operators.sizing import fits_broadcast
 from gridpulse.sources.tables import in_range
 
 TYPED = ("value_bigint", "value_double", "value_numeric")
-ROLLUP_COLUMNS = (
-    "point_id", "bucket_start", "bucket_end", "sample_count", "avg_value", "min_value",
-    "max_value", "sum_value", "first_value", "last_value", "data_quality",
-)
+# Since this date every zone's offset from UTC is a whole number of quarter hours.
+QUARTER_HOURS_SINCE = dt.datetime(1972, 2, 1)
+QUARTER_HOUR = Bucket(seconds=900)
 
 
 def raw_readings(
     readings: DataFrame,
     start: dt.datetime | None = None,
     end: dt.datetime | None = None,
-    point_ids: list | DataFrame | None = None,
+    point_ids: list | None = None,
 ) -> DataFrame:
     """Raw rows in `[start, end)`, heartbeats left out, optionally of some points."""
     out = in_range(readings.filter(F.col("reading_type") == "raw"), "event_time", start, end)
-    if isinstance(point_ids, DataFrame):
-        return out.join(point_ids.select("point_id").distinct(), "point_id", "left_semi")
     return out if point_ids is None else out.filter(F.col("point_id").isin(list(point_ids)))
 
 
-def _stats(value: Column, prefix: str = "") -> list[Column]:
-    t = F.col("event_time")
+def choose_points(points: DataFrame, point_ids: list | DataFrame | None) -> tuple[DataFrame, list | None]:
+    """Point ids given as a table cut the catalog, whose join then selects the
+    readings; a list is pushed down to the scan."""
+    if isinstance(point_ids, DataFrame):
+        return points.join(point_ids.select("point_id"), "point_id", "left_semi"), None
+    return points, point_ids
+
+
+def _stats(value: Column, t: Column, prefix: str = "") -> list[Column]:
     return [
-        F.avg(value).alias(f"{prefix}avg_value"),
+        F.count(value).alias(f"{prefix}n_value"),
+        F.sum(value).alias(f"{prefix}sum_value"),
         F.min(value).alias(f"{prefix}min_value"),
         F.max(value).alias(f"{prefix}max_value"),
-        F.sum(value).alias(f"{prefix}sum_value"),
         F.min_by(value, t).alias(f"{prefix}first_value"),
         F.max_by(value, t).alias(f"{prefix}last_value"),
     ]
 
 
+_STATS = ("n_value", "sum_value", "min_value", "max_value", "first_value", "last_value")
+
+
 def _shared() -> list[Column]:
     q = quality_code()
     return [F.count(F.lit(1)).alias("sample_count"), F.min(q).alias("q_low"), F.max(q).alias("q_high")]
 
 
-def _clock(tz: str | None) -> Column:
-    """Wall clock of a reading: a literal zone, or the row's `timezone` column."""
-    return to_local(F.col("event_time"), F.col("timezone") if tz is None else tz)
+def _joined_first(raw: DataFrame, catalog: DataFrame, width: Bucket, tz: str | None) -> DataFrame:
+    """Readings meet their point's type (and zone) before they are grouped."""
+    zone = F.col("timezone") if tz is None else tz
+    keys = ["point_id", "bucket"] if tz is not None else ["point_id", "bucket", "timezone"]
+    typed = raw.join(catalog, "point_id").withColumn("value", reading_value())
+    typed = typed.withColumn("bucket", bucket_of(to_local(F.col("event_time"), zone), width))
+    return typed.groupBy(*keys).agg(*_shared(), *_stats(F.col("value"), F.col("event_time")))
 
 
-def _rollup_small(raw: DataFrame, points: DataFrame, width: Bucket, tz: str | None) -> DataFrame:
-    """Catalog proven small: it rides along as a broadcast and one shuffle of
-    partial aggregates remains."""
-    zone = [] if tz is not None else ["timezone"]
-    typed = raw.join(F.broadcast(points.select("point_id", "value_type", *zone)), "point_id")
-    typed = typed.withColumn("value", reading_value()).withColumn("bucket", bucket_of(_clock(tz), width))
-    return typed.groupBy("point_id", "bucket", *zone).agg(*_shared(), *_stats(F.col("value")))
-
-
-def _rollup_large(raw: DataFrame, points: DataFrame, width: Bucket, tz: str | None) -> DataFrame:
-    """Catalog too large to broadcast: aggregate each typed column first, so the
-    join moves one row per bucket and never a reading. With a zone per point the
-    bucket needs the catalog first; that join is left to the planner, which sorts
-    both sides and splits hot points at run time."""
-    if tz is None:
-        typed = raw.join(points.select("point_id", "value_type", "timezone"), "point_id")
-        typed = typed.withColumn("value", reading_value()).withColumn("bucket", bucket_of(_clock(tz), width))
-        return typed.groupBy("point_id", "bucket", "timezone").agg(*_shared(), *_stats(F.col("value")))
-    stats = [s for c in TYPED for s in _stats(F.col(c).cast("double"), f"{c}_")]
-    grouped = raw.withColumn("bucket", bucket_of(_clock(tz), width)).groupBy("point_id", "bucket")
-    wide = grouped.agg(*_shared(), *stats).join(points.select("point_id", "value_type"), "point_id")
-    names = [c for c in ROLLUP_COLUMNS if c.endswith("_value")]
-    return wide.select(
-        "point_id", "bucket", "sample_count", "q_low", "q_high",
-        *[reading_value("value_type", *[f"{c}_{n}" for c in TYPED]).alias(n) for n in names],
+def _grouped_first(raw: DataFrame, catalog: DataFrame, width: Bucket, tz: str | None) -> DataFrame:
+    """Each typed column is grouped, the point's type picks one afterwards, so the
+    join moves one row per point and bucket and never a reading."""
+    t = F.col("event_time")
+    stats = [s for c in TYPED for s in _stats(F.col(c).cast("double"), t, f"{c}_")]
+    local = to_local(t, tz)
+    wide = raw.withColumn("bucket", bucket_of(local, width)).groupBy("point_id", "bucket").agg(*_shared(), *stats)
+    picked = [reading_value("value_type", *[f"{c}_{n}" for c in TYPED]).alias(n) for n in _STATS]
+    zone = ["timezone"] if "timezone" in catalog.columns else []
+    return wide.join(catalog, "point_id").select(
+        "point_id", *zone, "bucket", "sample_count", "q_low", "q_high", *picked
+    )
+
+
+def _merged(parts: DataFrame, width: Bucket) -> DataFrame:
+    """Quarter-hour groups in UTC merged into buckets on each point's own clock."""
+    at = F.col("bucket")
+    local = parts.withColumn("_local", bucket_of(to_local(at, F.col("timezone")), width))
+    total = {n: F.sum(n).alias(n) for n in ("sample_count", "n_value", "sum_value")}
+    return local.groupBy("point_id", F.col("_local").alias("bucket"), "timezone").agg(
+        *total.values(),
+        F.min("q_low").alias("q_low"),
+        F.max("q_high").alias("q_high"),
+        F.min("min_value").alias("min_value"),
+        F.max("max_value").alias("max_value"),
+        F.min_by("first_value", at).alias("first_value"),
+        F.max_by("last_value", at).alias("last_value"),
     )
 
 
+def _grouped(
+    raw: DataFrame, points: DataFrame, width: Bucket, tz: str | None, start: dt.datetime | None, small: bool
+) -> DataFrame:
+    """Choose the order of join and grouping by the proven size of the catalog.
+
+    A large catalog with one zone is joined after grouping. With a zone per point
+    the readings are grouped by quarter hours first, which all zones' offsets are
+    multiples of since 1972; older or unbounded ranges, and buckets that quarter
+    hours do not divide, are joined first and left to the planner, which sorts
+    both sides and splits hot points at run time.
+    """
+    zone = [] if tz is not None else ["timezone"]
+    catalog = points.select("point_id", "value_type", *zone)
+    if small:
+        return _joined_first(raw, F.broadcast(catalog), width, tz)
+    if tz is not None:
+        return _grouped_first(raw, catalog, width, tz)
+    if start is not None and start >= QUARTER_HOURS_SINCE and width.seconds % QUARTER_HOUR.seconds == 0:
+        return _merged(_grouped_first(raw, catalog, QUARTER_HOUR, "UTC"), width)
+    return _joined_first(raw, catalog, width, tz)
+
+
 def readings_rollup(
     readings: DataFrame,
     points: DataFrame,
@@ -96,23 +132,29 @@ def readings_rollup(
     bucket: Bucket | str = "1 hour",
     tz: str | None = "UTC",
     point_ids: list | DataFrame | None = None,
+    small_catalog: bool | None = None,
 ) -> DataFrame:
     """Count, avg, min, max, sum, first, last and quality per point and bucket.
 
     Buckets follow the clock of `tz`; with `tz=None` each point's own `timezone`
-    column is used. `bucket_end` is the next boundary on that clock.
+    column is used. `bucket_end` is the next boundary on that clock. Unless
+    `small_catalog` says so, the size of `points` is checked by counting it.
     """
     width = Bucket.of(bucket)
-    raw = raw_readings(readings, start, end, point_ids)
-    build = _rollup_small if fits_broadcast(points) else _rollup_large
-    grouped = build(raw, points, width, tz)
+    if small_catalog is None:
+        small_catalog = fits_broadcast(points)
+    points, listed = choose_points(points, point_ids)
+    raw = raw_readings(readings, start, end, listed)
+    grouped = _grouped(raw, points, width, tz, start, small_catalog)
     zone = F.col("timezone") if tz is None else tz
     b = F.col("bucket")
     return grouped.select(
         "point_id",
         to_utc(b, zone).alias("bucket_start"),
         to_utc(b + width.step, zone).alias("bucket_end"),
-        "sample_count", "avg_value", "min_value", "max_value", "sum_value", "first_value", "last_value",
+        "sample_count",
+        safe_divide("sum_value", "n_value").alias("avg_value"),
+        "min_value", "max_value", "sum_value", "first_value", "last_value",
         collapse_quality("q_low", "q_high").alias("data_quality"),
     )
 
@@ -125,13 +167,14 @@ def power_to_energy(
     bucket: Bucket | str = "1 hour",
     tz: str | None = "UTC",
     point_ids: list | DataFrame | None = None,
+    small_catalog: bool | None = None,
 ) -> DataFrame:
     """Average power times the bucket's nominal hours, in the rollup unit.
 
     A bucket cut by `start` or `end` still counts its full nominal length.
     """
     width = Bucket.of(bucket)
-    rolled = readings_rollup(readings, points, start, end, width, tz, point_ids)
+    rolled = readings_rollup(readings, points, start, end, width, tz, point_ids, small_catalog)
     units = points.select("point_id", "uom", "rollup_uom")
     energy = F.col("avg_value") * F.lit(width.nominal_hours) * uom_conversion_factor("uom", "rollup_uom")
     return rolled.join(units, "point_id").select(
@@ -168,7 +211,7 @@ def point_history(
         tz, catalog = zone[0], points
     else:
         tz, catalog = None, points.join(sites.select("site_id", "timezone"), "site_id")
-    args = (readings, catalog, start, end, width, tz, point_ids)
+    args = (readings, catalog, start, end, width, tz, point_ids, fits_broadcast(points))
     if kind == "energy":
         rows, value = power_to_energy(*args), F.col("energy")
     else:

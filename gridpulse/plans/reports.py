@@ -13,6 +13,7 @@ from gridpulse.functions.values import any_value_of, open_rank
 from gridpulse.operators.gapfill import readings_gapfilled
 from gridpulse.operators.rollup import point_history, raw_readings, readings_rollup
 from gridpulse.operators.rollups import DAY
+from gridpulse.session import checkpointed
 
 STORM_LIMIT = 0.40
 
@@ -213,7 +214,12 @@ def top_points(totals: DataFrame, measure: str, limit: int) -> DataFrame:
 
 
 def share_of_total(groups: DataFrame, measure: str) -> DataFrame:
-    """Percent of the total per group, 0 when the total is 0."""
+    """Percent of the total per group, 0 when the total is 0.
+
+    The groups are checkpointed: they are needed for the total and for the shares,
+    and a window over all of them would run in one task.
+    """
+    groups = checkpointed(groups)
     total = groups.agg(F.sum(measure)).scalar()
     share = F.when(total > 0, safe_divide(100.0 * F.col(measure), total)).otherwise(F.lit(0.0))
     return groups.withColumn("percent", F.round(share, 2))

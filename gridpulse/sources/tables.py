@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Iterator
-from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,6 +10,7 @@ from pyspark.sql import types as T
 
 from gridpulse.functions.buckets import Bucket, bucket_of, floor_to
 from gridpulse.schemas import DEFAULTS, PARTITIONED, SCHEMAS
+from gridpulse.session import settings
 
 PARTITION_COLUMN = "event_date"
 
@@ -72,7 +71,8 @@ def in_range(
     if end is not None:
         df = df.filter(t < F.lit(end).cast("timestamp_ntz"))
         if partitioned:
-            df = df.filter(F.col(PARTITION_COLUMN) <= F.lit(end.date()))
+            last = end - dt.timedelta(microseconds=1)
+            df = df.filter(F.col(PARTITION_COLUMN) <= F.lit(last.date()))
     return df
 
 
@@ -104,22 +104,10 @@ def table_days(name: str) -> tuple[str, int]:
     return PARTITIONED[name.split(".")[-1]]
 
 
-@contextmanager
-def dynamic_overwrite(spark: SparkSession) -> Iterator[None]:
-    """Overwriting replaces only the partitions that receive rows."""
-    key = "spark.sql.sources.partitionOverwriteMode"
-    before = spark.conf.get(key)
-    spark.conf.set(key, "dynamic")
-    try:
-        yield
-    finally:
-        spark.conf.set(key, before)
-
-
 def overwrite_partitions(spark: SparkSession, table: str, df: DataFrame) -> None:
     """Replace the partitions present in `df`; reading `table` itself is safe,
     because new files are staged and swapped in when the job commits."""
-    with dynamic_overwrite(spark):
+    with settings(spark, {"spark.sql.sources.partitionOverwriteMode": "dynamic"}):
         df.select(*spark.table(table).columns).write.mode("overwrite").insertInto(table)
 
 
