@@ -326,7 +326,8 @@ def _value_map(p: Plant) -> DataFrame:
 def value_translation(p: Plant) -> DataFrame:
     """Whole values looked up in the map; unlisted ones have no label."""
     rows = p.events.select("event_id", F.floor("value").alias("state"), F.lit(1).alias("value_map_id"))
-    return rows.join(_value_map(p), "value_map_id").select(
+    # One map, one row: its size does not depend on the readings.
+    return rows.join(F.broadcast(_value_map(p)), "value_map_id").select(
         "event_id", translate("state", "int_values", "display_values").alias("label")
     )
 
@@ -336,7 +337,8 @@ def value_translation(p: Plant) -> DataFrame:
     FROM events LEFT JOIN map ON (CAST(floor(value) AS BIGINT) >> CAST(map.i AS BIGINT)) & 1 = 1 GROUP BY event_id""")
 def bitmask_decode(p: Plant) -> DataFrame:
     rows = p.events.select("event_id", F.floor("value").alias("state"), F.lit(1).alias("value_map_id"))
-    return rows.join(_value_map(p), "value_map_id").select(
+    # One map, one row: its size does not depend on the readings.
+    return rows.join(F.broadcast(_value_map(p)), "value_map_id").select(
         "event_id", F.concat_ws(",", decode_bits("state", "int_values", "display_values")).alias("labels")
     )
 

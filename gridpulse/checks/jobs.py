@@ -154,6 +154,21 @@ def run_statistics(p: Plant) -> DataFrame:
     return lc.run_statistics(p.spark.table(log))
 
 
+@query("recent_errors", """
+    SELECT 'control_requests_history' AS table_name, 'failed' AS status, now_at AS executed_at FROM span""")
+def recent_errors(p: Plant) -> DataFrame:
+    _, log = _retained(p, "errors")
+    return lc.recent_errors(p.spark.table(log)).select("table_name", "status", "executed_at")
+
+
+@query("latest_runs", """
+    SELECT unnest(['ALL', 'alarm_events', 'control_requests_history', 'point_readings']) AS table_name, now_at AS executed_at
+    FROM span""")
+def latest_runs(p: Plant) -> DataFrame:
+    _, log = _retained(p, "latest")
+    return lc.latest_runs(p.spark.table(log)).select("table_name", "executed_at")
+
+
 @query("appended_readings", """
     SELECT CAST(event_time AS DATE) AS event_date, reading_type, count(*) AS n FROM readings GROUP BY 1, 2""")
 def appended(p: Plant) -> DataFrame:

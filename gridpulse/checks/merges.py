@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridpulse.checks.registry import query
@@ -13,6 +13,7 @@ from gridpulse.functions.scalars import round_half_away
 from gridpulse.operators.hierarchy import device_point_tree
 from gridpulse.operators.integrity import audit_constraints
 from gridpulse.operators.merge import (
+    advance_queue,
     control_queue,
     first_per_key,
     insert_if_absent,
@@ -21,11 +22,13 @@ from gridpulse.operators.merge import (
     replace_latest,
     submit_control_requests,
     upsert,
+    upsert_devices,
+    upsert_points,
 )
 from gridpulse.plans.reports import plant_tree
 from gridpulse.session import run_dir
 from gridpulse.sources.adapters import Plant
-from gridpulse.streaming.ingest import read_audit, start_audit, start_readings
+from gridpulse.streaming.ingest import start_log, start_readings
 from gridpulse.streaming.sources import parquet_stream
 
 _STORED = dt.datetime(1997, 6, 1)
@@ -78,6 +81,46 @@ def lww_outcome(p: Plant) -> DataFrame:
     return outcome.select("arrival", "key", "accepted")
 
 
+_CATALOG_SQL = """
+    SELECT CAST(key AS VARCHAR) AS {id}, CAST(site AS VARCHAR) AS site_id, name, {label}, updated_at
+    FROM (SELECT *, row_number() OVER (PARTITION BY key ORDER BY updated_at DESC, arrival) AS place
+          FROM (SELECT c_custkey AS key, c_nationkey AS site, c_name AS name, '{stored}' AS {label},
+                       TIMESTAMP '1997-06-01' AS updated_at, -1 AS arrival FROM customer
+                UNION ALL
+                SELECT o_custkey, NULL, o_orderpriority, {new}, o_orderdate, o_orderkey FROM orders))
+    WHERE place = 1"""
+
+
+def _catalog(p: Plant, key: str, label: str, stored: str, new: Column) -> tuple[DataFrame, DataFrame]:
+    """Customers as catalog rows, orders as their updates (which name no site)."""
+    rows = p.base("customer").select(
+        F.col("c_custkey").cast("string").alias(key), F.col("c_nationkey").cast("string").alias("site_id"),
+        F.col("c_name").alias("name"), F.lit(stored).alias(label), F.lit(_STORED).cast("timestamp_ntz").alias("updated_at"),
+    )
+    updates = p.base("orders").select(
+        F.col("o_custkey").cast("string").alias(key), F.lit(None).cast("string").alias("site_id"),
+        F.col("o_orderpriority").alias("name"), new.alias(label), F.col("o_orderdate").alias("updated_at"),
+        F.col("o_orderkey").alias("arrival"),
+    )
+    return rows, updates
+
+
+@query("upsert_devices", _CATALOG_SQL.format(
+    id="device_id", label="status", stored="active", new="CASE WHEN o_orderstatus = 'F' THEN 'disabled' ELSE 'active' END"))
+def device_updates(p: Plant) -> DataFrame:
+    status = F.when(F.col("o_orderstatus") == "F", "disabled").otherwise("active")
+    merged, _ = upsert_devices(*_catalog(p, "device_id", "status", "active", status), now=dt.datetime(2024, 1, 1))
+    return merged
+
+
+@query("upsert_points", _CATALOG_SQL.format(
+    id="point_id", label="uom", stored="kW", new="CASE WHEN o_totalprice > 200000 THEN 'MW' ELSE 'W' END"))
+def point_updates(p: Plant) -> DataFrame:
+    uom = F.when(F.col("o_totalprice") > 200000, "MW").otherwise("W")
+    merged, _ = upsert_points(*_catalog(p, "point_id", "uom", "kW", uom), now=dt.datetime(2024, 1, 1))
+    return merged
+
+
 _QUEUE_COLUMNS = ("control_request_id", "device_id", "point_id", "setpoint", "status", "updated_at", "created_by")
 
 
@@ -91,6 +134,15 @@ def queue(p: Plant) -> DataFrame:
     return _queue(p).select(*_QUEUE_COLUMNS).withColumn("setpoint", F.col("setpoint").cast("double"))
 
 
+@query("control_queue_advanced", f"SELECT {', '.join(_QUEUE_COLUMNS)} FROM queue")
+def advanced(p: Plant) -> DataFrame:
+    """The queue of lines 1 to 3, brought forward by the later lines."""
+    log = p.control_log.withColumn("created_by", F.col("device_id"))
+    before = control_queue(log.filter("line <= 3").drop("line"), keys=["control_request_id"])
+    after = advance_queue(before, log.filter("line > 3").drop("line"), keys=["control_request_id"])
+    return after.select(*_QUEUE_COLUMNS).withColumn("setpoint", F.col("setpoint").cast("double"))
+
+
 @query("control_audit", """
     SELECT control_request_id, status, count(*) AS submissions,
            CAST(sum(CASE WHEN is_internal THEN 1 ELSE 0 END) AS BIGINT) AS internal,
@@ -140,9 +192,8 @@ def stream_control_queue(p: Plant) -> DataFrame:
     lines = p.base("lineitem")
     live = Plant(p.spark, p.sf_dir)
     live.base = lambda name: parquet_stream(p.spark, f"{p.sf_dir}/{name}.parquet", lines.schema)
-    started = start_audit(live.control_log.drop("line"), f"{path}/audit", f"{path}/checkpoint", once=True)
-    started.awaitTermination()
-    audit = read_audit(p.spark, f"{path}/audit").withColumn("created_by", F.col("device_id")).drop("batch_id")
+    start_log(live.control_log.drop("line"), f"{path}/audit", f"{path}/checkpoint", once=True).awaitTermination()
+    audit = p.spark.read.parquet(f"{path}/audit").withColumn("created_by", F.col("device_id")).drop("batch_id")
     folded = control_queue(audit, keys=["control_request_id"])
     return folded.select(*_QUEUE_COLUMNS).withColumn("setpoint", F.col("setpoint").cast("double"))
 
@@ -153,7 +204,6 @@ def stream_control_queue(p: Plant) -> DataFrame:
     FROM (SELECT DISTINCT event_time, point_id FROM readings) GROUP BY 1, 2""")
 def stream_readings(p: Plant) -> DataFrame:
     """Readings streamed into date partitions without duplicate keys."""
-    p.spark.conf.set("spark.sql.session.timeZone", "UTC")
     path = run_dir(p.spark, "stream-readings")
     live = Plant(p.spark, p.sf_dir)
     live.__dict__["events"] = parquet_stream(p.spark, f"{p.sf_dir}/events.parquet", p.events.schema)

@@ -12,12 +12,14 @@ from gridpulse.checks.merges import _queue
 from gridpulse.checks.registry import query
 from gridpulse.checks.rollups import rounded
 from gridpulse.checks.views import r
+from gridpulse.functions.buckets import local_day
 from gridpulse.functions.scalars import percent, round_half_away, safe_divide
-from gridpulse.functions.values import any_value_of, quality_to_aggregate
+from gridpulse.functions.values import any_value_of, quality_to_aggregate, reading_value
 from gridpulse.operators.rollup import power_to_energy, raw_readings
 from gridpulse.operators.rollups import rollup_1d, rollup_1h
 from gridpulse.plans import reports as rp
 from gridpulse.sources.adapters import Plant
+from gridpulse.sources.tables import staged
 
 _DAY_ENERGY = f"""
     local_energy AS (
@@ -235,11 +237,15 @@ def busy_points(p: Plant) -> DataFrame:
            round(100.0 * count(*) FILTER (WHERE data_quality = 'online') / nullif(count(*), 0), 1)::DOUBLE AS pct_online
     FROM readings r JOIN points p ON p.point_id = r.point_id GROUP BY 1""")
 def conditional_counts(p: Plant) -> DataFrame:
-    online = F.count_if(F.col("data_quality") == "online")
-    total = F.count(F.lit(1))
-    return p.readings.join(p.points.select("point_id", "site_id"), "point_id").groupBy("site_id").agg(
-        total.alias("n"), online.alias("online"),
+    """Counted per point before the join, so the catalog meets a small table."""
+    per_point = p.readings.groupBy("point_id").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count_if(F.col("data_quality") == "online").alias("online"),
         F.sum(F.when(F.col("reading_type") == "heartbeat", 1).otherwise(0)).alias("heartbeats"),
+    )
+    online, total = F.sum("online"), F.sum("n")
+    return per_point.join(p.points.select("point_id", "site_id"), "point_id").groupBy("site_id").agg(
+        total.alias("n"), online.alias("online"), F.sum("heartbeats").alias("heartbeats"),
         percent(online, total).alias("pct_online"),
     )
 
@@ -316,3 +322,40 @@ def star_join(p: Plant) -> DataFrame:
         F.sum("n").alias("n"), F.sum("total").alias("total")
     )
     return rounded(summed, "total", digits=2)
+
+
+@query("active_alarms", """
+    SELECT alarm_name, site_id, severity, raised_at FROM alarms WHERE is_active""")
+def active_alarms(p: Plant) -> DataFrame:
+    """A boolean column as the predicate."""
+    return all_alarms(p).filter("is_active").select("alarm_name", "site_id", "severity", "raised_at")
+
+
+@query("topk_by_larger_count", """
+    SELECT point_id, online, other FROM (
+        SELECT point_id, count(*) FILTER (WHERE data_quality = 'online') AS online,
+               count(*) FILTER (WHERE data_quality <> 'online') AS other
+        FROM readings GROUP BY 1)
+    ORDER BY greatest(online, other) DESC, point_id LIMIT 25""")
+def topk_by_larger_count(p: Plant) -> DataFrame:
+    """Ordered by the larger of two computed columns."""
+    online = F.col("data_quality") == "online"
+    counts = p.readings.groupBy("point_id").agg(F.count_if(online).alias("online"), F.count_if(~online).alias("other"))
+    return counts.orderBy(F.greatest("online", "other").desc(), "point_id").limit(25)
+
+
+@query("staged_grid", f"""
+    SELECT site_id, local_day, count(*) AS n, {r('avg(v)')} AS avg_value
+    FROM (SELECT t.site_id, t.v, CAST((t.event_time AT TIME ZONE 'UTC') AT TIME ZONE s.timezone AS DATE) AS local_day
+          FROM typed t JOIN sites s ON s.site_id = t.site_id)
+    GROUP BY 1, 2""")
+def staged_grid(p: Plant) -> DataFrame:
+    """An intermediate table staged once, then read by SQL."""
+    located = p.points.join(p.sites.select("site_id", "timezone"), "site_id").select(
+        "point_id", "site_id", "timezone", "value_type"
+    )
+    rows = raw_readings(p.readings).join(located, "point_id")
+    day = local_day(F.col("event_time"), F.col("timezone"))
+    grid = staged(rows.select("site_id", day.alias("local_day"), reading_value().alias("v")), "staged_grid")
+    stats = p.spark.sql("SELECT site_id, local_day, count(*) AS n, avg(v) AS avg_value FROM {g} GROUP BY ALL", g=grid)
+    return rounded(stats, "avg_value")

@@ -15,7 +15,7 @@ from gridpulse.operators.gapfill import readings_gapfilled
 from gridpulse.operators.rollup import point_history, power_to_energy, readings_rollup
 from gridpulse.session import run_database, run_dir
 from gridpulse.sources.adapters import Plant
-from gridpulse.streaming.rollups import read_rollup, start_rollup, stream_rollup_1h
+from gridpulse.streaming.rollups import publish, read_published, read_rollup, start_rollup, stream_rollup_1h
 from gridpulse.streaming.sources import parquet_stream
 
 _VALUES = ("avg_value", "min_value", "max_value", "sum_value", "first_value", "last_value")
@@ -200,13 +200,32 @@ def refresh_window(p: Plant) -> DataFrame:
     return rounded(stored, *_ROLLUP_VALUES)
 
 
-@query("stream_rollup_1h", _rollup_select("hours", "bucket"))
-def stream_rollup(p: Plant) -> DataFrame:
-    """The hourly rollup computed by a stream over the event files."""
-    p.spark.conf.set("spark.sql.session.timeZone", "UTC")
-    path = run_dir(p.spark, "stream-rollup")
+def _streamed(p: Plant, label: str) -> str:
+    """Path of the change log left by a stream over the event files."""
+    path = run_dir(p.spark, label)
     live = Plant(p.spark, p.sf_dir)
     live.__dict__["events"] = parquet_stream(p.spark, f"{p.sf_dir}/events.parquet", p.events.schema)
-    started = start_rollup(stream_rollup_1h(live.readings), f"{path}/log", f"{path}/checkpoint", once=True)
-    started.awaitTermination()
-    return rounded(read_rollup(p.spark, f"{path}/log"), *_ROLLUP_VALUES)
+    start_rollup(stream_rollup_1h(live.readings), f"{path}/log", f"{path}/checkpoint", once=True).awaitTermination()
+    return f"{path}/log"
+
+
+@query("stream_rollup_1h", _rollup_select("hours", "bucket"))
+def stream_rollup(p: Plant) -> DataFrame:
+    """The hourly rollup computed by a stream."""
+    return rounded(read_rollup(p.spark, _streamed(p, "stream-rollup")), *_ROLLUP_VALUES)
+
+
+@query("stream_rollup_published", _rollup_select("hours", "bucket"))
+def stream_published(p: Plant) -> DataFrame:
+    """The stream's change log folded into the partitioned rollup table."""
+    log = _streamed(p, "stream-published")
+    table = f"{run_database(p.spark, 'published')}.readings_1h"
+    tables.create_rollup(p.spark, table, tables.rollup_1h(p.readings))
+    publish(p.spark, log, table)
+    return rounded(read_published(p.spark, log, table), *_ROLLUP_VALUES)
+
+
+@query("stream_rollup_1d", _rollup_select("days", "day"))
+def stream_daily(p: Plant) -> DataFrame:
+    """Days built from the streamed hours."""
+    return rounded(tables.rollup_1d(read_rollup(p.spark, _streamed(p, "stream-daily"))), *_ROLLUP_VALUES)

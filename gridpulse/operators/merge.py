@@ -93,22 +93,27 @@ def lww_merge(
     arrival: str = "arrival",
     block: str | None = None,
     now: dt.datetime | None = None,
+    first_cols: list[str] | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Merge `updates` into `target` unless stale; returns (merged, outcome).
 
-    A missing update time means `now`. The outcome holds every update with
-    `accepted`; `block` bounds its work per task (default: the update's day).
+    A missing update time means `now`. `first_cols` keep what was stored first.
+    The outcome holds every update with `accepted`; `block` names a column with a
+    bounded stretch of arrivals, never decreasing along `arrival` (without it the
+    updates of one key are judged in one task).
     """
     ts = F.col(ts_col)
     if now is not None:
         updates = updates.withColumn(ts_col, F.coalesce(ts, F.lit(now).cast("timestamp_ntz")))
+    first_cols = first_cols or []
     payload = list(dict.fromkeys([*update_cols, ts_col]))
+    kept = [*payload, *first_cols]
     kind = updates.schema[arrival].dataType
     place = F.struct(F.col("_update"), F.col(arrival)).alias("_place")
-    old = target.select(*keys, *payload).withColumn("_update", F.lit(0)).withColumn(arrival, F.lit(None).cast(kind))
-    new = updates.select(*keys, *payload, arrival).withColumn("_update", F.lit(1))
-    both = old.unionByName(new).select(*keys, *payload, place)
-    merged = lww_fold(both, keys, ts_col, payload, arrival="_place")
+    old = target.select(*keys, *kept).withColumn("_update", F.lit(0)).withColumn(arrival, F.lit(None).cast(kind))
+    new = updates.select(*keys, *kept, arrival).withColumn("_update", F.lit(1))
+    both = old.unionByName(new).select(*keys, *kept, place)
+    merged = lww_fold(both, keys, ts_col, payload, first_cols, arrival="_place")
 
     stretch = F.col(block) if block else F.lit(0)
     tagged = updates.withColumn("_block", stretch)
@@ -143,6 +148,19 @@ def control_queue(audit: DataFrame, arrival: str = "arrival", keys: list[str] |
     return lww_fold(external, keys, "updated_at", cols, first, arrival)
 
 
+def advance_queue(queue: DataFrame, calls: DataFrame, arrival: str = "arrival", keys: list[str] | None = None) -> DataFrame:
+    """The queue after more calls, from a stored queue instead of the whole audit.
+
+    Equal to `control_queue` of the audit that led to `queue` followed by `calls`.
+    """
+    keys = keys or QUEUE_KEYS
+    first = [c for c in QUEUE_FIRST if c in queue.columns]
+    cols = [c for c in queue.columns if c not in (*keys, *first)]
+    external = calls.filter(is_not_true("is_internal"))
+    merged, _ = lww_merge(queue, external, keys, "updated_at", cols, arrival, first_cols=first)
+    return merged.select(*queue.columns)
+
+
 def submit_control_requests(
     audit: DataFrame, calls: DataFrame, now: dt.datetime, arrival: str = "arrival", block: str = "block"
 ) -> tuple[DataFrame, DataFrame, DataFrame]:

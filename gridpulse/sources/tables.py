@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from gridpulse.functions.buckets import Bucket, bucket_of, floor_to
 from gridpulse.schemas import DEFAULTS, PARTITIONED, SCHEMAS
-from gridpulse.session import settings
+from gridpulse.session import checkpointed, settings
 
 PARTITION_COLUMN = "event_date"
 
@@ -111,6 +111,13 @@ def overwrite_partitions(spark: SparkSession, table: str, df: DataFrame) -> None
         df.select(*spark.table(table).columns).write.mode("overwrite").insertInto(table)
 
 
+def staged(df: DataFrame, view: str) -> DataFrame:
+    """An intermediate result written once, for several readers, and named as a view."""
+    kept = checkpointed(df)
+    kept.createOrReplaceTempView(view)
+    return kept
+
+
 def discard(df: DataFrame) -> None:
     """Run the whole plan and throw the rows away (for timing)."""
     df.write.format("noop").mode("overwrite").save()

@@ -1,47 +1,54 @@
-"""Replay-safe ingest of readings and control submissions."""
+"""Replay-safe ingest of readings, control submissions and catalog updates."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from gridpulse.session import settings
 from gridpulse.sources.tables import PARTITION_COLUMN
-from gridpulse.streaming.rollups import LATENESS
+
+# How late a reading may be; later ones are left to an explicit refresh.
+LATENESS = "3 days"
+BATCH = "batch_id"
 
 
 def start_readings(
     readings: DataFrame, path: str, checkpoint: str, delay: str = LATENESS, once: bool = False
 ) -> StreamingQuery:
     """Append new readings to date partitions; the first of equal keys is kept."""
-    rows = (
-        readings.withColumn("event_time", F.col("event_time").cast("timestamp"))
-        .withWatermark("event_time", delay)
-        .dropDuplicatesWithinWatermark(["event_time", "point_id"])
-        .withColumn("event_time", F.col("event_time").cast("timestamp_ntz"))
-        .withColumn(PARTITION_COLUMN, F.to_date("event_time"))
-    )
+    with settings(readings.sparkSession, {"spark.sql.session.timeZone": "UTC"}):
+        rows = (
+            readings.withColumn("event_time", F.col("event_time").cast("timestamp"))
+            .withWatermark("event_time", delay)
+            .dropDuplicatesWithinWatermark(["event_time", "point_id"])
+            .withColumn("event_time", F.col("event_time").cast("timestamp_ntz"))
+            .withColumn(PARTITION_COLUMN, F.to_date("event_time"))
+        )
     writer = rows.writeStream.outputMode("append").partitionBy(PARTITION_COLUMN).format("parquet")
     writer = writer.option("checkpointLocation", checkpoint).option("path", path)
     return (writer.trigger(availableNow=True) if once else writer).start()
 
 
-def start_audit(calls: DataFrame, path: str, checkpoint: str, once: bool = False) -> StreamingQuery:
-    """Append control submissions to the audit, one folder per micro-batch.
-
-    A replayed batch overwrites its folder. The live queue is never written: it
-    is the fold of the audit, see `gridpulse.operators.merge.control_queue`.
-    """
+def batch_writer(path: str):
+    """A sink with one folder per micro-batch: a replayed batch overwrites its own
+    folder, so it never counts twice. `batch_id` is a column when read back."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        batch.write.mode("overwrite").parquet(f"{path}/{BATCH}={batch_id}")
 
-    writer = calls.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
-    if once:
-        writer = writer.trigger(availableNow=True)
-    return writer.foreachBatch(write).start()
+    return write
 
 
-def read_audit(spark: SparkSession, path: str) -> DataFrame:
-    """Every submission, with `batch_id` leading its arrival order."""
-    return spark.read.parquet(path)
+def start_log(rows: DataFrame, path: str, checkpoint: str, once: bool = False, mode: str = "append") -> StreamingQuery:
+    """Append rows to a log, one folder per micro-batch.
+
+    Control submissions make the audit this way, and catalog updates their log.
+    The live queue or catalog is never written by the stream: it is a fold of the
+    log (`control_queue`, `advance_queue`, `lww_merge`), so replays are harmless.
+    """
+    writer = rows.writeStream.outputMode(mode).option("checkpointLocation", checkpoint)
+    if once:
+        writer = writer.trigger(availableNow=True)
+    return writer.foreachBatch(batch_writer(path)).start()

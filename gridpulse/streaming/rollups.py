@@ -9,45 +9,75 @@ from pyspark.sql.streaming import StreamingQuery
 from gridpulse.functions.values import any_value_of
 from gridpulse.operators.merge import latest_per_key
 from gridpulse.operators.rollups import ROLLUP_COLUMNS, hourly_aggregates
+from gridpulse.session import settings
+from gridpulse.sources.tables import PARTITION_COLUMN, clustered, overwrite_partitions, with_partition
+from gridpulse.streaming.ingest import BATCH, LATENESS, start_log
 
-# How late a reading may be; later ones are left to an explicit refresh.
-LATENESS = "3 days"
+PUBLISHED = "gridpulse.published_batch"
+KEYS = ["point_id", "bucket"]
 
 
 def stream_rollup_1h(readings: DataFrame, delay: str = LATENESS, deduplicate: bool = True) -> DataFrame:
     """Hourly statistics per point of a stream of readings.
 
-    A repeated (event_time, point_id) counts once. Same columns as the batch form.
+    A repeated (event_time, point_id) counts once; that keeps every key of the
+    delay in state, so leave it out where the source is already free of repeats.
+    Same columns as the batch form.
     """
-    raw = readings.filter(F.col("reading_type") == "raw")
-    raw = raw.withColumn("event_time", F.col("event_time").cast("timestamp")).withWatermark("event_time", delay)
-    if deduplicate:
-        raw = raw.dropDuplicatesWithinWatermark(["event_time", "point_id"])
-    raw = raw.withColumn("v", any_value_of())
-    hourly = raw.groupBy("point_id", F.window("event_time", "1 hour").alias("w")).agg(
-        *hourly_aggregates(F.col("v"), F.col("event_time"), F.col("data_quality"))
-    )
-    bucket = F.col("w.start").cast("timestamp_ntz").alias("bucket")
-    return hourly.select(bucket, *[c for c in ROLLUP_COLUMNS if c != "bucket"]).select(*ROLLUP_COLUMNS)
-
-
-def _write_batch(path: str):
-    def write(batch: DataFrame, batch_id: int) -> None:
-        # A replayed batch overwrites its own folder, so it never counts twice.
-        batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
-
-    return write
+    # A watermark needs an instant, so the UTC wall clock is read in UTC.
+    with settings(readings.sparkSession, {"spark.sql.session.timeZone": "UTC"}):
+        raw = readings.filter(F.col("reading_type") == "raw")
+        raw = raw.withColumn("event_time", F.col("event_time").cast("timestamp")).withWatermark("event_time", delay)
+        if deduplicate:
+            raw = raw.dropDuplicatesWithinWatermark(["event_time", "point_id"])
+        raw = raw.withColumn("v", any_value_of())
+        hourly = raw.groupBy("point_id", F.window("event_time", "1 hour").alias("w")).agg(
+            *hourly_aggregates(F.col("v"), F.col("event_time"), F.col("data_quality"))
+        )
+        return hourly.withColumn("bucket", F.col("w.start").cast("timestamp_ntz")).select(*ROLLUP_COLUMNS)
 
 
 def start_rollup(hourly: DataFrame, path: str, checkpoint: str, once: bool = False) -> StreamingQuery:
     """Write the groups touched by each micro-batch as an append-only change log."""
-    writer = hourly.writeStream.outputMode("update").option("checkpointLocation", checkpoint)
-    if once:
-        writer = writer.trigger(availableNow=True)
-    return writer.foreachBatch(_write_batch(path)).start()
+    return start_log(hourly, path, checkpoint, once, mode="update")
 
 
 def read_rollup(spark: SparkSession, path: str) -> DataFrame:
-    """The current rollup: the newest version of every (point, bucket)."""
-    log = spark.read.parquet(path)
-    return latest_per_key(log, ["point_id", "bucket"], F.col("batch_id")).select(*ROLLUP_COLUMNS)
+    """The current rollup from the log alone: the newest version of every group."""
+    return latest_per_key(spark.read.parquet(path), KEYS, F.col(BATCH)).select(*ROLLUP_COLUMNS)
+
+
+def published_batch(spark: SparkSession, table: str) -> int:
+    """The last batch of the log that the rollup table contains, -1 for none."""
+    found = spark.sql(f"SHOW TBLPROPERTIES {table}").filter(F.col("key") == PUBLISHED).collect()
+    return int(found[0]["value"]) if found else -1
+
+
+def publish(spark: SparkSession, path: str, table: str) -> int:
+    """Fold the batches not yet in the rollup table into it; returns the last one.
+
+    Only dates with changes are rewritten. Running it again changes nothing.
+    """
+    done = published_batch(spark, table)
+    log = spark.read.parquet(path).filter(F.col(BATCH) > done)
+    last = log.agg(F.max(BATCH)).first()[0]
+    if last is None:
+        return done
+    newest = latest_per_key(log.filter(F.col(BATCH) <= last), KEYS, F.col(BATCH))
+    changed = with_partition(newest.select(*ROLLUP_COLUMNS), "bucket")
+    dates = [r[0] for r in changed.select(PARTITION_COLUMN).distinct().collect()]
+    stored = spark.table(table).filter(F.col(PARTITION_COLUMN).isin(dates))
+    kept = stored.join(changed.select(*KEYS), KEYS, "left_anti").select(*changed.columns)
+    overwrite_partitions(spark, table, clustered(changed.unionByName(kept), *KEYS))
+    spark.catalog.refreshTable(table)
+    spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{PUBLISHED}'='{last}')")
+    return last
+
+
+def read_published(spark: SparkSession, path: str, table: str) -> DataFrame:
+    """The current rollup: the table, overlaid with the batches after it."""
+    done = published_batch(spark, table)
+    recent = spark.read.parquet(path).filter(F.col(BATCH) > done)
+    base = spark.table(table).select(*ROLLUP_COLUMNS).withColumn(BATCH, F.lit(done).cast("bigint"))
+    recent = recent.select(*ROLLUP_COLUMNS, F.col(BATCH).cast("bigint").alias(BATCH))
+    return latest_per_key(base.unionByName(recent), KEYS, F.col(BATCH)).select(*ROLLUP_COLUMNS)

@@ -5,14 +5,14 @@ from pyspark.sql import functions as F
 
 from conftest import READINGS, at, rows
 from gridpulse.operators import merge as m
-from gridpulse.operators.rollups import partitions, rollup_1h
+from gridpulse.operators.rollups import create_rollup, partitions, rollup_1h
 from gridpulse.plans import lifecycle as lc
 from gridpulse.plans import reports as rp
 from gridpulse.schemas import DEFAULTS, SCHEMAS
 from gridpulse.session import run_database, run_dir
 from gridpulse.sources import tables as tb
-from gridpulse.streaming.ingest import start_readings
-from gridpulse.streaming.rollups import read_rollup, start_rollup, stream_rollup_1h
+from gridpulse.streaming.ingest import batch_writer, start_readings
+from gridpulse.streaming.rollups import publish, read_published, read_rollup, start_rollup, stream_rollup_1h
 from gridpulse.streaming.sources import parquet_stream
 
 NOW = at("00:00")
@@ -195,12 +195,10 @@ def test_late_rows_are_dropped_beyond_the_delay(spark, readings, tmp_path):
 
 
 def test_replayed_batch_counts_once(spark, readings, tmp_path):
-    from gridpulse.streaming.rollups import _write_batch
-
     out = str(tmp_path / "out")
     hourly = rollup_1h(readings((at("10:00"), "p", 1.0)))
     for batch_id in (0, 0, 1):
-        _write_batch(out)(hourly, batch_id)
+        batch_writer(out)(hourly, batch_id)
     assert rows(read_rollup(spark, out), "n") == [(1,)]
 
 
@@ -213,3 +211,25 @@ def test_streamed_readings_land_once(spark, readings, tmp_path):
     assert rows(spark.read.parquet(out), "event_time", "event_date") == [
         (at("10:00"), dt.date(2024, 1, 5)), (at("11:00"), dt.date(2024, 1, 5))
     ]
+
+
+def test_publishing_the_log(spark, readings, tmp_path):
+    out = str(tmp_path / "out")
+    table = f"{run_database(spark, 'test_publish')}.readings_1h"
+    versions = [
+        readings((at("10:00"), "p", 1.0), (at("10:00"), "q", 1.0), (at("10:00") + ONE, "p", 1.0)),
+        readings((at("10:00"), "p", 2.0)),
+        readings((at("10:00"), "p", 3.0), (at("11:00"), "p", 3.0)),
+    ]
+    create_rollup(spark, table, rollup_1h(versions[0]))
+    want = [(at("10:00"), "p", 3.0), (at("10:00"), "q", 1.0), (at("10:00") + ONE, "p", 1.0), (at("11:00"), "p", 3.0)]
+    for i, df in enumerate(versions):
+        batch_writer(out)(rollup_1h(df), i)
+        if i == 1:
+            assert publish(spark, out, table) == 1
+            assert publish(spark, out, table) == 1
+            assert rows(spark.table(table), "bucket", "point_id", "sum_value")[0] == (at("10:00"), "p", 2.0)
+    assert rows(read_published(spark, out, table), "bucket", "point_id", "sum_value") == sorted(want)
+    assert publish(spark, out, table) == 2
+    assert rows(spark.table(table), "bucket", "point_id", "sum_value") == sorted(want)
+    assert rows(read_published(spark, out, table), "bucket", "point_id", "sum_value") == sorted(want)

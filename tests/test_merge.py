@@ -141,3 +141,16 @@ def test_device_defaults(spark):
     up = spark.createDataFrame([("d", "s", "n", "active", None, 0)], "device_id string, site_id string, name string, status string, updated_at timestamp_ntz, arrival int")
     merged, _ = m.upsert_devices(devices, up, now=dt.datetime(2024, 1, 1))
     assert rows(merged, "device_id", "name", "updated_at") == [("d", "n", dt.datetime(2024, 1, 1))]
+
+
+def test_advancing_a_stored_queue_equals_the_full_fold(spark):
+    rng = random.Random(4)
+    calls = [
+        _call(i, f"s{i}", rng.randrange(40), site=i, description=f"d{i}", internal=rng.choice([True, None, False]),
+              request=rng.choice("rst"), by=f"u{i}")
+        for i in range(60)
+    ]
+    full = m.control_queue(spark.createDataFrame(calls, CALLS))
+    first = m.control_queue(spark.createDataFrame(calls[:30], CALLS))
+    after = m.advance_queue(first, spark.createDataFrame(calls[30:], CALLS))
+    assert rows(after, *full.columns) == rows(full, *full.columns)
