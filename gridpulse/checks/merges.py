@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from gridpulse.checks.registry import query
 from gridpulse.checks.views import r
+from gridpulse.functions.buckets import instant
 from gridpulse.functions.scalars import round_half_away
 from gridpulse.operators.hierarchy import device_point_tree
 from gridpulse.operators.integrity import audit_constraints
@@ -40,7 +41,7 @@ def _customers_and_orders(p: Plant) -> tuple[DataFrame, DataFrame]:
         F.col("c_custkey").alias("key"),
         F.lit("A").alias("status"),
         F.col("c_acctbal").alias("amount"),
-        F.lit(_STORED).cast("timestamp_ntz").alias("updated_at"),
+        instant(_STORED).alias("updated_at"),
     )
     updates = p.base("orders").select(
         F.col("o_custkey").alias("key"),
@@ -95,7 +96,7 @@ def _catalog(p: Plant, key: str, label: str, stored: str, new: Column) -> tuple[
     """Customers as catalog rows, orders as their updates (which name no site)."""
     rows = p.base("customer").select(
         F.col("c_custkey").cast("string").alias(key), F.col("c_nationkey").cast("string").alias("site_id"),
-        F.col("c_name").alias("name"), F.lit(stored).alias(label), F.lit(_STORED).cast("timestamp_ntz").alias("updated_at"),
+        F.col("c_name").alias("name"), F.lit(stored).alias(label), instant(_STORED).alias("updated_at"),
     )
     updates = p.base("orders").select(
         F.col("o_custkey").cast("string").alias(key), F.lit(None).cast("string").alias("site_id"),
@@ -170,7 +171,7 @@ def control_audit(p: Plant) -> DataFrame:
 def control_submit(p: Plant) -> DataFrame:
     """Lines 1 to 3 are the audit so far, later lines are submitted to it."""
     log = p.control_log.withColumn("block", F.col("line")).withColumn(
-        "created_at", F.lit(_STORED).cast("timestamp_ntz")
+        "created_at", instant(_STORED)
     )
     now = dt.datetime(2024, 1, 1)
     _, _, outcome = submit_control_requests(log.filter("line <= 3"), log.filter("line > 3"), now)
@@ -267,7 +268,7 @@ def first(p: Plant) -> DataFrame:
     FROM outages""")
 def open_ended(p: Plant) -> DataFrame:
     """The latest outage is stretched to the end of the data."""
-    end = F.lit(p.span[1]).cast("timestamp_ntz")
+    end = instant(p.span[1])
     return replace_latest(p.outages, "outage_id", "start_at", "end_at", end)
 
 

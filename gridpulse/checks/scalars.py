@@ -11,7 +11,7 @@ from gridpulse.checks.registry import query
 from gridpulse.checks.views import r
 from gridpulse.functions import scalars as sc
 from gridpulse.functions import values as v
-from gridpulse.functions.buckets import Bucket, bucket_of, date_bin, local_day, local_hours, to_local, to_utc
+from gridpulse.functions.buckets import Bucket, bucket_of, date_bin, instant, local_day, local_hours, to_local, to_utc
 from gridpulse.schemas import ENUMS
 from gridpulse.sources.adapters import Plant
 from gridpulse.sources.tables import config_columns, time_series, with_defaults
@@ -145,7 +145,7 @@ def time_arithmetic(p: Plant) -> DataFrame:
     ts = F.col("ts")
     zero = F.lit(0)
     minutes = F.make_dt_interval(zero, zero, sc.to_int("value"), F.lit(0).cast("decimal(18,6)"))
-    age = F.lit(p.span[1]).cast("timestamp_ntz") - ts
+    age = instant(p.span[1]) - ts
     micros = F.date_part(F.lit("DAY"), age) * 86400 + F.date_part(F.lit("HOUR"), age) * 3600 + F.date_part(F.lit("MINUTE"), age) * 60
     return p.events.select(
         "event_id",
@@ -162,7 +162,7 @@ def time_arithmetic(p: Plant) -> DataFrame:
     SELECT site_id, unnest(generate_series(lo, hi, INTERVAL 6 HOUR)) AS at FROM sites CROSS JOIN span""")
 def series_per_site(p: Plant) -> DataFrame:
     """A time grid per site, both ends included."""
-    start, end = (F.lit(t).cast("timestamp_ntz") for t in p.span)
+    start, end = (instant(t) for t in p.span)
     return time_series(p.sites.select("site_id"), start, end, F.expr("INTERVAL '6' HOUR"), "at")
 
 
@@ -301,7 +301,7 @@ def like_escape(p: Plant) -> DataFrame:
       AND event_time BETWEEN (SELECT lo FROM span) AND (SELECT hi FROM span)
     GROUP BY 1""")
 def set_predicates(p: Plant) -> DataFrame:
-    low, high = (F.lit(t).cast("timestamp_ntz") for t in p.span)
+    low, high = (instant(t) for t in p.span)
     q = F.col("data_quality")
     kept = p.readings.filter(
         q.isin("online", "offline", "estimated") & ~q.isin("offline") & (F.col("reading_type") != "heartbeat")

@@ -80,6 +80,12 @@ def sample_bucket(keyword: str) -> Bucket:
     return Bucket.of(width)
 
 
+def instant(t: dt.datetime) -> Column:
+    """A literal UTC time. Written as text, because a datetime literal would be
+    read in the session's time zone."""
+    return F.lit(t.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
 def is_utc(tz: Column | str | None) -> bool:
     return tz is None or (isinstance(tz, str) and tz in UTC_NAMES)
 

@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridpulse.functions.buckets import at_local_time, bucket_of, to_local
+from gridpulse.functions.buckets import at_local_time, bucket_of, instant, to_local
 from gridpulse.functions.scalars import round_half_away, stable_id
 from gridpulse.functions.values import any_value_of
 from gridpulse.operators.outages import not_covered
@@ -56,7 +56,7 @@ def comms_lost(
     `device_points` holds the candidate points per device; the smallest id is
     shown, or NULL when the device has none.
     """
-    moment = F.lit(now).cast("timestamp_ntz")
+    moment = instant(now)
     first_point = device_points.groupBy("device_id").agg(F.min("point_id").alias("point_id"))
     device = devices.select("device_id", F.col("name").alias("source"), "site_id")
     rows = (
@@ -127,7 +127,7 @@ def storm_advisories(day_factors: DataFrame, sites: DataFrame, definitions: Data
         .join(sites.select("site_id", "timezone"), "site_id")
         .withColumn("raised_at", at_local_time(F.col("local_day"), start, F.col("timezone")))
         .withColumn("cleared_at", at_local_time(F.col("local_day"), stop, F.col("timezone")))
-        .filter(F.col("cleared_at") <= F.lit(now).cast("timestamp_ntz"))
+        .filter(F.col("cleared_at") <= instant(now))
         .join(_definitions(definitions, STORM), "site_id")
     )
     text = F.format_string("Output degraded by weather: cloud factor %.2f", round_half_away("factor", 2))
@@ -284,7 +284,7 @@ def suppress(raised: DataFrame, active: DataFrame, dependencies: DataFrame, now:
     `active` has alarm_definition_id, raised_at and cleared_at; an alarm that has
     not cleared limits up to and including `now`.
     """
-    end = F.coalesce(F.col("cleared_at"), F.lit(now + dt.timedelta(microseconds=1)).cast("timestamp_ntz"))
+    end = F.coalesce(F.col("cleared_at"), instant(now + dt.timedelta(microseconds=1)))
     limits = dependencies.join(
         active.select(
             F.col("alarm_definition_id").alias("limited_by_alarm_definition_id"),
@@ -307,9 +307,9 @@ def expand_schedules(schedules: DataFrame, horizon: dt.datetime) -> DataFrame:
     seconds = (F.col("repeat_interval").cast("bigint") * unit).cast("decimal(18,6)")
     step = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), seconds)
     runs = F.when(
-        F.col("repeat_interval") > 0, F.sequence(F.col("start_at"), F.lit(horizon).cast("timestamp_ntz"), step)
+        F.col("repeat_interval") > 0, F.sequence(F.col("start_at"), instant(horizon), step)
     ).otherwise(F.array("start_at"))
     live = schedules.filter(
-        F.col("status").isin("ready", "active") & (F.col("start_at") <= F.lit(horizon).cast("timestamp_ntz"))
+        F.col("status").isin("ready", "active") & (F.col("start_at") <= instant(horizon))
     )
     return live.select("site_id", "schedule_id", F.explode(runs).alias("run_at"))

@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridpulse.functions.buckets import Bucket, bucket_of, is_utc, to_local, to_utc
+from gridpulse.functions.buckets import Bucket, bucket_of, instant, is_utc, to_local, to_utc
 from gridpulse.functions.values import quality_code, quality_label, reading_value
 from gridpulse.operators.rollup import TYPED, choose_points, raw_readings
 from gridpulse.operators.sizing import fits_broadcast
@@ -46,10 +46,9 @@ def readings_gapfilled(
     points, listed = choose_points(points, point_ids)
     seen = _last_per_bucket(raw_readings(readings, start, end, listed), points, width, tz)
 
-    ntz = "timestamp_ntz"
     in_order = Window.partitionBy("point_id").orderBy("bucket")
-    bounds = bucket_of(to_local(F.lit(start).cast(ntz), tz), width)
-    stop = to_local(F.lit(end).cast(ntz), tz)
+    bounds = bucket_of(to_local(instant(start), tz), width)
+    stop = to_local(instant(end), tz)
     run = (
         seen.withColumn("grid_start", bounds)
         .withColumn("is_first", F.lag("bucket").over(in_order).isNull())

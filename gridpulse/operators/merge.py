@@ -13,6 +13,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gridpulse.functions.buckets import instant
 from gridpulse.functions.scalars import is_not_true
 from gridpulse.operators.scans import Running, running
 from gridpulse.schemas import PARTITIONED, SCHEMAS
@@ -33,7 +34,7 @@ POINT_UPDATES = [c for c in SCHEMAS["points"].names if c != "point_id"]
 
 def _age(ts: Column) -> Column:
     """Sorts newest first: its minimum belongs to the latest time."""
-    return (F.lit(_FAR).cast("timestamp_ntz") - ts).alias("age")
+    return (instant(_FAR) - ts).alias("age")
 
 
 def lww_fold(
@@ -104,7 +105,7 @@ def lww_merge(
     """
     ts = F.col(ts_col)
     if now is not None:
-        updates = updates.withColumn(ts_col, F.coalesce(ts, F.lit(now).cast("timestamp_ntz")))
+        updates = updates.withColumn(ts_col, F.coalesce(ts, instant(now)))
     first_cols = first_cols or []
     payload = list(dict.fromkeys([*update_cols, ts_col]))
     kept = [*payload, *first_cols]
@@ -169,7 +170,7 @@ def submit_control_requests(
     The queue is the fold of the audit, so the two cannot disagree. The outcome
     gives each call the request id, or NULL when it was stale or internal.
     """
-    moment = F.lit(now).cast("timestamp_ntz")
+    moment = instant(now)
     for c in ("created_at", "updated_at"):
         calls = calls.withColumn(c, F.coalesce(F.col(c), moment))
     grown = audit.withColumn("_call", F.lit(False)).unionByName(calls.withColumn("_call", F.lit(True)))

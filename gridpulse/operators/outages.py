@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridpulse.functions.buckets import Bucket, bucket_of, date_bin
+from gridpulse.functions.buckets import Bucket, bucket_of, date_bin, instant
 from gridpulse.operators.merge import upsert
 
 _DAY = "INTERVAL '1' DAY"
@@ -84,7 +84,7 @@ def outage_markers(
     """
     binned = outages.withColumn("event_time", date_bin(F.col("start_at"), width))
     if after is not None:
-        binned = binned.filter(F.col("event_time") > F.lit(after).cast("timestamp_ntz"))
+        binned = binned.filter(F.col("event_time") > instant(after))
     at = binned.select("device_id", "event_time").distinct()
     power = power_points.select("device_id", "point_id", F.lit(0.0).alias("value_double"), F.lit(None).cast("bigint").alias("value_bigint"))
     status = status_points.select("device_id", "point_id", F.lit(None).cast("double").alias("value_double"), F.lit(2).cast("bigint").alias("value_bigint"))
@@ -118,6 +118,6 @@ def data_gaps(readings: DataFrame, limit_s: int = 300, now: dt.datetime | None =
     pairs = bins.select("point_id", F.col("last_time").alias("gap_start"), following.alias("gap_end"))
     until = F.col("gap_end")
     if now is not None:
-        until = F.coalesce(until, F.lit(now).cast("timestamp_ntz"))
+        until = F.coalesce(until, instant(now))
     long_gap = until > F.col("gap_start") + F.expr(f"INTERVAL '{limit_s}' SECOND")
     return pairs.filter(long_gap)

@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from gridpulse.functions.buckets import Bucket, bucket_of, ceil_to, floor_to
+from gridpulse.functions.buckets import Bucket, bucket_of, ceil_to, floor_to, instant
 from gridpulse.functions.scalars import safe_divide
 from gridpulse.functions.values import any_value_of
 from gridpulse.sources.tables import (
@@ -115,10 +115,10 @@ def refresh(
     day, bucket = F.col(PARTITION_COLUMN), F.col("bucket")
     last_day = (high - dt.timedelta(microseconds=1)).date()
     # Only the first and the last date can hold stored buckets outside the range.
-    outside = bucket >= F.lit(high).cast("timestamp_ntz")
+    outside = bucket >= instant(high)
     edges = [F.lit(last_day)]
     if low is not None:
-        outside = outside | (bucket < F.lit(low).cast("timestamp_ntz"))
+        outside = outside | (bucket < instant(low))
         edges.append(F.lit(low.date()))
     kept = stored.filter(day.isin(*edges) & outside)
 

@@ -7,6 +7,7 @@ rows. They work on managed tables of the session catalog.
 from __future__ import annotations
 
 import datetime as dt
+import math
 import time
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,6 +20,8 @@ from gridpulse.schemas import CLUSTERING, COMPACT_AFTER_DAYS, PARTITIONED, RETEN
 from gridpulse.sources.tables import PARTITION_COLUMN, clustered, overwrite_partitions, table_days
 
 DEFAULT_AGE = dt.timedelta(days=7)
+# Size of a compacted file, which also bounds what one task sorts.
+TARGET_FILE_BYTES = 256 * 1024 * 1024
 _DROP_BATCH = 500
 
 
@@ -153,14 +156,15 @@ def _rewrite(spark: SparkSession, table: str, dates: list[dt.date], action: str,
     segment, order = CLUSTERING[short_name(table)]
     rows = spark.table(table).filter(F.col(PARTITION_COLUMN).isin(dates))
     newest_first = F.col(order).desc()
+    before = _sizes(spark, table, dates)
     if action == "compact":
         # Ranges over date, segment and time: a hot segment is cut into several
         # files, and every file covers a narrow range that readers can skip.
-        laid = rows.repartitionByRange(PARTITION_COLUMN, segment, newest_first)
+        parts = max(len(dates), math.ceil(sum(before.values()) / TARGET_FILE_BYTES))
+        laid = rows.repartitionByRange(parts, PARTITION_COLUMN, segment, newest_first)
         laid = laid.sortWithinPartitions(PARTITION_COLUMN, segment, newest_first)
     else:
         laid = clustered(rows, order)
-    before = _sizes(spark, table, dates)
     overwrite_partitions(spark, table, laid)
     spark.catalog.refreshTable(table)
     after = _sizes(spark, table, dates)

@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridpulse.functions.buckets import Bucket, bucket_of, local_day
+from gridpulse.functions.buckets import Bucket, bucket_of, instant, local_day
 from gridpulse.functions.scalars import element, round_half_away, safe_divide
 from gridpulse.functions.values import any_value_of, open_rank
 from gridpulse.operators.gapfill import readings_gapfilled
@@ -175,7 +175,7 @@ def rows_available(named: dict[str, tuple[DataFrame, str]], start: dt.datetime,
     """Rows per table in a closed time range."""
     parts = []
     for name, (df, time_col) in named.items():
-        low, high = (F.lit(v).cast("timestamp_ntz") for v in (start, end))
+        low, high = (instant(v) for v in (start, end))
         kept = df.filter(F.col(time_col).between(low, high))
         parts.append(kept.agg(F.count(F.lit(1)).alias("rows_available")).select(F.lit(name).alias("source"), "rows_available"))
     return _stack(parts)

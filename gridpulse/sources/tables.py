@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gridpulse.functions.buckets import Bucket, bucket_of, floor_to
+from gridpulse.functions.buckets import Bucket, bucket_of, floor_to, instant
 from gridpulse.schemas import DEFAULTS, PARTITIONED, SCHEMAS
 from gridpulse.session import checkpointed, settings
 
@@ -38,7 +38,9 @@ def with_defaults(df: DataFrame, name: str, now: dt.datetime | None = None) -> D
     for field in schema:
         value = F.col(field.name) if field.name in df.columns else F.lit(None)
         if field.name in defaults:
-            value = F.coalesce(value.cast(field.dataType), F.lit(defaults[field.name]).cast(field.dataType))
+            default = defaults[field.name]
+            default = instant(default) if isinstance(default, dt.datetime) else F.lit(default)
+            value = F.coalesce(value.cast(field.dataType), default.cast(field.dataType))
         out.append(value.cast(field.dataType).alias(field.name))
     return df.select(*out)
 
@@ -65,11 +67,11 @@ def in_range(
     partitioned = PARTITION_COLUMN in df.columns
     width = Bucket(seconds=days * 86400)
     if start is not None:
-        df = df.filter(t >= F.lit(start).cast("timestamp_ntz"))
+        df = df.filter(t >= instant(start))
         if partitioned:
             df = df.filter(F.col(PARTITION_COLUMN) >= F.lit(floor_to(start, width).date()))
     if end is not None:
-        df = df.filter(t < F.lit(end).cast("timestamp_ntz"))
+        df = df.filter(t < instant(end))
         if partitioned:
             last = end - dt.timedelta(microseconds=1)
             df = df.filter(F.col(PARTITION_COLUMN) <= F.lit(last.date()))

@@ -72,6 +72,7 @@ def main() -> int:
     wanted = sys.argv[2:]
     spark = get_session("compare", "local[8]", spark__sql__shuffle__partitions="8", spark__driver__memory="12g")
     spark.sparkContext.setLogLevel("ERROR")
+    spark.conf.set("spark.sql.session.timeZone", os.environ.get("COMPARE_TZ", "UTC"))
     con, bad = duck(folder), 0
     sqls = oracle_sql()
     for name, build in queries().items():
