@@ -52,7 +52,7 @@ def headline(p: Plant) -> dict:
         "rollup_hour": lambda: readings_rollup(p.readings, p.points, bucket="1 hour"),
         "gapfill_hour": lambda: readings_gapfilled(p.readings, p.points, start, end, "1 hour"),
         "energy_day": lambda: power_to_energy(p.readings, p.points, bucket="1 day"),
-        "history_energy_day": lambda: point_history(p.readings, p.points, p.sites, "day", value_kind="energy"),
+        "history_energy_day": lambda: point_history(p.readings, p.points, p.sites, "day", start, end, "energy"),
         "rollup_1h": lambda: tables.rollup_1h(p.readings),
         "rollup_1d": lambda: tables.rollup_1d(tables.rollup_1h(p.readings)),
         "daily_report_raw": lambda: reports.daily_report_raw(p.readings),

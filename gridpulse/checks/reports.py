@@ -32,7 +32,7 @@ _DAY_ENERGY = f"""
 
 
 def _energy(p: Plant) -> DataFrame:
-    return rp.daily_energy(p.readings, p.points, p.sites)
+    return rp.daily_energy(p.readings, p.points, p.sites, *p.span)
 
 
 @query("daily_energy", f"WITH {_DAY_ENERGY} SELECT * FROM local_energy")

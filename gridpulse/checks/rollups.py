@@ -55,7 +55,7 @@ def rollup_hour(p: Plant) -> DataFrame:
     FROM ({_LOCAL.format(unit='day')}) GROUP BY point_id, b, timezone""")
 def rollup_local_day(p: Plant) -> DataFrame:
     located = p.points.join(p.sites.select("site_id", "timezone"), "site_id")
-    return rounded(readings_rollup(p.readings, located, bucket="1 day", tz=None), *_VALUES)
+    return rounded(readings_rollup(p.readings, located, *p.span, bucket="1 day", tz=None), *_VALUES)
 
 
 @query("rollup_week", f"""
@@ -102,7 +102,7 @@ def _history_sql(kind: str, value: str, unit: str = "day", hours: int = 24) -> s
 def _register_history(kind: str, value: str, sample: str = "day", name: str | None = None, hours: int = 24) -> None:
     @query(name or f"history_{kind}", _history_sql(kind, value, sample, hours))
     def history(p: Plant) -> DataFrame:
-        return rounded(point_history(p.readings, p.points, p.sites, sample, value_kind=kind), "value")
+        return rounded(point_history(p.readings, p.points, p.sites, sample, *p.span, value_kind=kind), "value")
 
 
 for _kind, _value in {

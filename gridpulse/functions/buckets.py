@@ -125,6 +125,8 @@ def bucket_of(t: Column, width: Bucket | str, origin: dt.datetime = WEEK_ORIGIN)
         months = (F.year(t) - 2000) * 12 + F.month(t) - 1
         first = F.make_date(F.lit(2000), F.lit(1), F.lit(1))
         return F.add_months(first, (months - F.pmod(months, F.lit(b.months))).cast("int")).cast("timestamp_ntz")
+    if b == Bucket(seconds=86400) and origin.time() == dt.time():
+        return F.to_date(t).cast("timestamp_ntz")
     offset = int((origin - _EPOCH).total_seconds()) % b.seconds
     size = f"{b.seconds} seconds"
     return F.window(t, size, size, f"{offset} seconds").start

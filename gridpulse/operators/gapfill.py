@@ -11,12 +11,13 @@ from gridpulse.functions.buckets import Bucket, bucket_of, instant, is_utc, to_l
 from gridpulse.functions.values import quality_code, quality_label, reading_value
 from gridpulse.operators.rollup import TYPED, choose_points, raw_readings
 from gridpulse.operators.sizing import fits_broadcast
+from gridpulse.operators.zones import with_local_time
 
 
-def _last_per_bucket(raw: DataFrame, points: DataFrame, width: Bucket, tz: str) -> DataFrame:
+def _last_per_bucket(raw: DataFrame, points: DataFrame, width: Bucket) -> DataFrame:
     """Newest value and quality of every point and bucket that has a sample."""
     t = F.col("event_time")
-    raw = raw.withColumn("bucket", bucket_of(to_local(t, tz), width))
+    raw = raw.withColumn("bucket", bucket_of(F.col("_local"), width))
     quality = F.max_by(quality_code(), t).alias("q")
     if fits_broadcast(points):
         typed = raw.join(F.broadcast(points.select("point_id", "value_type")), "point_id")
@@ -44,7 +45,8 @@ def readings_gapfilled(
     """
     width = Bucket.of(bucket)
     points, listed = choose_points(points, point_ids)
-    seen = _last_per_bucket(raw_readings(readings, start, end, listed), points, width, tz)
+    raw = with_local_time(raw_readings(readings, start, end, listed), "event_time", "_local", tz, None, start, end)
+    seen = _last_per_bucket(raw, points, width)
 
     in_order = Window.partitionBy("point_id").orderBy("bucket")
     bounds = bucket_of(to_local(instant(start), tz), width)

@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridpulse.functions.buckets import Bucket, bucket_of, sample_bucket, to_local, to_utc
+from gridpulse.functions.buckets import Bucket, bucket_of, floor_to, sample_bucket, to_utc
 from gridpulse.functions.scalars import safe_divide
 from gridpulse.functions.values import (
     collapse_quality,
@@ -17,6 +17,7 @@ from gridpulse.functions.values import (
     uom_conversion_factor,
 )
 from gridpulse.operators.sizing import fits_broadcast
+from gridpulse.operators.zones import with_local_time
 from gridpulse.sources.tables import in_range
 
 TYPED = ("value_bigint", "value_double", "value_numeric")
@@ -63,22 +64,24 @@ def _shared() -> list[Column]:
     return [F.count(F.lit(1)).alias("sample_count"), F.min(q).alias("q_low"), F.max(q).alias("q_high")]
 
 
-def _joined_first(raw: DataFrame, catalog: DataFrame, width: Bucket, tz: str | None) -> DataFrame:
+def _joined_first(
+    raw: DataFrame, catalog: DataFrame, width: Bucket, tz: str | None, bounds: tuple, small: bool
+) -> DataFrame:
     """Readings meet their point's type (and zone) before they are grouped."""
-    zone = F.col("timezone") if tz is None else tz
     keys = ["point_id", "bucket"] if tz is not None else ["point_id", "bucket", "timezone"]
-    typed = raw.join(catalog, "point_id").withColumn("value", reading_value())
-    typed = typed.withColumn("bucket", bucket_of(to_local(F.col("event_time"), zone), width))
+    typed = raw.join(F.broadcast(catalog) if small else catalog, "point_id").withColumn("value", reading_value())
+    typed = with_local_time(typed, "event_time", "_local", tz, catalog, *bounds)
+    typed = typed.withColumn("bucket", bucket_of(F.col("_local"), width))
     return typed.groupBy(*keys).agg(*_shared(), *_stats(F.col("value"), F.col("event_time")))
 
 
-def _grouped_first(raw: DataFrame, catalog: DataFrame, width: Bucket, tz: str | None) -> DataFrame:
+def _grouped_first(raw: DataFrame, catalog: DataFrame, width: Bucket, tz: str, bounds: tuple) -> DataFrame:
     """Each typed column is grouped, the point's type picks one afterwards, so the
     join moves one row per point and bucket and never a reading."""
     t = F.col("event_time")
     stats = [s for c in TYPED for s in _stats(F.col(c).cast("double"), t, f"{c}_")]
-    local = to_local(t, tz)
-    wide = raw.withColumn("bucket", bucket_of(local, width)).groupBy("point_id", "bucket").agg(*_shared(), *stats)
+    timed = with_local_time(raw, "event_time", "_local", tz, None, *bounds)
+    wide = timed.withColumn("bucket", bucket_of(F.col("_local"), width)).groupBy("point_id", "bucket").agg(*_shared(), *stats)
     picked = [reading_value("value_type", *[f"{c}_{n}" for c in TYPED]).alias(n) for n in _STATS]
     zone = ["timezone"] if "timezone" in catalog.columns else []
     return wide.join(catalog, "point_id").select(
@@ -86,10 +89,11 @@ def _grouped_first(raw: DataFrame, catalog: DataFrame, width: Bucket, tz: str |
     )
 
 
-def _merged(parts: DataFrame, width: Bucket) -> DataFrame:
+def _merged(parts: DataFrame, catalog: DataFrame, width: Bucket, bounds: tuple) -> DataFrame:
     """Quarter-hour groups in UTC merged into buckets on each point's own clock."""
     at = F.col("bucket")
-    local = parts.withColumn("_local", bucket_of(to_local(at, F.col("timezone")), width))
+    timed = with_local_time(parts, "bucket", "_clock", None, catalog, *bounds)
+    local = timed.withColumn("_local", bucket_of(F.col("_clock"), width))
     total = {n: F.sum(n).alias(n) for n in ("sample_count", "n_value", "sum_value")}
     return local.groupBy("point_id", F.col("_local").alias("bucket"), "timezone").agg(
         *total.values(),
@@ -103,7 +107,7 @@ def _merged(parts: DataFrame, width: Bucket) -> DataFrame:
 
 
 def _grouped(
-    raw: DataFrame, points: DataFrame, width: Bucket, tz: str | None, start: dt.datetime | None, small: bool
+    raw: DataFrame, points: DataFrame, width: Bucket, tz: str | None, bounds: tuple, small: bool
 ) -> DataFrame:
     """Choose the order of join and grouping by the proven size of the catalog.
 
@@ -116,12 +120,15 @@ def _grouped(
     zone = [] if tz is not None else ["timezone"]
     catalog = points.select("point_id", "value_type", *zone)
     if small:
-        return _joined_first(raw, F.broadcast(catalog), width, tz)
+        return _joined_first(raw, catalog, width, tz, bounds, True)
     if tz is not None:
-        return _grouped_first(raw, catalog, width, tz)
+        return _grouped_first(raw, catalog, width, tz, bounds)
+    start, end = bounds
     if start is not None and start >= QUARTER_HOURS_SINCE and width.seconds % QUARTER_HOUR.seconds == 0:
-        return _merged(_grouped_first(raw, catalog, QUARTER_HOUR, "UTC"), width)
-    return _joined_first(raw, catalog, width, tz)
+        parts = _grouped_first(raw, catalog, QUARTER_HOUR, "UTC", bounds)
+        # A group starts up to a quarter hour before the first reading.
+        return _merged(parts, catalog, width, (floor_to(start, QUARTER_HOUR), end))
+    return _joined_first(raw, catalog, width, tz, bounds, False)
 
 
 def readings_rollup(
@@ -145,7 +152,7 @@ def readings_rollup(
         small_catalog = fits_broadcast(points)
     points, listed = choose_points(points, point_ids)
     raw = raw_readings(readings, start, end, listed)
-    grouped = _grouped(raw, points, width, tz, start, small_catalog)
+    grouped = _grouped(raw, points, width, tz, (start, end), small_catalog)
     zone = F.col("timezone") if tz is None else tz
     b = F.col("bucket")
     return grouped.select(

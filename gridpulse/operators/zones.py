@@ -1,0 +1,66 @@
+"""Local wall clock of many rows at the price of an addition.
+
+Reading a zone's rules for every row costs several times more than the rest of a
+rollup. The offset from UTC is the same for nearly all whole days, so it is worked
+out once per zone and day and looked up; only rows on a day on which the offset
+changes are converted one by one.
+"""
+
+from __future__ import annotations
+
+import datetime as dt
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from gridpulse.functions.buckets import instant, is_utc, to_local
+from gridpulse.operators.sizing import BROADCAST_ROWS
+
+# More zones than the zone database names.
+MAX_ZONES = 700
+
+
+def zone_shifts(zones: DataFrame, start: dt.datetime, end: dt.datetime) -> DataFrame:
+    """Offset from UTC per zone and UTC day of `[start, end)`, NULL on days on which
+    it changes. Offsets are compared at every quarter hour of the day."""
+    last = end - dt.timedelta(microseconds=1)
+    days = F.sequence(F.to_date(instant(start)), F.to_date(instant(last)), F.expr("INTERVAL '1' DAY"))
+    grid = zones.select("timezone").distinct().withColumn("utc_day", F.explode(days))
+    midnight = F.col("utc_day").cast("timestamp_ntz")
+    quarters = F.sequence(midnight, midnight + F.expr("INTERVAL '1' DAY"), F.expr("INTERVAL '15' MINUTE"))
+    grid = grid.withColumn("at", F.explode(quarters))
+    offset = to_local(F.col("at"), F.col("timezone")) - F.col("at")
+    found = grid.groupBy("timezone", "utc_day").agg(F.min(offset).alias("low"), F.max(offset).alias("high"))
+    return found.select("timezone", "utc_day", F.when(F.col("low") == F.col("high"), F.col("low")).alias("shift"))
+
+
+def with_local_time(
+    df: DataFrame,
+    time: str,
+    out: str,
+    tz: str | None,
+    zones: DataFrame | None = None,
+    start: dt.datetime | None = None,
+    end: dt.datetime | None = None,
+) -> DataFrame:
+    """Add `out`, the wall clock of `time` in `tz`, or in the row's `timezone` when
+    `tz` is None (`zones` then lists the zones that occur).
+
+    The lookup is broadcast, so it is used only for a bounded range whose days
+    times `MAX_ZONES` stay within the broadcast bound; otherwise rows are converted
+    one by one.
+    """
+    t = F.col(time)
+    if is_utc(tz) and tz is not None:
+        return df.withColumn(out, t)
+    direct = to_local(t, F.col("timezone") if tz is None else tz)
+    bounded = start is not None and end is not None and start < end
+    if not bounded or ((end - start).days + 2) * MAX_ZONES > BROADCAST_ROWS:
+        return df.withColumn(out, direct)
+    if tz is not None:
+        zones = df.sparkSession.range(1).select(F.lit(tz).alias("timezone"))
+    shifts = zone_shifts(zones, start, end).withColumnRenamed("timezone", "_zone")
+    match = (F.to_date(t) == F.col("utc_day")) & (F.col("_zone") == (F.col("timezone") if tz is None else F.lit(tz)))
+    shift = F.col("shift")
+    local = F.when(shift.isNotNull(), t + shift).otherwise(direct)
+    return df.join(F.broadcast(shifts), match, "left").withColumn(out, local).drop("_zone", "utc_day", "shift")

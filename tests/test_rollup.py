@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 from conftest import POINTS, READINGS, at, rows
 from gridpulse.operators import gapfill, rollup
 from gridpulse.operators.gapfill import readings_gapfilled
+from gridpulse.functions.buckets import to_local
 from gridpulse.operators.rollup import point_history, power_to_energy, readings_rollup
+from gridpulse.operators.zones import with_local_time
 
 STATS = ("sample_count", "avg_value", "min_value", "max_value", "sum_value", "first_value", "last_value", "data_quality")
 
@@ -80,9 +82,10 @@ def _random_tables(spark, seed=5):
 def test_plans_for_small_and_large_catalogs_agree(spark, bucket, tz, bounded):
     df, points, located = _random_tables(spark)
     start = dt.datetime(2024, 3, 9, 1, 7) if bounded else None
+    end = dt.datetime(2024, 3, 11, 13, 0) if bounded else None
     catalog = located if tz is None else points
     out = [
-        rows(readings_rollup(df, catalog, start, None, bucket, tz, small_catalog=small), "point_id", "bucket_start", "bucket_end", *STATS)
+        rows(readings_rollup(df, catalog, start, end, bucket, tz, small_catalog=small), "point_id", "bucket_start", "bucket_end", *STATS)
         for small in (True, False)
     ]
     assert out[0] == out[1] and out[0]
@@ -174,3 +177,15 @@ def test_plan_prunes_and_pushes_down(spark, tmp_path, points, readings, capsys):
     plan = capsys.readouterr().out
     assert "GreaterThanOrEqual(event_time" in plan and "EqualTo(reading_type,raw)" in plan
     assert "SortAggregate" not in plan and plan.count("Arguments: hashpartitioning") == 1
+
+
+@pytest.mark.parametrize("tz", ["America/Chicago", "Australia/Lord_Howe", "America/St_Johns", "Asia/Kolkata", "UTC"])
+def test_looked_up_wall_clock_equals_direct_conversion(spark, tz):
+    start, end = dt.datetime(2010, 10, 25), dt.datetime(2011, 4, 10)
+    df = spark.range(0, 167 * 24 * 4).select((F.lit("2010-10-25").cast("timestamp_ntz") + F.make_dt_interval(
+        F.lit(0), F.lit(0), (F.col("id") * 15 + F.col("id") % 13).cast("int"))).alias("t")).filter(F.col("t") < F.lit("2011-04-10").cast("timestamp_ntz"))
+    looked = with_local_time(df, "t", "a", tz, None, start, end)
+    both = looked.withColumn("b", to_local(F.col("t"), tz))
+    assert both.filter("a IS NULL OR a <> b").count() == 0 and both.count() == df.count() > 15000
+    each = with_local_time(df.withColumn("timezone", F.lit(tz)), "t", "a", None, spark.createDataFrame([(tz,)], "timezone string"), start, end)
+    assert each.withColumn("b", to_local(F.col("t"), tz)).filter("a IS NULL OR a <> b").count() == 0
