@@ -74,18 +74,27 @@ def progress(p: Plant) -> DataFrame:
     return lc.compaction_progress(lc.partition_inventory(p.spark, table, log))
 
 
-@query("table_sizes")
+@query("table_sizes", f"""
+    SELECT 'point_readings' AS parent_object, 'fact' AS parent_type, true AS adds_up,
+           count(*) FILTER (WHERE state = 'Hot') AS hot_partitions,
+           count(*) FILTER (WHERE state = 'Compacted') AS compacted_partitions
+    FROM ({_STATES})""")
 def table_sizes(p: Plant) -> DataFrame:
-    """Bytes of hot and compacted partitions; they depend on the written files."""
+    """Bytes depend on the written files; what must hold is that the parts add up."""
     _, table, log = _compacted(p, "sizes")
-    return lc.table_sizes(lc.partition_inventory(p.spark, table, log))
+    sizes = lc.table_sizes(lc.partition_inventory(p.spark, table, log))
+    adds_up = (F.col("total_bytes") > 0) & (F.col("total_bytes") == F.col("hot_bytes") + F.col("compacted_bytes"))
+    return sizes.select("parent_object", "parent_type", adds_up.alias("adds_up"), "hot_partitions", "compacted_partitions")
 
 
-@query("compaction_savings")
+@query("compaction_savings", f"""
+    SELECT 'point_readings' AS table_name, count(*) AS compacted, true AS measured
+    FROM ({_STATES}) WHERE state = 'Compacted'""")
 def savings(p: Plant) -> DataFrame:
-    """Bytes before and after compaction; they depend on the written files."""
+    """Bytes before and after are measured for every compacted partition."""
     _, _, log = _compacted(p, "savings")
-    return lc.compaction_savings(p.spark.table(log))
+    measured = (F.col("before_bytes") > 0) & (F.col("after_bytes") > 0) & F.col("saved_pct").isNotNull()
+    return lc.compaction_savings(p.spark.table(log)).select("table_name", "compacted", measured.alias("measured"))
 
 
 @query("uncompacted_readings", """

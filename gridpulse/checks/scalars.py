@@ -158,12 +158,12 @@ def time_arithmetic(p: Plant) -> DataFrame:
     )
 
 
-@query("series_per_site", """
-    SELECT site_id, unnest(generate_series(lo, hi, INTERVAL 6 HOUR)) AS at FROM sites CROSS JOIN span""")
-def series_per_site(p: Plant) -> DataFrame:
-    """A time grid per site, both ends included."""
+@query("series_per_point", """
+    SELECT point_id, unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS at_time FROM points CROSS JOIN span""")
+def series_per_point(p: Plant) -> DataFrame:
+    """A time grid per point, both ends included."""
     start, end = (instant(t) for t in p.span)
-    return time_series(p.sites.select("site_id"), start, end, F.expr("INTERVAL '6' HOUR"), "at")
+    return time_series(p.points.select("point_id"), start, end, F.expr("INTERVAL '1' DAY"), "at_time")
 
 
 @query("rounding_and_math", f"""
@@ -288,10 +288,14 @@ def enum_sort(p: Plant) -> DataFrame:
 
 
 @query("like_escape", r"""
-    SELECT n_name, n_name LIKE 'NATION\_1%' ESCAPE '\' AS starts, n_name NOT LIKE '%\_2' ESCAPE '\' AS not_two FROM nation""")
+    SELECT p_partkey, replace(p_name, ' ', '_') LIKE 'small\_%' ESCAPE '\' AS starts,
+           replace(p_name, ' ', '_') NOT LIKE '%\_ring' ESCAPE '\' AS not_ring
+    FROM part""")
 def like_escape(p: Plant) -> DataFrame:
-    return p.base("nation").selectExpr(
-        "n_name", r"n_name LIKE 'NATION!_1%' ESCAPE '!' AS starts", r"n_name NOT LIKE '%!_2' ESCAPE '!' AS not_two"
+    """Patterns in which the underscore stands for itself."""
+    names = p.base("part").select("p_partkey", F.replace(F.col("p_name"), F.lit(" "), F.lit("_")).alias("name"))
+    return names.selectExpr(
+        "p_partkey", "name LIKE 'small!_%' ESCAPE '!' AS starts", "name NOT LIKE '%!_ring' ESCAPE '!' AS not_ring"
     )
 
 
@@ -323,12 +327,14 @@ def stable_ids(p: Plant) -> DataFrame:
 
 
 @query("config_typed", """
-    SELECT n_name AS key, value AS as_text, TRY_CAST(value AS INTEGER) AS as_int, TRY_CAST(value AS DOUBLE) AS as_float
-    FROM (SELECT n_name, CASE WHEN n_regionkey < 3 THEN CAST(n_nationkey AS VARCHAR) ELSE n_name END AS value FROM nation)""")
+    SELECT key, value AS as_text, TRY_CAST(value AS INTEGER) AS as_int, TRY_CAST(value AS DOUBLE) AS as_float
+    FROM (SELECT p_name || ' ' || p_partkey AS key,
+                 CASE WHEN p_size < 25 THEN CAST(p_size AS VARCHAR) ELSE p_name END AS value FROM part)""")
 def config_typed(p: Plant) -> DataFrame:
-    """Nations as config rows: some values are numbers, some are names."""
-    value = F.when(F.col("n_regionkey") < 3, F.col("n_nationkey").cast("string")).otherwise(F.col("n_name"))
-    return config_columns(p.base("nation").select(F.col("n_name").alias("key"), value.alias("value")))
+    """Parts as config rows: some values are numbers, some are names."""
+    value = F.when(F.col("p_size") < 25, F.col("p_size").cast("string")).otherwise(F.col("p_name"))
+    key = F.concat_ws(" ", "p_name", F.col("p_partkey").cast("string"))
+    return config_columns(p.base("part").select(key.alias("key"), value.alias("value")))
 
 
 @query("column_defaults", """
