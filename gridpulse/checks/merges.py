@@ -49,7 +49,6 @@ def _customers_and_orders(p: Plant) -> tuple[DataFrame, DataFrame]:
         F.col("o_totalprice").alias("amount"),
         F.col("o_orderdate").alias("updated_at"),
         F.col("o_orderkey").alias("arrival"),
-        F.floor(F.col("o_orderkey") / 1000).alias("stretch"),
     )
     return target, updates
 
@@ -64,7 +63,7 @@ def _customers_and_orders(p: Plant) -> tuple[DataFrame, DataFrame]:
     WHERE place = 1""")
 def lww_customer(p: Plant) -> DataFrame:
     target, updates = _customers_and_orders(p)
-    merged, _ = lww_merge(target, updates, ["key"], "updated_at", ["status", "amount"], block="stretch")
+    merged, _ = lww_merge(target, updates, ["key"], "updated_at", ["status", "amount"])
     return merged.select("key", "status", round_half_away("amount", 2).alias("amount"), "updated_at")
 
 
@@ -78,7 +77,7 @@ def lww_customer(p: Plant) -> DataFrame:
     WINDOW w AS (PARTITION BY o.o_custkey ORDER BY o.o_orderkey ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)""")
 def lww_outcome(p: Plant) -> DataFrame:
     target, updates = _customers_and_orders(p)
-    _, outcome = lww_merge(target, updates, ["key"], "updated_at", ["status", "amount"], block="stretch")
+    _, outcome = lww_merge(target, updates, ["key"], "updated_at", ["status", "amount"])
     return outcome.select("arrival", "key", "accepted")
 
 
@@ -174,7 +173,7 @@ def control_submit(p: Plant) -> DataFrame:
         "created_at", instant(_STORED)
     )
     now = dt.datetime(2024, 1, 1)
-    _, _, outcome = submit_control_requests(log.filter("line <= 3"), log.filter("line > 3"), now)
+    _, _, outcome = submit_control_requests(log.filter("line <= 3"), log.filter("line > 3"), now, block="block")
     at = F.col("arrival")
     return outcome.select(
         "control_request_id",

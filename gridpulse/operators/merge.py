@@ -12,6 +12,7 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gridpulse.functions.buckets import instant
 from gridpulse.functions.scalars import is_not_true
@@ -19,6 +20,8 @@ from gridpulse.operators.scans import Running, running
 from gridpulse.schemas import PARTITIONED, SCHEMAS
 
 _FAR = dt.datetime(9999, 12, 31)
+# Consecutive arrivals judged in one task when arrivals are numbered.
+_STRETCH = 100_000
 
 # Columns a newer submission replaces. Site and creator stay as first submitted.
 QUEUE_KEYS = ["created_at", "control_request_id"]
@@ -64,25 +67,40 @@ def lww_fold(
     )
 
 
+def arrival_stretch(rows: DataFrame, arrival: str, block: str | None = None) -> Column:
+    """A bounded stretch of arrivals: the given column, a run of consecutive
+    numbers, or a day. Other arrival types need `block` to be split up."""
+    if block is not None:
+        return F.col(block)
+    kind = rows.schema[arrival].dataType
+    if isinstance(kind, T.IntegralType):
+        return F.floor(F.col(arrival) / _STRETCH)
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        return F.to_date(arrival)
+    return F.lit(0)
+
+
 def lww_outcome(
     rows: DataFrame,
     keys: list[str],
     ts_col: str,
     arrival: str = "arrival",
-    block: str = "block",
+    block: str | None = None,
     counts: Column | None = None,
 ) -> DataFrame:
     """Add `accepted`: whether each row replaced what was stored when it arrived.
 
     A row is stale when an earlier arrival of its key is as new or newer. Rows
-    where `counts` is not true neither change the state nor are accepted.
-    `block` is a bounded stretch of arrivals, never decreasing along `arrival`.
+    where `counts` is not true neither change the state nor are accepted. `block`
+    names a bounded stretch of arrivals that never decreases along `arrival`; it
+    follows from `arrival` when that is a number or a time.
     """
     ts = F.col(ts_col) if counts is None else F.when(counts, F.col(ts_col))
-    seen = running(rows, keys, block, arrival, [Running("_seen", ts, "max", inclusive=False)])
+    rows = rows.withColumn("_stretch", arrival_stretch(rows, arrival, block))
+    seen = running(rows, keys, "_stretch", arrival, [Running("_seen", ts, "max", inclusive=False)])
     fresh = F.col("_seen").isNull() | (F.col(ts_col) > F.col("_seen"))
     accepted = fresh if counts is None else F.coalesce(counts, F.lit(False)) & fresh
-    return seen.withColumn("accepted", accepted).drop("_seen")
+    return seen.withColumn("accepted", accepted).drop("_seen", "_stretch")
 
 
 def lww_merge(
@@ -99,9 +117,7 @@ def lww_merge(
     """Merge `updates` into `target` unless stale; returns (merged, outcome).
 
     A missing update time means `now`. `first_cols` keep what was stored first.
-    The outcome holds every update with `accepted`; `block` names a column with a
-    bounded stretch of arrivals, never decreasing along `arrival` (without it the
-    updates of one key are judged in one task).
+    The outcome holds every update with `accepted`; for `block` see `lww_outcome`.
     """
     ts = F.col(ts_col)
     if now is not None:
@@ -116,12 +132,11 @@ def lww_merge(
     both = old.unionByName(new).select(*keys, *kept, place)
     merged = lww_fold(both, keys, ts_col, payload, first_cols, arrival="_place")
 
-    stretch = F.col(block) if block else F.lit(0)
-    tagged = updates.withColumn("_block", stretch)
+    tagged = updates.withColumn("_stretch", arrival_stretch(updates, arrival, block))
     state = tagged.join(target.select(*keys, ts.alias("_stored")), keys, "left")
-    seen = running(state, keys, "_block", arrival, [Running("_seen", ts, "max", inclusive=False)])
+    seen = running(state, keys, "_stretch", arrival, [Running("_seen", ts, "max", inclusive=False)])
     newest = F.greatest(F.col("_seen"), F.col("_stored"))
-    outcome = seen.withColumn("accepted", newest.isNull() | (ts > newest)).drop("_block", "_stored", "_seen")
+    outcome = seen.withColumn("accepted", newest.isNull() | (ts > newest)).drop("_stretch", "_stored", "_seen")
     return merged, outcome
 
 
@@ -163,7 +178,7 @@ def advance_queue(queue: DataFrame, calls: DataFrame, arrival: str = "arrival",
 
 
 def submit_control_requests(
-    audit: DataFrame, calls: DataFrame, now: dt.datetime, arrival: str = "arrival", block: str = "block"
+    audit: DataFrame, calls: DataFrame, now: dt.datetime, arrival: str = "arrival", block: str | None = None
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Append every call to the audit; returns (audit, queue, outcome).
 

@@ -149,17 +149,45 @@ def partitions(spark: SparkSession, table: str) -> list[dt.date]:
     return sorted(dt.date.fromisoformat(r[0].split("=", 1)[1]) for r in rows)
 
 
-def read_1h(spark: SparkSession, table: str, readings: DataFrame) -> DataFrame:
-    """Real-time hourly read: the table, plus readings past its watermark."""
+def _later(a: dt.datetime | None, b: dt.datetime | None) -> dt.datetime | None:
+    return max((t for t in (a, b) if t is not None), default=None)
+
+
+def _whole(start: dt.datetime | None, end: dt.datetime | None, width: Bucket) -> tuple:
+    """Bounds of the source rows of the buckets that start in `[start, end)`."""
+    return tuple(None if t is None else ceil_to(t, width) for t in (start, end))
+
+
+def read_1h(
+    spark: SparkSession,
+    table: str,
+    readings: DataFrame,
+    start: dt.datetime | None = None,
+    end: dt.datetime | None = None,
+) -> DataFrame:
+    """Real-time hourly read: the table, plus readings past its watermark.
+
+    Only hours that start in `[start, end)`; both sides skip other partitions.
+    """
     mark = watermark(spark, table)
-    return realtime(spark.table(table), rollup_1h(in_range(readings, "event_time", mark)), mark)
+    low, high = _whole(start, end, HOUR)
+    live = rollup_1h(in_range(readings, "event_time", _later(mark, low), high))
+    return realtime(in_range(spark.table(table), "bucket", low, high), live, mark)
 
 
-def read_1d(spark: SparkSession, table: str, hourly_table: str, readings: DataFrame) -> DataFrame:
+def read_1d(
+    spark: SparkSession,
+    table: str,
+    hourly_table: str,
+    readings: DataFrame,
+    start: dt.datetime | None = None,
+    end: dt.datetime | None = None,
+) -> DataFrame:
     """Real-time daily read; its live side reads the real-time hourly rows."""
     mark = watermark(spark, table)
-    live = rollup_1d(in_range(read_1h(spark, hourly_table, readings), "bucket", mark))
-    return realtime(spark.table(table), live, mark)
+    low, high = _whole(start, end, DAY)
+    live = rollup_1d(read_1h(spark, hourly_table, readings, _later(mark, low), high))
+    return realtime(in_range(spark.table(table), "bucket", low, high), live, mark)
 
 
 def check_refresh_within_retention(level: str, retention_days: int | None) -> None:

@@ -54,8 +54,9 @@ def range_end(table: str, start: dt.date) -> dt.datetime:
 
 def files(spark: SparkSession, table: str) -> DataFrame:
     """One row per data file, from file listings only; no data is read."""
-    listing = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(table_location(spark, table))
-    return listing.select(F.col(PARTITION_COLUMN).cast("date").alias(PARTITION_COLUMN), "path", "length")
+    reader = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true")
+    day = F.regexp_extract("path", f"{PARTITION_COLUMN}=([0-9-]+)", 1).cast("date")
+    return reader.load(table_location(spark, table)).select(day.alias(PARTITION_COLUMN), "path", "length")
 
 
 def compacted_dates(spark: SparkSession, log_table: str, table: str) -> DataFrame:

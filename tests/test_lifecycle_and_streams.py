@@ -99,6 +99,13 @@ def test_dropped_partitions_leave_no_files(spark, stored):
     assert rows(lc.files(spark, table).select("event_date").distinct(), "event_date") == [(_date(40),)]
 
 
+def test_inventory_of_an_emptied_table(spark, stored):
+    db, table, compaction, log = stored(50)
+    settings = spark.createDataFrame([("point_readings", 45, NOW)], SCHEMAS["retention_settings"])
+    assert lc.enforce_retention(spark, db, settings, log, NOW) == (1, 0)
+    assert lc.partition_inventory(spark, table, compaction).count() == 0
+
+
 def test_retention_defaults_and_job_entry(spark, stored):
     db, table, _, log = stored(50)
     settings = lc.seed_retention(spark, spark.createDataFrame([("point_readings", 9, NOW)], SCHEMAS["retention_settings"]), NOW)

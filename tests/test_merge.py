@@ -59,6 +59,21 @@ def test_replay_equals_row_by_row(spark, seed):
     assert rows(again, "key", "name", "updated_at") == rows(merged, "key", "name", "updated_at")
 
 
+@pytest.mark.parametrize("kind", ["int", "timestamp_ntz", "string"])
+def test_outcome_for_numbered_timed_and_other_arrivals(spark, monkeypatch, kind):
+    monkeypatch.setattr(m, "_STRETCH", 4)
+    rng = random.Random(9)
+    data = [("k" if rng.random() < 0.6 else "j", at(f"{rng.randrange(12)}:00"), i) for i in range(50)]
+    place = {"int": lambda i: i, "timestamp_ntz": lambda i: at("00:00") + dt.timedelta(hours=7 * i), "string": lambda i: f"{i:04d}"}[kind]
+    df = spark.createDataFrame([(k, t, place(i)) for k, t, i in data], f"key string, updated_at timestamp_ntz, arrival {kind}")
+    newest, want = {}, []
+    for k, t, i in data:
+        ok = k not in newest or t > newest[k]
+        newest[k] = max(t, newest.get(k, t))
+        want.append((place(i), ok))
+    assert rows(m.lww_outcome(df, ["key"], "updated_at"), "arrival", "accepted") == want
+
+
 CALLS = (
     "control_request_id string, created_at timestamp_ntz, site_id int, created_by string, status string, "
     "description string, is_internal boolean, updated_at timestamp_ntz, arrival int, block int"

@@ -110,3 +110,23 @@ def test_refresh_must_fit_retention():
     ru.check_refresh_within_retention("1d", 45)
     with pytest.raises(ValueError):
         ru.check_refresh_within_retention("1d", 5)
+
+
+def test_bounded_realtime_reads_equal_the_filtered_whole(spark, readings, table):
+    db = table.split(".")[0]
+    raw = readings(*[(at("00:20") + dt.timedelta(hours=5 * i), "p", float(i)) for i in range(30)])
+    daily = f"{db}.readings_1d"
+    ru.create_rollup(spark, daily, ru.rollup_1d(ru.rollup_1h(raw)))
+    ru.refresh(spark, table, raw, None, at("00:00") + dt.timedelta(days=4))
+    ru.refresh(spark, daily, spark.table(table), None, at("00:00") + dt.timedelta(days=3), "1d")
+    for start, end in ((at("10:30"), at("00:00") + dt.timedelta(days=5)), (at("06:00") + dt.timedelta(days=4), None), (None, at("12:00"))):
+        hit = F.lit(True)
+        if start:
+            hit = hit & (F.col("bucket") >= F.lit(str(start)).cast("timestamp_ntz"))
+        if end:
+            hit = hit & (F.col("bucket") < F.lit(str(end)).cast("timestamp_ntz"))
+        for bounded, whole in (
+            (ru.read_1h(spark, table, raw, start, end), ru.read_1h(spark, table, raw)),
+            (ru.read_1d(spark, daily, table, raw, start, end), ru.read_1d(spark, daily, table, raw)),
+        ):
+            assert rows(bounded, *COLUMNS) == rows(whole.filter(hit), *COLUMNS)
