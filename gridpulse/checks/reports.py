@@ -208,7 +208,7 @@ def share_by_quality(p: Plant) -> DataFrame:
 
 
 @query("topk_points", f"""
-    SELECT row_number() OVER (ORDER BY kwh DESC NULLS LAST, point_id) AS rank, point_id, kwh
+    SELECT CAST(row_number() OVER (ORDER BY kwh DESC NULLS LAST, point_id) AS INTEGER) AS rank, point_id, kwh
     FROM (SELECT d.point_id, {r('sum(d.avg_value * 24 * u.factor)', 3)} AS kwh
           FROM days d JOIN units u ON u.point_id = d.point_id GROUP BY 1)
     QUALIFY rank <= 50""")

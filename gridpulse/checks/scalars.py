@@ -12,7 +12,6 @@ from gridpulse.checks.views import r
 from gridpulse.functions import scalars as sc
 from gridpulse.functions import values as v
 from gridpulse.functions.buckets import Bucket, bucket_of, date_bin, instant, local_day, local_hours, to_local, to_utc
-from gridpulse.schemas import ENUMS
 from gridpulse.sources.adapters import Plant
 from gridpulse.sources.tables import config_columns, time_series, with_defaults
 

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridpulse.functions.buckets import Bucket, bucket_of, instant, local_day
+from gridpulse.functions.buckets import bucket_of, instant, local_day
 from gridpulse.functions.scalars import element, round_half_away, safe_divide
 from gridpulse.functions.values import any_value_of, open_rank
 from gridpulse.operators.gapfill import readings_gapfilled

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import POINTS, READINGS, at, rows
-from gridpulse.operators import gapfill, rollup
+from gridpulse.operators import gapfill
 from gridpulse.operators.gapfill import readings_gapfilled
 from gridpulse.functions.buckets import to_local
 from gridpulse.operators.rollup import point_history, power_to_energy, readings_rollup
