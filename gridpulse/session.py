@@ -21,6 +21,9 @@ DEFAULTS = {
     "spark.ui.enabled": "false",
 }
 
+#: Folder by application, for local sessions without a shared one.
+_LOCAL: dict[str, str] = {}
+
 
 def get_session(app: str = "gridpulse", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the defaults above; `conf` entries (dots as `__`) win."""
@@ -37,13 +40,18 @@ def get_session(app: str = "gridpulse", master: str | None = None, **conf: str)
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared folder, named by `spark.checkpoint.dir`.
 
-    Only a session that names none (a unit test) falls back to a local folder.
+    A local session that names none (a unit test) gets one folder for its lifetime;
+    on a cluster the setting is required, as a folder of one machine is not shared.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
-    if not named:
-        named = tempfile.mkdtemp(prefix="gridpulse-")
-        spark.conf.set("spark.checkpoint.dir", named)
-    return named.rstrip("/")
+    if named:
+        return named.rstrip("/")
+    context = spark.sparkContext
+    if not context.master.startswith("local["):
+        raise ValueError("name a folder that all executors share in spark.checkpoint.dir")
+    if context.applicationId not in _LOCAL:
+        _LOCAL[context.applicationId] = tempfile.mkdtemp(prefix="gridpulse-")
+    return _LOCAL[context.applicationId]
 
 
 def run_dir(spark: SparkSession, label: str) -> str:
