@@ -8,10 +8,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridpulse.llm import simhash
+from gridpulse.llm import mixing, packing, rans, simhash
+from gridpulse.llm.common import stored
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -26,6 +28,25 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: The tokenizer of the packed and the written ids.
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+
+
+@query
+def op2_pfair_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Place of every document in the mix of all sources, weights being square roots of their sizes."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", F.length("text").alias("size"))
+    docs, size = stored(docs, "sizes"), F.col("size")
+    mix = mixing.mixed(docs, mixing.tempered(docs, size), size)
+    return mix.select(F.col("id").alias("doc_id"), "source", F.col("size").alias("n_chars"), "block", "release", "deadline", "slot", "place")
+
+
+@query
+def op4_sum_of_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sequence and offset of every piece of every document."""
+    return packing.pack(packing.pieces(table(spark, sf_dir, "documents"), TOKENIZER))
+
+
 @query
 def op5_golay_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate component of every document."""
@@ -35,3 +56,10 @@ def op5_golay_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"),
         F.col("component").alias("component_id"),
     )
+
+
+@query
+def op6_rans_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents' ids written to entropy-coded files, then read back from them."""
+    folder, blocks = rans.write_tokens(table(spark, sf_dir, "documents"), TOKENIZER)
+    return rans.read_tokens(folder, blocks)
