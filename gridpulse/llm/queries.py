@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridpulse.llm import mixing, packing, rans, simhash
+from gridpulse.llm import mixing, packing, quality, rans, simhash
 from gridpulse.llm.common import stored
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -63,3 +63,46 @@ def op6_rans_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents' ids written to entropy-coded files, then read back from them."""
     folder, blocks = rans.write_tokens(table(spark, sf_dir, "documents"), TOKENIZER)
     return rans.read_tokens(folder, blocks)
+
+
+@query
+def op9_quality_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Measures and verdict of the quality rules for every document."""
+    full, names, base, kept = quality.judged(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return full.select("doc_id", *names[1:], F.col(base).alias("base_failed"), F.col(kept).alias("kept"))
+
+
+ORACLE_SQL["op9_quality_cascade"] = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+w AS (SELECT r, doc_id, t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS ws FROM d),
+win AS (
+  SELECT r, i, array_to_string(ws[i:i + 7], ' ') AS g
+  FROM (SELECT r, ws, unnest(range(1, len(ws) - 6)) AS i FROM w WHERE len(ws) >= 8)
+),
+again AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, g) AS c FROM win) WHERE c > 1),
+covered AS (
+  SELECT r, sum(least(8, coalesce(nxt - i, 8))) AS n
+  FROM (SELECT r, i, lead(i) OVER (PARTITION BY r ORDER BY i) AS nxt FROM again) GROUP BY r
+),
+lines AS (
+  SELECT r, count(*) AS n_lines, count(*) - count(DISTINCT line) AS n_dup
+  FROM (SELECT r, unnest(string_split(t, chr(10))) AS line FROM d)
+  WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY r
+),
+m AS (
+  SELECT w.doc_id, w.t, w.ws, len(ws) AS n_words, length(array_to_string(ws, '')) AS word_chars,
+    len(regexp_extract_all(t, '[#*$%&|<>]')) AS n_symbols, coalesce(n_dup, 0) AS n_dup_lines,
+    coalesce(n_lines, 0) AS n_lines, cast(coalesce(covered.n, 0) AS BIGINT) AS n_repeat_words
+  FROM w LEFT JOIN lines USING (r) LEFT JOIN covered USING (r)
+),
+b AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM m)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT base_failed
+  AND 10 * n_symbols <= n_words
+  AND 2 * word_chars >= 5 * n_words AND word_chars <= 12 * n_words
+  AND 2 * n_dup_lines <= n_lines
+  AND 10 * len(list_filter(ws, lambda x: NOT regexp_matches(x, '\p{L}'))) <= 3 * n_words
+  AND 2 * len(regexp_extract_all(t, '\p{Lu}')) <= word_chars
+  AND 5 * len(list_filter(range(2, len(ws) + 1), lambda i: ws[i] = ws[i - 1])) <= n_words AS kept
+FROM b
+"""
