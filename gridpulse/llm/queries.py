@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridpulse.llm import mixing, packing, quality, rans, simhash
+from gridpulse.llm import mixing, packing, quality, rans, simhash, urls
 from gridpulse.llm.common import stored
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -106,3 +106,45 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
   AND 5 * len(list_filter(range(2, len(ws) + 1), lambda i: ws[i] = ws[i - 1])) <= n_words AS kept
 FROM b
 """
+
+
+URL_RULES = [
+    urls.Rule("com", "/", urls.ALLOW),
+    urls.Rule("example.com", "/en/", urls.BLOCK),
+    urls.Rule("www.example.com", "/en/", urls.ALLOW),
+    urls.Rule("net", "/es/", urls.BLOCK),
+    urls.Rule("net", "/fr/", urls.BLOCK),
+]
+#: Hosts with one of these as a word of their name are listed.
+LISTED_HOSTS = "(^|[.-])(ads|adult|bets|casino|pills|spam)([.-]|$)"
+
+
+@query
+def op10_bloom_cascade_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rule and verdict of every page's url."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    full, names = urls.judged(pages, URL_RULES, F.col("key").rlike(LISTED_HOSTS))
+    return full.select("page_id", *names)
+
+
+ORACLE_SQL["op10_bloom_cascade_urls"] = r"""
+WITH p AS (
+  SELECT page_id,
+    coalesce(translate(regexp_extract(url, '^(?s:.*?)://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host,
+    coalesce(regexp_extract(url, '^(?s:.*?)://[^/?#]*([^?#]*)', 1), '') AS path
+  FROM pages
+),
+rules(h, p, v) AS (
+  VALUES ('com', '/', 'allow'), ('example.com', '/en/', 'block'), ('www.example.com', '/en/', 'allow'),
+    ('net', '/es/', 'block'), ('net', '/fr/', 'block')
+),
+best AS (
+  SELECT page_id, host, path, arg_max(h || p, length(h || p)) AS rule, arg_max(v, length(h || p)) AS v
+  FROM (SELECT page_id, host, path FROM p) LEFT JOIN (SELECT h, p AS rp, v FROM rules) r(h, p, v)
+    ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p)
+  GROUP BY page_id, host, path
+)
+SELECT page_id, host, path, rule,
+  coalesce(v, CASE WHEN regexp_matches(host, '(^|[.-])(ads|adult|bets|casino|pills|spam)([.-]|$)') THEN 'block' ELSE 'allow' END) AS verdict
+FROM best
+"""
