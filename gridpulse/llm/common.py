@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
+import zipfile
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 import pyarrow.fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import gridpulse
 from gridpulse.session import run_dir
 
 
@@ -37,6 +41,29 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Applications whose workers have the package.
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the workers this package as a Python file of the application, once."""
+    context, home = spark.sparkContext, Path(gridpulse.__file__).parent
+    if context.applicationId in _SHIPPED or not home.is_dir():
+        return
+    archive = Path(tempfile.mkdtemp(prefix="gridpulse-")) / "gridpulse.zip"  # served by the driver
+    with zipfile.ZipFile(archive, "w") as out:
+        for file in sorted(home.rglob("*.py")):
+            out.write(file, file.relative_to(home.parent))
+    context.addPyFile(str(archive))
+    _SHIPPED.add(context.applicationId)
+
+
+def map_arrow(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
+    """`run` over the Arrow batches of each partition, on workers that have this package."""
+    ship(df.sparkSession)
+    return df.mapInArrow(run, schema)
+
+
 def map_batches(df: DataFrame, each: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str) -> DataFrame:
     """`each` over the Arrow batches of `df`; batches are bounded by rows, never by groups."""
 
@@ -45,7 +72,7 @@ def map_batches(df: DataFrame, each: Callable[[pa.RecordBatch], pa.RecordBatch],
             if batch.num_rows:
                 yield each(batch)
 
-    return df.mapInArrow(run, schema)
+    return map_arrow(df, run, schema)
 
 
 def filesystem(uri: str) -> tuple[pafs.FileSystem, str]:

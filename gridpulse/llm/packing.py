@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridpulse.llm.common import col, stored
+from gridpulse.llm.common import col, map_arrow, stored
 from gridpulse.llm.tokens import encoder
 
 SEQUENCE_TOKENS = 2048
@@ -53,7 +53,7 @@ def pieces(
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", "piece", "start", "length", "ids_crc32"])
 
     rows = docs.select(col(id_col).cast("long").alias("id"), F.coalesce(col(text_col).cast("string"), F.lit("")).alias("text"))
-    return rows.mapInArrow(cut, "doc_id long, piece int, start long, length long, ids_crc32 long")
+    return map_arrow(rows, cut, "doc_id long, piece int, start long, length long, ids_crc32 long")
 
 
 def place(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
@@ -104,4 +104,4 @@ def pack(cut: DataFrame, length: int = SEQUENCE_TOKENS, share: int = SHARE) -> D
 
     dealt = cut.withColumn("share", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(shares)).cast("int"))
     out = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in cut.schema)
-    return dealt.repartitionById(shares, F.col("share")).mapInArrow(run, f"{out}, sequence_id long, offset long")
+    return map_arrow(dealt.repartitionById(shares, F.col("share")), run, f"{out}, sequence_id long, offset long")

@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridpulse.llm import mixing, packing, quality, rans, simhash, urls
+from gridpulse.llm import langid, mixing, packing, quality, rans, simhash, urls
 from gridpulse.llm.common import stored
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -32,6 +32,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 
+#: Documents whose id has this remainder by 4 of its CRC-32 are held out.
+HELD_OUT = 2
+
+
+@query
+def op1_kneser_ney_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from those that are not held out."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
+    fold = F.crc32(F.col("doc_id").cast("string")) % 4
+    identifier = langid.learn(docs, fold != HELD_OUT)
+    judged = docs.select("doc_id", F.coalesce(fold == HELD_OUT, F.lit(False)).alias("held_out"), "text")
+    found, names = langid.identified(judged, identifier)
+    return found.select("doc_id", "held_out", *names)
+
+
 @query
 def op2_pfair_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Place of every document in the mix of all sources, weights being square roots of their sizes."""

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridpulse.llm.common import col, new_folder, read_range, stored, write_file
+from gridpulse.llm.common import col, map_arrow, new_folder, read_range, stored, write_file
 from gridpulse.llm.ranges import boundaries, bucket, parts_for
 from gridpulse.llm.tokens import encoder
 
@@ -295,7 +295,7 @@ def write_tokens(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_c
 
     dealt = rows.repartitionById(len(cuts) + 1, F.col("part").cast("int")).sortWithinPartitions("id", "text")
     schema = "part int, file_no long, file string, block long, n_docs long, n_ids long"
-    listed = dealt.mapInArrow(lambda b: (r.cast(_BLOCKS) for r in files(b)), schema)
+    listed = map_arrow(dealt, lambda b: (r.cast(_BLOCKS) for r in files(b)), schema)
     return folder, stored(listed, "token-blocks")
 
 
@@ -336,4 +336,4 @@ def read_tokens(folder: str, blocks: DataFrame) -> DataFrame:
 
     n = parts_for(blocks)
     dealt = tasks.repartition(n, "file").sortWithinPartitions("file", "block")
-    return dealt.mapInArrow(decode, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return map_arrow(dealt, decode, "doc_id long, start long, n_tokens long, ids_crc32 long")
