@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridpulse.llm import langid, mixing, packing, quality, rans, simhash, urls
+from gridpulse.llm import html, langid, mixing, packing, quality, rans, simhash, urls
 from gridpulse.llm.common import stored
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -80,6 +80,12 @@ def op6_rans_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rans.read_tokens(folder, blocks)
 
 
+@query
+def op7_minimum_cut_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return html.extracted(table(spark, sf_dir, "pages")).withColumnRenamed("id", "page_id")
+
+
 @query
 def op9_quality_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Measures and verdict of the quality rules for every document."""
