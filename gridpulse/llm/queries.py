@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridpulse.llm import html, langid, mixing, packing, quality, rans, simhash, urls
+from gridpulse.llm import html, langid, mixing, packing, quality, rans, simhash, urls, warc
 from gridpulse.llm.common import stored
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -86,6 +86,24 @@ def op7_minimum_cut_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.extracted(table(spark, sf_dir, "pages")).withColumnRenamed("id", "page_id")
 
 
+@query
+def op8_seekable_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages written to archives, then read back from them."""
+    folder, index = warc.write_archives(table(spark, sf_dir, "pages"))
+    found = warc.read_archives(folder, index)
+    return found.select(F.col("id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+ORACLE_SQL["op8_seekable_warc"] = """
+WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages),
+f AS (SELECT payload_digest, max(page_id) AS first FROM p WHERE payload_bytes >= 1000 GROUP BY payload_digest)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN first <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN first <> page_id THEN first END AS refers_to
+FROM p LEFT JOIN f USING (payload_digest)
+"""
+
+
 @query
 def op9_quality_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Measures and verdict of the quality rules for every document."""
