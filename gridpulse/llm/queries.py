@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridpulse.llm import html, langid, mixing, packing, quality, rans, simhash, urls, warc
+from gridpulse.llm import html, langid, lcp, mixing, packing, quality, rans, simhash, urls, warc
 from gridpulse.llm.common import stored
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -56,6 +56,12 @@ def op2_pfair_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix.select(F.col("id").alias("doc_id"), "source", F.col("size").alias("n_chars"), "block", "release", "deadline", "slot", "place")
 
 
+@query
+def op3_locally_consistent_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and of its edited text, and how alike they are."""
+    return lcp.fingerprinted(table(spark, sf_dir, "documents"))
+
+
 @query
 def op4_sum_of_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sequence and offset of every piece of every document."""

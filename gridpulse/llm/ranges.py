@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from bisect import bisect_left
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -33,11 +31,6 @@ def bucket(id_col: Column, cuts: list[int]) -> Column:
     return F.coalesce(F.when(id_col.isNull(), 0), between(0, len(cuts)))
 
 
-def bucket_of(value: int | None, cuts: list[int]) -> int:
-    """The same number for one id, in Python."""
-    return 0 if value is None else bisect_left(cuts, value)
-
-
 def parts_for(df: DataFrame) -> int:
     """Number of ranges: as many as the session's shuffles have partitions."""
     return max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
