@@ -203,8 +203,9 @@ class Identifier:
 
     def predict(self, texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
         """Language, score and whether it is rejected, of each text."""
-        if not self.languages:
-            return [UNDETERMINED] * len(texts), np.zeros(len(texts)), np.ones(len(texts), bool)
+        if not self.languages:  # nothing to compare with, so only texts without a letter are rejected
+            _, starts = symbols(texts)
+            return [UNDETERMINED] * len(texts), np.zeros(len(texts)), np.diff(starts) < ORDER
         entropies, n = self.entropies(texts)
         best = entropies.argmin(axis=1)
         rows = np.arange(len(texts))
@@ -300,8 +301,8 @@ def identified(docs: DataFrame, identifier: Identifier, text_col: str = "text")
     """`docs` with language, score (0 to 1) and whether it is rejected; the names of the three.
 
     Only the whole text is looked at. A null text, or one without a letter, is `und`
-    with score 0 and rejected, as is any text if nothing was learned. Added columns
-    get names that `docs` does not have; rows are judged one by one, so ties, repeats
+    with score 0 and rejected; if nothing was learned any text is `und` with score 0, but
+    those with a letter are not rejected. Added columns get names that `docs` does not have; rows are judged one by one, so ties, repeats
     and nulls elsewhere have no effect; of languages with equal cross-entropy the first by name
     is taken; no rows give none.
     """

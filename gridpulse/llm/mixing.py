@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridpulse.llm.common import col, fresh, stored
+from gridpulse.llm.ranges import parts_for
 
 #: Slots of a period: weights are rounded to multiples of 1 / PERIOD, a slot at least.
 PERIOD = 1024
@@ -138,4 +139,4 @@ def in_mix_order(docs: DataFrame, mix: DataFrame, id_col: str = "doc_id") -> Dat
     first = mix.filter("id is not null").groupBy(F.col("id").alias(mark)).agg(F.min(order).alias(slot))
     rows = docs.join(first, col(id_col) == F.col(mark), "left")
     keys = [F.col(slot).isNull(), F.col(slot), col(id_col)]
-    return rows.repartitionByRange(*keys).sortWithinPartitions(*keys).select(*[col(c) for c in docs.columns])
+    return rows.repartitionByRange(parts_for(docs), *keys).sortWithinPartitions(*keys).select(*[col(c) for c in docs.columns])

@@ -13,7 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridpulse.llm.common import col, map_arrow, stored
@@ -27,13 +27,16 @@ _TEXTS = 256
 
 
 def pieces(
-    docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", length: int = SEQUENCE_TOKENS
+    docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", length: int = SEQUENCE_TOKENS,
+    stretch: Column | None = None,
 ) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32): the token ids of every document, cut where longer than `length`.
 
     A document is its text's ids (null: none) and the end id. The first piece of a
-    longer one takes what is left over, the others are full.
+    longer one takes what is left over, the others are full. `stretch` adds a column
+    of that name, a text that says to which part of the input a document belongs.
     """
+    kept = _PIECES if stretch is None else _PIECES.append(pa.field("stretch", pa.string()))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -42,18 +45,26 @@ def pieces(
                 ids, counts = encoder(tokenizer).encode(some.column(1).to_pylist())
                 raw = np.insert(ids, np.cumsum(counts), END_ID).astype("<u4").tobytes()
                 out, first = [], 0
-                for doc_id, n in zip(some.column(0).to_pylist(), (counts + 1).tolist()):
+                for doc_id, n, *more in zip(some.column(0).to_pylist(), (counts + 1).tolist(), *(c.to_pylist() for c in some.columns[2:])):
                     start, size = 0, n % length or length
                     for piece in range(-(-n // length)):
                         here = 4 * (first + start)
-                        out.append((doc_id, piece, start, size, zlib.crc32(raw[here : here + 4 * size])))
+                        out.append((doc_id, piece, start, size, zlib.crc32(raw[here : here + 4 * size]), *more))
                         start, size = start + size, length
                     first += n
-                columns = [pa.array(c, t) for c, t in zip(zip(*out), [pa.int64(), pa.int32(), *[pa.int64()] * 3])]
-                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "piece", "start", "length", "ids_crc32"])
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kept.types)], schema=kept)
 
-    rows = docs.select(col(id_col).cast("long").alias("id"), F.coalesce(col(text_col).cast("string"), F.lit("")).alias("text"))
-    return map_arrow(rows, cut, "doc_id long, piece int, start long, length long, ids_crc32 long")
+    extra = [] if stretch is None else [stretch.cast("string").alias("stretch")]
+    rows = docs.select(
+        col(id_col).cast("long").alias("id"), F.coalesce(col(text_col).cast("string"), F.lit("")).alias("text"), *extra
+    )
+    schema = "doc_id long, piece int, start long, length long, ids_crc32 long"
+    return map_arrow(rows, cut, schema + ", stretch string" * len(extra))
+
+
+_PIECES = pa.schema([
+    ("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()),
+])
 
 
 def place(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
@@ -82,15 +93,44 @@ def place(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
     return sequence, offset
 
 
+def _shares(cut: DataFrame, share: int) -> tuple[Column, int]:
+    """Number of the share of each piece, and how many shares there are.
+
+    Stretches follow each other in the order of their names: small ones are drawn together until they
+    fill a share, large ones are dealt at random to several. The driver sees a row per stretch.
+    """
+    dealt = F.xxhash64(F.monotonically_increasing_id())
+    if "stretch" not in cut.columns:
+        n = max(1, -(-cut.count() // share))
+        return F.pmod(dealt, F.lit(n)).cast("int"), n
+    first, several, filled, number = {}, {}, 0, 0
+    for name, n in sorted((r.name or "", r.n) for r in cut.groupBy(F.col("stretch").alias("name")).agg(F.count("*").alias("n")).collect()):
+        if filled and filled + n > share:
+            number, filled = number + 1, 0
+        first[name], several[name] = number, max(1, -(-n // share))
+        filled += n
+        if several[name] > 1:
+            number, filled = number + several[name], 0
+    if not first:
+        return F.lit(0), 1
+    named = F.coalesce("stretch", F.lit(""))
+    base, spread = (
+        F.element_at(F.map_from_arrays(F.array(*map(F.lit, d)), F.array(*[F.lit(v) for v in d.values()])), named)
+        for d in (first, several)
+    )
+    return (base + F.pmod(dealt, spread)).cast("int"), number + 1
+
+
 def pack(cut: DataFrame, length: int = SEQUENCE_TOKENS, share: int = SHARE) -> DataFrame:
     """`cut` (as made by `pieces`, or any table with `length`) with sequence_id and offset.
 
     Pieces are dealt at random to shares of about `share` pieces, each packed by one task
-    that holds its pieces' rows, never their tokens. Sequence ids are unique, not dense.
-    No pieces give no sequences; equal rows are packed each on its own.
+    that holds its pieces' rows, never their tokens. With a column `stretch`, shares and so
+    sequence ids follow the order of its values, and it is left out of the result. Sequence
+    ids are unique, not dense. No pieces give no sequences; equal rows are packed each on its own.
     """
     cut = stored(cut, "pieces")
-    shares = max(1, -(-cut.count() // share))
+    number, shares = _shares(cut, share)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         whole = pa.Table.from_batches(list(batches)) if (batches := [b for b in batches if b.num_rows]) else None
@@ -102,6 +142,7 @@ def pack(cut: DataFrame, length: int = SEQUENCE_TOKENS, share: int = SHARE) -> D
         whole = whole.append_column("sequence_id", pa.array(sequence + base)).append_column("offset", pa.array(offset))
         yield from whole.to_batches(max_chunksize=20_000)
 
-    dealt = cut.withColumn("share", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(shares)).cast("int"))
-    out = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in cut.schema)
-    return map_arrow(dealt.repartitionById(shares, F.col("share")), run, f"{out}, sequence_id long, offset long")
+    kept = [f for f in cut.schema if f.name != "stretch"]
+    dealt = cut.withColumn("share", number).drop("stretch").repartitionById(shares, F.col("share"))
+    out = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept)
+    return map_arrow(dealt, run, f"{out}, sequence_id long, offset long")
