@@ -39,11 +39,11 @@ MAGIC = b"RTK1"
 END_ID = 0
 #: Bits of the frequency table's total.
 TABLE_BITS = 18
-LANES = 1024
+LANES = 4096
 #: Steps between two checkpoints.
 STEPS = 256
 #: A block ends with the document that reaches this number of ids, a file likewise.
-BLOCK_IDS, FILE_IDS = 1 << 19, 1 << 22
+BLOCK_IDS, FILE_IDS = 1 << 21, 1 << 22
 _LOW = np.uint64(1 << 31)
 #: Texts encoded at once.
 _TEXTS = 256
@@ -112,12 +112,12 @@ def encode_block(ids: np.ndarray, table: Table) -> Block:
     for step in range(steps - 1, -1, -1):
         f = frequencies[step * LANES : (step + 1) * LANES]
         x = state[: len(f)]
-        full = x >= f << shift
-        if full.any():
-            out = (x[full] & np.uint64(0xFFFFFFFF)).astype("<u4")
-            parts.append(out)
+        full = np.flatnonzero(x >= f << shift)
+        if len(full):
+            out = x[full]
+            x[full] = out >> np.uint64(32)
+            parts.append(out.astype("<u4"))  # the low half
             written += len(out)
-            x = np.where(full, x >> np.uint64(32), x)
         quotient = x // f
         state[: len(f)] = (quotient << bits) + (x - quotient * f) + starts[step * LANES : (step + 1) * LANES]
         if step % STEPS == 0:
@@ -136,10 +136,10 @@ def decode_block(block: Block, table: Table, first: int = 0, last: int | None =
     begin = at * LANES * STEPS
     out = np.empty(last - begin, np.uint32)
     slots = np.repeat(np.arange(len(table.symbols), dtype=np.uint32), table.frequencies)
-    symbols, frequencies = table.symbols, table.frequencies.astype(np.uint64)
+    s_slot = table.symbols[slots]
     back = np.arange(1 << TABLE_BITS, dtype=np.uint64) - table.starts.astype(np.uint64)[slots]
-    f_slot, s_slot = frequencies[slots], symbols[slots]
-    mask, bits = np.uint64((1 << TABLE_BITS) - 1), np.uint64(TABLE_BITS)
+    both = (table.frequencies.astype(np.uint64)[slots] << np.uint64(32)) | back  # one look-up for two numbers
+    mask, bits, half, low = np.uint64((1 << TABLE_BITS) - 1), np.uint64(TABLE_BITS), np.uint64(32), np.uint64(0xFFFFFFFF)
     state, place, words = block.states[at].copy(), int(block.places[at]), block.words.astype(np.uint64)
     for here in range(begin, last, LANES):
         width = min(LANES, block.n_ids - here)
@@ -147,12 +147,12 @@ def decode_block(block: Block, table: Table, first: int = 0, last: int | None =
         slot = (x & mask).astype(np.int64)
         take = min(width, last - here)
         out[here - begin : here - begin + take] = s_slot[slot[:take]]
-        x = f_slot[slot] * (x >> bits) + back[slot]
-        empty = x < _LOW
-        n = int(np.count_nonzero(empty))
-        if n:
-            x[empty] = (x[empty] << np.uint64(32)) | words[place : place + n]
-            place += n
+        found = both[slot]
+        x = (found >> half) * (x >> bits) + (found & low)
+        empty = np.flatnonzero(x < _LOW)
+        if len(empty):
+            x[empty] = (x[empty] << half) | words[place : place + len(empty)]
+            place += len(empty)
         state[:width] = x
     return out[first - begin :]
 
