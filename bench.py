@@ -56,7 +56,7 @@ def headline(p: Plant) -> dict:
         "rollup_1h": lambda: tables.rollup_1h(p.readings),
         "rollup_1d": lambda: tables.rollup_1d(tables.rollup_1h(p.readings)),
         "daily_report_raw": lambda: reports.daily_report_raw(p.readings),
-        "daily_report_1h_table": lambda: reports.hourly_report_rollup(table(hourly)),
+        "daily_report_1h_table": lambda: reports.daily_report_hourly(table(hourly)),
         "daily_report_1d_table": lambda: reports.daily_report_rollup(table(daily)),
         "realtime_1h": lambda: tables.read_1h(p.spark, hourly, table(arrival)),
         "point_day_arrival": one_point_day(arrival),
@@ -65,7 +65,7 @@ def headline(p: Plant) -> dict:
         "count_over_compacted": lambda: reports.count_over(table(compact), 240.0, *window),
         "control_queue": lambda: merges._queue(p),
         "outage_silence": lambda: silence(p.readings, p.outages),
-        "threshold_crossings": lambda: threshold_crossings(p.readings),
+        "threshold_crossings": lambda: threshold_crossings(p.readings, 78.0),
         "data_gaps": lambda: data_gaps(p.readings, 300, end),
         "quality_sweep": lambda: reports.quality_sweep(p.readings),
     }

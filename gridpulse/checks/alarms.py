@@ -50,9 +50,13 @@ def comms_lost(p: Plant) -> DataFrame:
     return al.comms_lost(p.outages, devices(p), definitions(p), power_points(p), p.now)
 
 
+def crossings(p: Plant) -> DataFrame:
+    """Of the points that measure a temperature."""
+    return al.threshold_crossings(p.readings, points=p.points.filter(F.col("uom") == "degC"))
+
+
 def over_temperature(p: Plant) -> DataFrame:
-    crossings = al.threshold_crossings(p.readings)
-    return al.over_temperature(crossings, p.points, devices(p), own_points(p), definitions(p))
+    return al.over_temperature(crossings(p), p.points, devices(p), own_points(p), definitions(p))
 
 
 def storms(p: Plant) -> DataFrame:
@@ -150,7 +154,7 @@ def gaps(p: Plant) -> DataFrame:
 
 @query("over_threshold_first_cross", "SELECT point_id, day, first_cross, peak FROM crossings")
 def first_cross(p: Plant) -> DataFrame:
-    return al.threshold_crossings(p.readings)
+    return crossings(p)
 
 
 _ALARM_COLUMNS = (
@@ -192,28 +196,31 @@ def events(p: Plant) -> DataFrame:
 # -- configured rules: one definition per point ------------------------------
 
 
-def _rules(p: Plant, hits: int, seconds: int) -> DataFrame:
+def _rules(p: Plant, hits: int, seconds: int, match: str = "any", from_s: int | None = None) -> DataFrame:
     fixed = {
         "raise_occurrence_limit": F.lit(hits), "raise_timeframe_s": F.lit(seconds),
         "clear_occurrence_limit": F.lit(1), "clear_timeframe_s": F.lit(0),
-        "raise_window_start_s": F.lit(None).cast("int"), "clear_window_start_s": F.lit(None).cast("int"),
-        "raise_match_operator": F.lit("any"), "clear_match_operator": F.lit("any"),
+        "raise_window_start_s": F.lit(from_s).cast("int"), "clear_window_start_s": F.lit(None).cast("int"),
+        "raise_match_operator": F.lit(match), "clear_match_operator": F.lit("any"),
     }
     return p.points.select(F.col("point_id").alias("alarm_definition_id"), "site_id").withColumns(fixed)
 
 
-def _expressions(p: Plant, conditions: list[tuple[str, str, float]]) -> DataFrame:
+def _expressions(p: Plant, conditions: list[tuple]) -> DataFrame:
+    """(role, operator, value[, group, group operator[, bit]]) for every point."""
     rows = F.explode(
         F.array(*[
             F.struct(
                 F.lit(i).alias("expression_id"), F.lit(role).alias("role"), F.lit(op).alias("comparison_operator"),
                 F.lit(value).cast("decimal(38,9)").alias("point_value"),
+                F.lit(more[0] if more else 1).alias("group_number"), F.lit(more[1] if more else "any").alias("group_operator"),
+                F.lit(more[2] if len(more) > 2 else None).cast("int").alias("bit_position"),
             )
-            for i, (role, op, value) in enumerate(conditions)
+            for i, (role, op, value, *more) in enumerate(conditions)
         ])
     ).alias("x")
     return p.points.select(F.col("point_id").alias("alarm_definition_id"), "point_id", rows).select(
-        "alarm_definition_id", "point_id", "x.*", F.lit("any").alias("group_operator"), F.lit(1).alias("group_number")
+        "alarm_definition_id", "point_id", "x.*"
     )
 
 
@@ -238,6 +245,44 @@ def rule_raise_clear(p: Plant) -> DataFrame:
     return al.evaluate_rules(_valued(p), _rules(p, 1, 0), _expressions(p, [("raise", ">", 75.0), ("clear", "<=", 65.0)]))
 
 
+def _while_holding(condition: str, source: str = "valued JOIN points USING (point_id)") -> str:
+    """SQL of a rule whose hits last until the next reading and that has no clear side."""
+    return f"""
+    WITH said AS (SELECT point_id, event_time, {condition} AS hold FROM {source} WHERE reading_type = 'raw'),
+    steps AS (SELECT *, lag(hold, 1, false) OVER (PARTITION BY point_id ORDER BY event_time) AS held FROM said)
+    SELECT point_id AS alarm_definition_id, event_time, CASE WHEN hold THEN 'raise' ELSE 'clear' END AS event_condition
+    FROM steps WHERE hold <> held"""
+
+
+@query("rule_all_of_a_group", _while_holding("(v > 40 AND v < 60) OR v > 90"))
+def rule_all(p: Plant) -> DataFrame:
+    """Two expressions that must hold together, or a third one."""
+    conditions = [("raise", ">", 40.0, 1, "all"), ("raise", "<", 60.0, 1, "all"), ("raise", ">", 90.0, 2, "any")]
+    return al.evaluate_rules(_valued(p), _rules(p, 1, 0), _expressions(p, conditions))
+
+
+@query("rule_all_groups", _while_holding("(v > 70 OR v < 30) AND (v > 80 OR v < 20)"))
+def rule_all_groups(p: Plant) -> DataFrame:
+    """Two groups that must both hold."""
+    conditions = [("raise", ">", 70.0, 1, "any"), ("raise", "<", 30.0, 1, "any"), ("raise", ">", 80.0, 2, "any"), ("raise", "<", 20.0, 2, "any")]
+    return al.evaluate_rules(_valued(p), _rules(p, 1, 0, "all"), _expressions(p, conditions))
+
+
+@query("rule_bit", _while_holding("(CAST(floor(v) AS BIGINT) >> 3) & 1 = 1"))
+def rule_bit(p: Plant) -> DataFrame:
+    """A single bit of a status word."""
+    return al.evaluate_rules(_valued(p), _rules(p, 1, 0), _expressions(p, [("raise", "=", 1.0, 1, "any", 3)]))
+
+
+@query("rule_time_gate", _while_holding(
+    "v > 50 AND hour((event_time AT TIME ZONE 'UTC') AT TIME ZONE timezone) >= 8",
+    "valued JOIN points USING (point_id) JOIN sites USING (site_id)",
+))
+def rule_gate(p: Plant) -> DataFrame:
+    """Hits count from 8 o'clock on the site's clock."""
+    return al.evaluate_rules(_valued(p), _rules(p, 1, 0, from_s=8 * 3600), _expressions(p, [("raise", ">", 50.0)]), p.sites)
+
+
 @query("rule_debounced", """
     WITH steps AS (
         SELECT point_id, moment, sum(d) AS net FROM (
@@ -306,18 +351,17 @@ def schedule_runs(p: Plant) -> DataFrame:
 
 # -- labels and ranges -------------------------------------------------------
 
+#: The labels of one value map; its whole numbers are their places.
+LABELS = ("click", "error", "purchase", "signup", "view")
 _MAP = """
-    WITH labels AS (SELECT DISTINCT event_type AS label FROM events),
-    map AS (SELECT label, row_number() OVER (ORDER BY label) - 1 AS i FROM labels)"""
+    WITH map AS (SELECT * FROM (VALUES ('click', 0), ('error', 1), ('purchase', 2), ('signup', 3), ('view', 4)) AS t(label, i))"""
 
 
-def _value_map(p: Plant) -> DataFrame:
-    """The event types that occur, numbered in order, as one value map."""
-    labels = p.events.select("event_type").distinct()
-    array = F.sort_array(F.collect_set("event_type"))
-    one = labels.agg(array.alias("display_values"))
-    size = F.size("display_values")
-    return one.select(F.lit(1).alias("value_map_id"), "display_values", F.sequence(F.lit(0), size - 1).alias("int_values"))
+def _with_value_map(rows: DataFrame) -> DataFrame:
+    """A value map is configuration, so it travels in the plan."""
+    return rows.withColumns({
+        "display_values": F.array(*map(F.lit, LABELS)), "int_values": F.array(*map(F.lit, range(len(LABELS)))),
+    })
 
 
 @query("value_translation", f"""{_MAP}
@@ -325,9 +369,8 @@ def _value_map(p: Plant) -> DataFrame:
     FROM events LEFT JOIN map ON map.i = CAST(floor(value) AS BIGINT)""")
 def value_translation(p: Plant) -> DataFrame:
     """Whole values looked up in the map; unlisted ones have no label."""
-    rows = p.events.select("event_id", F.floor("value").alias("state"), F.lit(1).alias("value_map_id"))
-    # One map, one row: its size does not depend on the readings.
-    return rows.join(F.broadcast(_value_map(p)), "value_map_id").select(
+    rows = p.events.select("event_id", F.floor("value").alias("state"))
+    return _with_value_map(rows).select(
         "event_id", translate("state", "int_values", "display_values").alias("label")
     )
 
@@ -336,9 +379,8 @@ def value_translation(p: Plant) -> DataFrame:
     SELECT event_id, coalesce(string_agg(map.label, ',' ORDER BY map.i), '') AS labels
     FROM events LEFT JOIN map ON (CAST(floor(value) AS BIGINT) >> CAST(map.i AS BIGINT)) & 1 = 1 GROUP BY event_id""")
 def bitmask_decode(p: Plant) -> DataFrame:
-    rows = p.events.select("event_id", F.floor("value").alias("state"), F.lit(1).alias("value_map_id"))
-    # One map, one row: its size does not depend on the readings.
-    return rows.join(F.broadcast(_value_map(p)), "value_map_id").select(
+    rows = p.events.select("event_id", F.floor("value").alias("state"))
+    return _with_value_map(rows).select(
         "event_id", F.concat_ws(",", decode_bits("state", "int_values", "display_values")).alias("labels")
     )
 

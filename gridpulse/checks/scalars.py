@@ -113,26 +113,22 @@ def bucket_local_day(p: Plant) -> DataFrame:
     )
 
 
-@query("setpoint_curve", f"""
+@query("hour_bands", f"""
     WITH h AS (SELECT event_time, point_id, hour(local_time) + minute(local_time) / 60.0
                       + (second(local_time) + (microsecond(local_time) % 1000000) / 1000000.0) / 3600.0 AS x FROM {_AT_SITE})
-    SELECT event_time, point_id,
-           {r("CASE WHEN x >= 10 AND x < 14 THEN -0.75 WHEN x >= 18 AND x < 21 THEN 0.9 ELSE 0.0 END")} AS setpoint,
-           {r("CASE WHEN x < 10 THEN 35.0 WHEN x < 14 THEN 35.0 + 63.0 * (x - 10) / 4.0 WHEN x < 18 THEN 98.0 WHEN x < 21 THEN 98.0 - 63.0 * (x - 18) / 3.0 ELSE 35.0 END", 6)} AS soc
+    SELECT event_time, point_id, CASE WHEN x >= 6 AND x < 12 THEN 'morning' WHEN x >= 12 AND x < 18 THEN 'afternoon' ELSE 'off' END AS band
     FROM h""")
-def setpoint_curve(p: Plant) -> DataFrame:
-    """Dispatch setpoint and state of charge as piecewise curves of the local hour."""
+def hour_bands(p: Plant) -> DataFrame:
+    """Readings by half-open ranges of the local hour."""
     catalog = p.points.join(p.sites.select("site_id", "timezone"), "site_id").select("point_id", "timezone")
     rows = p.readings.join(catalog, "point_id").withColumn("x", local_hours(F.col("event_time"), F.col("timezone")))
-    x = F.col("x")
-    idle, rest, full = F.lit(0.0), F.lit(35.0), F.lit(98.0)
-    setpoint = sc.between_hours(x, [(10, 14, F.lit(-0.75)), (18, 21, F.lit(0.9))], idle)
-    soc = sc.between_hours(
-        x, [(0, 10, rest), (10, 14, rest + 63.0 * (x - 10) / 4.0), (14, 18, full), (18, 21, full - 63.0 * (x - 18) / 3.0)], rest
-    )
-    return rows.select(
-        "event_time", "point_id", sc.round_half_away(setpoint, 4).alias("setpoint"), sc.round_half_away(soc, 6).alias("soc")
-    )
+    band = sc.between_hours(F.col("x"), [(6, 12, F.lit("morning")), (12, 18, F.lit("afternoon"))], F.lit("off"))
+    return rows.select("event_time", "point_id", band.alias("band"))
+
+
+@query("number_text", "SELECT event_id, printf('%.2f', CAST(round(CAST(value AS DECIMAL(38,9)), 2) AS DOUBLE)) AS label FROM events")
+def number_text(p: Plant) -> DataFrame:
+    return p.events.select("event_id", sc.number_text("value", 2).alias("label"))
 
 
 @query("time_arithmetic", """
@@ -215,7 +211,7 @@ def strings(p: Plant) -> DataFrame:
     SELECT doc_id, md5(regexp_replace(text, '\s+', ' ', 'g')) AS digest FROM documents""")
 def whitespace(p: Plant) -> DataFrame:
     """Whole texts squeezed; the digest stands for the text in the result."""
-    return p.base("documents").select("doc_id", F.md5(F.regexp_replace("text", r"\s+", " ")).alias("digest"))
+    return p.base("documents").select("doc_id", F.md5(sc.squeeze("text", None)).alias("digest"))
 
 
 @query("json_extract", """
@@ -313,9 +309,11 @@ def set_predicates(p: Plant) -> DataFrame:
     return kept.groupBy("point_id").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("bernoulli_sample")
+@query("bernoulli_sample", f"""
+    SELECT event_id, ts, user_id FROM events
+    WHERE CAST('0x' || left(md5(CAST(event_id AS VARCHAR) || ':42'), 15) AS BIGINT) < {round(0.1 * (1 << 60))}""")
 def sample(p: Plant) -> DataFrame:
-    """Reproducible row sampling; its hash has no SQL twin."""
+    """Reproducible row sampling."""
     return p.events.filter(sc.sampled("event_id", 0.1)).select("event_id", "ts", "user_id")
 
 

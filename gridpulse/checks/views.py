@@ -91,7 +91,7 @@ VIEWS: dict[str, str] = {
     "outages": """
         SELECT event_id AS outage_id, user_id AS device_id, ts AS start_at,
                ts + to_minutes(CAST(floor(value) AS BIGINT)) AS end_at
-        FROM events WHERE event_type = 'error' AND value > 30""",
+        FROM events WHERE event_type = 'error'""",
     "devices": """
         SELECT concat('R', r_regionkey) AS device_id, r_regionkey AS site_id, r_name AS name, 1 AS kind FROM region
         UNION ALL
@@ -111,7 +111,8 @@ VIEWS: dict[str, str] = {
     "crossings": """
         SELECT point_id, time_bucket(INTERVAL 1 DAY, event_time) AS day, min(event_time) AS first_cross,
                CAST(round(CAST(max(v) AS DECIMAL(38,9)), 1) AS DOUBLE) AS peak
-        FROM valued WHERE v > 78 GROUP BY 1, 2""",
+        FROM (SELECT point_id, event_time, value_double AS v FROM readings JOIN points USING (point_id) WHERE uom = 'degC')
+        WHERE v > 78 GROUP BY 1, 2""",
     "alarms": """
         SELECT d.alarm_definition_id, p.site_id, d.name AS alarm_name, p.name AS source, o.device_id,
                CASE WHEN p.rollup_uom IS NOT NULL THEN p.point_id END AS point_id, d.severity,

@@ -101,16 +101,20 @@ def to_local(t: Column, tz: Column | str | None) -> Column:
 
 def to_utc(local: Column, tz: Column | str | None) -> Column:
     """UTC time of a wall clock. A wall clock that occurs twice means the later
-    one (standard time); one that is skipped moves forward by the gap."""
+    one (standard time); one that is skipped moves forward by the gap.
+
+    The offset a day later is tried beside the one in force before a change, so a
+    change of any size is resolved.
+    """
     if is_utc(tz):
         return local
     zone = _zone(tz)
+    day = F.expr("INTERVAL '1' DAY")
     first = F.convert_timezone(zone, F.lit("UTC"), local)
-    result = first
-    for shift in ("30", "60"):
-        later = first + F.expr(f"INTERVAL '{shift}' MINUTE")
-        result = F.when(F.convert_timezone(F.lit("UTC"), zone, later) == local, later).otherwise(result)
-    return result
+    after = F.convert_timezone(F.lit("UTC"), zone, first + day) - (first + day)
+    later = local - after
+    shown = F.convert_timezone(F.lit("UTC"), zone, later) == local
+    return F.when(shown & (later > first), later).otherwise(first)
 
 
 def bucket_of(t: Column, width: Bucket | str, origin: dt.datetime = WEEK_ORIGIN) -> Column:

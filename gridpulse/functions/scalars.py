@@ -43,9 +43,10 @@ def percent(part: Column, whole: Column) -> Column:
     return F.round(safe_divide(100.0 * part, whole), 1)
 
 
-def squeeze(text: Column | str, length: int = 2000) -> Column:
-    """Runs of white space become one blank, then the first `length` characters."""
-    return F.left(F.regexp_replace(_col(text), r"\s+", " "), F.lit(length))
+def squeeze(text: Column | str, length: int | None) -> Column:
+    """Runs of white space become one blank; then the first `length` characters, None for all."""
+    whole = F.regexp_replace(_col(text), r"\s+", " ")
+    return whole if length is None else F.left(whole, F.lit(length))
 
 
 def json_text(doc: Column | str, key: str) -> Column:
@@ -69,8 +70,14 @@ def stable_id(*parts: Column | str) -> Column:
 
 def sampled(key: Column | str, fraction: float, seed: int = 42) -> Column:
     """Row sampling that does not change when a task is retried or the plan moves."""
-    resolution = 1_000_000
-    return F.pmod(F.xxhash64(_col(key), F.lit(seed)), F.lit(resolution)) < int(fraction * resolution)
+    digest = F.md5(F.concat_ws(":", _col(key).cast("string"), F.lit(str(seed))))
+    # The first 15 digits are a number below 2 ** 60.
+    return F.conv(F.left(digest, F.lit(15)), 16, 10).cast("bigint") < F.lit(round(fraction * (1 << 60)))
+
+
+def number_text(value: Column | str, digits: int) -> Column:
+    """A number as text with so many decimals and no grouping."""
+    return F.format_string(f"%.{digits}f", round_half_away(value, digits))
 
 
 def between_hours(hours: Column, steps: list[tuple[float, float, Column]], default: Column) -> Column:

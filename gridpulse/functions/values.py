@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import math
+from decimal import Decimal
+
 from itertools import chain
 
 from pyspark.sql import Column
@@ -62,6 +65,21 @@ def any_value_of(
     return F.coalesce(_col(double), _col(bigint).cast("double"), _col(numeric).cast("double"))
 
 
+def any_over(limit: float) -> Column:
+    """Whether `any_value_of` exceeds `limit`.
+
+    The comparisons on the typed columns come first, because scans can skip row
+    groups by them; the last one decides.
+    """
+    low = Decimal(math.floor(limit * 10**6)) / 10**6
+    typed = (
+        (F.col("value_double") > F.lit(float(limit)))
+        | (F.col("value_bigint") >= F.lit(math.floor(limit)).cast("bigint"))
+        | (F.col("value_numeric") >= F.lit(low).cast("decimal(38,9)"))
+    )
+    return typed & (any_value_of() > limit)
+
+
 def quality_to_aggregate(quality: Column | str = "data_quality") -> Column:
     """online and estimated stay; everything else, NULL included, is offline."""
     q = _col(quality)

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from gridpulse.functions.buckets import at_local_time, bucket_of, instant, to_local
 from gridpulse.functions.scalars import round_half_away, stable_id
-from gridpulse.functions.values import any_value_of
 from gridpulse.operators.outages import not_covered
 from gridpulse.operators.scans import Running, running, threshold_changes
 from gridpulse.session import checkpointed
@@ -81,17 +80,25 @@ def comms_lost(
 
 
 def threshold_crossings(
-    readings: DataFrame, limit: float = OVER_TEMPERATURE_LIMIT, points: DataFrame | None = None
+    readings: DataFrame, limit: float = OVER_TEMPERATURE_LIMIT, points: DataFrame | None = None, column: str = "value_double"
 ) -> DataFrame:
-    """First time above `limit` and the peak, per point and UTC day."""
-    value = any_value_of()
-    hot = readings.filter(value > limit).withColumn("_v", value)
+    """First time above `limit` and the peak, per point and UTC day.
+
+    One typed column is tested, and the comparison reaches the scan. `points` are
+    the points of the kind that the limit is meant for; all without it.
+    """
+    hot = readings.filter(F.col(column) > F.lit(limit)).withColumn("_v", F.col(column))
     found = hot.groupBy("point_id", bucket_of(F.col("event_time"), "1 day").alias("day")).agg(
         F.min("event_time").alias("first_cross"), round_half_away(F.max("_v"), 1).alias("peak")
     )
     return found if points is None else found.join(points.select("point_id"), "point_id", "left_semi")
 
 
+def _observed(value: Column, bit: Column) -> Column:
+    """The value, or one bit of its whole part where a bit position is given."""
+    return F.when(bit.isNull(), value).otherwise(F.getbit(F.floor(value).cast("bigint"), bit).cast("double"))
+
+
 def over_temperature(
     crossings: DataFrame, points: DataFrame, devices: DataFrame, device_points: DataFrame, definitions: DataFrame
 ) -> DataFrame:
@@ -192,7 +199,8 @@ def evaluate_rules(
     alarm rises when its raise side holds and clears when only its clear side
     holds; without clear expressions it clears when the raise side ends. Raise
     (clear) hits before the window start, in seconds past local midnight, do not
-    count; `sites` gives the zone, UTC otherwise.
+    count; `sites` gives the zone, UTC otherwise. An expression with a `bit_position`
+    compares that bit of the whole part of the value.
 
     `readings` has point_id, event_time and value. Everything is a running sum of
     +1/-1 steps, worked in (key, day) blocks.
@@ -207,8 +215,10 @@ def evaluate_rules(
         rules = rules.join(sites.select("site_id", "timezone"), "site_id")
     else:
         rules = rules.withColumn("timezone", F.lit("UTC"))
+    if "bit_position" not in expressions.columns:
+        expressions = expressions.withColumn("bit_position", F.lit(None).cast("int"))
     side = expressions.join(rules, "alarm_definition_id").select(
-        "alarm_definition_id", "expression_id", "point_id", "point_value", "comparison_operator",
+        "alarm_definition_id", "expression_id", "point_id", "point_value", "comparison_operator", "bit_position",
         "role", "group_operator", "group_number", "timezone",
         F.when(raise_side, F.col("raise_occurrence_limit")).otherwise(F.col("clear_occurrence_limit")).alias("limit"),
         F.when(raise_side, F.col("raise_timeframe_s")).otherwise(F.col("clear_timeframe_s")).alias("seconds"),
@@ -222,7 +232,8 @@ def evaluate_rules(
     following = Running("_next", F.col("event_time"), "last", inclusive=False)
     watched = running(watched, ["point_id"], "_day", "event_time", [following], descending=True)
     rows = watched.drop("_day").join(side, "point_id")
-    hit = _compare(F.col("value"), F.col("comparison_operator"), F.col("point_value").cast("double"))
+    seen = _observed(F.col("value"), F.col("bit_position"))
+    hit = _compare(seen, F.col("comparison_operator"), F.col("point_value").cast("double"))
     local = to_local(F.col("event_time"), F.col("timezone"))
     clock = F.hour(local) * 3600 + F.minute(local) * 60 + F.second(local)
     hit = F.coalesce(hit & (F.col("from_s").isNull() | (clock >= F.col("from_s"))), F.lit(False))

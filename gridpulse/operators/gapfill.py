@@ -10,19 +10,18 @@ from pyspark.sql import functions as F
 from gridpulse.functions.buckets import Bucket, bucket_of, instant, is_utc, to_local, to_utc
 from gridpulse.functions.values import quality_code, quality_label, reading_value
 from gridpulse.operators.rollup import TYPED, choose_points, raw_readings
-from gridpulse.operators.sizing import fits_broadcast
-from gridpulse.operators.zones import with_local_time
 
 
-def _last_per_bucket(raw: DataFrame, points: DataFrame, width: Bucket) -> DataFrame:
-    """Newest value and quality of every point and bucket that has a sample."""
+def _last_per_bucket(raw: DataFrame, points: DataFrame, width: Bucket, tz: str) -> DataFrame:
+    """Newest value and quality of every point and bucket that has a sample.
+
+    Readings are grouped before the join, so it moves a row per point and bucket.
+    """
     t = F.col("event_time")
-    raw = raw.withColumn("bucket", bucket_of(F.col("_local"), width))
-    quality = F.max_by(quality_code(), t).alias("q")
-    if fits_broadcast(points):
-        typed = raw.join(F.broadcast(points.select("point_id", "value_type")), "point_id")
-        return typed.groupBy("point_id", "bucket").agg(F.max_by(reading_value(), t).alias("value"), quality)
-    grouped = raw.groupBy("point_id", "bucket").agg(*[F.max_by(F.col(c), t).alias(c) for c in TYPED], quality)
+    raw = raw.withColumn("bucket", bucket_of(to_local(t, tz), width))
+    grouped = raw.groupBy("point_id", "bucket").agg(
+        *[F.max_by(F.col(c), t).alias(c) for c in TYPED], F.max_by(quality_code(), t).alias("q")
+    )
     wide = grouped.join(points.select("point_id", "value_type"), "point_id")
     return wide.select("point_id", "bucket", reading_value().alias("value"), "q")
 
@@ -45,8 +44,7 @@ def readings_gapfilled(
     """
     width = Bucket.of(bucket)
     points, listed = choose_points(points, point_ids)
-    raw = with_local_time(raw_readings(readings, start, end, listed), "event_time", "_local", tz, None, start, end)
-    seen = _last_per_bucket(raw, points, width)
+    seen = _last_per_bucket(raw_readings(readings, start, end, listed), points, width, tz)
 
     in_order = Window.partitionBy("point_id").orderBy("bucket")
     bounds = bucket_of(to_local(instant(start), tz), width)

@@ -2,32 +2,35 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridpulse.session import checkpointed, settings
+from gridpulse.session import checkpointed
 
-MAX_DEPTH = 100
 
+def _walk(roots: DataFrame, edges: DataFrame) -> DataFrame:
+    """All devices below the roots, level by level until a level is empty.
 
-# The tree may hold any number of rows; only its depth is limited.
-_RECURSION = {"spark.sql.cteRecursionRowLimit": "-1", "spark.sql.cteRecursionLevelLimit": str(MAX_DEPTH)}
-
-
-def _walk(spark: SparkSession, roots: DataFrame, edges: DataFrame) -> DataFrame:
-    return spark.sql(
-        """
-        WITH RECURSIVE walk(site_id, device_id, parent_device_id, name, device_type_id, depth) AS (
-            SELECT site_id, device_id, CAST(NULL AS STRING), name, device_type_id, 1 FROM {roots}
-            UNION ALL
-            SELECT w.site_id, e.device_id, e.parent_device_id, e.name, e.device_type_id, w.depth + 1
-            FROM walk w JOIN {edges} e ON e.parent_device_id = w.device_id
+    A device that appears below itself is a cycle and an error.
+    """
+    level = checkpointed(roots.select(
+        "site_id", "device_id", F.lit(None).cast(edges.schema["parent_device_id"].dataType).alias("parent_device_id"),
+        "name", "device_type_id", F.lit(1).alias("depth"), F.array("device_id").alias("path"),
+    ))
+    found = level
+    while not level.isEmpty():
+        above = level.select("site_id", F.col("device_id").alias("parent_device_id"), "depth", "path")
+        below = above.join(edges, "parent_device_id").select(
+            "site_id", "device_id", "parent_device_id", "name", "device_type_id", (F.col("depth") + 1).alias("depth"),
+            F.array_append("path", F.col("device_id")).alias("path"), F.array_contains("path", F.col("device_id")).alias("again"),
         )
-        SELECT * FROM walk
-        """,
-        roots=roots,
-        edges=edges,
-    )
+        level = checkpointed(below)
+        again = level.filter("again").select("path").first()
+        if again:
+            raise ValueError(f"the device hierarchy has a cycle: {' > '.join(map(str, again.path))}")
+        level = level.drop("again")
+        found = found.union(level)
+    return found.drop("path")
 
 
 def device_point_tree(
@@ -42,10 +45,9 @@ def device_point_tree(
 
     A root has no parent. Without `site_id` the trees of all sites are returned,
     with the root's `site_id`. A device with two parents appears under both; a
-    tree deeper than `MAX_DEPTH` levels (a cycle) is an error. The recursion runs
-    once, when the function is called, and its result is kept in the shared folder.
+    tree may be of any depth. The levels are found when the function is called, one
+    job each, and are kept in the shared folder.
     """
-    spark = devices.sparkSession
     children = hierarchy.select(F.col("child_device_id").alias("device_id"))
     roots = devices.join(children, "device_id", "left_anti")
     if site_id is not None:
@@ -53,8 +55,7 @@ def device_point_tree(
     edges = hierarchy.join(devices, F.col("child_device_id") == F.col("device_id")).select(
         "parent_device_id", "device_id", "name", "device_type_id"
     )
-    with settings(spark, _RECURSION):
-        tree = checkpointed(_walk(spark, roots, edges))
+    tree = _walk(roots, edges)
     types = device_types.select("device_type_id", F.col("name").alias("device_type"))
     as_device = tree.join(types, "device_type_id").select(
         "site_id",

@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridpulse.functions.buckets import Bucket, bucket_of, floor_to, sample_bucket, to_utc
+from gridpulse.functions.buckets import Bucket, bucket_of, sample_bucket, to_local, to_utc
 from gridpulse.functions.scalars import safe_divide
 from gridpulse.functions.values import (
     collapse_quality,
@@ -16,14 +16,9 @@ from gridpulse.functions.values import (
     reading_value,
     uom_conversion_factor,
 )
-from gridpulse.operators.sizing import fits_broadcast
-from gridpulse.operators.zones import with_local_time
 from gridpulse.sources.tables import in_range
 
 TYPED = ("value_bigint", "value_double", "value_numeric")
-# Since this date every zone's offset from UTC is a whole number of quarter hours.
-QUARTER_HOURS_SINCE = dt.datetime(1972, 2, 1)
-QUARTER_HOUR = Bucket(seconds=900)
 
 
 def raw_readings(
@@ -64,71 +59,26 @@ def _shared() -> list[Column]:
     return [F.count(F.lit(1)).alias("sample_count"), F.min(q).alias("q_low"), F.max(q).alias("q_high")]
 
 
-def _joined_first(
-    raw: DataFrame, catalog: DataFrame, width: Bucket, tz: str | None, bounds: tuple, small: bool
-) -> DataFrame:
-    """Readings meet their point's type (and zone) before they are grouped."""
-    keys = ["point_id", "bucket"] if tz is not None else ["point_id", "bucket", "timezone"]
-    typed = raw.join(F.broadcast(catalog) if small else catalog, "point_id").withColumn("value", reading_value())
-    typed = with_local_time(typed, "event_time", "_local", tz, catalog, *bounds)
-    typed = typed.withColumn("bucket", bucket_of(F.col("_local"), width))
-    return typed.groupBy(*keys).agg(*_shared(), *_stats(F.col("value"), F.col("event_time")))
+def _by_site_clock(raw: DataFrame, catalog: DataFrame, width: Bucket, carry: list[str]) -> DataFrame:
+    """Readings meet their point's type and zone, then are grouped on that clock.
+
+    The planner broadcasts the catalog while it is small; beyond that readings are
+    shuffled by point, which the grouping then needs no second shuffle for.
+    """
+    typed = raw.join(catalog, "point_id").withColumn("value", reading_value())
+    local = typed.withColumn("bucket", bucket_of(to_local(F.col("event_time"), F.col("timezone")), width))
+    return local.groupBy("point_id", "bucket", *carry).agg(*_shared(), *_stats(F.col("value"), F.col("event_time")))
 
 
-def _grouped_first(raw: DataFrame, catalog: DataFrame, width: Bucket, tz: str, bounds: tuple) -> DataFrame:
+def _by_one_clock(raw: DataFrame, catalog: DataFrame, width: Bucket, tz: str, carry: list[str]) -> DataFrame:
     """Each typed column is grouped, the point's type picks one afterwards, so the
     join moves one row per point and bucket and never a reading."""
     t = F.col("event_time")
     stats = [s for c in TYPED for s in _stats(F.col(c).cast("double"), t, f"{c}_")]
-    timed = with_local_time(raw, "event_time", "_local", tz, None, *bounds)
-    wide = timed.withColumn("bucket", bucket_of(F.col("_local"), width)).groupBy("point_id", "bucket").agg(*_shared(), *stats)
+    local = raw.withColumn("bucket", bucket_of(to_local(t, tz), width))
+    wide = local.groupBy("point_id", "bucket").agg(*_shared(), *stats)
     picked = [reading_value("value_type", *[f"{c}_{n}" for c in TYPED]).alias(n) for n in _STATS]
-    zone = ["timezone"] if "timezone" in catalog.columns else []
-    return wide.join(catalog, "point_id").select(
-        "point_id", *zone, "bucket", "sample_count", "q_low", "q_high", *picked
-    )
-
-
-def _merged(parts: DataFrame, catalog: DataFrame, width: Bucket, bounds: tuple) -> DataFrame:
-    """Quarter-hour groups in UTC merged into buckets on each point's own clock."""
-    at = F.col("bucket")
-    timed = with_local_time(parts, "bucket", "_clock", None, catalog, *bounds)
-    local = timed.withColumn("_local", bucket_of(F.col("_clock"), width))
-    total = {n: F.sum(n).alias(n) for n in ("sample_count", "n_value", "sum_value")}
-    return local.groupBy("point_id", F.col("_local").alias("bucket"), "timezone").agg(
-        *total.values(),
-        F.min("q_low").alias("q_low"),
-        F.max("q_high").alias("q_high"),
-        F.min("min_value").alias("min_value"),
-        F.max("max_value").alias("max_value"),
-        F.min_by("first_value", at).alias("first_value"),
-        F.max_by("last_value", at).alias("last_value"),
-    )
-
-
-def _grouped(
-    raw: DataFrame, points: DataFrame, width: Bucket, tz: str | None, bounds: tuple, small: bool
-) -> DataFrame:
-    """Choose the order of join and grouping by the proven size of the catalog.
-
-    A large catalog with one zone is joined after grouping. With a zone per point
-    the readings are grouped by quarter hours first, which all zones' offsets are
-    multiples of since 1972; older or unbounded ranges, and buckets that quarter
-    hours do not divide, are joined first and left to the planner, which sorts
-    both sides and splits hot points at run time.
-    """
-    zone = [] if tz is not None else ["timezone"]
-    catalog = points.select("point_id", "value_type", *zone)
-    if small:
-        return _joined_first(raw, catalog, width, tz, bounds, True)
-    if tz is not None:
-        return _grouped_first(raw, catalog, width, tz, bounds)
-    start, end = bounds
-    if start is not None and start >= QUARTER_HOURS_SINCE and width.seconds % QUARTER_HOUR.seconds == 0:
-        parts = _grouped_first(raw, catalog, QUARTER_HOUR, "UTC", bounds)
-        # A group starts up to a quarter hour before the first reading.
-        return _merged(parts, catalog, width, (floor_to(start, QUARTER_HOUR), end))
-    return _joined_first(raw, catalog, width, tz, bounds, False)
+    return wide.join(catalog, "point_id").select("point_id", *carry, "bucket", "sample_count", "q_low", "q_high", *picked)
 
 
 def readings_rollup(
@@ -139,20 +89,22 @@ def readings_rollup(
     bucket: Bucket | str = "1 hour",
     tz: str | None = "UTC",
     point_ids: list | DataFrame | None = None,
-    small_catalog: bool | None = None,
+    carry: tuple[str, ...] = (),
 ) -> DataFrame:
     """Count, avg, min, max, sum, first, last and quality per point and bucket.
 
     Buckets follow the clock of `tz`; with `tz=None` each point's own `timezone`
-    column is used. `bucket_end` is the next boundary on that clock. Unless
-    `small_catalog` says so, the size of `points` is checked by counting it.
+    column is used. `bucket_end` is the next boundary on that clock. `carry` names
+    columns of `points` that the result keeps, so that they need no second join.
+    (event_time, point_id) is the key of readings: of rows that repeat it, first and
+    last value are either one's.
     """
     width = Bucket.of(bucket)
-    if small_catalog is None:
-        small_catalog = fits_broadcast(points)
     points, listed = choose_points(points, point_ids)
     raw = raw_readings(readings, start, end, listed)
-    grouped = _grouped(raw, points, width, tz, (start, end), small_catalog)
+    extra = list(dict.fromkeys([*carry, *(["timezone"] if tz is None else [])]))
+    catalog = points.select("point_id", "value_type", *extra)
+    grouped = _by_site_clock(raw, catalog, width, extra) if tz is None else _by_one_clock(raw, catalog, width, tz, extra)
     zone = F.col("timezone") if tz is None else tz
     b = F.col("bucket")
     return grouped.select(
@@ -163,6 +115,7 @@ def readings_rollup(
         safe_divide("sum_value", "n_value").alias("avg_value"),
         "min_value", "max_value", "sum_value", "first_value", "last_value",
         collapse_quality("q_low", "q_high").alias("data_quality"),
+        *carry,
     )
 
 
@@ -174,22 +127,22 @@ def power_to_energy(
     bucket: Bucket | str = "1 hour",
     tz: str | None = "UTC",
     point_ids: list | DataFrame | None = None,
-    small_catalog: bool | None = None,
+    carry: tuple[str, ...] = (),
 ) -> DataFrame:
     """Average power times the bucket's nominal hours, in the rollup unit.
 
     A bucket cut by `start` or `end` still counts its full nominal length.
     """
     width = Bucket.of(bucket)
-    rolled = readings_rollup(readings, points, start, end, width, tz, point_ids, small_catalog)
-    units = points.select("point_id", "uom", "rollup_uom")
+    rolled = readings_rollup(readings, points, start, end, width, tz, point_ids, ("uom", "rollup_uom", *carry))
     energy = F.col("avg_value") * F.lit(width.nominal_hours) * uom_conversion_factor("uom", "rollup_uom")
-    return rolled.join(units, "point_id").select(
+    return rolled.select(
         "point_id", "bucket_start", "bucket_end", "sample_count",
         F.col("avg_value").alias("avg_power"),
         energy.alias("energy"),
         F.col("rollup_uom").alias("energy_uom"),
         "data_quality",
+        *carry,
     )
 
 
@@ -203,11 +156,13 @@ def point_history(
     value_kind: str = "avg",
     site_id: object = None,
     point_ids: list | DataFrame | None = None,
+    carry: tuple[str, ...] = (),
 ) -> DataFrame:
     """One value column per point and bucket, bucketed on the site's clock.
 
     With `site_id` that site's zone serves every requested point. Without it all
-    sites are answered in one plan, each point on the clock of its own site.
+    sites are answered in one plan, each point on the clock of its own site, and
+    `carry` may name `site_id`, `timezone` and further columns of the points.
     """
     width = sample_bucket(sample_time)
     kind = value_kind.lower()
@@ -218,12 +173,12 @@ def point_history(
         tz, catalog = zone[0], points
     else:
         tz, catalog = None, points.join(sites.select("site_id", "timezone"), "site_id")
-    args = (readings, catalog, start, end, width, tz, point_ids, fits_broadcast(points))
+    args = (readings, catalog, start, end, width, tz, point_ids, carry)
     if kind == "energy":
         rows, value = power_to_energy(*args), F.col("energy")
     else:
         rows, value = readings_rollup(*args), pick_value(kind)
     return rows.select(
         "point_id", "bucket_start", "bucket_end", value.alias("value"), F.lit(kind).alias("value_kind"),
-        "data_quality",
+        "data_quality", *carry,
     )

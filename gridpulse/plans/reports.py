@@ -9,14 +9,13 @@ from pyspark.sql import functions as F
 
 from gridpulse.functions.buckets import bucket_of, instant, local_day
 from gridpulse.functions.scalars import element, round_half_away, safe_divide
-from gridpulse.functions.values import any_value_of, open_rank
+from gridpulse.functions.values import any_over, any_value_of, open_rank
+from gridpulse.operators.alarms import STORM_LIMIT
 from gridpulse.operators.gapfill import readings_gapfilled
 from gridpulse.operators.rollup import point_history, raw_readings, readings_rollup
 from gridpulse.operators.rollups import DAY
 from gridpulse.session import checkpointed
 
-STORM_LIMIT = 0.40
-
 
 def power_curve(
     readings: DataFrame, points: DataFrame, start: dt.datetime, end: dt.datetime, bucket: str = "15 minutes",
@@ -39,12 +38,13 @@ def daily_energy(
     start: dt.datetime | None = None, end: dt.datetime | None = None,
 ) -> DataFrame:
     """Energy per site and local day."""
-    history = point_history(readings, points, sites, "day", start, end, "energy")
-    located = history.join(points.select("point_id", "site_id"), "point_id").join(
-        sites.select("site_id", F.col("name").alias("site"), "timezone"), "site_id"
+    named = sites.select("site_id", F.col("name").alias("site"))
+    catalog = points.join(named, "site_id")
+    history = point_history(
+        readings, catalog, sites, "day", start, end, "energy", carry=("site_id", "site", "timezone")
     )
     day = local_day(F.col("bucket_start"), F.col("timezone"))
-    summed = located.groupBy("site_id", "site", day.alias("local_day")).agg(F.sum("value").alias("kwh"))
+    summed = history.groupBy("site_id", "site", day.alias("local_day")).agg(F.sum("value").alias("kwh"))
     return summed.select("site_id", "site", "local_day", round_half_away("kwh", 0).alias("kwh"))
 
 
@@ -109,8 +109,8 @@ def audit_trail(audit: DataFrame, order: str = "updated_at", at_least: int = 4)
 
 def hourly_averages(readings: DataFrame, points: DataFrame, start: dt.datetime | None, end: dt.datetime | None) -> DataFrame:
     """Hourly average of every given point, with its name."""
-    rolled = readings_rollup(readings, points, start, end, "1 hour")
-    return rolled.join(points.select("point_id", "name"), "point_id").select(
+    rolled = readings_rollup(readings, points, start, end, "1 hour", carry=("name",))
+    return rolled.select(
         "bucket_start", "point_id", "name", round_half_away("avg_value", 1).alias("avg_value")
     )
 
@@ -139,8 +139,7 @@ def point_day_stats(readings: DataFrame, start: dt.datetime | None = None, end:
 
 def count_over(readings: DataFrame, limit: float, start: dt.datetime | None = None, end: dt.datetime | None = None) -> DataFrame:
     """How many raw readings exceed a value."""
-    raw = raw_readings(readings, start, end)
-    return raw.filter(any_value_of() > limit).agg(F.count(F.lit(1)).alias("n"))
+    return raw_readings(readings, start, end).filter(any_over(limit)).agg(F.count(F.lit(1)).alias("n"))
 
 
 def daily_report_raw(readings: DataFrame, start: dt.datetime | None = None, end: dt.datetime | None = None) -> DataFrame:
@@ -160,6 +159,12 @@ def hourly_report_rollup(hourly: DataFrame) -> DataFrame:
     return hourly.select("bucket", "point_id", "avg_value", "max_value")
 
 
+def daily_report_hourly(hourly: DataFrame) -> DataFrame:
+    """The daily report from the hourly table."""
+    days = hourly.groupBy(bucket_of(F.col("bucket"), DAY).alias("day"), "point_id")
+    return days.agg(safe_divide(F.sum("sum_value"), F.sum("n")).alias("avg_value"), F.max("max_value").alias("max_value"))
+
+
 def raw_vs_rollup(raw_daily: DataFrame, daily: DataFrame, digits: int = 2) -> DataFrame:
     """Both daily averages side by side."""
     stored = daily.select(F.col("bucket").alias("day"), "point_id", F.col("avg_value").alias("_stored"))

@@ -110,7 +110,7 @@ class Plant:
     def outages(self) -> DataFrame:
         minutes = F.floor(F.col("value")).cast("int")
         zero = F.lit(0)
-        return self.events.filter((F.col("event_type") == "error") & (F.col("value") > 30)).select(
+        return self.events.filter(F.col("event_type") == "error").select(
             F.col("event_id").alias("outage_id"),
             F.col("user_id").alias("device_id"),
             F.col("ts").alias("start_at"),

@@ -81,7 +81,7 @@ def test_rounding(spark):
 def test_null_safe_helpers(spark):
     assert one(spark, sc.safe_divide("x", "y"), "x double, y double", (1.0, 0.0)) is None
     assert [one(spark, sc.is_not_true("b"), "b boolean", (b,)) for b in (True, False, None)] == [False, True, True]
-    assert one(spark, sc.squeeze("s"), "s string", ("a \n\t b",)) == "a b"
+    assert one(spark, sc.squeeze("s", 2000), "s string", ("a \n\t b",)) == "a b"
     assert one(spark, sc.json_text("s", "k"), "s string", ('{"k": "7 days"}',)) == "7 days"
 
 

@@ -5,11 +5,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import POINTS, READINGS, at, rows
-from gridpulse.operators import gapfill
 from gridpulse.operators.gapfill import readings_gapfilled
-from gridpulse.functions.buckets import to_local
+from gridpulse.functions.buckets import to_local, to_utc
 from gridpulse.operators.rollup import point_history, power_to_energy, readings_rollup
-from gridpulse.operators.zones import with_local_time
 
 STATS = ("sample_count", "avg_value", "min_value", "max_value", "sum_value", "first_value", "last_value", "data_quality")
 
@@ -77,20 +75,25 @@ def _random_tables(spark, seed=5):
     return df, points, points.join(sites, "site_id")
 
 
-@pytest.mark.parametrize("bucket,tz", [("1 hour", "UTC"), ("1 day", "America/Chicago"), ("1 day", None), ("1 hour", None), ("1 month", None), ("5 minutes", None)])
+@pytest.mark.parametrize("bucket,tz", [("1 hour", "UTC"), ("1 day", "America/Chicago"), ("1 month", "Asia/Kolkata"), ("5 minutes", "UTC")])
 @pytest.mark.parametrize("bounded", [True, False])
-def test_plans_for_small_and_large_catalogs_agree(spark, bucket, tz, bounded):
-    df, points, located = _random_tables(spark)
+def test_one_clock_and_clocks_per_point_agree(spark, bucket, tz, bounded):
+    df, points, _ = _random_tables(spark)
     start = dt.datetime(2024, 3, 9, 1, 7) if bounded else None
     end = dt.datetime(2024, 3, 11, 13, 0) if bounded else None
-    catalog = located if tz is None else points
+    each = points.withColumn("timezone", F.lit(tz))
     out = [
-        rows(readings_rollup(df, catalog, start, end, bucket, tz, small_catalog=small), "point_id", "bucket_start", "bucket_end", *STATS)
-        for small in (True, False)
+        rows(readings_rollup(df, catalog, start, end, bucket, zone), "point_id", "bucket_start", "bucket_end", *STATS)
+        for catalog, zone in ((points, tz), (each, None))
     ]
     assert out[0] == out[1] and out[0]
 
 
+def test_carried_columns(readings, points):
+    out = readings_rollup(readings((at("10:00"), "p", 2.0)), points(("p", "MW")), carry=("uom", "site_id"))
+    assert rows(out, "point_id", "uom", "site_id") == [("p", "MW", "s")]
+
+
 def test_energy(readings, points):
     df = readings((at("10:00"), "p", 4.0), (at("10:05"), "p", 4.0))
     catalog = points(("p", "kW", "kWh"))
@@ -139,15 +142,11 @@ def test_gapfill_starts_at_the_bucket_holding_start(readings, points):
     assert rows(out, "bucket_time") == [(at("10:00"),), (at("10:15"),), (at("10:30"),)]
 
 
-def test_gapfill_row_count(spark, monkeypatch):
+def test_gapfill_row_count(spark):
     df, points, _ = _random_tables(spark)
     start, end = dt.datetime(2024, 3, 8), dt.datetime(2024, 3, 12)
     out = readings_gapfilled(df, points, start, end, "1 hour")
     assert out.count() == 8 * 96
-    monkeypatch.setattr(gapfill, "fits_broadcast", lambda df: False)
-    again = readings_gapfilled(df, points, start, end, "1 hour")
-    columns = ("point_id", "bucket_time", "value", "data_quality", "is_generated")
-    assert rows(out, *columns) == rows(again, *columns)
 
 
 @pytest.mark.parametrize("day,hours", [((2024, 3, 10), 23), ((2024, 11, 3), 24), ((2024, 7, 1), 24)])
@@ -179,13 +178,16 @@ def test_plan_prunes_and_pushes_down(spark, tmp_path, points, readings, capsys):
     assert "SortAggregate" not in plan and plan.count("Arguments: hashpartitioning") == 1
 
 
-@pytest.mark.parametrize("tz", ["America/Chicago", "Australia/Lord_Howe", "America/St_Johns", "Asia/Kolkata", "UTC"])
-def test_looked_up_wall_clock_equals_direct_conversion(spark, tz):
-    start, end = dt.datetime(2010, 10, 25), dt.datetime(2011, 4, 10)
-    df = spark.range(0, 167 * 24 * 4).select((F.lit("2010-10-25").cast("timestamp_ntz") + F.make_dt_interval(
-        F.lit(0), F.lit(0), (F.col("id") * 15 + F.col("id") % 13).cast("int"))).alias("t")).filter(F.col("t") < F.lit("2011-04-10").cast("timestamp_ntz"))
-    looked = with_local_time(df, "t", "a", tz, None, start, end)
-    both = looked.withColumn("b", to_local(F.col("t"), tz))
-    assert both.filter("a IS NULL OR a <> b").count() == 0 and both.count() == df.count() > 15000
-    each = with_local_time(df.withColumn("timezone", F.lit(tz)), "t", "a", None, spark.createDataFrame([(tz,)], "timezone string"), start, end)
-    assert each.withColumn("b", to_local(F.col("t"), tz)).filter("a IS NULL OR a <> b").count() == 0
+@pytest.mark.parametrize("tz", ["America/Chicago", "Australia/Lord_Howe", "Antarctica/Troll", "Europe/Berlin", "Asia/Kolkata"])
+def test_wall_clocks_there_and_back(spark, tz):
+    """Every quarter hour of a year: the later of two instants that show the same wall clock."""
+    quarters = spark.range(366 * 96).select((F.lit("2024-01-01").cast("timestamp_ntz") + F.make_dt_interval(
+        F.lit(0), F.lit(0), (F.col("id") * 15).cast("int"))).alias("t"))
+    shown = quarters.withColumn("wall", to_local(F.col("t"), tz))
+    latest = shown.groupBy("wall").agg(F.max("t").alias("t"))
+    assert latest.filter(to_utc(F.col("wall"), tz) != F.col("t")).count() == 0
+
+
+def test_a_skipped_wall_clock_moves_forward(spark):
+    one = spark.sql("SELECT TIMESTAMP_NTZ '2024-03-31 01:30:00' AS wall")
+    assert one.select(to_utc(F.col("wall"), "Antarctica/Troll")).first()[0] == dt.datetime(2024, 3, 31, 1, 30)

@@ -39,6 +39,22 @@ def test_second_parent_repeats_the_device(spark, tree):
     assert rows(out, "depth") == [(2,), (3,)]
 
 
+def test_a_tree_of_any_depth(spark, tree):
+    devices, _, types, mapping, points = tree
+    chain = [(f"d{i:03}", "s", f"n{i}", 1) for i in range(115)]
+    devices = spark.createDataFrame(chain, devices.schema).coalesce(1)
+    edges = spark.createDataFrame([(a[0], b[0]) for a, b in zip(chain, chain[1:])], "parent_device_id string, child_device_id string").coalesce(1)
+    out = device_point_tree(devices, edges, types, mapping, points)
+    assert out.agg({"depth": "max"}).first()[0] == 115
+
+
+def test_a_cycle_is_reported(spark, tree):
+    devices, edges, *rest = tree
+    loop = edges.unionByName(spark.createDataFrame([("C", "B")], edges.schema))
+    with pytest.raises(ValueError, match="cycle"):
+        device_point_tree(devices, loop, *rest, site_id="s")
+
+
 def test_clean_tables_have_no_violations(spark, tree, readings):
     devices, edges, _, mapping, points = tree
     tables = {"device_hierarchy": edges, "devices": devices, "device_points": mapping, "points": points,
