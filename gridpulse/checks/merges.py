@@ -29,14 +29,15 @@ from gridpulse.operators.merge import (
 from gridpulse.plans.reports import plant_tree
 from gridpulse.session import run_dir
 from gridpulse.sources.adapters import Plant
-from gridpulse.streaming.ingest import start_log, start_readings
+from gridpulse.checks.rollups import streamed
+from gridpulse.streaming.ingest import start_log
 from gridpulse.streaming.sources import parquet_stream
 
 _STORED = dt.datetime(1997, 6, 1)
 
 
 def _customers_and_orders(p: Plant) -> tuple[DataFrame, DataFrame]:
-    """Customers as stored rows, orders as updates in order-key sequence."""
+    """Customers as stored rows, orders as updates in order-key sequence; some have no key or no place."""
     target = p.base("customer").select(
         F.col("c_custkey").alias("key"),
         F.lit("A").alias("status"),
@@ -44,22 +45,28 @@ def _customers_and_orders(p: Plant) -> tuple[DataFrame, DataFrame]:
         instant(_STORED).alias("updated_at"),
     )
     updates = p.base("orders").select(
-        F.col("o_custkey").alias("key"),
+        F.when(F.col("o_orderkey") % 31 > 0, F.col("o_custkey")).alias("key"),
         F.col("o_orderstatus").alias("status"),
         F.col("o_totalprice").alias("amount"),
         F.col("o_orderdate").alias("updated_at"),
-        F.col("o_orderkey").alias("arrival"),
+        F.when(F.col("o_orderkey") % 97 > 0, F.col("o_orderkey")).alias("arrival"),
     )
     return target, updates
 
 
+_UPDATES = """
+    SELECT CASE WHEN o_orderkey % 31 > 0 THEN o_custkey END AS key, o_orderstatus AS status, o_totalprice AS amount,
+           o_orderdate AS updated_at, CASE WHEN o_orderkey % 97 > 0 THEN o_orderkey END AS arrival
+    FROM orders"""
+
+
 @query("lww_customer", f"""
     SELECT key, status, {r('amount', 2)} AS amount, updated_at
-    FROM (SELECT *, row_number() OVER (PARTITION BY key ORDER BY updated_at DESC, arrival) AS place
+    FROM (SELECT *, row_number() OVER (PARTITION BY key ORDER BY updated_at DESC, new, arrival NULLS FIRST, status, amount) AS place
           FROM (SELECT c_custkey AS key, 'A' AS status, c_acctbal AS amount,
-                       TIMESTAMP '1997-06-01' AS updated_at, -1 AS arrival FROM customer
+                       TIMESTAMP '1997-06-01' AS updated_at, -1 AS arrival, 0 AS new FROM customer
                 UNION ALL
-                SELECT o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderkey FROM orders))
+                SELECT *, 1 FROM ({_UPDATES})))
     WHERE place = 1""")
 def lww_customer(p: Plant) -> DataFrame:
     target, updates = _customers_and_orders(p)
@@ -67,14 +74,14 @@ def lww_customer(p: Plant) -> DataFrame:
     return merged.select("key", "status", round_half_away("amount", 2).alias("amount"), "updated_at")
 
 
-@query("lww_outcome", """
-    SELECT o.o_orderkey AS arrival, o.o_custkey AS key,
+@query("lww_outcome", f"""
+    SELECT arrival, key,
            CASE WHEN c.c_custkey IS NULL THEN
-                coalesce(o_orderdate > max(o_orderdate) OVER w, true)
-           ELSE o_orderdate > greatest(TIMESTAMP '1997-06-01',
-                coalesce(max(o_orderdate) OVER w, TIMESTAMP '1997-06-01')) END AS accepted
-    FROM orders o LEFT JOIN customer c ON c.c_custkey = o.o_custkey
-    WINDOW w AS (PARTITION BY o.o_custkey ORDER BY o.o_orderkey ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)""")
+                coalesce(updated_at > max(updated_at) OVER w, true)
+           ELSE updated_at > greatest(TIMESTAMP '1997-06-01',
+                coalesce(max(updated_at) OVER w, TIMESTAMP '1997-06-01')) END AS accepted
+    FROM ({_UPDATES}) o LEFT JOIN customer c ON c.c_custkey = o.key
+    WINDOW w AS (PARTITION BY key ORDER BY arrival NULLS FIRST, updated_at ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)""")
 def lww_outcome(p: Plant) -> DataFrame:
     target, updates = _customers_and_orders(p)
     _, outcome = lww_merge(target, updates, ["key"], "updated_at", ["status", "amount"])
@@ -159,21 +166,30 @@ def control_audit(p: Plant) -> DataFrame:
 
 
 @query("control_submit", """
-    WITH judged AS (
-        SELECT *, max(CASE WHEN NOT is_internal THEN updated_at END) OVER (
-                   PARTITION BY control_request_id ORDER BY arrival
+    WITH calls AS (
+        SELECT line AS n, updated_at AS called, is_internal, point_id % 97 > 0 AS placed,
+               CASE WHEN control_request_id % 31 > 0 THEN control_request_id END AS control_request_id,
+               CASE WHEN placed THEN line END AS line, CASE WHEN placed THEN point_id END AS point_id,
+               CASE WHEN placed THEN device_id END AS device_id, CASE WHEN placed THEN price END AS price,
+               CASE WHEN placed THEN updated_at END AS updated_at
+        FROM control_log),
+    judged AS (
+        SELECT *, max(CASE WHEN NOT is_internal THEN called END) OVER (
+                   PARTITION BY control_request_id
+                   ORDER BY placed, line, point_id, device_id, price, updated_at,
+                            CASE WHEN NOT is_internal THEN called END NULLS FIRST
                    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS seen
-        FROM control_log)
+        FROM calls)
     SELECT control_request_id, line, point_id, device_id, updated_at,
-           CASE WHEN NOT is_internal AND (seen IS NULL OR updated_at > seen) THEN control_request_id END AS returned_id
-    FROM judged WHERE line > 3""")
+           CASE WHEN NOT is_internal AND (seen IS NULL OR called > seen) THEN control_request_id END AS returned_id
+    FROM judged WHERE n > 3""")
 def control_submit(p: Plant) -> DataFrame:
-    """Lines 1 to 3 are the audit so far, later lines are submitted to it."""
-    log = p.control_log.withColumn("block", F.col("line")).withColumn(
-        "created_at", instant(_STORED)
-    )
+    """Lines 1 to 3 are the audit so far, later lines are submitted to it; some have no request id or no place."""
+    log = p.control_log.withColumn("created_at", instant(_STORED))
+    log = log.withColumn("control_request_id", F.when(F.col("control_request_id") % 31 > 0, F.col("control_request_id")))
+    log = log.withColumn("arrival", F.when(F.col("point_id") % 97 > 0, F.col("arrival")))
     now = dt.datetime(2024, 1, 1)
-    _, _, outcome = submit_control_requests(log.filter("line <= 3"), log.filter("line > 3"), now, block="block")
+    _, _, outcome = submit_control_requests(log.filter("line <= 3"), log.filter("line > 3"), now)
     at = F.col("arrival")
     return outcome.select(
         "control_request_id",
@@ -203,13 +219,9 @@ def stream_control_queue(p: Plant) -> DataFrame:
            max(event_time) AS last_time
     FROM (SELECT DISTINCT event_time, point_id FROM readings) GROUP BY 1, 2""")
 def stream_readings(p: Plant) -> DataFrame:
-    """Readings streamed into date partitions without duplicate keys."""
-    path = run_dir(p.spark, "stream-readings")
-    live = Plant(p.spark, p.sf_dir)
-    live.__dict__["events"] = parquet_stream(p.spark, f"{p.sf_dir}/events.parquet", p.events.schema)
-    start_readings(live.readings, f"{path}/table", f"{path}/checkpoint", once=True).awaitTermination()
-    stored = p.spark.read.parquet(f"{path}/table")
-    return stored.groupBy("event_date", "point_id").agg(
+    """Readings streamed into the managed table, newest first, without duplicate keys."""
+    table, _ = streamed(p, "stream-readings")
+    return p.spark.table(table).groupBy("event_date", "point_id").agg(
         F.count(F.lit(1)).alias("n"), F.min("event_time").alias("first_time"), F.max("event_time").alias("last_time")
     )
 

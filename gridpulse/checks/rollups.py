@@ -15,7 +15,9 @@ from gridpulse.operators.gapfill import readings_gapfilled
 from gridpulse.operators.rollup import point_history, power_to_energy, readings_rollup
 from gridpulse.session import run_database, run_dir
 from gridpulse.sources.adapters import Plant
-from gridpulse.streaming.rollups import publish, read_published, read_rollup, start_rollup, stream_rollup_1h
+from gridpulse.sources.tables import create_partitioned, with_partition
+from gridpulse.streaming.ingest import start_readings
+from gridpulse.streaming.rollups import publish, read_published, read_rollup
 from gridpulse.streaming.sources import parquet_stream
 
 _VALUES = ("avg_value", "min_value", "max_value", "sum_value", "first_value", "last_value")
@@ -200,13 +202,33 @@ def refresh_window(p: Plant) -> DataFrame:
     return rounded(stored, *_ROLLUP_VALUES)
 
 
-def _streamed(p: Plant, label: str) -> str:
-    """Path of the change log left by a stream over the event files."""
-    path = run_dir(p.spark, label)
+def newest_first(p: Plant, label: str, files: int = 5) -> DataFrame:
+    """The events as a stream of several files, the newest events first, one file per micro-batch."""
+    path = f"{run_dir(p.spark, label)}/events"
+    cuts = p.events.agg(F.percentile_approx("ts", [i / files for i in range(1, files)])).first()[0]
+    for low, high in reversed(list(zip([None, *cuts], [*cuts, None]))):
+        part = p.events
+        part = part if low is None else part.filter(F.col("ts") > F.lit(low))
+        part = part if high is None else part.filter(F.col("ts") <= F.lit(high))
+        part.coalesce(1).write.mode("append").parquet(path)
     live = Plant(p.spark, p.sf_dir)
-    live.__dict__["events"] = parquet_stream(p.spark, f"{p.sf_dir}/events.parquet", p.events.schema)
-    start_rollup(stream_rollup_1h(live.readings), f"{path}/log", f"{path}/checkpoint", once=True).awaitTermination()
-    return f"{path}/log"
+    live.__dict__["events"] = parquet_stream(p.spark, path, p.events.schema, max_files_per_trigger=1)
+    return live.readings
+
+
+def streamed(p: Plant, label: str) -> tuple[str, str]:
+    """The readings table and the change log left by a stream over the events."""
+    table = f"{run_database(p.spark, 'stream')}.point_readings"
+    create_partitioned(p.spark, table, with_partition(p.readings.limit(0), "event_time"))
+    path = run_dir(p.spark, label)
+    query = start_readings(newest_first(p, label), table, f"{path}/checkpoint", once=True, log=f"{path}/log")
+    query.awaitTermination()
+    p.spark.catalog.refreshTable(table)
+    return table, f"{path}/log"
+
+
+def _streamed(p: Plant, label: str) -> str:
+    return streamed(p, label)[1]
 
 
 @query("stream_rollup_1h", _rollup_select("hours", "bucket"))

@@ -12,16 +12,13 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from gridpulse.functions.buckets import instant
 from gridpulse.functions.scalars import is_not_true
-from gridpulse.operators.scans import Running, running
+from gridpulse.operators.scans import Running, in_stretches, running
 from gridpulse.schemas import PARTITIONED, SCHEMAS
 
 _FAR = dt.datetime(9999, 12, 31)
-# Consecutive arrivals judged in one task when arrivals are numbered.
-_STRETCH = 100_000
 
 # Columns a newer submission replaces. Site and creator stay as first submitted.
 QUEUE_KEYS = ["created_at", "control_request_id"]
@@ -67,17 +64,14 @@ def lww_fold(
     )
 
 
-def arrival_stretch(rows: DataFrame, arrival: str, block: str | None = None) -> Column:
-    """A bounded stretch of arrivals: the given column, a run of consecutive
-    numbers, or a day. Other arrival types need `block` to be split up."""
-    if block is not None:
-        return F.col(block)
-    kind = rows.schema[arrival].dataType
-    if isinstance(kind, T.IntegralType):
-        return F.floor(F.col(arrival) / _STRETCH)
-    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
-        return F.to_date(arrival)
-    return F.lit(0)
+def _judged(rows: DataFrame, keys: list[str], ts: Column, arrival: str, block: str | None) -> DataFrame:
+    """Add `_seen`: the newest time among earlier arrivals of the key. Rows of one
+    arrival are taken in the order of their times."""
+    rows = rows.withColumn("_order", F.struct(F.col(arrival), ts.alias("_ts")))
+    if block is None:
+        rows, block = in_stretches(rows, keys, "_order", "_stretch"), "_stretch"
+    seen = running(rows, keys, block, "_order", [Running("_seen", F.col("_order._ts"), "max", inclusive=False)])
+    return seen.drop("_order", "_stretch")
 
 
 def lww_outcome(
@@ -91,16 +85,16 @@ def lww_outcome(
     """Add `accepted`: whether each row replaced what was stored when it arrived.
 
     A row is stale when an earlier arrival of its key is as new or newer. Rows
-    where `counts` is not true neither change the state nor are accepted. `block`
-    names a bounded stretch of arrivals that never decreases along `arrival`; it
-    follows from `arrival` when that is a number or a time.
+    where `counts` is not true neither change the state nor are accepted. Every row is
+    judged: NULL is a key like any other, and NULL arrivals come first. `block` may name
+    a bounded stretch of arrivals that never decreases along `arrival`; without it
+    stretches of about equal size are made, whatever the type of `arrival`.
     """
     ts = F.col(ts_col) if counts is None else F.when(counts, F.col(ts_col))
-    rows = rows.withColumn("_stretch", arrival_stretch(rows, arrival, block))
-    seen = running(rows, keys, "_stretch", arrival, [Running("_seen", ts, "max", inclusive=False)])
+    seen = _judged(rows, keys, ts, arrival, block)
     fresh = F.col("_seen").isNull() | (F.col(ts_col) > F.col("_seen"))
     accepted = fresh if counts is None else F.coalesce(counts, F.lit(False)) & fresh
-    return seen.withColumn("accepted", accepted).drop("_seen", "_stretch")
+    return seen.withColumn("accepted", accepted).drop("_seen")
 
 
 def lww_merge(
@@ -132,11 +126,10 @@ def lww_merge(
     both = old.unionByName(new).select(*keys, *kept, place)
     merged = lww_fold(both, keys, ts_col, payload, first_cols, arrival="_place")
 
-    tagged = updates.withColumn("_stretch", arrival_stretch(updates, arrival, block))
-    state = tagged.join(target.select(*keys, ts.alias("_stored")), keys, "left")
-    seen = running(state, keys, "_stretch", arrival, [Running("_seen", ts, "max", inclusive=False)])
+    state = updates.join(target.select(*keys, ts.alias("_stored")), keys, "left")
+    seen = _judged(state, keys, ts, arrival, block)
     newest = F.greatest(F.col("_seen"), F.col("_stored"))
-    outcome = seen.withColumn("accepted", newest.isNull() | (ts > newest)).drop("_stretch", "_stored", "_seen")
+    outcome = seen.withColumn("accepted", newest.isNull() | (ts > newest)).drop("_stored", "_seen")
     return merged, outcome
 
 

@@ -8,6 +8,7 @@ order, and what earlier blocks contribute is added from one small row per block.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -73,8 +74,23 @@ def running(
         )
         for n, v in zip(names, values)
     }
-    joined = df.join(carry, [*keys, block]).withColumns(out)
-    return joined.drop(*names, *[f"{n}_carry" for n in names])
+    # Null-safe, so that rows without a key or a place in the order are rows like any other.
+    at = [*keys, block]
+    carry = carry.withColumnsRenamed({c: f"_at{i}" for i, c in enumerate(at)})
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_at{i}")) for i, c in enumerate(at)])
+    joined = df.join(carry, same).withColumns(out)
+    return joined.drop(*names, *[f"{n}_carry" for n in names], *[f"_at{i}" for i in range(len(at))])
+
+
+def in_stretches(df: DataFrame, keys: list[str], order: str, out: str) -> DataFrame:
+    """`df` with the number of a stretch of rows that follow each other by keys and order.
+
+    Stretches come from a range partitioning, so they hold about equally many rows
+    whatever the type of `order` and however hot a key is; only rows that are equal in
+    keys and order stay together. The rows are kept in the shared folder, because
+    their numbers must not change.
+    """
+    return checkpointed(df.repartitionByRange(*keys, order).withColumn(out, F.spark_partition_id()))
 
 
 def threshold_changes(deltas: DataFrame, keys: list[str], time: str, delta: str, need: str) -> DataFrame:

@@ -2,33 +2,72 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from gridpulse.session import settings
-from gridpulse.sources.tables import PARTITION_COLUMN
+from gridpulse.functions.buckets import bucket_of
+from gridpulse.operators.rollups import HOUR, ROLLUP_COLUMNS, rollup_1h
+from gridpulse.sources.tables import PARTITION_COLUMN, append, with_partition
 
-# How late a reading may be; later ones are left to an explicit refresh.
-LATENESS = "3 days"
 BATCH = "batch_id"
+KEY = ["event_time", "point_id"]
+TOUCHED = [PARTITION_COLUMN, "point_id", "bucket"]
+
+
+def _dates(rows: DataFrame) -> list:
+    """The partition dates that one micro-batch holds."""
+    return [r[0] for r in rows.select(PARTITION_COLUMN).distinct().collect()]
+
+
+def new_readings(spark: SparkSession, table: str, batch: DataFrame) -> DataFrame:
+    """Rows of the batch, of any age, whose key the table does not hold; one row per key.
+
+    Only the dates that the batch touches are read.
+    """
+    rows = with_partition(batch, "event_time").dropDuplicates(KEY)
+    stored = spark.table(table).filter(F.col(PARTITION_COLUMN).isin(_dates(rows)))
+    return rows.join(stored.select(PARTITION_COLUMN, *KEY), [PARTITION_COLUMN, *KEY], "left_anti")
+
+
+def touched_hours(batch: DataFrame) -> DataFrame:
+    """Date, point and hour of the raw rows of a batch."""
+    raw = with_partition(batch.filter(F.col("reading_type") == "raw"), "event_time")
+    return raw.select(PARTITION_COLUMN, "point_id", bucket_of(F.col("event_time"), HOUR).alias("bucket")).distinct()
+
+
+def recomputed(spark: SparkSession, table: str, touched: DataFrame) -> DataFrame:
+    """The hourly rollup of the touched points and hours, from all their stored readings."""
+    readings = spark.table(table).filter(F.col(PARTITION_COLUMN).isin(_dates(touched)))
+    timed = readings.withColumn("bucket", bucket_of(F.col("event_time"), HOUR))
+    kept = timed.join(touched, TOUCHED, "left_semi").drop("bucket")
+    return rollup_1h(kept).select(*ROLLUP_COLUMNS)
 
 
 def start_readings(
-    readings: DataFrame, path: str, checkpoint: str, delay: str = LATENESS, once: bool = False
+    readings: DataFrame, table: str, checkpoint: str, once: bool = False, log: str | None = None
 ) -> StreamingQuery:
-    """Append new readings to date partitions; the first of equal keys is kept."""
-    with settings(readings.sparkSession, {"spark.sql.session.timeZone": "UTC"}):
-        rows = (
-            readings.withColumn("event_time", F.col("event_time").cast("timestamp"))
-            .withWatermark("event_time", delay)
-            .dropDuplicatesWithinWatermark(["event_time", "point_id"])
-            .withColumn("event_time", F.col("event_time").cast("timestamp_ntz"))
-            .withColumn(PARTITION_COLUMN, F.to_date("event_time"))
-        )
-    writer = rows.writeStream.outputMode("append").partitionBy(PARTITION_COLUMN).format("parquet")
-    writer = writer.option("checkpointLocation", checkpoint).option("path", path)
-    return (writer.trigger(availableNow=True) if once else writer).start()
+    """Append a stream of readings to a managed table; the first of equal keys is kept.
+
+    Readings of any age are taken, as only the key decides. With `log`, the hours
+    that a micro-batch touches, old ones as well, are rolled up anew from the table
+    and written to a change log with a folder per batch. A batch that runs again
+    finds its rows stored, appends none, and writes its folder again.
+    """
+    spark = readings.sparkSession
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()
+        try:
+            append(spark, table, new_readings(spark, table, batch))
+            if log is not None:
+                spark.catalog.refreshTable(table)
+                batch_writer(log)(recomputed(spark, table, touched_hours(batch)), batch_id)
+        finally:
+            batch.unpersist()
+
+    writer = readings.writeStream.option("checkpointLocation", checkpoint)
+    return (writer.trigger(availableNow=True) if once else writer).foreachBatch(write).start()
 
 
 def batch_writer(path: str):
@@ -41,14 +80,14 @@ def batch_writer(path: str):
     return write
 
 
-def start_log(rows: DataFrame, path: str, checkpoint: str, once: bool = False, mode: str = "append") -> StreamingQuery:
+def start_log(rows: DataFrame, path: str, checkpoint: str, once: bool = False) -> StreamingQuery:
     """Append rows to a log, one folder per micro-batch.
 
     Control submissions make the audit this way, and catalog updates their log.
     The live queue or catalog is never written by the stream: it is a fold of the
     log (`control_queue`, `advance_queue`, `lww_merge`), so replays are harmless.
     """
-    writer = rows.writeStream.outputMode(mode).option("checkpointLocation", checkpoint)
+    writer = rows.writeStream.option("checkpointLocation", checkpoint)
     if once:
         writer = writer.trigger(availableNow=True)
     return writer.foreachBatch(batch_writer(path)).start()

@@ -4,46 +4,21 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
 
-from gridpulse.functions.values import any_value_of
 from gridpulse.operators.merge import latest_per_key
-from gridpulse.operators.rollups import ROLLUP_COLUMNS, hourly_aggregates
-from gridpulse.session import settings
+from gridpulse.operators.rollups import ROLLUP_COLUMNS
 from gridpulse.sources.tables import PARTITION_COLUMN, clustered, overwrite_partitions, with_partition
-from gridpulse.streaming.ingest import BATCH, LATENESS, start_log
+from gridpulse.streaming.ingest import BATCH
 
 PUBLISHED = "gridpulse.published_batch"
 KEYS = ["point_id", "bucket"]
 
 
-def stream_rollup_1h(readings: DataFrame, delay: str = LATENESS, deduplicate: bool = True) -> DataFrame:
-    """Hourly statistics per point of a stream of readings.
+def read_rollup(spark: SparkSession, path: str) -> DataFrame:
+    """The current rollup from the log alone: the newest version of every group.
 
-    A repeated (event_time, point_id) counts once; that keeps every key of the
-    delay in state, so leave it out where the source is already free of repeats.
-    Same columns as the batch form.
+    This folds the whole log; `read_published` folds only what is not yet published.
     """
-    # A watermark needs an instant, so the UTC wall clock is read in UTC.
-    with settings(readings.sparkSession, {"spark.sql.session.timeZone": "UTC"}):
-        raw = readings.filter(F.col("reading_type") == "raw")
-        raw = raw.withColumn("event_time", F.col("event_time").cast("timestamp")).withWatermark("event_time", delay)
-        if deduplicate:
-            raw = raw.dropDuplicatesWithinWatermark(["event_time", "point_id"])
-        raw = raw.withColumn("v", any_value_of())
-        hourly = raw.groupBy("point_id", F.window("event_time", "1 hour").alias("w")).agg(
-            *hourly_aggregates(F.col("v"), F.col("event_time"), F.col("data_quality"))
-        )
-        return hourly.withColumn("bucket", F.col("w.start").cast("timestamp_ntz")).select(*ROLLUP_COLUMNS)
-
-
-def start_rollup(hourly: DataFrame, path: str, checkpoint: str, once: bool = False) -> StreamingQuery:
-    """Write the groups touched by each micro-batch as an append-only change log."""
-    return start_log(hourly, path, checkpoint, once, mode="update")
-
-
-def read_rollup(spark: SparkSession, path: str) -> DataFrame:
-    """The current rollup from the log alone: the newest version of every group."""
     return latest_per_key(spark.read.parquet(path), KEYS, F.col(BATCH)).select(*ROLLUP_COLUMNS)
 
 
@@ -75,9 +50,11 @@ def publish(spark: SparkSession, path: str, table: str) -> int:
 
 
 def read_published(spark: SparkSession, path: str, table: str) -> DataFrame:
-    """The current rollup: the table, overlaid with the batches after it."""
-    done = published_batch(spark, table)
-    recent = spark.read.parquet(path).filter(F.col(BATCH) > done)
-    base = spark.table(table).select(*ROLLUP_COLUMNS).withColumn(BATCH, F.lit(done).cast("bigint"))
-    recent = recent.select(*ROLLUP_COLUMNS, F.col(BATCH).cast("bigint").alias(BATCH))
-    return latest_per_key(base.unionByName(recent), KEYS, F.col(BATCH)).select(*ROLLUP_COLUMNS)
+    """The current rollup: the table without the groups that later batches changed, and those.
+
+    Only the later batches are folded; stored rows meet their keys and nothing else.
+    """
+    recent = spark.read.parquet(path).filter(F.col(BATCH) > published_batch(spark, table))
+    newest = latest_per_key(recent, KEYS, F.col(BATCH)).select(*ROLLUP_COLUMNS)
+    kept = spark.table(table).select(*ROLLUP_COLUMNS).join(newest.select(*KEYS), KEYS, "left_anti")
+    return kept.unionByName(newest)

@@ -10,7 +10,7 @@ from gridpulse.schemas import DEFAULTS, SCHEMAS
 from gridpulse.session import run_database
 from gridpulse.sources import tables as tb
 from gridpulse.streaming.ingest import batch_writer, start_readings
-from gridpulse.streaming.rollups import publish, read_published, read_rollup, start_rollup, stream_rollup_1h
+from gridpulse.streaming.rollups import publish, read_published, read_rollup
 from gridpulse.streaming.sources import parquet_stream
 
 NOW = at("00:00")
@@ -170,33 +170,48 @@ def _batches(readings, path, *batches):
         readings(*batch).coalesce(1).write.mode("append").parquet(path)
 
 
-def test_stream_equals_batch_over_several_triggers(spark, readings, tmp_path):
-    src, out, ck = (str(tmp_path / n) for n in ("src", "out", "ck"))
+@pytest.fixture
+def ingest(spark, readings, tmp_path):
+    """Streams batches of rows into a table and its change log, a trigger per batch."""
+    table = f"{run_database(spark, 'test_ingest')}.point_readings"
+    tb.create_partitioned(spark, table, tb.with_partition(readings((at("10:00"), "p", 1.0)).limit(0), "event_time"))
+    src, log, ck = (str(tmp_path / n) for n in ("src", "log", "ck"))
+
+    def run(*batches):
+        for batch in batches:
+            _batches(readings, src, batch)
+            stream = parquet_stream(spark, src, spark.read.parquet(src).schema, max_files_per_trigger=1)
+            start_readings(stream, table, ck, once=True, log=log).awaitTermination()
+        spark.catalog.refreshTable(table)
+        return table, log
+
+    return run
+
+
+def test_stream_equals_batch_over_several_triggers(spark, readings, ingest):
     everything = [(at("00:00") + dt.timedelta(minutes=7 * i), "pq"[i % 2], float(i), ["online", "error"][i % 3 == 0]) for i in range(300)]
-    for part in (everything[0::3], everything[1::3], everything[2::3]):
-        _batches(readings, src, part)
-        stream = parquet_stream(spark, src, spark.read.parquet(src).schema)
-        start_rollup(stream_rollup_1h(stream), out, ck, once=True).awaitTermination()
+    _, out = ingest(everything[0::3], everything[1::3], everything[2::3])
     assert rows(read_rollup(spark, out), *read_rollup(spark, out).columns) == rows(
         rollup_1h(readings(*everything)), *read_rollup(spark, out).columns
     )
 
 
-def test_stream_ignores_repeats_and_heartbeats(spark, readings, tmp_path):
-    src, out, ck = (str(tmp_path / n) for n in ("src", "out", "ck"))
-    _batches(readings, src, [(at("10:00"), "p", 1.0), (at("10:05"), "p", 9.0, "online", "heartbeat")], [(at("10:00"), "p", 1.0)])
-    stream = parquet_stream(spark, src, spark.read.parquet(src).schema, max_files_per_trigger=1)
-    start_rollup(stream_rollup_1h(stream), out, ck, once=True).awaitTermination()
+def test_stream_ignores_repeats_and_heartbeats(spark, ingest):
+    _, out = ingest([(at("10:00"), "p", 1.0), (at("10:05"), "p", 9.0, "online", "heartbeat")], [(at("10:00"), "p", 1.0)])
     assert rows(read_rollup(spark, out), "n", "sum_value") == [(1, 1.0)]
 
 
-def test_late_rows_are_dropped_beyond_the_delay(spark, readings, tmp_path):
-    src, out, ck = (str(tmp_path / n) for n in ("src", "out", "ck"))
-    for batch in ([(at("10:00"), "p", 1.0)], [(at("10:00") + 10 * ONE, "p", 2.0)], [(at("10:30"), "p", 5.0)]):
-        _batches(readings, src, batch)
-        stream = parquet_stream(spark, src, spark.read.parquet(src).schema)
-        start_rollup(stream_rollup_1h(stream), out, ck, once=True).awaitTermination()
-    assert rows(read_rollup(spark, out), "bucket", "sum_value") == [(at("10:00"), 1.0), (at("10:00") + 10 * ONE, 2.0)]
+def test_readings_of_any_age_are_kept(spark, ingest):
+    """Later files hold readings 17 and 18 days older; all land, and their hours are rolled up."""
+    batches = [[(at("10:00") - d * ONE + dt.timedelta(minutes=i), "p", 1.0) for i in range(3)] for d in (0, 17, 18, 17)]
+    table, out = ingest(*batches)
+    assert spark.table(table).count() == 9
+    assert rows(read_rollup(spark, out), "bucket", "n") == [(at("10:00") - 18 * ONE, 3), (at("10:00") - 17 * ONE, 3), (at("10:00"), 3)]
+
+
+def test_a_late_row_repairs_its_hour(spark, ingest):
+    _, out = ingest([(at("10:00"), "p", 1.0)], [(at("10:00") + 10 * ONE, "p", 2.0)], [(at("10:30"), "p", 5.0)])
+    assert rows(read_rollup(spark, out), "bucket", "sum_value") == [(at("10:00"), 6.0), (at("10:00") + 10 * ONE, 2.0)]
 
 
 def test_replayed_batch_counts_once(spark, readings, tmp_path):
@@ -207,14 +222,10 @@ def test_replayed_batch_counts_once(spark, readings, tmp_path):
     assert rows(read_rollup(spark, out), "n") == [(1,)]
 
 
-def test_streamed_readings_land_once(spark, readings, tmp_path):
-    src, out, ck = (str(tmp_path / n) for n in ("src", "out", "ck"))
-    _batches(readings, src, [(at("10:00"), "p", 1.0)], [(at("10:00"), "p", 2.0), (at("11:00"), "p", 3.0)])
-    stream = parquet_stream(spark, src, spark.read.parquet(src).schema)
-    start_readings(stream, out, ck, once=True).awaitTermination()
-    start_readings(parquet_stream(spark, src, spark.read.parquet(src).schema), out, ck, once=True).awaitTermination()
-    assert rows(spark.read.parquet(out), "event_time", "event_date") == [
-        (at("10:00"), dt.date(2024, 1, 5)), (at("11:00"), dt.date(2024, 1, 5))
+def test_streamed_readings_land_once(spark, ingest):
+    table, _ = ingest([(at("10:00"), "p", 1.0)], [(at("10:00"), "p", 2.0), (at("11:00"), "p", 3.0)])
+    assert rows(spark.table(table), "event_time", "event_date", "value_double") == [
+        (at("10:00"), dt.date(2024, 1, 5), 1.0), (at("11:00"), dt.date(2024, 1, 5), 3.0)
     ]
 
 

@@ -60,8 +60,7 @@ def test_replay_equals_row_by_row(spark, seed):
 
 
 @pytest.mark.parametrize("kind", ["int", "timestamp_ntz", "string"])
-def test_outcome_for_numbered_timed_and_other_arrivals(spark, monkeypatch, kind):
-    monkeypatch.setattr(m, "_STRETCH", 4)
+def test_outcome_for_numbered_timed_and_other_arrivals(spark, kind):
     rng = random.Random(9)
     data = [("k" if rng.random() < 0.6 else "j", at(f"{rng.randrange(12)}:00"), i) for i in range(50)]
     place = {"int": lambda i: i, "timestamp_ntz": lambda i: at("00:00") + dt.timedelta(hours=7 * i), "string": lambda i: f"{i:04d}"}[kind]
@@ -169,3 +168,16 @@ def test_advancing_a_stored_queue_equals_the_full_fold(spark):
     first = m.control_queue(spark.createDataFrame(calls[:30], CALLS))
     after = m.advance_queue(first, spark.createDataFrame(calls[30:], CALLS))
     assert rows(after, *full.columns) == rows(full, *full.columns)
+
+
+def test_null_keys_and_arrivals_are_judged(spark):
+    data = [(None, at("01:00"), 1), (None, at("02:00"), 2), (None, at("02:00"), 3), ("k", at("03:00"), None), ("k", at("04:00"), None), ("k", at("03:30"), 1)]
+    df = spark.createDataFrame(data, "key string, updated_at timestamp_ntz, arrival int")
+    got = rows(m.lww_outcome(df, ["key"], "updated_at"), "key", "updated_at", "arrival", "accepted")
+    assert got == [
+        (None, at("01:00"), 1, True), (None, at("02:00"), 2, True), (None, at("02:00"), 3, False),
+        ("k", at("03:00"), None, True), ("k", at("03:30"), 1, False), ("k", at("04:00"), None, True),
+    ]
+    target = spark.createDataFrame([("k", "old", at("03:15"))], ROWS)
+    merged, outcome = m.lww_merge(target, df.withColumn("name", F.lit("new")), ["key"], "updated_at", ["name"])
+    assert outcome.count() == 6 and rows(merged, "key", "updated_at") == [(None, at("02:00")), ("k", at("04:00"))]
