@@ -197,7 +197,7 @@ def refresh_window(p: Plant) -> DataFrame:
     """History up to five days ago, then the scheduled trailing window: the stretch
     between the two stays empty until an explicit refresh covers it."""
     hourly, _ = materialised(p, p.now - dt.timedelta(days=5))
-    tables.refresh_due(p.spark, hourly, p.readings, p.now, "1h")
+    tables.refresh_due(p.spark, hourly, p.readings, p.now, "1h", retention_days=45)
     stored = p.spark.table(hourly).select(*tables.ROLLUP_COLUMNS)
     return rounded(stored, *_ROLLUP_VALUES)
 

@@ -324,12 +324,19 @@ def stable_ids(p: Plant) -> DataFrame:
 
 
 @query("config_typed", """
-    SELECT key, value AS as_text, TRY_CAST(value AS INTEGER) AS as_int, TRY_CAST(value AS DOUBLE) AS as_float
+    SELECT key, value AS as_text, TRY_CAST(value AS INTEGER) AS as_int, TRY_CAST(value AS DOUBLE) AS as_float,
+           CASE WHEN value LIKE '% Minutes' THEN CAST(split_part(value, ' ', 1) AS BIGINT) * 60
+                WHEN value LIKE '% day' THEN CAST(split_part(value, ' ', 1) AS BIGINT) * 86400 END AS as_interval_s
     FROM (SELECT p_name || ' ' || p_partkey AS key,
-                 CASE WHEN p_size < 25 THEN CAST(p_size AS VARCHAR) ELSE p_name END AS value FROM part)""")
+                 CASE WHEN p_size < 15 THEN CAST(p_size AS VARCHAR) WHEN p_size < 25 THEN p_size || ' Minutes'
+                      WHEN p_size < 30 THEN p_size || ' day' ELSE p_name END AS value FROM part)""")
 def config_typed(p: Plant) -> DataFrame:
-    """Parts as config rows: some values are numbers, some are names."""
-    value = F.when(F.col("p_size") < 25, F.col("p_size").cast("string")).otherwise(F.col("p_name"))
+    """Parts as config rows: some values are numbers, some intervals, some names."""
+    size = F.col("p_size").cast("string")
+    value = (
+        F.when(F.col("p_size") < 15, size).when(F.col("p_size") < 25, F.concat(size, F.lit(" Minutes")))
+        .when(F.col("p_size") < 30, F.concat(size, F.lit(" day"))).otherwise(F.col("p_name"))
+    )
     key = F.concat_ws(" ", "p_name", F.col("p_partkey").cast("string"))
     return config_columns(p.base("part").select(key.alias("key"), value.alias("value")))
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridpulse.functions.buckets import Bucket, bucket_of, ceil_to, floor_to, instant
@@ -14,7 +14,8 @@ from gridpulse.sources.tables import (
     PARTITION_COLUMN,
     clustered,
     in_range,
-    overwrite_partitions,
+    partition_files,
+    replace_partitions,
     with_partition,
 )
 
@@ -123,22 +124,28 @@ def refresh(
     kept = stored.filter(day.isin(*edges) & outside)
 
     fresh = with_partition(build(in_range(source, time_col, low, high)), "bucket")
-    written = Observation()
+    inside = [d for d in partitions(spark, table) if (low is None or d >= low.date()) and d <= last_day]
+    found = partition_files(spark, table, inside) if inside else {}
     rows = clustered(fresh.select(*stored.columns).unionByName(kept), "point_id", "bucket")
-    overwrite_partitions(spark, table, rows.observe(written, F.collect_set(day).alias("days")))
-    days = {str(d) for d in written.get["days"]}
-
-    for part in partitions(spark, table):
-        if (low is None or part >= low.date()) and part <= last_day and str(part) not in days:
-            spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({PARTITION_COLUMN}='{part}')")
+    done, left = replace_partitions(spark, table, rows, found)
+    if left:
+        raise RuntimeError(f"{table} was written to while it was refreshed; not replaced: {left}")
+    for part in set(inside) - set(done):
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({PARTITION_COLUMN}='{part}')")
     spark.catalog.refreshTable(table)
     before = watermark(spark, table)
     mark = high if before is None else max(high, before)
     spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{WATERMARK}'='{mark.isoformat()}')")
 
 
-def refresh_due(spark: SparkSession, table: str, source: DataFrame, now: dt.datetime, level: str) -> None:
-    """The refresh a caller schedules: a trailing window that leaves the newest bucket alone."""
+def refresh_due(
+    spark: SparkSession, table: str, source: DataFrame, now: dt.datetime, level: str, retention_days: int | None = None
+) -> None:
+    """The refresh a caller schedules: a trailing window that leaves the newest bucket alone.
+
+    With the days that the source is kept, a window that reaches past them is an error.
+    """
+    check_refresh_within_retention(level, retention_days)
     back, ahead = REFRESH_WINDOWS[level]
     refresh(spark, table, source, now - back, now - ahead, level)
 

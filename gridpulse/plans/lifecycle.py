@@ -17,11 +17,13 @@ from gridpulse.functions.scalars import gib, percent, percent_saved, ratio
 from gridpulse.operators.merge import insert_if_absent, latest_per_key
 from gridpulse.operators.rollups import partitions
 from gridpulse.schemas import CLUSTERING, COMPACT_AFTER_DAYS, PARTITIONED, RETENTION_DAYS, SCHEMAS
-from gridpulse.sources.tables import PARTITION_COLUMN, clustered, overwrite_partitions, table_days
+from gridpulse.sources.tables import PARTITION_COLUMN, clustered, files, partition_files, replace_partitions, table_days
 
 DEFAULT_AGE = dt.timedelta(days=7)
 # Size of a compacted file, which also bounds what one task sorts.
 TARGET_FILE_BYTES = 256 * 1024 * 1024
+#: What one compaction job takes at most, so that a failure repeats little.
+GROUP_BYTES, GROUP_DATES = 64 * 1024**3, 32
 _DROP_BATCH = 500
 
 
@@ -38,11 +40,6 @@ def _log(spark: SparkSession, table: str, kind: str, rows: list[tuple]) -> None:
     spark.createDataFrame(rows, SCHEMAS[kind]).coalesce(1).write.mode("append").insertInto(table)
 
 
-def table_location(spark: SparkSession, table: str) -> str:
-    rows = spark.sql(f"DESCRIBE FORMATTED {table}").filter("col_name = 'Location'").collect()
-    return rows[0]["data_type"]
-
-
 def range_end(table: str, start: dt.date) -> dt.datetime:
     """Exclusive end of the partition that starts on `start`."""
     days = table_days(table)[1]
@@ -52,13 +49,6 @@ def range_end(table: str, start: dt.date) -> dt.datetime:
 # -- inventory ---------------------------------------------------------------
 
 
-def files(spark: SparkSession, table: str) -> DataFrame:
-    """One row per data file, from file listings only; no data is read."""
-    reader = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true")
-    day = F.regexp_extract("path", f"{PARTITION_COLUMN}=([0-9-]+)", 1).cast("date")
-    return reader.load(table_location(spark, table)).select(day.alias(PARTITION_COLUMN), "path", "length")
-
-
 def compacted_dates(spark: SparkSession, log_table: str, table: str) -> DataFrame:
     """Partition dates whose latest logged action is a compaction."""
     log = spark.table(log_table).filter(F.col("table_name") == short_name(table))
@@ -146,36 +136,58 @@ def clustering_settings(spark: SparkSession) -> DataFrame:
 # -- compaction --------------------------------------------------------------
 
 
-def _sizes(spark: SparkSession, table: str, dates: list[dt.date]) -> dict[dt.date, int]:
-    rows = files(spark, table).filter(F.col(PARTITION_COLUMN).isin(dates))
-    return dict(rows.groupBy(PARTITION_COLUMN).agg(F.sum("length")).collect())
-
+def _rewrite(
+    spark: SparkSession, table: str, dates: list[dt.date], action: str, log_table: str, now: dt.datetime
+) -> list[dt.date]:
+    """Rewrite the partitions in small groups, each logged when done; returns those rewritten.
 
-def _rewrite(spark: SparkSession, table: str, dates: list[dt.date], action: str, log_table: str, now: dt.datetime) -> None:
-    if not dates:
-        return
+    A partition that is appended to meanwhile is left for the next run, and one
+    without files has nothing to rewrite.
+    """
     segment, order = CLUSTERING[short_name(table)]
-    rows = spark.table(table).filter(F.col(PARTITION_COLUMN).isin(dates))
     newest_first = F.col(order).desc()
-    before = _sizes(spark, table, dates)
-    if action == "compact":
-        # Ranges over date, segment and time: a hot segment is cut into several
-        # files, and every file covers a narrow range that readers can skip.
-        parts = max(len(dates), math.ceil(sum(before.values()) / TARGET_FILE_BYTES))
-        laid = rows.repartitionByRange(parts, PARTITION_COLUMN, segment, newest_first)
-        laid = laid.sortWithinPartitions(PARTITION_COLUMN, segment, newest_first)
-    else:
-        laid = clustered(rows, order)
-    overwrite_partitions(spark, table, laid)
-    spark.catalog.refreshTable(table)
-    after = _sizes(spark, table, dates)
-    name = short_name(table)
-    _log(spark, log_table, "compaction_logs", [(now, name, d, action, before[d], after[d]) for d in dates])
+    done: list[dt.date] = []
+    for group in _groups(partition_files(spark, table, dates) if dates else {}):
+        chosen = list(group)
+        rows = spark.table(table).filter(F.col(PARTITION_COLUMN).isin(chosen))
+        size = {d: sum(f.values()) for d, f in group.items()}
+        if action == "compact":
+            # Ranges over date, segment and time: a hot segment is cut into several
+            # files, and every file covers a narrow range that readers can skip.
+            parts = max(len(chosen), math.ceil(sum(size.values()) / TARGET_FILE_BYTES))
+            laid = rows.repartitionByRange(parts, PARTITION_COLUMN, segment, newest_first)
+            laid = laid.sortWithinPartitions(PARTITION_COLUMN, segment, newest_first)
+        else:
+            laid = clustered(rows, order)
+        replaced, _ = replace_partitions(spark, table, laid, group)
+        after = partition_files(spark, table, replaced) if replaced else {}
+        name = short_name(table)
+        logged = [(now, name, d, action, size[d], sum(after.get(d, {}).values())) for d in replaced]
+        if logged:
+            _log(spark, log_table, "compaction_logs", logged)
+        done += replaced
+    return done
 
 
-def compact_partitions(spark: SparkSession, table: str, dates: list[dt.date], log_table: str, now: dt.datetime) -> None:
-    """Rewrite the given partitions clustered by segment and sorted newest first."""
-    _rewrite(spark, table, dates, "compact", log_table, now)
+def _groups(found: dict[dt.date, dict[str, int]]) -> list[dict[dt.date, dict[str, int]]]:
+    """Partitions in order, drawn together up to GROUP_BYTES or GROUP_DATES a job."""
+    out: list[dict] = []
+    size = 0
+    for day in sorted(found):
+        own = sum(found[day].values())
+        if not out or size + own > GROUP_BYTES or len(out[-1]) == GROUP_DATES:
+            out.append({})
+            size = 0
+        out[-1][day] = found[day]
+        size += own
+    return out
+
+
+def compact_partitions(
+    spark: SparkSession, table: str, dates: list[dt.date], log_table: str, now: dt.datetime
+) -> list[dt.date]:
+    """Rewrite the given partitions clustered by segment and sorted newest first; returns those done."""
+    return _rewrite(spark, table, dates, "compact", log_table, now)
 
 
 def uncompact_partitions(
@@ -184,8 +196,7 @@ def uncompact_partitions(
     """Put compacted partitions (all, or the given ones) back into time order."""
     done = [r[0] for r in compacted_dates(spark, log_table, table).collect()]
     chosen = sorted(d for d in done if dates is None or d in dates)
-    _rewrite(spark, table, chosen, "uncompact", log_table, now)
-    return chosen
+    return _rewrite(spark, table, chosen, "uncompact", log_table, now)
 
 
 def compact_eligible(
@@ -197,8 +208,8 @@ def compact_eligible(
 ) -> dict[str, list[dt.date]]:
     """Compact every hot partition whose range ended before now minus the age.
 
-    The age is `older_than`, else the table's policy, else seven days. One job
-    per table; partitions already compacted are skipped. Returns what was done.
+    The age is `older_than`, else the table's policy, else seven days. A job takes a
+    small group of partitions; those already compacted are skipped. Returns what was done.
     """
     done: dict[str, list[dt.date]] = {}
     for table in tables:
@@ -207,8 +218,7 @@ def compact_eligible(
         age = older_than or (dt.timedelta(days=policy) if policy is not None else DEFAULT_AGE)
         already = {r[0] for r in compacted_dates(spark, log_table, table).collect()}
         due = [d for d in partitions(spark, table) if d not in already and range_end(table, d) < now - age]
-        compact_partitions(spark, table, due, log_table, now)
-        done[table] = due
+        done[table] = compact_partitions(spark, table, due, log_table, now)
     return done
 
 

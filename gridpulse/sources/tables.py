@@ -3,16 +3,19 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gridpulse.functions.buckets import Bucket, bucket_of, floor_to, instant
 from gridpulse.schemas import DEFAULTS, PARTITIONED, SCHEMAS
-from gridpulse.session import checkpointed, settings
+from gridpulse.session import checkpointed
 
 PARTITION_COLUMN = "event_date"
+#: Units of interval settings.
+INTERVAL_SECONDS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400, "week": 604800}
 
 
 def read_table(spark: SparkSession, name: str, path: str) -> DataFrame:
@@ -106,11 +109,60 @@ def table_days(name: str) -> tuple[str, int]:
     return PARTITIONED[name.split(".")[-1]]
 
 
-def overwrite_partitions(spark: SparkSession, table: str, df: DataFrame) -> None:
-    """Replace the partitions present in `df`; reading `table` itself is safe,
-    because new files are staged and swapped in when the job commits."""
-    with settings(spark, {"spark.sql.sources.partitionOverwriteMode": "dynamic"}):
-        df.select(*spark.table(table).columns).write.mode("overwrite").insertInto(table)
+def table_location(spark: SparkSession, table: str) -> str:
+    rows = spark.sql(f"DESCRIBE FORMATTED {table}").filter("col_name = 'Location'").collect()
+    return rows[0]["data_type"]
+
+
+def files(spark: SparkSession, table: str) -> DataFrame:
+    """(event_date, path, length) of the table's data files; no column is read."""
+    meta = F.col("_metadata")
+    return spark.table(table).select(
+        PARTITION_COLUMN, meta["file_path"].alias("path"), meta["file_size"].alias("length")
+    ).distinct()
+
+
+def partition_files(spark: SparkSession, table: str, dates: list[dt.date]) -> dict[dt.date, dict[str, int]]:
+    """Files and their sizes of the given partitions, as they are now."""
+    spark.catalog.refreshTable(table)
+    found: dict[dt.date, dict[str, int]] = {}
+    for day, path, length in files(spark, table).filter(F.col(PARTITION_COLUMN).isin(dates)).collect():
+        found.setdefault(day, {})[path] = length
+    return found
+
+
+def replace_partitions(
+    spark: SparkSession, table: str, df: DataFrame, before: dict[dt.date, dict[str, int]]
+) -> tuple[list[dt.date], list[dt.date]]:
+    """Replace the partitions present in `df`, one by one; returns those replaced and those left alone.
+
+    The rows are written beside the table, under a name of their own, and each partition is then
+    pointed at its new files, so readers see the old or the new ones and a failed job
+    changes nothing. `before` lists the files that `df` was made from; a partition
+    whose files have changed since is left alone, so rows appended meanwhile are not
+    lost, and the caller may run again. Old files stay
+    where they are, for readers that still use them.
+    """
+    root = f"{table_location(spark, table)}/_versions/{uuid.uuid4().hex}"
+    written = Observation()
+    rows = df.select(*spark.table(table).columns).observe(written, F.collect_set(PARTITION_COLUMN).alias("days"))
+    rows.write.partitionBy(PARTITION_COLUMN).option("compression", "zstd").parquet(root)
+    days = sorted(written.get["days"] or [])
+    now = partition_files(spark, table, days) if days else {}
+    known = {r[0].split("=", 1)[1] for r in spark.sql(f"SHOW PARTITIONS {table}").collect()}
+    done, left = [], []
+    for day in days:
+        if now.get(day, {}) != before.get(day, {}):
+            left.append(day)
+            continue
+        part, place = f"PARTITION ({PARTITION_COLUMN}='{day}')", f"{root}/{PARTITION_COLUMN}={day}"
+        if str(day) in known:
+            spark.sql(f"ALTER TABLE {table} {part} SET LOCATION '{place}'")
+        else:
+            spark.sql(f"ALTER TABLE {table} ADD {part} LOCATION '{place}'")
+        done.append(day)
+    spark.catalog.refreshTable(table)
+    return done, left
 
 
 def staged(df: DataFrame, view: str) -> DataFrame:
@@ -140,15 +192,24 @@ def config_value(config: DataFrame, key: str, kind: str = "text") -> object:
 
 
 def config_columns(config: DataFrame) -> DataFrame:
-    """Every config row read as text, integer and float at once."""
+    """Every config row read as text, integer, float and seconds of an interval at once."""
     return config.select(
         "key",
         F.col("value").alias("as_text"),
         F.expr("try_cast(value AS INT)").alias("as_int"),
         F.expr("try_cast(value AS DOUBLE)").alias("as_float"),
+        _interval_seconds(F.col("value")).alias("as_interval_s"),
     )
 
 
+def _interval_seconds(text: Column) -> Column:
+    """Seconds of a width like `15 minutes`; NULL for other texts."""
+    number = F.regexp_extract(F.lower(text), r"^\s*(\d+)\s*(second|minute|hour|day|week)s?\s*$", 1)
+    unit = F.regexp_extract(F.lower(text), r"^\s*(\d+)\s*(second|minute|hour|day|week)s?\s*$", 2)
+    seconds = F.create_map(*[F.lit(x) for pair in INTERVAL_SECONDS.items() for x in pair])
+    return F.when(number != "", number.cast("bigint") * seconds[unit])
+
+
 def time_series(df: DataFrame, start: Column, stop: Column, step: Column, name: str) -> DataFrame:
     """One row per step from `start` to `stop`, both included, for every input row."""
     return df.withColumn(name, F.explode(F.sequence(start, stop, step)))

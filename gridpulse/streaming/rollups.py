@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from gridpulse.operators.merge import latest_per_key
 from gridpulse.operators.rollups import ROLLUP_COLUMNS
-from gridpulse.sources.tables import PARTITION_COLUMN, clustered, overwrite_partitions, with_partition
+from gridpulse.sources.tables import PARTITION_COLUMN, clustered, partition_files, replace_partitions, with_partition
 from gridpulse.streaming.ingest import BATCH
 
 PUBLISHED = "gridpulse.published_batch"
@@ -42,9 +42,11 @@ def publish(spark: SparkSession, path: str, table: str) -> int:
     changed = with_partition(newest.select(*ROLLUP_COLUMNS), "bucket")
     dates = [r[0] for r in changed.select(PARTITION_COLUMN).distinct().collect()]
     stored = spark.table(table).filter(F.col(PARTITION_COLUMN).isin(dates))
+    before = partition_files(spark, table, dates)
     kept = stored.join(changed.select(*KEYS), KEYS, "left_anti").select(*changed.columns)
-    overwrite_partitions(spark, table, clustered(changed.unionByName(kept), *KEYS))
-    spark.catalog.refreshTable(table)
+    _, left = replace_partitions(spark, table, clustered(changed.unionByName(kept), *KEYS), before)
+    if left:
+        raise RuntimeError(f"{table} was written to while it was published to; not replaced: {left}")
     spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{PUBLISHED}'='{last}')")
     return last
 

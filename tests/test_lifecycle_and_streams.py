@@ -3,7 +3,7 @@ import datetime as dt
 import pytest
 
 from conftest import at, rows
-from gridpulse.operators.rollups import create_rollup, partitions, rollup_1h
+from gridpulse.operators.rollups import create_rollup, partitions, refresh_due, rollup_1h
 from gridpulse.plans import lifecycle as lc
 from gridpulse.plans import reports as rp
 from gridpulse.schemas import DEFAULTS, SCHEMAS
@@ -61,6 +61,65 @@ def test_compacted_files_are_clustered(spark, stored):
         assert got == sorted(got, key=lambda r: (r[0], -r[1].timestamp()))
 
 
+def test_an_append_during_a_rewrite_is_not_lost(spark, stored, readings, monkeypatch):
+    _, table, log, _ = stored(20, 21)
+    real = tb.partition_files
+    calls = []
+
+    def interrupted(spark_, table_, dates):
+        if calls == [1]:  # after the rows were written, before any partition is replaced
+            row = (NOW - 21 * ONE + dt.timedelta(hours=9), "late", 9.0)
+            tb.append(spark, table, tb.with_partition(readings(row), "event_time"))
+        calls.append(1)
+        return real(spark_, table_, dates)
+
+    monkeypatch.setattr(tb, "partition_files", interrupted)
+    monkeypatch.setattr(lc, "partition_files", interrupted)
+    assert lc.compact_eligible(spark, [table], log, NOW) == {table: [_date(21)]}
+    monkeypatch.undo()
+    assert spark.table(table).count() == 13
+    assert lc.compact_eligible(spark, [table], log, NOW) == {table: [_date(20)]}
+    assert spark.table(table).count() == 13
+    tb.append(spark, table, tb.with_partition(readings((NOW - 21 * ONE, "later", 1.0)), "event_time"))
+    spark.catalog.refreshTable(table)
+    assert spark.table(table).count() == 14
+
+
+def test_a_failure_before_the_swap_changes_nothing(spark, stored, monkeypatch):
+    _, table, log, _ = stored(20)
+    before = rows(spark.table(table), "event_time", "point_id", "value_double")
+    calls = []
+
+    def failing(spark_, table_, dates, real=tb.partition_files):
+        calls.append(1)
+        if len(calls) == 2:
+            raise OSError("gone")
+        return real(spark_, table_, dates)
+
+    monkeypatch.setattr(tb, "partition_files", failing)
+    monkeypatch.setattr(lc, "partition_files", failing)
+    with pytest.raises(OSError):
+        lc.compact_eligible(spark, [table], log, NOW)
+    monkeypatch.undo()
+    spark.catalog.refreshTable(table)
+    assert rows(spark.table(table), "event_time", "point_id", "value_double") == before
+    assert spark.table(log).count() == 0
+
+
+def test_a_partition_without_files_is_skipped(spark, stored):
+    _, table, log, _ = stored(20)
+    spark.sql(f"ALTER TABLE {table} ADD PARTITION (event_date='2023-01-01')")
+    assert lc.compact_eligible(spark, [table], log, NOW) == {table: [_date(20)]}
+    assert spark.table(table).count() == 6
+
+
+def test_refresh_stays_within_retention(spark, stored):
+    db, table, *_ = stored(1)
+    create_rollup(spark, f"{db}.readings_1h", rollup_1h(spark.table(table)))
+    with pytest.raises(ValueError):
+        refresh_due(spark, f"{db}.readings_1h", spark.table(table), NOW, "1h", retention_days=2)
+
+
 def test_uncompact(spark, stored):
     _, table, log, _ = stored(8, 9)
     lc.compact_eligible(spark, [table], log, NOW)
