@@ -66,12 +66,14 @@ def partition_inventory(spark: SparkSession, table: str, log_table: str) -> Data
     sized = files(spark, table).groupBy(PARTITION_COLUMN).agg(
         F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes")
     )
-    return sized.join(state, PARTITION_COLUMN, "left").select(
+    held = spark.table(table).groupBy(PARTITION_COLUMN).agg(F.count(F.lit(1)).alias("rows"))
+    return sized.join(held, PARTITION_COLUMN).join(state, PARTITION_COLUMN, "left").select(
         F.lit(name).alias("parent_object"),
         F.lit(kind).alias("parent_type"),
         F.col(PARTITION_COLUMN).alias("partition_date"),
         "files",
         "bytes",
+        "rows",
         gib("bytes").alias("gib"),
         F.when(F.col("_c"), "Compacted").otherwise("Hot").alias("state"),
         start.alias("range_start"),
@@ -81,13 +83,16 @@ def partition_inventory(spark: SparkSession, table: str, log_table: str) -> Data
 
 
 def table_sizes(inventory: DataFrame) -> DataFrame:
-    """Partitions and bytes per table, split into hot and compacted."""
+    """Partitions, bytes and rows per table, split into hot and compacted."""
     hot = F.col("state") == "Hot"
     return inventory.groupBy("parent_object", "parent_type").agg(
         F.sum("bytes").alias("total_bytes"),
         gib(F.sum("bytes")).alias("total_gib"),
         F.sum(F.when(hot, F.col("bytes")).otherwise(0)).alias("hot_bytes"),
         F.sum(F.when(hot, 0).otherwise(F.col("bytes"))).alias("compacted_bytes"),
+        F.sum("rows").alias("rows"),
+        F.sum(F.when(hot, F.col("rows")).otherwise(0)).alias("hot_rows"),
+        F.sum(F.when(hot, 0).otherwise(F.col("rows"))).alias("compacted_rows"),
         F.count_if(hot).alias("hot_partitions"),
         F.count_if(~hot).alias("compacted_partitions"),
     )
@@ -287,7 +292,7 @@ def run_statistics(log: DataFrame) -> DataFrame:
     )
 
 
-def recent_errors(log: DataFrame, limit: int = 50) -> DataFrame:
+def recent_errors(log: DataFrame, limit: int) -> DataFrame:
     """Newest failures first."""
     bad = log.filter(F.col("error_message").isNotNull())
     return bad.orderBy(F.col("executed_at").desc_nulls_last(), "table_name").limit(limit)

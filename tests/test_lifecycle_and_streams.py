@@ -145,7 +145,7 @@ def test_retention_drops_whole_partitions_and_logs(spark, stored):
     stats = {r["table_name"]: r for r in lc.run_statistics(spark.table(log)).collect()}
     assert (stats["point_readings"]["total_runs"], stats["point_readings"]["last_status"]) == (2, "no_chunks_eligible")
     assert (stats["nonsense"]["total_failures"], stats["nonsense"]["last_success"]) == (1, None)
-    assert rows(lc.recent_errors(spark.table(log)), "table_name") == [("control_requests",), ("nonsense",)]
+    assert rows(lc.recent_errors(spark.table(log), 50), "table_name") == [("control_requests",), ("nonsense",)]
     assert rows(lc.latest_runs(spark.table(log)), "table_name", "status")[-1] == ("point_readings", "no_chunks_eligible")
 
 
