@@ -15,7 +15,7 @@ from gridpulse.operators.gapfill import readings_gapfilled
 from gridpulse.operators.rollup import point_history, power_to_energy, readings_rollup
 from gridpulse.session import run_database, run_dir
 from gridpulse.sources.adapters import Plant
-from gridpulse.sources.tables import create_partitioned, with_partition
+from gridpulse.sources.tables import create_partitioned, read_table, table_location, with_partition
 from gridpulse.streaming.ingest import start_readings
 from gridpulse.streaming.rollups import publish, read_published, read_rollup
 from gridpulse.streaming.sources import parquet_stream
@@ -251,3 +251,120 @@ def stream_published(p: Plant) -> DataFrame:
 def stream_daily(p: Plant) -> DataFrame:
     """Days built from the streamed hours."""
     return rounded(tables.rollup_1d(read_rollup(p.spark, _streamed(p, "stream-daily"))), *_ROLLUP_VALUES)
+
+
+# -- clocks that change, and ranges that cut ---------------------------------
+
+_ORDER_READINGS = """
+    SELECT o_orderdate + to_minutes(CAST(o_orderkey * 37 % 1440 AS BIGINT)) AS event_time, o_custkey % 40 AS point_id,
+           CASE o_custkey % 3 WHEN 0 THEN 'America/Chicago' WHEN 1 THEN 'Europe/Berlin' ELSE 'Australia/Sydney' END AS order_zone,
+           o_totalprice AS v, o_orderkey
+    FROM orders"""
+
+
+def order_readings(p: Plant) -> tuple[DataFrame, DataFrame]:
+    """Orders of seven years as readings of a few points, each with a zone that changes its clock."""
+    minutes = (F.col("o_orderkey") * 37 % 1440).cast("int")
+    zero = F.lit(0)
+    shift = F.make_dt_interval(zero, zero, minutes, F.lit(0).cast("decimal(18,6)"))
+    zone = F.when(F.col("o_custkey") % 3 == 0, "America/Chicago").when(F.col("o_custkey") % 3 == 1, "Europe/Berlin")
+    rows = p.base("orders").select(
+        (F.col("o_orderdate") + shift).alias("event_time"),
+        F.concat_ws(" ", zone.otherwise("Australia/Sydney"), (F.col("o_custkey") % 40).cast("string")).alias("point_id"),
+        F.lit("raw").alias("reading_type"), F.lit(None).cast("bigint").alias("value_bigint"),
+        F.col("o_totalprice").cast("double").alias("value_double"), F.lit(None).cast("decimal(38,9)").alias("value_numeric"),
+        F.lit("online").alias("data_quality"),
+    )
+    points = rows.select("point_id").distinct().select(
+        "point_id", F.lit("float64").alias("value_type"), F.split_part("point_id", F.lit(" "), F.lit(1)).alias("timezone")
+    )
+    return rows, points
+
+
+def _order_rollup_sql(unit: str) -> str:
+    return f"""
+    SELECT order_zone || ' ' || point_id AS point_id, {_utc('b').replace('timezone', 'order_zone')} AS bucket_start, n AS sample_count,
+           {r('hi')} AS max_value, {r('lo')} AS min_value
+    FROM (SELECT order_zone, point_id, date_trunc('{unit}', (event_time AT TIME ZONE 'UTC') AT TIME ZONE order_zone)::TIMESTAMP AS b,
+                 count(*) AS n, max(v) AS hi, min(v) AS lo
+          FROM ({_ORDER_READINGS}) GROUP BY 1, 2, 3)"""
+
+
+def _order_rollup(p: Plant, width: str) -> DataFrame:
+    readings, points = order_readings(p)
+    rolled = rounded(readings_rollup(readings, points, bucket=width, tz=None), "max_value", "min_value")
+    return rolled.select("point_id", "bucket_start", "sample_count", "max_value", "min_value")
+
+
+@query("changing_clock_day", _order_rollup_sql("day"))
+def changing_clock_day(p: Plant) -> DataFrame:
+    return _order_rollup(p, "1 day")
+
+
+@query("changing_clock_hour", _order_rollup_sql("hour"))
+def changing_clock_hour(p: Plant) -> DataFrame:
+    """Hours that occur twice are one bucket, which starts at the later of the two."""
+    return _order_rollup(p, "1 hour")
+
+
+@query("changing_clock_gapfill", f"""
+    WITH o AS ({_ORDER_READINGS}),
+    seen AS (SELECT point_id, date_trunc('day', (event_time AT TIME ZONE 'UTC') AT TIME ZONE 'America/Chicago')::TIMESTAMP AS b,
+                    arg_max(o_orderkey, event_time) AS newest, count(*) AS n
+             FROM o WHERE event_time >= TIMESTAMP '1995-03-02 06:00:00' AND event_time < TIMESTAMP '1995-11-20 06:00:00' GROUP BY 1, 2),
+    grid AS (SELECT point_id, unnest(generate_series(TIMESTAMP '1995-03-02', TIMESTAMP '1995-11-19', INTERVAL 1 DAY)) AS b
+             FROM (SELECT DISTINCT point_id FROM seen))
+    SELECT (g.b AT TIME ZONE 'America/Chicago') AT TIME ZONE 'UTC' AS bucket_time, CAST(g.point_id AS VARCHAR) AS point_id,
+           seen.n IS NULL AS is_generated, last_value(seen.b IGNORE NULLS) OVER w IS NOT NULL AS filled
+    FROM grid g LEFT JOIN seen USING (point_id, b)
+    WINDOW w AS (PARTITION BY g.point_id ORDER BY g.b ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""")
+def changing_clock_gapfill(p: Plant) -> DataFrame:
+    """Local days across both changes of the clock."""
+    readings, points = order_readings(p)
+    number = F.split_part("point_id", F.lit(" "), F.lit(2))
+    rows, catalog = readings.withColumn("point_id", number), points.select(number.alias("point_id"), "value_type").distinct()
+    filled = readings_gapfilled(
+        rows, catalog, dt.datetime(1995, 3, 2, 6), dt.datetime(1995, 11, 20, 6), "1 day", "America/Chicago"
+    )
+    return filled.select("bucket_time", "point_id", "is_generated", F.col("value").isNotNull().alias("filled"))
+
+
+_CUT = "event_time >= lo + INTERVAL '3 days 01:07:00' AND event_time < hi - INTERVAL '2 days 05:00:13'"
+
+
+def _cut(p: Plant) -> tuple[dt.datetime, dt.datetime]:
+    low, high = p.span
+    return low + dt.timedelta(days=3, hours=1, minutes=7), high - dt.timedelta(days=2, hours=5, seconds=13)
+
+
+@query("history_15min_of_a_site", f"""
+    SELECT point_id, (b AT TIME ZONE 'America/Chicago') AT TIME ZONE 'UTC' AS bucket_start,
+           ((b + INTERVAL 15 MINUTE) AT TIME ZONE 'America/Chicago') AT TIME ZONE 'UTC' AS bucket_end, {r('a')} AS value, 'avg' AS value_kind, data_quality
+    FROM (SELECT point_id, time_bucket(INTERVAL 15 MINUTE, (event_time AT TIME ZONE 'UTC') AT TIME ZONE 'America/Chicago') AS b, avg(v) AS a,
+                 CASE WHEN count(DISTINCT q) = 1 THEN min(q) ELSE 'mixed' END AS data_quality
+          FROM typed, span WHERE {_CUT} GROUP BY 1, 2)""")
+def history_of_a_site(p: Plant) -> DataFrame:
+    """A range that cuts buckets, on the clock of one site."""
+    site = p.sites.filter(F.col("timezone") == "America/Chicago").agg(F.min("site_id")).first()[0]
+    history = point_history(p.readings, p.points, p.sites, "15min", *_cut(p), site_id=site)
+    return rounded(history, "value")
+
+
+@query("rollup_5min_range", f"""
+    SELECT point_id, time_bucket(INTERVAL 5 MINUTE, event_time) AS bucket_start,
+           time_bucket(INTERVAL 5 MINUTE, event_time) + INTERVAL 5 MINUTE AS bucket_end, {_STATS}
+    FROM typed, span WHERE {_CUT} GROUP BY point_id, time_bucket(INTERVAL 5 MINUTE, event_time)""")
+def rollup_5min_range(p: Plant) -> DataFrame:
+    return rounded(readings_rollup(p.readings, p.points, *_cut(p), bucket="5 minutes"), *_VALUES)
+
+
+@query("rebuilt_readings", """
+    SELECT CAST(event_time AS DATE) AS event_date, reading_type, count(*) AS n FROM readings GROUP BY 1, 2""")
+def rebuilt(p: Plant) -> DataFrame:
+    """A table built twice holds the rows once; it is read with its declared schema."""
+    table = f"{run_database(p.spark, 'rebuild')}.point_readings"
+    rows = with_partition(p.readings, "event_time")
+    create_partitioned(p.spark, table, rows.filter(F.col("reading_type") == "raw"))
+    create_partitioned(p.spark, table, rows)
+    declared = read_table(p.spark, "point_readings", table_location(p.spark, table))
+    return declared.groupBy(F.to_date("event_time").alias("event_date"), "reading_type").agg(F.count(F.lit(1)).alias("n"))
