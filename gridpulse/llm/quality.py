@@ -73,18 +73,20 @@ def _repeat_words(words: Column, n_words: Column) -> Column:
 def measured(docs: DataFrame, text_col: str, names: list[str]) -> DataFrame:
     """`docs` with word array, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words under `names`.
 
-    A null text counts as empty.
+    A null text counts as empty. The measures leave through a row generator, so that a
+    later filter uses their values and is not pushed down with their formulas in it.
     """
     words, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words = names
     text = F.coalesce(col(text_col).cast("string"), F.lit(""))
     cut = docs.withColumn(words, words_of(text))
-    return cut.withColumns({
-        n_words: F.size(words).cast("long"),
-        word_chars: F.length(F.array_join(words, "")).cast("long"),
-        n_symbols: F.regexp_count(text, F.lit(SYMBOLS)).cast("long"),
-        n_dup_lines: _let(_lines(text), lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long"),
-        n_repeat_words: _repeat_words(F.col(words), F.size(words)),
-    })
+    found = F.struct(
+        F.size(words).cast("long").alias(n_words),
+        F.length(F.array_join(words, "")).cast("long").alias(word_chars),
+        F.regexp_count(text, F.lit(SYMBOLS)).cast("long").alias(n_symbols),
+        _let(_lines(text), lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long").alias(n_dup_lines),
+        _repeat_words(F.col(words), F.size(words)).alias(n_repeat_words),
+    )
+    return cut.select("*", F.inline(F.array(found)))
 
 
 def base_fails(n_words: Column, n_repeat_words: Column) -> Column:
