@@ -19,6 +19,7 @@ from gridpulse.operators.rollup import power_to_energy, raw_readings
 from gridpulse.operators.rollups import rollup_1d, rollup_1h
 from gridpulse.plans import reports as rp
 from gridpulse.sources.adapters import Plant
+from gridpulse.sources.tables import values
 from gridpulse.sources.tables import staged
 
 _DAY_ENERGY = f"""
@@ -253,7 +254,7 @@ def conditional_counts(p: Plant) -> DataFrame:
 @query("quality_lists", """
     SELECT point_id, string_agg(data_quality, ', ' ORDER BY data_quality) AS qualities,
            string_agg(data_quality, ', ' ORDER BY data_quality) FILTER (WHERE data_quality <> 'online') AS bad_qualities,
-           count(*) AS n
+           string_agg(data_quality, '|' ORDER BY data_quality DESC) AS gathered
     FROM (SELECT DISTINCT point_id, data_quality FROM readings) GROUP BY 1""")
 def quality_lists(p: Plant) -> DataFrame:
     """Ordered text lists. Distinct first: a list then has at most one entry per quality."""
@@ -261,10 +262,29 @@ def quality_lists(p: Plant) -> DataFrame:
     return seen.groupBy("point_id").agg(
         F.expr("listagg(data_quality, ', ') WITHIN GROUP (ORDER BY data_quality)").alias("qualities"),
         F.expr("listagg(data_quality, ', ') WITHIN GROUP (ORDER BY data_quality) FILTER (WHERE data_quality <> 'online')").alias("bad_qualities"),
-        F.size(F.collect_list("data_quality")).cast("bigint").alias("n"),
+        F.array_join(F.sort_array(F.collect_list("data_quality"), asc=False), "|").alias("gathered"),
     )
 
 
+@query("plain_limit", """
+    SELECT least(count(*), 100) AS n, true AS known FROM readings""")
+def plain_limit(p: Plant) -> DataFrame:
+    """Any 100 readings; which ones is not defined, but all of them are readings."""
+    some = p.readings.limit(100).select("event_time", "point_id")
+    known = some.join(p.readings.select("event_time", "point_id").distinct(), ["event_time", "point_id"], "left_semi")
+    return known.agg(F.count(F.lit(1)).alias("n"), F.lit(True).alias("known"))
+
+
+@query("inline_values", """
+    SELECT event_type, label, count(*) AS n
+    FROM events JOIN (VALUES ('view', 'seen'), ('click', 'used'), ('error', 'broken')) AS t(event_type, label) USING (event_type)
+    GROUP BY 1, 2""")
+def inline_values(p: Plant) -> DataFrame:
+    """A few literal rows as a source."""
+    labels = values(p.spark, "event_type string, label string", [("view", "seen"), ("click", "used"), ("error", "broken")])
+    return p.events.join(labels, "event_type").groupBy("event_type", "label").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query("global_stats", f"""
     SELECT count(*) AS n, {r('avg(v)')} AS avg_value, {r('min(v)')} AS lo, {r('max(v)')} AS hi, count(v) AS filled FROM valued""")
 def global_stats(p: Plant) -> DataFrame:
