@@ -19,8 +19,7 @@ from gridpulse.operators.rollup import power_to_energy, raw_readings
 from gridpulse.operators.rollups import rollup_1d, rollup_1h
 from gridpulse.plans import reports as rp
 from gridpulse.sources.adapters import Plant
-from gridpulse.sources.tables import values
-from gridpulse.sources.tables import staged
+from gridpulse.sources.tables import staged, values
 
 _DAY_ENERGY = f"""
     local_energy AS (

@@ -4,13 +4,13 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridpulse.functions.buckets import at_local_time, bucket_of, instant, to_local
 from gridpulse.functions.scalars import round_half_away, stable_id
 from gridpulse.operators.outages import not_covered
-from gridpulse.operators.scans import Running, running, threshold_changes
+from gridpulse.operators.scans import Running, running
 from gridpulse.session import checkpointed
 
 # Alarm names, message texts, delays and limits.
@@ -203,7 +203,9 @@ def evaluate_rules(
     compares that bit of the whole part of the value.
 
     `readings` has point_id, event_time and value. Everything is a running sum of
-    +1/-1 steps, worked in (key, day) blocks.
+    +1/-1 steps, worked in (alarm, day) blocks: where each expression stands when a day
+    begins is carried over, and from there all levels follow within the day. The steps
+    are kept in the shared folder when the function is called, as they are read twice.
     """
     raise_side = F.col("role") == "raise"
     rules = definitions.select(
@@ -246,10 +248,25 @@ def evaluate_rules(
             F.struct(until.alias("at"), F.lit(-1).alias("d")),
         )
     )
-    steps = rows.filter(hit).select(*expr_keys, "limit", step.alias("s")).filter("s.at IS NOT NULL")
-    steps = steps.select(*expr_keys, F.col("s.at").alias("at"), F.col("s.d").alias("d"), "limit")
+    steps = rows.filter(hit).select(*expr_keys, step.alias("s")).filter("s.at IS NOT NULL")
+    steps = steps.select(*expr_keys, F.col("s.at").alias("at"), F.col("s.d").alias("d"))
+
+    # 2. Net steps per expression and instant; read by the carry and by the rows.
+    net = steps.groupBy(*expr_keys, "at").agg(F.sum("d").alias("net"))
+    net = checkpointed(net.filter("net <> 0").withColumn("_day", bucket_of(F.col("at"), "1 day")))
+
+    # 3. What every expression of an alarm stands at when one of the alarm's days begins.
+    parts = side.select(*expr_keys, "limit").distinct()
+    days = net.select("alarm_definition_id", "_day").distinct()
+    totals = net.groupBy(*expr_keys, "_day").agg(F.sum("net").alias("total"))
+    grid = days.join(parts, "alarm_definition_id").join(totals, [*expr_keys, "_day"], "left")
+    earlier = Window.partitionBy(*expr_keys).orderBy("_day").rowsBetween(Window.unboundedPreceding, -1)
+    begin = grid.select(
+        *expr_keys, "_day", F.lit(None).cast("timestamp_ntz").alias("at"),
+        F.coalesce(F.sum("total").over(earlier), F.lit(0)).alias("net"),
+    )
 
-    # 2. Expression -> group -> side: each level holds once enough parts hold.
+    # 4. Expression -> group -> side inside (alarm, day), dealt once; a row without a time begins the day.
     groups = side.groupBy("alarm_definition_id", "role", "group_number").agg(
         F.countDistinct("expression_id").alias("n"), F.max("group_operator").alias("op")
     )
@@ -257,38 +274,55 @@ def evaluate_rules(
         F.countDistinct("group_number").alias("n"), F.max("match").alias("op")
     )
 
-    def needed(parts: DataFrame) -> DataFrame:
-        return parts.withColumn("need", F.when(F.col("op") == "all", F.col("n")).otherwise(F.lit(1))).drop("n", "op")
+    def needed(of: DataFrame) -> DataFrame:
+        return of.withColumn("need", F.when(F.col("op") == "all", F.col("n")).otherwise(F.lit(1))).drop("n", "op")
 
-    held = threshold_changes(steps, expr_keys, "at", "d", "limit")
-    held = held.join(needed(groups), expr_keys[:3])
-    held = threshold_changes(held, expr_keys[:3], "at", "change", "need")
-    held = held.join(needed(sides), expr_keys[:2])
-    held = threshold_changes(held, expr_keys[:2], "at", "change", "need")
+    dealt = begin.unionByName(net.select(*begin.columns)).repartition("alarm_definition_id", "_day")
+    held = _changes(dealt.join(parts.withColumnRenamed("limit", "need"), expr_keys), [*expr_keys, "_day"])
+    for of, keys in ((groups, expr_keys[:3]), (sides, expr_keys[:2])):
+        summed = held.groupBy(*keys, "_day", "at").agg(F.sum("change").alias("net"))
+        held = _changes(summed.join(needed(of), keys), [*keys, "_day"])
 
-    # 3. The alarm's state: the last instruction given by either side.
+    # 5. The alarm's state: the last instruction given by either side.
     key = ["alarm_definition_id"]
-    has_clear = side.groupBy(*key).agg(F.max((F.col("role") == "clear").cast("int")).alias("has_clear"))
     on = F.col("role") == "raise"
-    moves = held.groupBy(*key, "at").agg(
+    moves = held.groupBy(*key, "_day", "at").agg(
         F.sum(F.when(on, F.col("change")).otherwise(0)).alias("r"),
         F.sum(F.when(on, 0).otherwise(F.col("change"))).alias("c"),
     )
-    moves = checkpointed(moves.join(has_clear, key).withColumn("_day", bucket_of(F.col("at"), "1 day")))
-    holding = [Running("raise_on", F.col("r"), "sum"), Running("clear_on", F.col("c"), "sum")]
-    moves = running(moves, key, "_day", "at", holding)
+    here = Window.partitionBy(*key, "_day").orderBy(F.col("at").asc_nulls_first())
+    so_far = here.rowsBetween(Window.unboundedPreceding, 0)
+    has_clear = side.groupBy(*key).agg(F.max((F.col("role") == "clear").cast("int")).alias("has_clear"))
+    moves = moves.join(has_clear, key).withColumns({"raise_on": F.sum("r").over(so_far), "clear_on": F.sum("c").over(so_far)})
     off = F.when(F.col("has_clear") == 1, F.col("clear_on") > 0).otherwise(F.lit(True))
-    want = F.col("want")
-    moves = checkpointed(moves.withColumn("want", F.when(F.col("raise_on") > 0, 1).when(off, 0)))
-    moves = running(moves, key, "_day", "at", [Running("state", want, "last"), Running("before", want, "last", False)])
-    now_on, was_on = F.coalesce("state", F.lit(0)), F.coalesce("before", F.lit(0))
-    return moves.filter(now_on != was_on).select(
+    moves = moves.withColumn("want", F.when(F.col("raise_on") > 0, 1).when(off, 0)).select(*key, "_day", "at", "want")
+    place = F.struct(F.col("at").isNotNull(), F.col("at"))  # sorts the beginning of a day first
+    last = moves.groupBy(*key, "_day").agg(F.max_by("want", F.when(F.col("want").isNotNull(), place)).alias("last"))
+    before_day = Window.partitionBy(*key).orderBy("_day").rowsBetween(Window.unboundedPreceding, -1)
+    carry = last.select(*key, "_day", F.last("last", ignorenulls=True).over(before_day).alias("carry"))
+    moves = moves.join(carry, [*key, "_day"])
+    state = F.coalesce(F.last("want", ignorenulls=True).over(so_far), "carry", F.lit(0))
+    before = F.last("want", ignorenulls=True).over(here.rowsBetween(Window.unboundedPreceding, -1))
+    moves = moves.withColumns({"state": state, "before": F.coalesce(before, "carry", F.lit(0))})
+    return moves.filter("at IS NOT NULL AND state <> before").select(
         "alarm_definition_id",
         F.col("at").alias("event_time"),
-        F.when(now_on == 1, "raise").otherwise("clear").alias("event_condition"),
+        F.when(F.col("state") == 1, "raise").otherwise("clear").alias("event_condition"),
     )
 
 
+def _changes(net: DataFrame, keys: list[str]) -> DataFrame:
+    """Where the running sum of `net` reaches `need` (+1) or falls below it (-1), within `keys`.
+
+    The row that begins a day is always kept; its change is what holds already.
+    """
+    order = Window.partitionBy(*keys).orderBy(F.col("at").asc_nulls_first())
+    level = F.sum("net").over(order.rowsBetween(Window.unboundedPreceding, 0))
+    holds = net.withColumn("_holds", (level >= F.col("need")).cast("int"))
+    change = F.col("_holds") - F.lag("_holds", 1, 0).over(order)
+    return holds.withColumn("change", change).filter("change <> 0 OR at IS NULL").select(*keys, "at", "change")
+
+
 def suppress(raised: DataFrame, active: DataFrame, dependencies: DataFrame, now: dt.datetime) -> DataFrame:
     """Alarms that were not raised while a limiting alarm was active.
 

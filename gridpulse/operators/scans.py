@@ -13,7 +13,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridpulse.functions.buckets import bucket_of
 from gridpulse.session import checkpointed
 
 
@@ -91,17 +90,3 @@ def in_stretches(df: DataFrame, keys: list[str], order: str, out: str) -> DataFr
     their numbers must not change.
     """
     return checkpointed(df.repartitionByRange(*keys, order).withColumn(out, F.spark_partition_id()))
-
-
-def threshold_changes(deltas: DataFrame, keys: list[str], time: str, delta: str, need: str) -> DataFrame:
-    """Where a running sum of `delta` crosses `need`: one row per crossing with
-    `change` +1 (reached) or -1 (lost). `need` is constant within a key.
-
-    The steps are checkpointed, because the scan reads them twice.
-    """
-    net = deltas.groupBy(*keys, time).agg(F.sum(delta).alias("_net"), F.max(need).alias("_need"))
-    net = checkpointed(net.filter(F.col("_net") != 0).withColumn("_day", bucket_of(F.col(time), "1 day")))
-    summed = running(net, keys, "_day", time, [Running("_level", F.col("_net"), "sum")])
-    after = (F.col("_level") >= F.col("_need")).cast("int")
-    earlier = (F.col("_level") - F.col("_net") >= F.col("_need")).cast("int")
-    return summed.select(*keys, time, (after - earlier).alias("change")).filter(F.col("change") != 0)
