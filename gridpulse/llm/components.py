@@ -32,7 +32,7 @@ def components(edges: DataFrame) -> DataFrame:
     before the shuffle and joined on the node, where a node with very many edges can be
     split, so no task gathers a component. Rounds grow with the logarithm of its width.
     """
-    edges = edges.select("a", "b").filter("a <> b").distinct()
+    edges = stored(edges.select("a", "b").filter("a <> b").distinct(), "links")  # read twice below
     before = None
     while True:
         edges = stored(_small_star(_large_star(edges)), "stars")
