@@ -44,6 +44,28 @@ def uom_factor(p: Plant) -> DataFrame:
     return p.points.select("point_id", "uom", "rollup_uom", v.uom_conversion_factor("uom", "rollup_uom").alias("factor"))
 
 
+#: All units, so that every pair of them occurs.
+_UNITS = ("W", "kW", "MW", "Wh", "kWh", "MWh", "Wh/m2", "kWh/m2", "degC")
+
+
+@query("uom_factor_all_pairs", f"""
+    WITH u AS (SELECT o_orderkey, ({list(_UNITS)})[CAST(o_orderkey % 9 AS INTEGER) + 1] AS uom,
+                      ({list(_UNITS)})[CAST(o_custkey % 9 AS INTEGER) + 1] AS rollup_uom FROM orders)
+    SELECT o_orderkey, uom, rollup_uom, CASE uom || '>' || rollup_uom
+        WHEN 'W>kWh' THEN 0.001 WHEN 'W>MWh' THEN 0.000001 WHEN 'kW>Wh' THEN 1000 WHEN 'kW>MWh' THEN 0.001
+        WHEN 'MW>Wh' THEN 1000000 WHEN 'MW>kWh' THEN 1000 WHEN 'Wh>kWh' THEN 0.001 WHEN 'Wh>MWh' THEN 0.000001
+        WHEN 'kWh>Wh' THEN 1000 WHEN 'kWh>MWh' THEN 0.001 WHEN 'MWh>kWh' THEN 1000 WHEN 'Wh/m2>kWh/m2' THEN 0.001
+        ELSE 1 END::DOUBLE AS factor
+    FROM u""")
+def uom_factor_all_pairs(p: Plant) -> DataFrame:
+    units = F.array(*map(F.lit, _UNITS))
+    rows = p.base("orders").select(
+        "o_orderkey", F.get(units, (F.col("o_orderkey") % 9).cast("int")).alias("uom"),
+        F.get(units, (F.col("o_custkey") % 9).cast("int")).alias("rollup_uom"),
+    )
+    return rows.withColumn("factor", v.uom_conversion_factor("uom", "rollup_uom"))
+
+
 @query("open_rank", """
     SELECT status, CASE WHEN status IN ('queued', 'accepted', 'scheduled', 'active') THEN 1 ELSE 9 END AS open_rank,
            count(*) AS n FROM control_log GROUP BY 1, 2""")

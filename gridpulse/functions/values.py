@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import math
 from decimal import Decimal
-
 from itertools import chain
 
 from pyspark.sql import Column

@@ -25,7 +25,7 @@ ROLLUP_COLUMNS = (
 )
 WATERMARK = "gridpulse.watermark"
 HOUR, DAY = Bucket.of("1 hour"), Bucket.of("1 day")
-# Refresh windows before now: (start offset, end offset).
+# Refresh windows before now: (start offset, end offset).
 REFRESH_WINDOWS = {
     "1h": (dt.timedelta(days=3), dt.timedelta(hours=1)),
     "1d": (dt.timedelta(days=7), dt.timedelta(days=1)),

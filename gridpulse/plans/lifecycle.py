@@ -131,7 +131,6 @@ def clustering_settings(spark: SparkSession) -> DataFrame:
     """Segment and order key of every clustered table."""
     rows = [(t, i, c, i == 1) for t, keys in CLUSTERING.items() for i, c in enumerate(keys)]
     columns = spark.createDataFrame(rows, "table_name string, position int, name string, is_order boolean")
-    order = F.concat("name", F.lit(" DESC"))
     return columns.groupBy("table_name").agg(
         F.expr("listagg(name, ', ') WITHIN GROUP (ORDER BY position) FILTER (WHERE NOT is_order)").alias("segment_by"),
         F.expr("listagg(concat(name, ' DESC'), ', ') WITHIN GROUP (ORDER BY position) FILTER (WHERE is_order)").alias("order_by"),

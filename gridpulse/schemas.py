@@ -132,7 +132,7 @@ SCHEMAS: dict[str, T.StructType] = {
     "outages": _schema(outage_id=S, device_id=S, site_id=S, start_at=TS, end_at=TS),
 }
 
-# Defaults of columns a writer may leave out.
+# Defaults of columns a writer may leave out.
 DEFAULTS: dict[str, dict[str, object]] = {
     "sites": {"timezone": "UTC"},
     "value_maps": {"map_type": "translation"},
@@ -156,7 +156,7 @@ DEFAULTS: dict[str, dict[str, object]] = {
     "retention_logs": {"deleted_chunks": 0},
 }
 
-# Time column and days per partition of the range-partitioned tables.
+# Time column and days per partition of the range-partitioned tables.
 PARTITIONED: dict[str, tuple[str, int]] = {
     "point_readings": ("event_time", 1),
     "control_requests": ("created_at", 7),
@@ -166,7 +166,7 @@ PARTITIONED: dict[str, tuple[str, int]] = {
     "readings_1d": ("bucket", 1),
 }
 
-# Clustering of compacted partitions: segment key, then order key descending.
+# Clustering of compacted partitions: segment key, then order key descending.
 CLUSTERING: dict[str, tuple[str, str]] = {
     "point_readings": ("point_id", "event_time"),
     "control_requests": ("device_id", "created_at"),
@@ -175,7 +175,7 @@ CLUSTERING: dict[str, tuple[str, str]] = {
     "readings_1h": ("point_id", "bucket"),
 }
 
-# Age in days after which a partition is compacted, and seeded retention days.
+# Age in days after which a partition is compacted, and seeded retention days.
 COMPACT_AFTER_DAYS = {
     "point_readings": 7, "control_requests": 14, "control_requests_history": 7,
     "alarm_events": 14, "readings_1h": 14,

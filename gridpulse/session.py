@@ -4,8 +4,6 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
-from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -75,16 +73,3 @@ def checkpointed(df: DataFrame) -> DataFrame:
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(f"{shared_dir(df.sparkSession)}/gridpulse")
     return df.checkpoint()
-
-
-@contextmanager
-def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
-    """Session settings for the duration of a block."""
-    before = {key: spark.conf.get(key) for key in values}
-    try:
-        for key, value in values.items():
-            spark.conf.set(key, value)
-        yield
-    finally:
-        for key, value in before.items():
-            spark.conf.set(key, value)
