@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from gridpulse.llm import langid, queries
-from gridpulse.llm.langid import Identifier, Model, packed, symbols
+from gridpulse.llm.langid import Identifier, Model, symbols
 
 
 def plain_symbols(text):

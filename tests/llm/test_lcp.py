@@ -22,7 +22,7 @@ def lowest(a, b):
     return ((a ^ b) & -(a ^ b)).bit_length() - 1
 
 
-def up(names):
+def up(names, level):
     """One level of one text, symbol by symbol."""
     runs = []
     for x in names:
@@ -30,7 +30,7 @@ def up(names):
             runs[-1][1] += 1
         else:
             runs.append([x, 1])
-    names = [x if n == 1 else mix(x, n) for x, n in runs]
+    names = [x if n == 1 else mix(mix(x, n), level) for x, n in runs]
     label, before = [], 0
     for x in names:
         p = lowest(x, before)
@@ -49,7 +49,7 @@ def up(names):
     begin = [i for i in range(len(names)) if i == 0 or 0 < i < len(names) - 1 and label[i] > label[i - 1] and label[i] > label[i + 1]]
     out = []
     for a, b in zip(begin, [*begin[1:], len(names)]):
-        name = names[a]
+        name = names[a] if b - a == 1 else mix(names[a], level)
         for x in names[a + 1 : b]:
             name = mix(name, x)
         out.append(name or 1)
@@ -62,7 +62,8 @@ def plain(text):
     if not text:
         return 0, []
     while len(names) > 1 or level < 4:
-        names, level = up(names), level + 1
+        level += 1
+        names = up(names, level)
         if level in lcp.LEVELS:
             kept.update((x * int(lcp._A) & M) >> 32 for x in names)
     return names[0], sorted(kept)[:KEPT]
@@ -82,6 +83,14 @@ def test_parsed():
         assert (int(root), sketch.tolist()) == plain(text), text
 
 
+def test_a_run_above_a_run_of_the_same_name():
+    """A pair drawn together on one level may stand beside the same pair on the next."""
+    rng = random.Random(0)
+    texts = ["".join(rng.choice(("ab", "abab", "c")) for _ in range(rng.randint(2, 40))) for _ in range(400)]
+    roots, _ = parsed(texts)
+    assert [int(r) for r in roots] == [plain(t)[0] for t in texts]
+
+
 def test_texts_do_not_touch_each_other():
     for text in TEXTS:
         (root,), (sketch,) = parsed([text])
@@ -95,8 +104,8 @@ def test_equal_passages_share_their_inside():
 
     def levels(text):
         names, out = [ord(c) + 1 for c in text], []
-        for _ in range(3):
-            names = up(names)
+        for level in (1, 2, 3):
+            names = up(names, level)
             out.append(names)
         return out
 
