@@ -61,7 +61,8 @@ def _labels(names: np.ndarray, apart: np.ndarray) -> np.ndarray:
     """Labels 0 to 2 in which neighbours differ; texts are set apart by _APART."""
     differing = names[1:] ^ names[:-1]
     lowest = differing & (~differing + differing.dtype.type(1))
-    place = np.bitwise_count(lowest - lowest.dtype.type(1))
+    # Names of 64 bits could be equal by chance; the last bit then stands for the difference.
+    place = np.minimum(np.bitwise_count(lowest - lowest.dtype.type(1)), 63)
     label = np.empty(len(names), np.uint8)
     label[1:] = 2 * place + ((names[1:] & lowest) != 0)
     label[apart] = 0
@@ -78,8 +79,12 @@ def _labels(names: np.ndarray, apart: np.ndarray) -> np.ndarray:
     return label
 
 
-def _level(names: np.ndarray, apart: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """One level up: names of the phrases, and where the texts are apart. Name 0 stands between texts."""
+def _level(names: np.ndarray, apart: np.ndarray, level: int) -> tuple[np.ndarray, np.ndarray]:
+    """One level up: names of the phrases, and where the texts are apart. Name 0 stands between texts.
+
+    New names are salted with the level, as a name may come up unchanged from below.
+    """
+    salt = np.array([level], np.uint64)
     new = np.empty(len(names), bool)
     new[0] = True
     np.not_equal(names[1:], names[:-1], out=new[1:])
@@ -89,7 +94,7 @@ def _level(names: np.ndarray, apart: np.ndarray) -> tuple[np.ndarray, np.ndarray
         names = names[begin]
         longer = np.flatnonzero(run > 1)
         wide = names.astype(np.uint64)
-        wide[longer] = _mixed(wide[longer], run[longer].astype(np.uint64))
+        wide[longer] = _mixed(_mixed(wide[longer], run[longer].astype(np.uint64)), salt)
         names, apart = wide, np.searchsorted(begin, apart)
     label = _labels(names, apart)
     first = np.zeros(len(names), bool)
@@ -101,6 +106,7 @@ def _level(names: np.ndarray, apart: np.ndarray) -> tuple[np.ndarray, np.ndarray
     size = np.diff(begin, append=len(names))
     out = names[begin].astype(np.uint64)
     more = np.flatnonzero(size > 1)
+    out[more] = _mixed(out[more], salt)
     k = 1
     while len(more):
         out[more] = _mixed(out[more], names[begin[more] + k].astype(np.uint64))
@@ -124,8 +130,8 @@ def parsed(texts: list[str]) -> tuple[np.ndarray, list[np.ndarray]]:
     names[apart] = 0
     taken, level = [], 0
     while True:
-        names, apart = _level(names, apart)
         level += 1
+        names, apart = _level(names, apart, level)
         if level in LEVELS:
             taken.append(_hashes(names, apart))
         if len(names) == 2 * len(full) + 1 and level >= max(LEVELS):
