@@ -45,7 +45,7 @@ CONTENT_TAGS = frozenset("article main".split())
 BOILER_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar".split())
 CONTENT_ROLES = frozenset("main article".split())
 BOILER_WORDS = frozenset(
-    "ad ads advert adverts advertisement advertising adsense sponsor sponsored promo promoted promotion banner "
+    "ad ads adsbygoogle advert adverts advertisement advertising adsense sponsor sponsored promo promoted promotion banner "
     "cookie cookies consent gdpr notice notices alert popup modal overlay paywall disclaimer "
     "comment comments commentlist discussion disqus respond reply replies "
     "menu nav navbar navigation navi breadcrumb breadcrumbs pagination pager toolbar topbar "
@@ -53,6 +53,8 @@ BOILER_WORDS = frozenset(
     "header masthead footer footnav copyright colophon "
     "share sharing social follow newsletter subscribe subscription signup login form search skip".split()
 )
+#: With one of these a name tells of the surroundings, as in has-comments.
+MODIFIERS = frozenset("with without has no is open closed enabled disabled layout wrap wrapper".split())
 CONTENT_WORDS = frozenset("article content story entry post main maintext body text prose".split())
 
 #: Evidence in hundredths: of an element's kind, of standing outside the article, of text and links.
@@ -94,6 +96,7 @@ class Block:
 def _kind(tag: str, rest: str) -> tuple[bool, bool]:
     """Whether the element itself marks boilerplate, and whether it marks content."""
     boiler, content = tag in BOILER_TAGS, tag in CONTENT_TAGS
+    beside, itself = False, False
     if rest and not rest.isspace():
         for name, *values in _ATTRIBUTE.findall(rest):
             name, value = name.lower(), "".join(values)
@@ -105,10 +108,23 @@ def _kind(tag: str, rest: str) -> tuple[bool, bool]:
             elif name == "style":
                 boiler |= bool(_HIDDEN.search(value))
             elif name in ("class", "id"):
-                words = {w.lower() for w in _WORD.findall(value)}
-                boiler |= bool(words & BOILER_WORDS) and tag not in ("html", "body")
-                content |= bool(words & CONTENT_WORDS)
-    return boiler, content and not boiler
+                named = _named(value)
+                beside, itself = beside | named[0], itself | named[1]
+    # Pages say of a whole body, and of an article that calls itself one, what it has beside it.
+    boiler |= beside and tag not in ("html", "body") and not (itself and tag in CONTENT_TAGS)
+    return boiler, (content or itself) and not boiler
+
+
+def _named(value: str) -> tuple[bool, bool]:
+    """Whether one of the names in a class or id marks boilerplate, and whether one marks content alone."""
+    boiler = content = False
+    for name in value.split():
+        words = {w.lower() for w in _WORD.findall(name)}
+        if words & MODIFIERS:
+            words -= BOILER_WORDS
+        boiler |= bool(words & BOILER_WORDS)
+        content |= bool(words & CONTENT_WORDS) and not words & BOILER_WORDS
+    return boiler, content
 
 
 def blocks(page: str) -> list[Block]:

@@ -51,6 +51,16 @@ def test_plain_text_and_comments():
     assert main_text(f'<article><p title="a > b">{LONG}<p class=\'x"y\'>{LONG}</article>') == f"{LONG}\n{LONG}"
 
 
+@pytest.mark.parametrize("opening, kept", [
+    ('<article class="post has-comments">', True), ('<article class="comment">', False), ('<div class="main-content with-sidebar">', True),
+    ('<div class="post-comments">', False), ('<ins class="adsbygoogle">', False), ('<div class="adsbygoogle">', False),
+    ('<main id="content" class="sidebar-right">', True), ('<div id="siteHeader">', False), ('<body class="single has-sidebar comments-open">', True),
+])
+def test_names_of_elements(opening, kept):
+    page = f"{opening}<p>{LONG}</p><p>{LONG}</p>"
+    assert main_text(page) == (f"{LONG}\n{LONG}" if kept else "")
+
+
 def test_very_long_page():
     page = "<article>" + f"<p>{LONG}</p>" * 20_000 + "</article>" + "<p><b>" * 5000
     assert main_text(page).count("\n") == 19_999
