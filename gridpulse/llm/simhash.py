@@ -164,7 +164,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     )
     named = stored(named, "simhash-roots")
     roots = named.groupBy("root").agg(F.min("least").alias("component"))
-    return printed.join(named.select("fingerprint", "root"), "fingerprint").join(roots, "root").select("id", "fingerprint", "component")
+    # Components are named once per fingerprint; only then do the documents meet them.
+    found = named.join(roots, "root").select("fingerprint", "component")
+    return printed.join(found, "fingerprint").select("id", "fingerprint", "component")
 
 
 def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3) -> DataFrame:
