@@ -28,7 +28,7 @@ SAMPLE_DOCS = 1500
 MOST_REJECTED = 0.0005
 UNDETERMINED = "und"
 #: Symbols scored at once.
-_CHUNK = 1 << 20
+_CHUNK = 1 << 18
 _MIX = np.uint64(0x9E3779B97F4A7C15)  # odd, so that the hash of a packed n-gram is one to one
 _ASTRAL = 0xFFFF
 
