@@ -24,7 +24,7 @@ from gridpulse.llm.ranges import parts_for
 #: Slots of a period: weights are rounded to multiples of 1 / PERIOD, a slot at least.
 PERIOD = 1024
 #: Characters of a block, and documents of a chunk that one task puts in order.
-BLOCK_CHARS, CHUNK = 1 << 20, 4096
+BLOCK_CHARS, CHUNK = 1 << 20, 1024
 
 
 def slots_per_period(weights: dict, period: int = PERIOD) -> dict:
