@@ -37,6 +37,14 @@ _LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 _CHUNK = 1 << 16
 
 
+def words_of(text: str) -> tuple[bytes, list[int], list[int]]:
+    """The words of a text, A-Z lower-cased and a blank between them, and where each begins and ends."""
+    tokens = text.encode("utf-8", "surrogatepass").translate(_LOWER).split()
+    ends = np.cumsum([len(t) + 1 for t in tokens], dtype=np.int64) - 1
+    starts = np.concatenate(([0], ends[:-1] + 1)) if tokens else ends
+    return b" ".join(tokens), starts.tolist(), ends.tolist()
+
+
 def fingerprint(text: str, words: int = 3) -> int:
     """64-bit SimHash of a text as an unsigned number; 0 without a word.
 
@@ -44,13 +52,10 @@ def fingerprint(text: str, words: int = 3) -> int:
     return); every run of `words` words, repeats included, votes with the bits of its
     XXH64. Fewer words than that vote once as a whole.
     """
-    tokens = text.encode("utf-8", "surrogatepass").translate(_LOWER).split()
-    if not tokens:
+    joined, starts, ends = words_of(text)
+    if not ends:
         return 0
-    joined = b" ".join(tokens)
-    ends = np.cumsum([len(t) + 1 for t in tokens]) - 1
-    starts = np.concatenate(([0], ends[:-1] + 1)).tolist()
-    last = ends[min(words, len(tokens)) - 1 :].tolist()
+    last = ends[min(words, len(ends)) - 1 :]
     hashes = np.array([xxhash.xxh64_intdigest(joined[a:b], SEED) for a, b in zip(starts, last)], "<u8")
     votes = np.zeros(64, np.int64)
     for i in range(0, len(hashes), _CHUNK):
@@ -170,14 +175,18 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3) -> DataFrame:
-    """The columns of `docs`, one row of each group of near duplicates: the one of the least id.
+    """The columns of `docs`, one row of each group of near duplicates: the one of the least id."""
+    return least_of_groups(docs, near_duplicates(docs, id_col, text_col, words), id_col)
+
+
+def least_of_groups(docs: DataFrame, found: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """The columns of `docs`, one row of each component of `found` (id, component): the one of the least id.
 
     Of rows that repeat the kept id, the one whose JSON form sorts first stays. Rows
     without an id cannot be named, so they all stay. Texts meet the ids to keep in one
     join; they are grouped only where an id repeats.
     """
     mark, many = fresh(docs, "gp_id", "gp_many")
-    found = near_duplicates(docs, id_col, text_col, words)
     kept = found.filter("id = component").groupBy(F.col("id").alias(mark)).agg((F.count("*") > 1).alias(many))
     rows = docs.join(kept, col(id_col) == F.col(mark))
     whole = F.struct(*[col(c) for c in docs.columns])
