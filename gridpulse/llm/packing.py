@@ -13,7 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridpulse.llm.common import col, map_arrow, stored
@@ -23,20 +23,26 @@ SEQUENCE_TOKENS = 2048
 END_ID = 0
 #: Pieces that one task packs; each such share wastes less than a few sequences.
 SHARE = 200_000
+#: Where the input has an order, pieces that follow each other in it and are packed among themselves.
+RUN = 4096
+#: Positions that are counted together when runs are cut.
+_STEP = 64
 _TEXTS = 256
 
 
 def pieces(
     docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", length: int = SEQUENCE_TOKENS,
-    stretch: Column | None = None,
+    stretch: Column | None = None, position: Column | None = None,
 ) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32): the token ids of every document, cut where longer than `length`.
 
     A document is its text's ids (null: none) and the end id. The first piece of a
     longer one takes what is left over, the others are full. `stretch` adds a column
-    of that name, a text that says to which part of the input a document belongs.
+    of that name, a text that says to which part of the input a document belongs, and
+    `position` one with its place (a long from 0) within that part.
     """
     kept = _PIECES if stretch is None else _PIECES.append(pa.field("stretch", pa.string()))
+    kept = kept if position is None else kept.append(pa.field("position", pa.int64()))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -55,11 +61,12 @@ def pieces(
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kept.types)], schema=kept)
 
     extra = [] if stretch is None else [stretch.cast("string").alias("stretch")]
+    extra += [] if position is None else [position.cast("long").alias("position")]
     rows = docs.select(
         col(id_col).cast("long").alias("id"), F.coalesce(col(text_col).cast("string"), F.lit("")).alias("text"), *extra
     )
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long"
-    return map_arrow(rows, cut, schema + ", stretch string" * len(extra))
+    return map_arrow(rows, cut, schema + ", stretch string" * (stretch is not None) + ", position long" * (position is not None))
 
 
 _PIECES = pa.schema([
@@ -93,56 +100,80 @@ def place(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
     return sequence, offset
 
 
-def _shares(cut: DataFrame, share: int) -> tuple[Column, int]:
-    """Number of the share of each piece, and how many shares there are.
+def _dealt(cut: DataFrame, share: int) -> tuple[DataFrame, int]:
+    """`cut` with the number of the share of each piece, pieces dealt at random; and how many shares there are."""
+    n = max(1, -(-cut.count() // share))
+    return cut.withColumn("share", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(n)).cast("long")), n
 
-    Stretches follow each other in the order of their names: small ones are drawn together until they
-    fill a share, large ones are dealt at random to several. The driver sees a row per stretch.
+
+def _runs(cut: DataFrame, run: int) -> tuple[DataFrame, int]:
+    """`cut` with the run of each piece (`share`) and how many pieces precede its step (`before`); and how many runs there are.
+
+    Stretches follow each other in the order of their names, and in them the positions, a step of
+    them at a time. A run is as many pieces; those of a step that more than one run takes are dealt to
+    them at random, so a step of any size is spread. The driver sees a row per stretch.
     """
-    dealt = F.xxhash64(F.monotonically_increasing_id())
-    if "stretch" not in cut.columns:
-        n = max(1, -(-cut.count() // share))
-        return F.pmod(dealt, F.lit(n)).cast("int"), n
-    first, several, filled, number = {}, {}, 0, 0
-    for name, n in sorted((r.name or "", r.n) for r in cut.groupBy(F.col("stretch").alias("name")).agg(F.count("*").alias("n")).collect()):
-        if filled and filled + n > share:
-            number, filled = number + 1, 0
-        first[name], several[name] = number, max(1, -(-n // share))
-        filled += n
-        if several[name] > 1:
-            number, filled = number + several[name], 0
-    if not first:
-        return F.lit(0), 1
-    named = F.coalesce("stretch", F.lit(""))
-    base, spread = (
-        F.element_at(F.map_from_arrays(F.array(*map(F.lit, d)), F.array(*[F.lit(v) for v in d.values()])), named)
-        for d in (first, several)
-    )
-    return (base + F.pmod(dealt, spread)).cast("int"), number + 1
+    step = F.floor(F.col("position") / _STEP) if "position" in cut.columns else F.lit(0)
+    cut = cut.withColumn("stretch", F.coalesce("stretch", F.lit(""))).withColumn("step", F.coalesce(step.cast("long"), F.lit(0)))
+    counted = stored(cut.groupBy("stretch", "step").agg(F.count("*").alias("many")), "steps")
+    bases, total = {}, 0
+    for name, n in sorted((r.stretch, r.n) for r in counted.groupBy("stretch").agg(F.sum("many").alias("n")).collect()):
+        bases[name], total = total, total + n
+    if not bases:
+        return cut.withColumn("share", F.lit(0).cast("long")).withColumn("before", F.lit(0).cast("long")), 1
+    base = F.element_at(F.map_from_arrays(F.array(*map(F.lit, bases)), F.array(*[F.lit(n).cast("long") for n in bases.values()])), F.col("stretch"))
+    earlier = Window.partitionBy("stretch").orderBy("step").rowsBetween(Window.unboundedPreceding, -1)
+    steps = counted.withColumn("before", base + F.coalesce(F.sum("many").over(earlier), F.lit(0)))
+    placed = cut.withColumn("dealt_by", F.monotonically_increasing_id()).join(steps, ["stretch", "step"])
+    dealt = F.pmod(F.xxhash64("dealt_by"), F.col("many"))
+    return placed.withColumn("share", F.floor((F.col("before") + dealt) / run).cast("long")).drop("many", "dealt_by"), -(-total // run)
 
 
 def pack(cut: DataFrame, length: int = SEQUENCE_TOKENS, share: int = SHARE) -> DataFrame:
     """`cut` (as made by `pieces`, or any table with `length`) with sequence_id and offset.
 
     Pieces are dealt at random to shares of about `share` pieces, each packed by one task
-    that holds its pieces' rows, never their tokens. With a column `stretch`, shares and so
-    sequence ids follow the order of its values, and it is left out of the result. Sequence
+    that holds its pieces' rows, never their tokens. With a column `stretch`, in which
+    `position` may give an order, pieces are packed in runs of RUN that follow it, whatever the
+    size of the input, and a task packs as many runs as a share holds. Sequence ids follow the runs, and
+    within a run the mean place of a sequence's pieces; both columns are left out of the result. Sequence
     ids are unique, not dense. No pieces give no sequences; equal rows are packed each on its own.
     """
     cut = stored(cut, "pieces")
-    number, shares = _shares(cut, share)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    ordered = "stretch" in cut.columns
+    run = min(RUN, share)
+    several = max(1, share // run) if ordered else 1
+    numbered, shares = _runs(cut, run) if ordered else _dealt(cut, share)
+    kept = [f for f in cut.schema if f.name not in ("stretch", "position")]
+    names = [f.name for f in kept]
+
+    def run_of(whole: pa.Table) -> pa.Table:
+        """One share or run, packed."""
+        if ordered:  # from the order of the mix, as far as it is known
+            whole = whole.take(pa.array(np.lexsort([whole.column("gp_at").to_numpy(), whole.column("gp_before").to_numpy()])))
+        sequence, offset = place(whole.column("length").to_numpy(), length)
+        if ordered:
+            mean = np.bincount(sequence, np.arange(len(sequence))) / np.bincount(sequence)
+            rank = np.empty(len(mean), np.int64)
+            rank[np.argsort(mean, kind="stable")] = np.arange(len(mean))
+            sequence = rank[sequence]
+        base = whole.column("gp_share")[0].as_py() << 32
+        whole = whole.select(names)
+        return whole.append_column("sequence_id", pa.array(sequence + base)).append_column("offset", pa.array(offset))
+
+    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         whole = pa.Table.from_batches(list(batches)) if (batches := [b for b in batches if b.num_rows]) else None
         if whole is None:
             return
-        sequence, offset = place(whole.column("length").to_numpy(), length)
-        base = whole.column("share")[0].as_py() << 32
-        whole = whole.drop_columns(["share"])
-        whole = whole.append_column("sequence_id", pa.array(sequence + base)).append_column("offset", pa.array(offset))
-        yield from whole.to_batches(max_chunksize=20_000)
-
-    kept = [f for f in cut.schema if f.name != "stretch"]
-    dealt = cut.withColumn("share", number).drop("stretch").repartitionById(shares, F.col("share"))
+        number = whole.column("gp_share").to_numpy()
+        for one in np.unique(number):
+            yield from run_of(whole.filter(pa.array(number == one))).to_batches(max_chunksize=20_000)
+
+    extra = [F.col("share").alias("gp_share")]
+    if ordered:
+        at = F.coalesce("position", F.lit(0)) if "position" in cut.columns else F.lit(0)
+        extra += [F.col("before").alias("gp_before"), at.cast("long").alias("gp_at")]
+    rows = numbered.select(*[col(n) for n in names], *extra)
+    dealt = rows.repartitionById(-(-shares // several), (F.col("gp_share") / several).cast("int"))
     out = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept)
-    return map_arrow(dealt, run, f"{out}, sequence_id long, offset long")
+    return map_arrow(dealt, packed, f"{out}, sequence_id long, offset long")

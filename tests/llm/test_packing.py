@@ -74,6 +74,40 @@ def test_empty(documents):
     assert packing.pack(packing.pieces(documents("x").limit(0), PATH)).count() == 0
 
 
+def test_runs_follow_the_positions_at_the_production_share(spark):
+    """Sequence ids follow the input at any size, not the lengths of its documents."""
+    from pyspark.sql import functions as F
+
+    rows = spark.range(30_000).select(
+        F.col("id").alias("doc_id"), (F.pmod(F.xxhash64("id"), F.lit(1500)) + 1).alias("length"),
+        F.format_string("part-%05d", F.floor(F.col("id") / 7000)).alias("stretch"), (F.col("id") % 7000).alias("position"),
+    )
+    packed = packing.pack(rows)
+    assert packed.columns == ["doc_id", "length", "sequence_id", "offset"]
+    found = sorted((r.sequence_id, r.offset, r.doc_id, r.length) for r in packed.collect())
+    assert sorted(f[2] for f in found) == list(range(30_000))
+    order = np.array([f[2] for f in found])
+    assert np.abs(order - np.arange(30_000)).max() < 2 * packing.RUN
+    assert np.corrcoef(order[:4000], np.arange(4000))[0, 1] > 0.5  # also within a run
+    sequences = len({f[0] for f in found})
+    assert sequences <= 1.005 * sum(f[3] for f in found) / 2048 + 1
+
+
+def test_a_giant_document_is_spread_over_runs(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    monkeypatch.setattr(packing, "RUN", 100)
+    rows = spark.range(2000).select(
+        F.when(F.col("id") < 1000, F.lit(7)).otherwise(F.col("id")).alias("doc_id"), F.lit(10).alias("length"),
+        F.lit("f").alias("stretch"), F.when(F.col("id") < 1000, F.lit(0)).otherwise(F.col("id")).cast("long").alias("position"),
+    )
+    found = packing.pack(rows, share=300).collect()
+    by_run = defaultdict(int)
+    for r in found:
+        by_run[r.sequence_id >> 32] += 1
+    assert len(found) == 2000 and max(by_run.values()) < 200 and len(by_run) == 20
+
+
 def test_query(spark, small):
     docs = dict(spark.read.parquet(f"{small}/documents.parquet").select("doc_id", "text").collect())
     check(queries.QUERIES["op4_sum_of_squares_packing"](spark, small).collect(), docs)
