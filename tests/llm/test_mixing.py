@@ -19,6 +19,29 @@ def test_every_prefix_is_within_a_block(weights):
         assert all(abs(got[x] - Fraction(t * n, 64)) < 1 for x, n in slots.items())
 
 
+def test_every_prefix_is_within_a_block_of_the_target(spark):
+    """20 sources, one of a third of all text, square-root weights: against the weights that were asked for."""
+    sizes = {"hot": 9_500.0} | {f"s{i:02d}": 1_000.0 for i in range(19)}
+    weights = {s: n**0.5 for s, n in sizes.items()}
+    total = sum(weights.values())
+    docs = spark.createDataFrame([(s, i) for s, n in sizes.items() for i in range(int(n) // 4)], "source string, n long")
+    docs = docs.select("source", F.xxhash64("source", "n").alias("doc_id"), F.lit(4).alias("size"))
+    rows = mixing.mixed(docs, weights, F.col("size"), block_size=4).select("source", "slot").collect()
+    at, got = sorted((r.slot, r.source) for r in rows), Counter()
+    last = {s: max(t for t, x in at if x == s) for s in sizes}
+    owner = dict(at)
+    for t in range(min(last.values())):
+        got[owner[t]] += 1
+        assert all(abs(got[s] - (t + 1) * w / total) < 1 for s, w in weights.items()), t
+    assert min(last.values()) > 2 * mixing.PERIOD
+
+
+def test_rounding_keeps_to_the_target():
+    weights = {"hot": (1 / 3) ** 0.5} | {i: (2 / 57) ** 0.5 for i in range(19)}
+    assert abs(mixing.slots_per_period(weights)["hot"] - 1024 * weights["hot"] / sum(weights.values())) < 1
+    assert mixing.slots_per_period({"a": 1e6, "b": 1, "c": 1}) == {"a": 1022, "b": 1, "c": 1}
+
+
 def test_rounding():
     slots = mixing.slots_per_period({"a": 0.7, "b": 0.2, "c": 0.1, "none": 0}, 1000)
     assert sum(slots.values()) == 1000 and abs(slots["a"] - 700) <= 2 and "none" not in slots
