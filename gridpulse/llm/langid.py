@@ -24,8 +24,14 @@ from gridpulse.llm.common import col, fresh, map_arrow, stored
 ORDER = 4
 #: About so many labelled documents of each language are learned from; every fifth of them calibrates.
 SAMPLE_DOCS = 1500
-#: Of the calibrating documents, so many at most are rejected for their cross-entropy.
+#: Of the calibrating documents, so many at most are over the highest cross-entropy of a language.
 MOST_REJECTED = 0.0005
+#: In spreads (of a language's cost per symbol): what is added to that, so other styles of it pass, and how far
+#: from the median a document still tells of the language.
+MARGIN, FAR = 0.75, 0.25
+#: Share of the calibrating documents that may be further out than that.
+FEW = 0.02
+LEAST_SPREAD = 0.5
 UNDETERMINED = "und"
 #: Symbols scored at once.
 _CHUNK = 1 << 18
@@ -178,16 +184,20 @@ class Identifier:
 
     def calibrate(self, langs: np.ndarray, entropies: np.ndarray, n: np.ndarray) -> None:
         """Limits of the cross-entropy per language, and how sharply it tells languages apart."""
-        uniform = -np.log2(self.models[0].floor)
+        nearest = entropies.argmin(axis=1)
         for j in range(len(self.languages)):
             own, size = entropies[langs == j, j], n[langs == j]
             if not len(own):
                 continue
             middle = float(np.median(own))
-            self.spread[j] = float(np.median(np.abs(own - middle) * np.sqrt(size))) + 1e-6
+            self.spread[j] = float(np.median(np.abs(own - middle) * np.sqrt(size)))
+            # Texts made of the same few words have no spread to measure.
+            self.spread[j] = max(self.spread[j], LEAST_SPREAD)
             over = own - self.spread[j] * 6 / np.sqrt(size)
-            # Half way to guessing symbols is the least limit, so other styles of a language pass.
-            self.limits[j] = max(float(np.quantile(over, 1 - MOST_REJECTED)), (middle + uniform) / 2)
+            # A few documents under a wrong label, or far out as another language is, do not set this one's limit.
+            typical = over[(nearest[langs == j] == j) & (over <= middle + self.spread[j] * FAR)]
+            highest = float(np.quantile(typical, 1 - MOST_REJECTED)) if len(typical) else middle
+            self.limits[j] = max(highest, middle, float(np.quantile(over, 1 - FEW))) + self.spread[j] * MARGIN
         best, lowest = 1.0, np.inf
         for sharpness in (0.05, 0.1, 0.2, 0.5, 1.0, 2.0):
             chance = self._chance(entropies, n, sharpness)[np.arange(len(langs)), langs]

@@ -151,3 +151,31 @@ def test_query_is_accurate_on_held_out_documents(spark):
         assert r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2)
         right[r.held_out].append(r.lang_pred == docs[r.doc_id].lang)
     assert np.mean(right[True]) > 0.99 and np.mean(right[False]) > 0.98
+
+
+@pytest.mark.parametrize("out", ["en", "de"])
+def test_a_language_that_was_not_learned_is_rejected(spark, out):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").filter("length(text) > 300")
+    identifier = langid.learn(docs.filter("doc_id % 4 = 0"), F.col("lang") != out)
+    judged = docs.filter("doc_id % 4 = 1 and doc_id < 4000")
+    found, (_, _, rejected) = langid.identified(judged, identifier)
+    share = dict(found.groupBy(F.col("lang") == out).agg(F.avg(F.col(rejected).cast("int"))).collect())
+    assert share[True] > 0.97 and share[False] < 0.01
+
+
+def test_limits_do_not_follow_the_alphabet():
+    """A large script among the languages does not raise what another one lets pass."""
+    rng = np.random.default_rng(7)
+
+    def limit(symbol_count):
+        texts = {"aa": [" ".join("".join(rng.choice(list("abcde"), 4)) for _ in range(60)) for _ in range(60)]}
+        texts["zz"] = ["".join(chr(0x4E00 + i) for i in rng.integers(0, symbol_count, 300)) for _ in range(60)]
+        grams = {k: plain_grams(t[:40]) for k, t in texts.items()}
+        identifier = Identifier.fit({
+            k: (np.array([pack(g) for g in sorted(c)], np.uint64), np.array([c[g] for g in sorted(c)])) for k, c in grams.items()
+        })
+        entropies, n = identifier.entropies(texts["aa"][40:] + texts["zz"][40:])
+        identifier.calibrate(np.array([0] * 20 + [1] * 20), entropies, n)
+        return identifier.limits[0]
+
+    assert abs(limit(20) - limit(5000)) < 0.3
