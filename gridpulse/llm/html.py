@@ -28,7 +28,11 @@ BLOCKS = frozenset(
 )
 #: Elements without content, and elements whose content is no text of the page (fixed values).
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-DROPPED = frozenset("script style noscript template iframe svg math canvas object video audio textarea noframes".split())
+DROPPED = frozenset(
+    "script style noscript template iframe svg canvas object video audio textarea noframes annotation annotation-xml".split()
+)
+#: Of these, such as hold elements: if one is not closed, the rest of the page is not its content.
+OPEN_ENDED = frozenset("svg canvas object video audio annotation annotation-xml".split())
 #: An element is closed by the start of another of its group within the same container.
 CLOSED_BY = {
     **dict.fromkeys("p h1 h2 h3 h4 h5 h6".split(), frozenset(["p"])),
@@ -53,6 +57,8 @@ BOILER_WORDS = frozenset(
     "header masthead footer footnav copyright colophon "
     "share sharing social follow newsletter subscribe subscription signup login form search skip".split()
 )
+#: Marks by these hold for articles too; a form or another name may be around the whole page.
+FIRM_WORDS = frozenset("comment comments commentlist discussion disqus respond reply replies".split())
 #: With one of these a name tells of the surroundings, as in has-comments.
 MODIFIERS = frozenset("with without has no is open closed enabled disabled layout wrap wrapper".split())
 CONTENT_WORDS = frozenset("article content story entry post main maintext body text prose".split())
@@ -84,6 +90,10 @@ class Element:
     content: bool
     link: bool
     line: bool
+    marks: int = 0  # boilerplate marks on the way from the root
+    firm: bool = False  # one of them holds for articles too
+    lifts: bool = False  # an article or main without a mark of its own, under marks that are not firm
+    article: Element | None = None  # the nearest such around it
 
 
 @dataclass(slots=True)
@@ -93,10 +103,10 @@ class Block:
     place: Element
 
 
-def _kind(tag: str, rest: str) -> tuple[bool, bool]:
-    """Whether the element itself marks boilerplate, and whether it marks content."""
-    boiler, content = tag in BOILER_TAGS, tag in CONTENT_TAGS
-    beside, itself = False, False
+def _kind(tag: str, rest: str) -> tuple[bool, bool, bool]:
+    """Whether the element itself marks boilerplate, whether it marks content, and whether the first holds for articles in it."""
+    boiler, content = tag in BOILER_TAGS and tag != "form", tag in CONTENT_TAGS
+    beside, itself, firm = False, False, False
     if rest and not rest.isspace():
         for name, *values in _ATTRIBUTE.findall(rest):
             name, value = name.lower(), "".join(values)
@@ -109,22 +119,45 @@ def _kind(tag: str, rest: str) -> tuple[bool, bool]:
                 boiler |= bool(_HIDDEN.search(value))
             elif name in ("class", "id"):
                 named = _named(value)
-                beside, itself = beside | named[0], itself | named[1]
+                beside, itself, firm = beside | named[0], itself | named[1], firm | named[2]
     # Pages say of a whole body, and of an article that calls itself one, what it has beside it.
-    boiler |= beside and tag not in ("html", "body") and not (itself and tag in CONTENT_TAGS)
-    return boiler, (content or itself) and not boiler
+    beside &= tag not in ("html", "body") and not (itself and tag in CONTENT_TAGS)
+    firm = boiler or (beside and firm)
+    boiler |= beside or tag == "form"
+    return boiler, (content or itself) and not boiler, firm
 
 
-def _named(value: str) -> tuple[bool, bool]:
-    """Whether one of the names in a class or id marks boilerplate, and whether one marks content alone."""
-    boiler = content = False
+def _named(value: str) -> tuple[bool, bool, bool]:
+    """Whether one of the names in a class or id marks boilerplate, whether one marks content alone, and whether the first is firm."""
+    boiler = content = firm = False
     for name in value.split():
         words = {w.lower() for w in _WORD.findall(name)}
         if words & MODIFIERS:
             words -= BOILER_WORDS
         boiler |= bool(words & BOILER_WORDS)
         content |= bool(words & CONTENT_WORDS) and not words & BOILER_WORDS
-    return boiler, content
+        firm |= bool(words & FIRM_WORDS)
+    return boiler, content, firm
+
+
+def _lift(found: list[Block]) -> None:
+    """Take the marks around an article that holds most of the page's long text off its blocks; marks inside it stay."""
+    total, held = 0, {}
+    for b in found:
+        if b.text.count(" ") + 1 >= 12:
+            total += len(b.text)
+            at = b.place if b.place.lifts else b.place.article
+            while at:
+                held[at.number] = held.get(at.number, 0) + len(b.text)
+                at = at.article
+    lifted = {n for n, size in held.items() if 2 * size > total}
+    for b in found if lifted else ():
+        at, least = b.place if b.place.lifts else b.place.article, 0
+        while at:
+            least = max(least, at.marks if at.number in lifted else 0)
+            at = at.article
+        if least:
+            b.place.boiler = b.place.marks > least
 
 
 def blocks(page: str) -> list[Block]:
@@ -132,6 +165,7 @@ def blocks(page: str) -> list[Block]:
     root = Element(0, "", (0,), False, False, False, True)
     stack, number = [root], 0
     out: list[Block] = []
+    unclosed: set[str] = set()
     parts: list[str] = []
     linked = 0
 
@@ -177,8 +211,10 @@ def blocks(page: str) -> list[Block]:
             continue
         rest = found["rest"] or found["rest2"] or ""
         if tag in DROPPED:
-            closing = re.compile(rf"</{re.escape(tag)}\b[^>]*+(?:>|\Z)", re.I).search(page, at)
-            if not rest.endswith("/") or tag in ("script", "style", "textarea"):
+            closing = None if tag in unclosed else re.compile(rf"</{re.escape(tag)}\b[^>]*+(?:>|\Z)", re.I).search(page, at)
+            if not closing and tag in OPEN_ENDED:
+                unclosed.add(tag)
+            elif not rest.endswith("/") or tag in ("script", "style", "textarea"):
                 at = closing.end() if closing else end
             parts.append(" ")
             continue
@@ -198,13 +234,17 @@ def blocks(page: str) -> list[Block]:
                 elif stack[i].tag in CONTAINERS:
                     break
         number += 1
-        boiler, content = _kind(tag, rest)
+        boiler, content, firm = _kind(tag, rest)
         up = stack[-1]
-        stack.append(Element(
+        here = Element(
             number, tag, (*up.path, number) if line else up.path, up.boiler or boiler, up.content or content,
-            up.link or tag == "a", line,
-        ))
+            up.link or tag == "a", line, up.marks + boiler, up.firm or firm,
+        )
+        stack.append(here)
+        here.article = up if up.lifts else up.article
+        here.lifts = tag in CONTENT_TAGS and up.boiler and not boiler and not up.firm
     flush()
+    _lift(out)
     return out
 
 

@@ -61,6 +61,29 @@ def test_names_of_elements(opening, kept):
     assert main_text(page) == (f"{LONG}\n{LONG}" if kept else "")
 
 
+@pytest.mark.parametrize("opening, kept", [
+    ('<div class="container right-sidebar"><article>', True), ('<body><form action="/"><div><main>', True),
+    ('<div class="comments"><article>', False), ('<div class="right-sidebar"><article class="comment">', False),
+    ('<nav><article>', False), ('<div hidden><article>', False), ('<div class="popup"><form><main><article>', True),
+])
+def test_marks_around_an_article(opening, kept):
+    page = f'{opening}<p>{LONG}</p><p>{LONG}</p><div class="ad">{LONG}</div>'
+    assert main_text(page) == (f"{LONG}\n{LONG}" if kept else "")
+
+
+def test_an_article_beside_the_main_text_stays_out():
+    page = f'<main><p>{LONG}</p><p>{LONG}</p></main><div class="related"><article><p>{LONG}</p></article></div>'
+    assert main_text(page) == f"{LONG}\n{LONG}"
+
+
+def test_mathematics_and_what_is_not_closed():
+    formula = "<math><mi>x</mi><mo>=</mo><mn>1</mn><annotation>x = 1</annotation></math>"
+    assert main_text(f"<article><p>{LONG} {formula} holds.</p></article>") == f"{LONG} x=1 holds."
+    for tag in ("svg", "video", "object"):
+        assert main_text(f"<article><p>{LONG}</p><{tag} width=1><p>{LONG}</p></article>") == f"{LONG}\n{LONG}"
+    assert main_text(f"<article><p>{LONG}</p><svg><text>no</text></svg><p>{LONG}</p></article>") == f"{LONG}\n{LONG}"
+
+
 def test_very_long_page():
     page = "<article>" + f"<p>{LONG}</p>" * 20_000 + "</article>" + "<p><b>" * 5000
     assert main_text(page).count("\n") == 19_999
