@@ -1,4 +1,3 @@
-import datetime as dt
 import os
 import sys
 
@@ -7,21 +6,7 @@ import pytest
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from gridpulse.session import get_session  # noqa: E402
-
-DAY = dt.datetime(2024, 1, 5)
-
-
-def at(clock: str, day: dt.datetime = DAY) -> dt.datetime:
-    """A time of 2024-01-05, from `HH:MM` or `HH:MM:SS`."""
-    parts = [int(x) for x in clock.split(":")]
-    return day + dt.timedelta(hours=parts[0], minutes=parts[1], seconds=parts[2] if len(parts) > 2 else 0)
-
-
-READINGS = (
-    "event_time timestamp_ntz, point_id string, reading_type string, value_bigint bigint, "
-    "value_double double, value_numeric decimal(38,9), data_quality string"
-)
-POINTS = "point_id string, site_id string, name string, value_type string, uom string, rollup_uom string"
+from helpers import POINTS, READINGS  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -56,9 +41,3 @@ def points(spark):
         return spark.createDataFrame(full, POINTS)
 
     return build
-
-
-def rows(df, *columns):
-    """Sorted tuples of the given columns."""
-    picked = [tuple(r) for r in df.select(*columns).collect()]
-    return sorted(picked, key=lambda r: [(v is not None, v) for v in r])

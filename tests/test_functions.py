@@ -4,7 +4,7 @@ import decimal
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import at, rows
+from helpers import at, rows
 from gridpulse.functions import scalars as sc
 from gridpulse.functions import values as v
 from gridpulse.functions.buckets import (

@@ -2,7 +2,7 @@ import datetime as dt
 
 import pytest
 
-from conftest import at, rows
+from helpers import at, rows
 from gridpulse.operators.rollups import create_rollup, partitions, refresh_due, rollup_1h
 from gridpulse.plans import lifecycle as lc
 from gridpulse.plans import reports as rp

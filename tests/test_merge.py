@@ -4,7 +4,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import at, rows
+from helpers import at, rows
 from gridpulse.operators import merge as m
 
 ROWS = "key string, name string, updated_at timestamp_ntz"

@@ -4,7 +4,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import at, rows
+from helpers import at, rows
 from gridpulse.operators import alarms as al
 from gridpulse.operators import outages as og
 from gridpulse.operators.meter import derived_sum, site_meter

@@ -4,7 +4,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import POINTS, READINGS, at, rows
+from helpers import POINTS, READINGS, at, rows
 from gridpulse.operators.gapfill import readings_gapfilled
 from gridpulse.functions.buckets import to_local, to_utc
 from gridpulse.operators.rollup import point_history, power_to_energy, readings_rollup

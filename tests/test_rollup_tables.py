@@ -3,7 +3,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import at, rows
+from helpers import at, rows
 from gridpulse.operators import rollups as ru
 from gridpulse.session import run_database
 from gridpulse.sources.tables import with_partition

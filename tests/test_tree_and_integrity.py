@@ -1,6 +1,6 @@
 import pytest
 
-from conftest import at, rows
+from helpers import at, rows
 from gridpulse.operators.hierarchy import device_point_tree
 from gridpulse.operators.integrity import audit_constraints
 from gridpulse.plans.reports import plant_tree
