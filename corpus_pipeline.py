@@ -9,28 +9,38 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridpulse.llm import langid, mixing, packing, quality, similar, simhash
+from gridpulse.llm import langid, mixing, packing, quality, simhash
 from gridpulse.llm.common import col, stored
 from gridpulse.llm.queries import TOKENIZER
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language the models know; they learn from a sample of the documents with a label."""
+    """Documents whose language the models know; they learn from a sample of the documents with a label.
+
+    A null or empty text, or one without a letter, has no language and goes. Rows are judged one by one on their
+    whole texts, so repeated rows stay or go together; without a label nothing is learned and no row stays.
+    """
     found, names = langid.identified(docs, langid.learn(docs, F.lit(True)))
     return found.filter(~F.col(names[2])).select(*[col(c) for c in docs.columns])
 
 
 def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass every quality rule."""
+    """Documents that pass every quality rule.
+
+    A null or empty text has no words and goes. Rows are judged one by one on their whole texts, so repeated
+    rows stay or go together; no rows give none.
+    """
     return quality.kept_documents(docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates: the one of the least doc_id.
 
-    Near duplicates have a similarity of 0.8 or more on five-word shingles, and so have those linked through others.
+    Near duplicates have fingerprints of three-word shingles that differ in at most three bits, and so have
+    those linked through others. A null or empty text has fingerprint zero and is linked like any other; of
+    rows that repeat a kept doc_id one stays, and all rows without one; no rows give none.
     """
-    return simhash.least_of_groups(docs, similar.alike(docs))
+    return simhash.deduplicated(docs, words=3)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,7 +54,11 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document's pieces in sequences; sequence ids follow the order of the mix, run by run of pieces."""
+    """Every document's pieces in sequences; sequence ids follow the order of the mix, run by run of pieces.
+
+    A null or empty text is the end id alone; longer texts are cut into as many pieces as they need. Repeated rows
+    and null ids are packed each on their own; no rows give none.
+    """
     cut = packing.pieces(docs, TOKENIZER, stretch=F.col("_metadata.file_name"), position=F.col("_metadata.row_index"))
     return packing.pack(cut)
 
