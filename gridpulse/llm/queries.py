@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridpulse.llm import html, langid, lcp, mixing, packing, quality, rans, simhash, urls, warc
+from gridpulse.llm import collocations, html, langid, lcp, mixing, packing, quality, rans, simhash, urls, warc
 from gridpulse.llm.common import stored
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -193,3 +193,51 @@ SELECT page_id, host, path, rule,
   coalesce(v, CASE WHEN regexp_matches(host, '(^|[.-])(ads|adult|bets|casino|pills|spam)([.-]|$)') THEN 'block' ELSE 'allow' END) AS verdict
 FROM best
 """
+
+
+@query
+def op12_son_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each language's best phrases of two or three words."""
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+ORACLE_SQL["op12_son_collocations"] = r"""
+WITH d AS (
+  SELECT coalesce(lang, 'und') AS lang,
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t
+  FROM documents
+),
+w AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws
+  FROM (SELECT lang, unnest(regexp_split_to_array(t, '[.,;:!?\x0A-\x0D]')) AS piece FROM d)
+),
+f AS (
+  SELECT lang, words, phrase, count(*) AS f
+  FROM (
+    SELECT lang, v.words, unnest(list_transform(range(1, len(ws) - v.words + 2), lambda i: array_to_string(ws[i:i + v.words - 1], ' '))) AS phrase
+    FROM w, (VALUES (1), (2), (3)) v(words) WHERE len(ws) >= v.words
+  )
+  GROUP BY ALL
+),
+totals AS (SELECT lang, cast(sum(f) AS BIGINT) AS n FROM f WHERE words = 1 GROUP BY lang),
+c AS (SELECT lang, words, phrase, f AS a, string_split(phrase, ' ') AS s FROM f WHERE words > 1 AND f >= 10),
+longer AS (
+  SELECT lang, phrase, max(a) AS most
+  FROM (SELECT lang, a, unnest([array_to_string(s[1:2], ' '), array_to_string(s[2:3], ' ')]) AS phrase FROM c WHERE words = 3)
+  GROUP BY ALL
+),
+kept AS (SELECT c.* FROM c LEFT JOIN longer USING (lang, phrase) WHERE most IS NULL OR 100 * most < 50 * a),
+cuts AS (
+  SELECT lang, phrase, a, k, array_to_string(s[1:k], ' ') AS first, array_to_string(s[k + 1:], ' ') AS rest
+  FROM (SELECT *, unnest(range(1, words)) AS k FROM kept)
+),
+scored AS (
+  SELECT cuts.*, x.f AS l, y.f AS r,
+    cast((1000000::HUGEINT * cuts.a * cuts.a) // (x.f::HUGEINT * y.f) AS BIGINT) AS score
+  FROM cuts JOIN f x ON x.lang = cuts.lang AND x.phrase = first JOIN f y ON y.lang = cuts.lang AND y.phrase = rest
+),
+worst AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM worst JOIN totals USING (lang)
+QUALIFY rank <= 2000
+"""
