@@ -31,7 +31,7 @@ TOP = 2000
 DROP_PERCENT = 50
 UNDETERMINED = "und"
 #: Words that a task counts at once; texts are cut to so many bytes at a blank.
-CHUNK, SLICE = 1 << 19, 1 << 19
+CHUNK, SLICE = 3 << 18, 1 << 19
 #: A filter has a 64-bit word for every four keys, and no more than this many (32 MB). Beyond
 #: that more phrases pass that no shard found; they are counted too and fall to the support.
 MOST_WORDS = 1 << 22
@@ -213,11 +213,14 @@ def _spelled(batches: Iterator[pa.RecordBatch], blooms: dict[int, tuple[str, int
 
 
 def _mined(texts: DataFrame, support: int, n: int, bloom: tuple[str, int] | None = None) -> DataFrame:
-    """(key) of the runs of n words that reach the lowered support in a shard; a key for each such shard."""
+    """(key) of the runs of n words that reach the lowered support in a shard and may have the support in all."""
     found = map_arrow(texts, partial(_counted, n=n, bloom=bloom), "key bigint, n bigint")
     local = -(-support // SHARDS)
-    frequent = found.groupBy("key").agg(F.sum("n").alias("n")).filter(F.col("n") >= local).select("key")
-    return stored(frequent.select(F.expr(f"key & ~{SHARDS - 1}L").alias("key")).distinct(), f"collocations-{n}")
+    frequent = found.groupBy("key").agg(F.sum("n").alias("n")).filter(F.col("n") >= local)
+    # In every other shard there are less than `local`, so some are known to miss the support.
+    most = F.sum("n") + (SHARDS - F.count("*")) * (local - 1)
+    united = frequent.groupBy(F.expr(f"key & ~{SHARDS - 1}L").alias("key")).agg(most.alias("most"))
+    return stored(united.filter(F.col("most") >= support).select("key"), f"collocations-{n}")
 
 
 def phrase_counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", support: int = SUPPORT) -> DataFrame:

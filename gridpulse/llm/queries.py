@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridpulse.llm import collocations, html, langid, lcp, mixing, packing, quality, rans, simhash, urls, warc
+from gridpulse.llm import collocations, html, langid, lcp, manifest, mixing, packing, quality, rans, simhash, urls, warc
 from gridpulse.llm.common import stored
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -241,3 +241,83 @@ SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, p
 FROM worst JOIN totals USING (lang)
 QUALIFY rank <= 2000
 """
+
+
+LEAF_FIELDS = ["doc_id", "source", "lang", "n_chars", "text"]
+
+
+@query
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf and proof of every document, and the root that an offered document's leaf folds to."""
+    docs = table(spark, sf_dir, "documents").select(*LEAF_FIELDS)
+    tampered = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 2 == 0, F.lit(False))
+    offered = F.when(tampered, F.translate("text", "\n", "")).otherwise(F.col("text"))
+    leaf = manifest.digest(*[F.col(f) for f in LEAF_FIELDS[:-1]], offered)
+    found = manifest.proofs(manifest.build(docs, LEAF_FIELDS, carried={"offered": leaf}))
+    return found.select(
+        F.col("id").alias("doc_id"), "leaf", "subroot", "root",
+        F.sha2(manifest.siblings(F.col("proof")), 256).alias("proof_sha256"),
+        manifest.folded(F.col("carried.offered"), F.col("proof")).alias("folded_root"),
+    ).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+def _framed(value: str) -> str:
+    return f"coalesce(strlen({value})::VARCHAR || ':' || {value}, '-')"
+
+
+_LEAF = " || ".join(_framed(f"{f}::VARCHAR") for f in LEAF_FIELDS[:-1])
+#: CRC-32 of the decimal doc_id, bit by bit (fixed values: its polynomial, and all ones before and after).
+_BYTE = "CASE WHEN i % 8 = 0 THEN ascii(substr(doc_id::VARCHAR, (i // 8 + 1)::INT, 1)) ELSE 0 END"
+_CRC = f"""xor(4294967295, list_reduce(list_concat([4294967295], range(0, 8 * length(doc_id::VARCHAR))),
+  lambda c, i: xor(xor(c, {_BYTE}) >> 1, CASE WHEN xor(c, {_BYTE}) % 2 = 1 THEN 3988292384 ELSE 0 END)))"""
+
+
+def _tree_sql(name: str, start: str) -> str:
+    """CTEs of trees' nodes and of what stands beside each of them; `start` gives (tree, level, rank, digest, total)."""
+    return f"""
+{name} AS (
+  {start}
+  UNION ALL
+  SELECT tree, level + 1, rank // 3, sha256(string_agg(digest, '' ORDER BY rank)), any_value((total + 2) // 3)
+  FROM {name} WHERE total > 1 GROUP BY tree, level, rank // 3
+),
+{name}_beside AS (
+  SELECT a.tree, a.level, a.rank, coalesce(string_agg(b.digest, '' ORDER BY b.rank) FILTER (b.rank < a.rank), '') AS before,
+    coalesce(string_agg(b.digest, '' ORDER BY b.rank) FILTER (b.rank > a.rank), '') AS after
+  FROM {name} a JOIN {name} b ON a.tree = b.tree AND a.level = b.level AND a.rank // 3 = b.rank // 3
+  WHERE a.total > 1 GROUP BY a.tree, a.level, a.rank
+)"""
+
+
+def _fold_sql(name: str, beside: str, start: str) -> str:
+    """CTE of the folds up a tree; `start` gives (id, tree, level, rank, digest, path)."""
+    return f"""
+{name} AS (
+  {start}
+  UNION ALL
+  SELECT f.id, f.tree, f.level + 1, f.rank // 3, sha256(before || f.digest || after), path || before || after
+  FROM {name} f JOIN {beside} b ON f.tree = b.tree AND f.level = b.level AND f.rank = b.rank
+)"""
+
+
+ORACLE_SQL["op11_merkle_manifest"] = f"""
+WITH RECURSIVE sent AS (
+  SELECT *, CASE WHEN {_CRC} % 2 = 0 THEN replace(text, chr(10), '') ELSE text END AS sent FROM documents
+),
+d AS (
+  SELECT *, row_number() OVER () AS id, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS rank
+  FROM (
+    SELECT *, dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS tree, sha256({_LEAF} || {_framed('text')}) AS leaf,
+      sha256({_LEAF} || {_framed('sent')}) AS offered FROM sent
+  )
+),
+{_tree_sql('nodes', "SELECT tree, 0 AS level, rank, leaf AS digest, count(*) OVER (PARTITION BY tree) AS total FROM d")},
+subroots AS (SELECT tree, digest FROM nodes WHERE total = 1),
+{_tree_sql('tops', "SELECT 0 AS tree, 0 AS level, tree AS rank, digest, count(*) OVER () AS total FROM subroots")},
+{_fold_sql('low', 'nodes_beside', "SELECT id, tree, 0 AS level, rank, offered AS digest, '' AS path FROM d")},
+{_fold_sql('high', 'tops_beside', """SELECT id, 0 AS tree, 0 AS level, tree AS rank, arg_max(digest, level) AS digest,
+    arg_max(path, level) AS path FROM low GROUP BY id, tree""")},
+ends AS (SELECT id, arg_max(digest, level) AS folded_root, arg_max(path, level) AS path FROM high GROUP BY id)
+SELECT doc_id, leaf, s.digest AS subroot, r.digest AS root, sha256(path) AS proof_sha256, folded_root, folded_root = r.digest AS verified
+FROM d JOIN subroots s USING (tree) JOIN ends USING (id), (SELECT digest FROM tops WHERE total = 1) r
+"""
