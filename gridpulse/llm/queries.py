@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridpulse.llm import collocations, html, langid, lcp, manifest, mixing, packing, quality, rans, simhash, urls, warc
+from gridpulse.llm import collocations, html, langid, lcp, manifest, mixing, packing, pii, quality, rans, simhash, urls, warc
 from gridpulse.llm.common import stored
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -321,3 +321,11 @@ ends AS (SELECT id, arg_max(digest, level) AS folded_root, arg_max(path, level)
 SELECT doc_id, leaf, s.digest AS subroot, r.digest AS root, sha256(path) AS proof_sha256, folded_root, folded_root = r.digest AS verified
 FROM d JOIN subroots s USING (tree) JOIN ends USING (id), (SELECT digest FROM tops WHERE total = 1) r
 """
+
+
+@query
+def op13_boosted_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document: counts and digest of the base spans, and all spans."""
+    rows, base, every = pii.found(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    counts = [F.size(name).cast("long").alias(f"n_{kind}") for kind, name in base.items()]
+    return rows.select("doc_id", *counts, F.sha2(pii.listed(base), 256).alias("base_sha256"), pii.listed(every).alias("spans"))
