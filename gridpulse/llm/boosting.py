@@ -9,6 +9,8 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import add
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -54,11 +56,11 @@ class Model:
     trees: tuple[Tree, ...]
 
     def score(self, values: Sequence[int]) -> float:
-        # Added up in the order of the column expression, so both give the same number.
-        return sum((tree.score(values) for tree in self.trees), self.start)
+        # Added up one by one, as the column expression does, so both give the same number.
+        return reduce(add, (tree.score(values) for tree in self.trees), self.start)
 
     def column(self, features: Sequence[Column]) -> Column:
-        return sum((tree.column(features) for tree in self.trees), F.lit(self.start))
+        return reduce(add, (tree.column(features) for tree in self.trees), F.lit(self.start))
 
 
 def _grown(rows: list[tuple[tuple[int, ...], float, float]], depth: int) -> Tree:
