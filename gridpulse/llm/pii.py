@@ -129,7 +129,7 @@ def _code(*cases: Column) -> Column:
 def features(kind: str, span: Column) -> list[Column]:
     """What the trees see of a span: small numbers, so that all patterns together are a bounded table.
 
-    Whether a form is the base form (an @, a leading plus, plain dots) is not among them.
+    Whether a form is the base form (an @, a leading plus, plain dots, 16 digits or more) is not among them.
     """
     value, before, after = span["value"], span["before"], span["after"]
     digits, has = _digits(value), lambda pattern: F.rlike(value, F.lit(pattern))
@@ -152,7 +152,7 @@ def features(kind: str, span: Column) -> list[Column]:
             has(r"(?:^|[^0-9])0[0-9]").cast("int"), has(r"^(?:10|127|192|172|0)[^0-9]").cast("int"),
         ],
         "card": [
-            amount, runs, F.coalesce(_luhn(digits), F.lit(False)).cast("int"),
+            (runs > 1).cast("int"), F.coalesce(_luhn(digits), F.lit(False)).cast("int"),
             F.rlike(digits, F.lit("^(?:4|5[1-5]|2[2-7]|3[47]|6)")).cast("int"),
         ],
         "phone": [
