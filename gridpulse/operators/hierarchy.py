@@ -9,28 +9,39 @@ from gridpulse.session import checkpointed
 
 
 def _walk(roots: DataFrame, edges: DataFrame) -> DataFrame:
-    """All devices below the roots, level by level until a level is empty.
+    """All devices below the roots, one row per way up from a device to its root.
 
-    A device that appears below itself is a cycle and an error.
+    Every row knows a part of its way, from the device to `top`. A round joins the parts
+    that do not end in a root to those that begin where they end, so their length doubles
+    and a tree of depth d takes about log2(d) rounds. What is longer than all edges
+    together runs in a cycle, which is an error.
     """
-    level = checkpointed(roots.select(
-        "site_id", "device_id", F.lit(None).cast(edges.schema["parent_device_id"].dataType).alias("parent_device_id"),
-        "name", "device_type_id", F.lit(1).alias("depth"), F.array("device_id").alias("path"),
-    ))
-    found = level
-    while not level.isEmpty():
-        above = level.select("site_id", F.col("device_id").alias("parent_device_id"), "depth", "path")
-        below = above.join(edges, "parent_device_id").select(
-            "site_id", "device_id", "parent_device_id", "name", "device_type_id", (F.col("depth") + 1).alias("depth"),
-            F.array_append("path", F.col("device_id")).alias("path"), F.array_contains("path", F.col("device_id")).alias("again"),
+    ends = roots.select(F.col("device_id").alias("top"), "site_id", F.lit(True).alias("ended"))
+    links = edges.select("device_id", "parent_device_id", F.col("parent_device_id").alias("top"), F.lit(1).alias("steps"))
+    ways, longest, most = checkpointed(links.join(ends, "top", "left")), 1, None
+    while True:
+        open_ways = ways.filter("ended IS NULL")
+        stuck = open_ways.select("device_id").first()
+        if stuck is None:
+            break
+        if most is None:
+            most = edges.count()
+        if longest > most:
+            raise ValueError(f"the device hierarchy has a cycle: device {stuck.device_id} is below itself or below one that is")
+        further = ways.select(
+            F.col("device_id").alias("top"), F.col("top").alias("next"), F.col("steps").alias("more"), "site_id", "ended"
+        )
+        grown = open_ways.select("device_id", "parent_device_id", "top", "steps").join(further, "top").select(
+            F.col("next").alias("top"), "device_id", "parent_device_id", (F.col("steps") + F.col("more")).alias("steps"), "site_id", "ended"
         )
-        level = checkpointed(below)
-        again = level.filter("again").select("path").first()
-        if again:
-            raise ValueError(f"the device hierarchy has a cycle: {' > '.join(map(str, again.path))}")
-        level = level.drop("again")
-        found = found.union(level)
-    return found.drop("path")
+        ways, longest = checkpointed(ways.filter("ended").unionByName(grown)), 2 * longest
+    below = ways.select("site_id", "device_id", "parent_device_id", (F.col("steps") + 1).alias("depth"))
+    names = edges.select("device_id", "name", "device_type_id").distinct()
+    top = roots.select(
+        "site_id", "device_id", F.lit(None).cast(edges.schema["parent_device_id"].dataType).alias("parent_device_id"),
+        F.lit(1).alias("depth"), "name", "device_type_id",
+    )
+    return top.unionByName(below.join(names, "device_id"))
 
 
 def device_point_tree(
@@ -45,17 +56,17 @@ def device_point_tree(
 
     A root has no parent. Without `site_id` the trees of all sites are returned,
     with the root's `site_id`. A device with two parents appears under both; a
-    tree may be of any depth. The levels are found when the function is called, one
-    job each, and are kept in the shared folder.
+    tree may be of any depth. The ways to the roots are found when the function is called,
+    in rounds that double their length, and are kept in the shared folder.
     """
     children = hierarchy.select(F.col("child_device_id").alias("device_id"))
     roots = devices.join(children, "device_id", "left_anti")
-    if site_id is not None:
-        roots = roots.filter(F.col("site_id") == site_id)
     edges = hierarchy.join(devices, F.col("child_device_id") == F.col("device_id")).select(
         "parent_device_id", "device_id", "name", "device_type_id"
     )
     tree = _walk(roots, edges)
+    if site_id is not None:
+        tree = tree.filter(F.col("site_id") == site_id)
     types = device_types.select("device_type_id", F.col("name").alias("device_type"))
     as_device = tree.join(types, "device_type_id").select(
         "site_id",

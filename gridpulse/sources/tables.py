@@ -140,8 +140,9 @@ def replace_partitions(
     pointed at its new files, so readers see the old or the new ones and a failed job
     changes nothing. `before` lists the files that `df` was made from; a partition
     whose files have changed since is left alone, so rows appended meanwhile are not
-    lost, and the caller may run again. Old files stay
-    where they are, for readers that still use them.
+    lost, and the caller may run again. What still arrives in the old folder until the
+    switch is found there afterwards and appended. Old files stay where they are, for
+    readers that still use them, until `remove_versions`.
     """
     root = f"{table_location(spark, table)}/_versions/{uuid.uuid4().hex}"
     written = Observation()
@@ -161,10 +162,56 @@ def replace_partitions(
         else:
             spark.sql(f"ALTER TABLE {table} ADD {part} LOCATION '{place}'")
         done.append(day)
+        _append_stragglers(spark, table, day, before.get(day, {}))
     spark.catalog.refreshTable(table)
     return done, left
 
 
+def _folder(spark: SparkSession, path: str):
+    """The Hadoop file system and path object of a folder."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), place
+
+
+def _append_stragglers(spark: SparkSession, table: str, day: dt.date, known: dict[str, int]) -> None:
+    """Append the rows of files that a partition's former folders hold beside the known ones."""
+    names = {path.rsplit("/", 1)[1] for path in known}
+    more = []
+    for folder in {path.rsplit("/", 1)[0] for path in known}:
+        system, place = _folder(spark, folder)
+        found = [status.getPath() for status in system.listStatus(place)] if system.exists(place) else []
+        more += [str(p.toString()) for p in found if p.getName() not in names and not p.getName().startswith(("_", "."))]
+    if more:
+        kept = [f for f in spark.table(table).schema if f.name != PARTITION_COLUMN]
+        rows = spark.read.schema(T.StructType(kept)).parquet(*more)
+        append(spark, table, rows.withColumn(PARTITION_COLUMN, F.lit(day)))
+
+
+def remove_versions(spark: SparkSession, table: str, before: dt.datetime) -> int:
+    """Delete folders of old partition versions that no partition points at, last written before `before`.
+
+    Returns how many went. `before` leaves readers and writers that began on an old
+    version the time to end; it is UTC. Folders in use are never touched.
+    """
+    spark.catalog.refreshTable(table)
+    live = {r[0] for r in files(spark, table).select(F.regexp_replace("path", "/[^/]*$", "")).distinct().collect()}
+    names = {folder.split("/", 1)[1].lstrip("/") for folder in live}
+    limit, gone = before.replace(tzinfo=dt.timezone.utc).timestamp() * 1000, 0
+    system, root = _folder(spark, table_location(spark, table))
+    versions = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root, "_versions")
+    groups = [g.getPath() for g in system.listStatus(versions)] if system.exists(versions) else []
+    for group in [root, *groups]:
+        for status in system.listStatus(group):
+            place = status.getPath()
+            if not status.isDirectory() or not place.getName().startswith(f"{PARTITION_COLUMN}="):
+                continue
+            newest = max([status.getModificationTime(), *(f.getModificationTime() for f in system.listStatus(place))])
+            if place.toString().split("/", 1)[1].lstrip("/") not in names and newest < limit:
+                gone += bool(system.delete(place, True))
+    return gone
+
+
+
 def staged(df: DataFrame, view: str) -> DataFrame:
     """An intermediate result written once, for several readers, and named as a view."""
     kept = checkpointed(df)

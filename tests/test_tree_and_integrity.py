@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 from helpers import at, rows
 from gridpulse.operators.hierarchy import device_point_tree
@@ -48,6 +49,33 @@ def test_a_tree_of_any_depth(spark, tree):
     assert out.agg({"depth": "max"}).first()[0] == 115
 
 
+def test_a_chain_of_ten_thousand_devices(spark, tree):
+    devices, _, types, mapping, points = tree
+    n = 10_000
+    name = F.format_string("d%05d", F.col("id"))
+    devices = spark.range(n).select(name.alias("device_id"), F.lit("s").alias("site_id"), name.alias("name"), F.lit(1).alias("device_type_id"))
+    edges = spark.range(n - 1).select(name.alias("parent_device_id"), F.format_string("d%05d", F.col("id") + 1).alias("child_device_id"))
+    out = device_point_tree(devices, edges, types, mapping, points).filter("node_type = 'device'")
+    wrong = out.filter(F.col("depth") != F.substring("name", 2, 5).cast("int") + 1).count()
+    assert (out.count(), wrong) == (n, 0)
+
+
+@pytest.mark.parametrize("size", [2, 3, 5, 8])
+def test_cycles_of_any_length_are_reported(spark, tree, size):
+    devices, edges, *rest = tree
+    ring = [f"r{i}" for i in range(size)]
+    more = spark.createDataFrame([(a, "s", a, 1) for a in ring], devices.schema)
+    loop = spark.createDataFrame([("C", ring[0]), *zip(ring, [*ring[1:], ring[0]])], edges.schema)
+    with pytest.raises(ValueError, match="cycle"):
+        device_point_tree(devices.union(more), edges.union(loop), *rest)
+
+
+def test_a_parent_that_is_no_device_has_no_tree(spark, tree):
+    devices, edges, *rest = tree
+    more = edges.unionByName(spark.createDataFrame([("gone", "Z")], edges.schema))
+    assert rows(device_point_tree(devices, more, *rest).filter("depth = 1"), "name") == [("a",)]
+
+
 def test_a_cycle_is_reported(spark, tree):
     devices, edges, *rest = tree
     loop = edges.unionByName(spark.createDataFrame([("C", "B")], edges.schema))
