@@ -17,8 +17,9 @@ from gridpulse.session import run_database, run_dir
 from gridpulse.sources.adapters import Plant
 from gridpulse.sources.tables import create_partitioned, read_table, table_location, with_partition
 from gridpulse.streaming.ingest import start_readings
-from gridpulse.streaming.rollups import publish, read_published, read_rollup
+from gridpulse.streaming.rollups import publish, publish_days, read_published, read_rollup
 from gridpulse.streaming.sources import parquet_stream
+from gridpulse.streaming.windows import read_windows, start_ingest, start_windows
 
 _VALUES = ("avg_value", "min_value", "max_value", "sum_value", "first_value", "last_value")
 
@@ -202,11 +203,12 @@ def refresh_window(p: Plant) -> DataFrame:
     return rounded(stored, *_ROLLUP_VALUES)
 
 
-def newest_first(p: Plant, label: str, files: int = 5) -> DataFrame:
-    """The events as a stream of several files, the newest events first, one file per micro-batch."""
+def in_files(p: Plant, label: str, order: tuple[int, ...] = (4, 3, 2, 1, 0)) -> DataFrame:
+    """The events as a stream of files, one per micro-batch: stretches of time in the given order."""
     path = f"{run_dir(p.spark, label)}/events"
-    cuts = p.events.agg(F.percentile_approx("ts", [i / files for i in range(1, files)])).first()[0]
-    for low, high in reversed(list(zip([None, *cuts], [*cuts, None]))):
+    cuts = p.events.agg(F.percentile_approx("ts", [i / len(order) for i in range(1, len(order))])).first()[0]
+    stretches = list(zip([None, *cuts], [*cuts, None]))
+    for low, high in [stretches[i] for i in order]:
         part = p.events
         part = part if low is None else part.filter(F.col("ts") > F.lit(low))
         part = part if high is None else part.filter(F.col("ts") <= F.lit(high))
@@ -221,7 +223,7 @@ def streamed(p: Plant, label: str) -> tuple[str, str]:
     table = f"{run_database(p.spark, 'stream')}.point_readings"
     create_partitioned(p.spark, table, with_partition(p.readings.limit(0), "event_time"))
     path = run_dir(p.spark, label)
-    query = start_readings(newest_first(p, label), table, f"{path}/checkpoint", once=True, log=f"{path}/log")
+    query = start_readings(in_files(p, label), table, f"{path}/checkpoint", once=True, log=f"{path}/log")
     query.awaitTermination()
     p.spark.catalog.refreshTable(table)
     return table, f"{path}/log"
@@ -249,8 +251,26 @@ def stream_published(p: Plant) -> DataFrame:
 
 @query("stream_rollup_1d", _rollup_select("days", "day"))
 def stream_daily(p: Plant) -> DataFrame:
-    """Days built from the streamed hours."""
-    return rounded(tables.rollup_1d(read_rollup(p.spark, _streamed(p, "stream-daily"))), *_ROLLUP_VALUES)
+    """Days kept from the stream's change log: only those with changed hours are built."""
+    log = _streamed(p, "stream-daily")
+    database = run_database(p.spark, "daily")
+    hourly, daily = f"{database}.readings_1h", f"{database}.readings_1d"
+    tables.create_rollup(p.spark, hourly, tables.rollup_1h(p.readings))
+    tables.create_rollup(p.spark, daily, tables.rollup_1d(p.spark.table(hourly)).select(*tables.ROLLUP_COLUMNS))
+    publish(p.spark, log, hourly)
+    publish_days(p.spark, log, hourly, daily)
+    return rounded(p.spark.table(daily).select(*tables.ROLLUP_COLUMNS), *_ROLLUP_VALUES)
+
+
+@query("stream_windows_1h", _rollup_select("hours", "bucket"))
+def stream_windows(p: Plant) -> DataFrame:
+    """Hours from streaming state within three days, and repaired hours beyond, over unordered micro-batches."""
+    table = f"{run_database(p.spark, 'windows')}.point_readings"
+    create_partitioned(p.spark, table, with_partition(p.readings.limit(0), "event_time"))
+    folder = run_dir(p.spark, "stream-windows")
+    start_ingest(in_files(p, "stream-windows-in", (1, 0, 2, 4, 3)), table, folder, once=True).awaitTermination()
+    start_windows(p.spark, table, folder, once=True, files=4).awaitTermination()
+    return rounded(read_windows(p.spark, folder), *_ROLLUP_VALUES)
 
 
 # -- clocks that change, and ranges that cut ---------------------------------

@@ -1,12 +1,13 @@
-"""The hourly rollup kept up to date by a stream."""
+"""The hourly rollup kept up to date by a stream, and the daily one by its changes."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gridpulse.functions.buckets import bucket_of
 from gridpulse.operators.merge import latest_per_key
-from gridpulse.operators.rollups import ROLLUP_COLUMNS
+from gridpulse.operators.rollups import DAY, ROLLUP_COLUMNS, rollup_1d
 from gridpulse.sources.tables import PARTITION_COLUMN, clustered, partition_files, replace_partitions, with_partition
 from gridpulse.streaming.ingest import BATCH
 
@@ -51,6 +52,32 @@ def publish(spark: SparkSession, path: str, table: str) -> int:
     return last
 
 
+def changed_days(spark: SparkSession, path: str, after: int, last: int) -> list:
+    """Dates with hours that the batches after `after`, up to `last`, changed."""
+    log = spark.read.parquet(path).filter((F.col(BATCH) > after) & (F.col(BATCH) <= last))
+    return [r[0] for r in log.select(F.to_date(bucket_of(F.col("bucket"), DAY))).distinct().collect()]
+
+
+def publish_days(spark: SparkSession, path: str, hourly: str, daily: str) -> list:
+    """Build those days anew whose hours were published since the daily table was; returns their dates.
+
+    Only these dates of the hourly table are read and only these of the daily one are
+    rewritten. Running it again changes nothing, and a failed run is made up for by the next.
+    """
+    done, last = published_batch(spark, daily), published_batch(spark, hourly)
+    days = changed_days(spark, path, done, last) if last > done else []
+    if days:
+        before = partition_files(spark, daily, days)
+        hours = spark.table(hourly).filter(F.col(PARTITION_COLUMN).isin(days))
+        rows = with_partition(rollup_1d(hours).select(*ROLLUP_COLUMNS), "bucket")
+        _, left = replace_partitions(spark, daily, clustered(rows, *KEYS), before)
+        if left:
+            raise RuntimeError(f"{daily} was written to while it was published to; not replaced: {left}")
+    if last > done:
+        spark.sql(f"ALTER TABLE {daily} SET TBLPROPERTIES ('{PUBLISHED}'='{last}')")
+    return sorted(days)
+
+
 def read_published(spark: SparkSession, path: str, table: str) -> DataFrame:
     """The current rollup: the table without the groups that later batches changed, and those.
 
