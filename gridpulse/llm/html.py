@@ -11,7 +11,8 @@ by its boilerplate evidence; it is found by maximum flow, page by page.
 from __future__ import annotations
 
 import re
-from collections import deque
+from bisect import bisect_left
+from collections import defaultdict, deque
 from dataclasses import dataclass
 from html import unescape
 
@@ -81,11 +82,12 @@ _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 
-@dataclass(slots=True)
+@dataclass(slots=True, eq=False)
 class Element:
     number: int
     tag: str
-    path: tuple[int, ...]
+    parent: Element | None  # the nearest element around it that ends a line
+    depth: int  # how many such are around it
     boiler: bool
     content: bool
     link: bool
@@ -96,13 +98,54 @@ class Element:
     article: Element | None = None  # the nearest such around it
 
 
-@dataclass(slots=True)
+@dataclass(slots=True, eq=False)
 class Block:
     text: str
     link_chars: int
     place: Element
 
 
+class Open:
+    """The elements that are open, the innermost last; where each tag and the containers are among them."""
+
+    def __init__(self, root: Element) -> None:
+        self.stack = [root]
+        self.places: dict[str, list[int]] = defaultdict(list)
+        self.containers: list[int] = []
+
+    def push(self, element: Element) -> None:
+        self.places[element.tag].append(len(self.stack))
+        if element.tag in CONTAINERS:
+            self.containers.append(len(self.stack))
+        self.stack.append(element)
+
+    def close(self, first: int) -> None:
+        """Close all from a place on."""
+        while len(self.stack) > first:
+            gone = self.stack.pop()
+            self.places[gone.tag].pop()
+            if gone.tag in CONTAINERS:
+                self.containers.pop()
+
+    def lines_inside(self, first: int) -> bool:
+        """Whether an element inside the one at a place ends a line."""
+        last, outer = self.stack[-1], self.stack[first]
+        return last.depth + last.line > outer.depth + outer.line
+
+    def ended_by(self, tag: str) -> int | None:
+        """The place of the element that an end tag closes; none if it was not begun in the same container."""
+        if not self.places[tag]:
+            return None
+        at = self.places[tag][-1]
+        return at if tag in CONTAINERS or not self.containers or self.containers[-1] <= at else None
+
+    def outermost(self, tags: frozenset[str]) -> int | None:
+        """The first place of one of the tags within the innermost container that is none of them."""
+        low = next((i + 1 for i in reversed(self.containers) if self.stack[i].tag not in tags), 1)
+        found = [places[k] for t in tags if (places := self.places[t]) and (k := bisect_left(places, low)) < len(places)]
+        return min(found, default=None)
+
+
 def _kind(tag: str, rest: str) -> tuple[bool, bool, bool]:
     """Whether the element itself marks boilerplate, whether it marks content, and whether the first holds for articles in it."""
     boiler, content = tag in BOILER_TAGS and tag != "form", tag in CONTENT_TAGS
@@ -142,28 +185,32 @@ def _named(value: str) -> tuple[bool, bool, bool]:
 
 def _lift(found: list[Block]) -> None:
     """Take the marks around an article that holds most of the page's long text off its blocks; marks inside it stay."""
-    total, held = 0, {}
+    total, size, around = 0, defaultdict(int), {}
     for b in found:
-        if b.text.count(" ") + 1 >= 12:
-            total += len(b.text)
-            at = b.place if b.place.lifts else b.place.article
-            while at:
-                held[at.number] = held.get(at.number, 0) + len(b.text)
-                at = at.article
-    lifted = {n for n, size in held.items() if 2 * size > total}
-    for b in found if lifted else ():
-        at, least = b.place if b.place.lifts else b.place.article, 0
-        while at:
-            least = max(least, at.marks if at.number in lifted else 0)
+        at = b.place if b.place.lifts else b.place.article
+        if at and b.text.count(" ") + 1 >= 12:
+            size[at.number] += len(b.text)
+        total += len(b.text) * (b.text.count(" ") + 1 >= 12)
+        while at and at.number not in around:
+            around[at.number] = at
             at = at.article
-        if least:
-            b.place.boiler = b.place.marks > least
+    for n in sorted(around, reverse=True):  # an element has a larger number than those around it
+        if up := around[n].article:
+            size[up.number] += size[n]
+    least: dict[int, int] = {}  # the most marks around a lifted article that is, or is around, this one
+    for n in sorted(around):
+        up = around[n].article
+        least[n] = max(least[up.number] if up else 0, around[n].marks if 2 * size[n] > total else 0)
+    for b in found:
+        at = b.place if b.place.lifts else b.place.article
+        if at and least[at.number]:
+            b.place.boiler = b.place.marks > least[at.number]
 
 
 def blocks(page: str) -> list[Block]:
     """The blocks of text of a page, in order; broken markup is read as far as it goes."""
-    root = Element(0, "", (0,), False, False, False, True)
-    stack, number = [root], 0
+    opened, number = Open(Element(0, "", None, 0, False, False, False, True)), 0
+    stack = opened.stack
     out: list[Block] = []
     unclosed: set[str] = set()
     parts: list[str] = []
@@ -174,7 +221,7 @@ def blocks(page: str) -> list[Block]:
         if parts:
             text = " ".join("".join(parts).split())
             if text:
-                out.append(Block(text, linked, next(e for e in reversed(stack) if e.line)))
+                out.append(Block(text, linked, stack[-1] if stack[-1].line else stack[-1].parent))
             parts, linked = [], 0
 
     def say(raw: str) -> None:
@@ -200,22 +247,20 @@ def blocks(page: str) -> list[Block]:
         if found["end"] or found["end2"]:
             if tag in BLOCKS:
                 flush()
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i].tag == tag:
-                    if any(e.line for e in stack[i + 1 :]):
-                        flush()
-                    del stack[i:]
-                    break
-                if stack[i].tag in CONTAINERS and tag not in CONTAINERS:
-                    break  # an end of what was not begun here
+            ended = opened.ended_by(tag)
+            if ended is not None:
+                if opened.lines_inside(ended):
+                    flush()
+                opened.close(ended)
             continue
         rest = found["rest"] or found["rest2"] or ""
         if tag in DROPPED:
-            closing = None if tag in unclosed else re.compile(rf"</{re.escape(tag)}\b[^>]*+(?:>|\Z)", re.I).search(page, at)
-            if not closing and tag in OPEN_ENDED:
-                unclosed.add(tag)
-            elif not rest.endswith("/") or tag in ("script", "style", "textarea"):
-                at = closing.end() if closing else end
+            if not rest.endswith("/") or tag in ("script", "style", "textarea"):
+                closing = None if tag in unclosed else re.compile(rf"</{re.escape(tag)}\b[^>]*+(?:>|\Z)", re.I).search(page, at)
+                if not closing and tag in OPEN_ENDED:
+                    unclosed.add(tag)
+                else:
+                    at = closing.end() if closing else end
             parts.append(" ")
             continue
         if tag in VOID:
@@ -227,20 +272,17 @@ def blocks(page: str) -> list[Block]:
         line = tag in BLOCKS
         if line:
             flush()
-            closes = CLOSED_BY.get(tag, ())
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i].tag in closes:
-                    del stack[i:]
-                elif stack[i].tag in CONTAINERS:
-                    break
+            first = opened.outermost(CLOSED_BY[tag]) if tag in CLOSED_BY else None
+            if first is not None:
+                opened.close(first)
         number += 1
         boiler, content, firm = _kind(tag, rest)
         up = stack[-1]
         here = Element(
-            number, tag, (*up.path, number) if line else up.path, up.boiler or boiler, up.content or content,
+            number, tag, up if up.line else up.parent, up.depth + up.line, up.boiler or boiler, up.content or content,
             up.link or tag == "a", line, up.marks + boiler, up.firm or firm,
         )
-        stack.append(here)
+        opened.push(here)
         here.article = up if up.lifts else up.article
         here.lifts = tag in CONTENT_TAGS and up.boiler and not boiler and not up.firm
     flush()
@@ -267,19 +309,25 @@ def evidence(found: list[Block]) -> list[int]:
     return out
 
 
+def _distance(a: Element, b: Element) -> int:
+    """Steps from one element to the other, by the nearest around both; no more than matter."""
+    steps = 0
+    while a is not b and steps < NEAR:
+        if a.depth >= b.depth:
+            a = a.parent
+        else:
+            b = b.parent
+        steps += 1
+    return steps
+
+
 def neighbours(found: list[Block]) -> list[tuple[int, int, int]]:
     """(block, later block, cost of parting them)."""
     out, last = [], {}
     for i, b in enumerate(found):
         if i:
-            a = found[i - 1].place.path
-            shared = 0
-            for x, y in zip(a, b.place.path):
-                if x != y:
-                    break
-                shared += 1
-            out.append((i - 1, i, NEAR // (1 + len(a) + len(b.place.path) - 2 * shared)))
-        parent = b.place.path[:-1]
+            out.append((i - 1, i, NEAR // (1 + _distance(found[i - 1].place, b.place))))
+        parent = b.place.parent.number if b.place.parent else -1
         if parent in last and last[parent] < i - 1:
             out.append((last[parent], i, SIBLINGS))
         last[parent] = i
@@ -369,7 +417,8 @@ def extracted(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
     """(id, url, text, n_chars) of every row, from its whole html; a null html is empty and gives an empty text.
 
     Rows are read one by one, so null ids and urls, ties and repeats have no effect, and a
-    task holds one batch of pages; no rows give none.
+    task holds one batch of pages; no rows give none. A page takes time and memory in proportion
+    to its length, however deep its elements are or how many are left open.
     """
     kind = pages.schema[id_col].dataType.simpleString()
 

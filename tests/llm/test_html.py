@@ -1,5 +1,6 @@
 import random
 import re
+import time
 from html import unescape
 from itertools import product
 
@@ -135,3 +136,14 @@ def test_query_finds_all_articles(spark, small):
         lines = [" ".join(unescape(re.sub("</?b>", "", x.replace("<br>", " "))).split()) for x in re.split("</?h1>|</?p>", inner)]
         want = "\n".join(x for x in lines if x)
         assert got[p.page_id] == (want, len(want))
+
+
+@pytest.mark.parametrize("page", [
+    "<div>a b c" * 300_000, "<b>x" * 300_000, "<i><div>" + "<b>x</i>" * 100_000, "<b>" * 100_000 + "<hr>x" * 100_000,
+    "<form>" + "<article>one two three four five six seven eight nine ten eleven twelve" * 50_000, "<ul>" + "<li>x<b>" * 100_000,
+    "<svg/>" * 100_000,
+], ids=["nested", "unclosed", "stray ends", "lines in unclosed", "nested articles", "closed by the next", "drawings"])
+def test_deep_and_broken_pages_take_time_by_their_length(page):
+    began = time.process_time()
+    main_text(page)
+    assert time.process_time() - began < 20
