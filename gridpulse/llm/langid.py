@@ -244,21 +244,21 @@ def learn(docs: DataFrame, learnable: Column, text_col: str = "text", lang_col:
     """An identifier from about SAMPLE_DOCS learnable documents of each language.
 
     Rows whose text or language is null, or whose `learnable` is not true, are not
-    read into it; a language of which no sampled document has a letter is not learned. The driver
-    holds the n-grams of the sample, whose size does not grow with `docs`.
+    read into it; a language of which no sampled document has a letter is not learned. Documents are
+    drawn by a hash of id and text, rows without an id also by their place. The bound is on documents, of whole
+    texts. The driver holds the n-grams of the sample, whose size grows with the number of languages, not with `docs`.
     """
     labelled = docs.filter(learnable & col(lang_col).isNotNull())
     rows = labelled.select(
         col(lang_col).cast("string").alias("lang"), col(text_col).cast("string").alias("text"),
-        F.pmod(F.xxhash64(col(id_col)), F.lit(1 << 30)).alias("hash"),
-    )
-    sizes = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
-    if not sizes:
-        return _no_identifier()
-    chosen = F.lit(False)
-    for lang, n in sorted(sizes.items()):
-        chosen = chosen | ((F.col("lang") == lang) & (F.col("hash") < int(min(1.0, SAMPLE_DOCS / n) * (1 << 30))))
-    sample = stored(rows.filter(chosen & F.col("text").isNotNull()), "langid-sample")
+        F.pmod(F.xxhash64(col(id_col), col(text_col), F.when(col(id_col).isNull(), F.monotonically_increasing_id())), F.lit(1 << 30))
+        .alias("hash"),
+    ).filter("text is not null")
+    # A row per label, written, so that the planner knows its size before it chooses how to join it.
+    below = F.least(F.lit(1.0), F.lit(float(SAMPLE_DOCS)) / F.count("*")) * (1 << 30)
+    shares = stored(rows.groupBy(F.col("lang").alias("of")).agg(below.alias("below")), "langid-shares")
+    drawn = rows.join(shares, (F.col("lang") == F.col("of")) & (F.col("hash") < F.col("below")))
+    sample = stored(drawn.select("lang", "text", "hash"), "langid-sample")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

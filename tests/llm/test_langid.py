@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from gridpulse.llm import langid, queries
+from gridpulse.llm.common import stored
 from gridpulse.llm.langid import Identifier, Model, symbols
 
 
@@ -179,3 +180,17 @@ def test_limits_do_not_follow_the_alphabet():
         return identifier.limits[0]
 
     assert abs(limit(20) - limit(5000)) < 0.3
+
+
+def test_rows_without_id_and_many_labels_are_sampled_like_others(spark, monkeypatch):
+    monkeypatch.setattr(langid, "SAMPLE_DOCS", 50)
+    kept = {}
+    monkeypatch.setattr(langid, "stored", lambda df, label: kept.setdefault(label, stored(df, label)))
+    rows = spark.range(4000).select(
+        F.lit(None).cast("long").alias("doc_id"), F.lit("kata koto taka toko").alias("text"),
+        F.when(F.col("id") < 3700, F.lit("xx")).otherwise(F.concat(F.lit("l"), F.col("id"))).alias("lang"),
+    )
+    identifier = langid.learn(rows, F.lit(True))
+    sizes = dict(kept["langid-sample"].groupBy("lang").count().collect())
+    assert 20 < sizes.pop("xx") < 100 and len(sizes) == 300 and set(sizes.values()) == {1}
+    assert "xx" in identifier.languages and identifier.limits[identifier.languages.index("xx")] < 20
