@@ -15,8 +15,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from gridpulse.llm.common import col, map_arrow, stored
+from gridpulse.llm.common import col, fresh, map_arrow, stored
 from gridpulse.llm.tokens import encoder
 
 SEQUENCE_TOKENS = 2048
@@ -103,30 +104,30 @@ def place(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
 def _dealt(cut: DataFrame, share: int) -> tuple[DataFrame, int]:
     """`cut` with the number of the share of each piece, pieces dealt at random; and how many shares there are."""
     n = max(1, -(-cut.count() // share))
-    return cut.withColumn("share", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(n)).cast("long")), n
+    return cut.withColumn("gp_share", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(n)).cast("long")), n
 
 
 def _runs(cut: DataFrame, run: int) -> tuple[DataFrame, int]:
-    """`cut` with the run of each piece (`share`) and how many pieces precede its step (`before`); and how many runs there are.
+    """`cut` with the run of each piece (`gp_share`) and how many pieces precede its step (`gp_before`); and how many runs there are.
 
     Stretches follow each other in the order of their names, and in them the positions, a step of
     them at a time. A run is as many pieces; those of a step that more than one run takes are dealt to
-    them at random, so a step of any size is spread. The driver sees a row per stretch.
+    them at random, so a step of any size is spread. One task sees a row per stretch, the driver none.
     """
-    step = F.floor(F.col("position") / _STEP) if "position" in cut.columns else F.lit(0)
-    cut = cut.withColumn("stretch", F.coalesce("stretch", F.lit(""))).withColumn("step", F.coalesce(step.cast("long"), F.lit(0)))
-    counted = stored(cut.groupBy("stretch", "step").agg(F.count("*").alias("many")), "steps")
-    bases, total = {}, 0
-    for name, n in sorted((r.stretch, r.n) for r in counted.groupBy("stretch").agg(F.sum("many").alias("n")).collect()):
-        bases[name], total = total, total + n
-    if not bases:
-        return cut.withColumn("share", F.lit(0).cast("long")).withColumn("before", F.lit(0).cast("long")), 1
-    base = F.element_at(F.map_from_arrays(F.array(*map(F.lit, bases)), F.array(*[F.lit(n).cast("long") for n in bases.values()])), F.col("stretch"))
-    earlier = Window.partitionBy("stretch").orderBy("step").rowsBetween(Window.unboundedPreceding, -1)
-    steps = counted.withColumn("before", base + F.coalesce(F.sum("many").over(earlier), F.lit(0)))
-    placed = cut.withColumn("dealt_by", F.monotonically_increasing_id()).join(steps, ["stretch", "step"])
-    dealt = F.pmod(F.xxhash64("dealt_by"), F.col("many"))
-    return placed.withColumn("share", F.floor((F.col("before") + dealt) / run).cast("long")).drop("many", "dealt_by"), -(-total // run)
+    at = ["gp_stretch", "gp_step"]
+    step = F.floor(F.col("gp_position") / _STEP) if "gp_position" in cut.columns else F.lit(0)
+    cut = cut.withColumn(at[0], F.coalesce(at[0], F.lit(""))).withColumn(at[1], F.coalesce(step.cast("long"), F.lit(0)))
+    counted = stored(cut.groupBy(*at).agg(F.count("*").alias("gp_many")), "steps")
+    total = counted.agg(F.sum("gp_many")).first()[0] or 0
+    ahead = Window.orderBy(at[0]).rowsBetween(Window.unboundedPreceding, -1)
+    sums = counted.groupBy(at[0]).agg(F.sum("gp_many").alias("gp_of_stretch"))
+    bases = sums.select(at[0], F.coalesce(F.sum("gp_of_stretch").over(ahead), F.lit(0)).alias("gp_base"))
+    earlier = Window.partitionBy(at[0]).orderBy(at[1]).rowsBetween(Window.unboundedPreceding, -1)
+    here = F.coalesce(F.sum("gp_many").over(earlier), F.lit(0))
+    steps = counted.join(bases, at[0]).select(*at, "gp_many", (F.col("gp_base") + here).alias("gp_before"))
+    placed = cut.withColumn("gp_dealt_by", F.monotonically_increasing_id()).join(steps, at)
+    dealt = F.pmod(F.xxhash64("gp_dealt_by"), F.col("gp_many"))
+    return placed.withColumn("gp_share", F.floor((F.col("gp_before") + dealt) / run).cast("long")), max(1, -(-total // run))
 
 
 def pack(cut: DataFrame, length: int = SEQUENCE_TOKENS, share: int = SHARE) -> DataFrame:
@@ -137,29 +138,34 @@ def pack(cut: DataFrame, length: int = SEQUENCE_TOKENS, share: int = SHARE) -> D
     `position` may give an order, pieces are packed in runs of RUN that follow it, whatever the
     size of the input, and a task packs as many runs as a share holds. Sequence ids follow the runs, and
     within a run the mean place of a sequence's pieces; both columns are left out of the result. Sequence
-    ids are unique, not dense. No pieces give no sequences; equal rows are packed each on its own.
+    ids are unique, not dense. No pieces give no sequences; equal rows are packed each on its own. Other columns
+    are carried, whatever their names; where `cut` has a sequence_id or an offset, the new ones get other names.
     """
     cut = stored(cut, "pieces")
     ordered = "stretch" in cut.columns
+    out_names = fresh(cut, "sequence_id", "offset")
+    # Inside, the carried columns go by number, so that none is called like a working column.
+    inner = ["gp_" + f.name if f.name in ("stretch", "position") and ordered else f"c{i}" for i, f in enumerate(cut.schema)]
+    size = inner[cut.columns.index("length")]
+    kept = [f for f, name in zip(cut.schema, inner) if not name.startswith("gp_")]
+    cut, names = cut.toDF(*inner), [name for name in inner if not name.startswith("gp_")]
     run = min(RUN, share)
     several = max(1, share // run) if ordered else 1
     numbered, shares = _runs(cut, run) if ordered else _dealt(cut, share)
-    kept = [f for f in cut.schema if f.name not in ("stretch", "position")]
-    names = [f.name for f in kept]
 
     def run_of(whole: pa.Table) -> pa.Table:
         """One share or run, packed."""
         if ordered:  # from the order of the mix, as far as it is known
             whole = whole.take(pa.array(np.lexsort([whole.column("gp_at").to_numpy(), whole.column("gp_before").to_numpy()])))
-        sequence, offset = place(whole.column("length").to_numpy(), length)
+        sequence, offset = place(whole.column(size).to_numpy(), length)
         if ordered:
             mean = np.bincount(sequence, np.arange(len(sequence))) / np.bincount(sequence)
             rank = np.empty(len(mean), np.int64)
             rank[np.argsort(mean, kind="stable")] = np.arange(len(mean))
             sequence = rank[sequence]
         base = whole.column("gp_share")[0].as_py() << 32
-        whole = whole.select(names)
-        return whole.append_column("sequence_id", pa.array(sequence + base)).append_column("offset", pa.array(offset))
+        whole = whole.select(names).append_column("sequence_id", pa.array(sequence + base)).append_column("offset", pa.array(offset))
+        return whole.rename_columns([f.name for f in out.fields])
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         whole = pa.Table.from_batches(list(batches)) if (batches := [b for b in batches if b.num_rows]) else None
@@ -169,11 +175,11 @@ def pack(cut: DataFrame, length: int = SEQUENCE_TOKENS, share: int = SHARE) -> D
         for one in np.unique(number):
             yield from run_of(whole.filter(pa.array(number == one))).to_batches(max_chunksize=20_000)
 
-    extra = [F.col("share").alias("gp_share")]
+    out = T.StructType([*kept, *[T.StructField(n, T.LongType()) for n in out_names]])
+    extra = ["gp_share"]
     if ordered:
-        at = F.coalesce("position", F.lit(0)) if "position" in cut.columns else F.lit(0)
-        extra += [F.col("before").alias("gp_before"), at.cast("long").alias("gp_at")]
-    rows = numbered.select(*[col(n) for n in names], *extra)
+        at = F.coalesce("gp_position", F.lit(0)) if "gp_position" in cut.columns else F.lit(0)
+        extra += ["gp_before", at.cast("long").alias("gp_at")]
+    rows = numbered.select(*names, *extra)
     dealt = rows.repartitionById(-(-shares // several), (F.col("gp_share") / several).cast("int"))
-    out = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept)
-    return map_arrow(dealt, packed, f"{out}, sequence_id long, offset long")
+    return map_arrow(dealt, packed, out)

@@ -119,3 +119,28 @@ def test_ids_are_the_library_s(text):
 
     ids, n = encoder(PATH).encode(["x", text, ""])
     assert ids[n[0] :].tolist() + [0] == token_ids(text) and n[2] == 0
+
+
+def test_columns_may_have_any_name(spark):
+    from pyspark.sql import functions as F
+
+    extra = "share before step many offset sequence_id gp_share gp_step c0 dealt_by".split()
+    rows = spark.range(300).select(
+        *[F.concat(F.lit(f"{n}-"), F.col("id")).alias(n) for n in extra], (F.col("id") % 50 + 1).alias("length"),
+        F.lit("f").alias("stretch"), F.col("id").alias("position"),
+    )
+    for given, out in ((rows, [*extra, "length"]), (rows.drop("stretch"), [*extra, "length", "position"])):
+        found = packing.pack(given)
+        assert found.columns == [*out, "sequence_id_", "offset_"]
+        got = found.collect()
+        assert sorted(r.share for r in got) == sorted(f"share-{i}" for i in range(300))
+        assert all(r.share[6:] == r.c0[3:] and r.length == int(r.share[6:]) % 50 + 1 for r in got)
+
+
+def test_runs_over_many_stretches_without_places(spark):
+    from pyspark.sql import functions as F
+
+    rows = spark.range(500).select(F.col("id").alias("doc_id"), F.lit(100).alias("length"), F.when(F.col("id") > 0, F.format_string("f%04d", "id")).alias("stretch"))
+    found = packing.pack(rows, share=50).collect()
+    order = [r.doc_id for r in sorted(found, key=lambda r: (r.sequence_id >> 32, r.doc_id))]
+    assert order == list(range(500))
