@@ -28,6 +28,8 @@ from gridpulse.llm.ranges import parts_for
 PERIOD = 1024
 #: Characters of a block, and documents of a chunk that one task puts in order.
 BLOCK_CHARS, CHUNK = 1 << 20, 1024
+#: Chunks of a source that one task adds up.
+GROUP = 4096
 #: Rows of a schedule written at once.
 _ROWS = 10_000
 
@@ -116,7 +118,7 @@ def _places(docs: DataFrame, source_col: str, shares: dict, blocks: dict) -> Dat
     spark = docs.sparkSession
     made = stored(map_arrow(spark.range(0, 1, 1, 1), run, "n long, k long, release long, deadline long, slot long"), "mix-slots")
     named = spark.createDataFrame(list(enumerate(names)), f"n long, s {docs.schema[source_col].dataType.simpleString()}")
-    return made.join(F.broadcast(named), "n").drop("n")
+    return made.join(named, "n").drop("n")
 
 
 def _name(n: int) -> str:
@@ -159,11 +161,17 @@ def mixed(
     rows = stored(rows.withColumn("hash", F.xxhash64("id")), "mix")
     chunks = max(1, -(-rows.count() // CHUNK))
     rows = rows.withColumn("chunk", F.shiftrightunsigned("hash", 1) % chunks)
-    sums = rows.groupBy("source", "chunk").agg(F.sum("size").alias("total"))
-    before = Window.partitionBy("source").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
-    bases = sums.select(
-        F.col("source").alias("s"), F.col("chunk").alias("c"), F.coalesce(F.sum("total").over(before), F.lit(0)).alias("base")
+    sums = stored(
+        rows.groupBy("source", "chunk").agg(F.sum("size").alias("total")).withColumn("of", F.expr(f"chunk div {GROUP}")), "mix-sums"
     )
+    # What comes before a chunk: the groups before its own, and in that the chunks before it.
+    earlier = Window.partitionBy("source").orderBy("of").rowsBetween(Window.unboundedPreceding, -1)
+    grouped = sums.groupBy("source", "of").agg(F.sum("total").alias("total"))
+    ahead = grouped.select(F.col("source").alias("g"), F.col("of").alias("o"), F.coalesce(F.sum("total").over(earlier), F.lit(0)).alias("ahead"))
+    before = Window.partitionBy("source", "of").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
+    bases = sums.withColumn("inside", F.coalesce(F.sum("total").over(before), F.lit(0))).join(
+        ahead, F.col("source").eqNullSafe(F.col("g")) & (F.col("of") == F.col("o"))
+    ).select(F.col("source").alias("s"), F.col("chunk").alias("c"), (F.col("ahead") + F.col("inside")).alias("base"))
     inside = Window.partitionBy("source", "chunk").orderBy("hash", "id", "size").rowsBetween(Window.unboundedPreceding, -1)
     summed = rows.withColumn("inside", F.coalesce(F.sum("size").over(inside), F.lit(0)))
     begun = summed.join(bases, F.col("source").eqNullSafe(F.col("s")) & (F.col("chunk") == F.col("c")))

@@ -92,6 +92,7 @@ def test_mixed(spark):
 def test_chunks_do_not_change_positions(spark, monkeypatch):
     monkeypatch.setattr(mixing, "CHUNK", 10)
     docs = spark.range(300).select(F.col("id").alias("doc_id"), F.lit("s").alias("source"), F.lit(3).alias("size"))
+    monkeypatch.setattr(mixing, "GROUP", 3)
     rows = mixing.mixed(docs, {"s": 1}, F.col("size"), block_size=9, period=4).collect()
     assert sorted(r.block * 9 + r.place for r in rows) == [3 * i for i in range(300)]
     assert Counter(r.slot for r in rows) == {i: 3 for i in range(100)}
