@@ -20,7 +20,7 @@ SYMBOLS = "[#*$%&|<>]"
 WINDOW = 8
 LEAST_WORDS = 20
 MOST_REPEATED_PERCENT = 30
-#: About so many documents, chosen by a hash of the text, are used to order the rules.
+#: About so many rows, chosen one by one by a hash of their place and text, are used to order the rules.
 SAMPLE = 2000
 
 
@@ -70,27 +70,37 @@ def _repeat_words(words: Column, n_words: Column) -> Column:
     return F.when(n_words <= WINDOW, 0).otherwise(found).cast("long")
 
 
-def measured(docs: DataFrame, text_col: str, names: list[str]) -> DataFrame:
+def measured(docs: DataFrame, text_col: str, names: list[str], repeats: bool = True) -> DataFrame:
     """`docs` with word array, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words under `names`.
 
     A null text counts as empty. The measures leave through a row generator, so that a
     later filter uses their values and is not pushed down with their formulas in it.
+    The last one, the dearest, is left out without `repeats`.
     """
     words, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words = names
     text = F.coalesce(col(text_col).cast("string"), F.lit(""))
     cut = docs.withColumn(words, words_of(text))
-    found = F.struct(
+    found = [
         F.size(words).cast("long").alias(n_words),
         F.length(F.array_join(words, "")).cast("long").alias(word_chars),
         F.regexp_count(text, F.lit(SYMBOLS)).cast("long").alias(n_symbols),
         _let(_lines(text), lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long").alias(n_dup_lines),
-        _repeat_words(F.col(words), F.size(words)).alias(n_repeat_words),
-    )
-    return cut.select("*", F.inline(F.array(found)))
+    ]
+    if repeats:
+        found.append(_repeat_words(F.col(words), F.size(words)).alias(n_repeat_words))
+    return cut.select("*", F.inline(F.array(F.struct(*found))))
+
+
+def too_short(n_words: Column) -> Column:
+    return n_words < LEAST_WORDS
+
+
+def too_repetitive(n_words: Column, n_repeat_words: Column) -> Column:
+    return 100 * n_repeat_words > MOST_REPEATED_PERCENT * n_words
 
 
 def base_fails(n_words: Column, n_repeat_words: Column) -> Column:
-    return (n_words < LEAST_WORDS) | (100 * n_repeat_words > MOST_REPEATED_PERCENT * n_words)
+    return too_short(n_words) | too_repetitive(n_words, n_repeat_words)
 
 
 def rules(text: Column, names: list[str]) -> dict[str, Column]:
@@ -124,6 +134,14 @@ def ordered(sample: DataFrame, tests: dict[str, Column]) -> list[str]:
     return sorted(tests, key=lambda n: (-(rejected[n] or 0.0) / cost[n], n))
 
 
+def _sample(docs: DataFrame, text_col: str) -> DataFrame:
+    """About SAMPLE texts, each row drawn on its own: copies of a text do not come together, and nulls do not come at all."""
+    texts = docs.select(col(text_col)).filter(col(text_col).isNotNull())
+    share = min(1.0, SAMPLE / max(1, texts.count()))
+    drawn = F.pmod(F.xxhash64(F.monotonically_increasing_id(), col(text_col)), F.lit(1 << 30))
+    return stored(texts.filter(drawn < int(share * (1 << 30))), "quality-sample")
+
+
 def judged(docs: DataFrame, text_col: str = "text") -> tuple[DataFrame, list[str], str, str]:
     """`docs` with the measures and the verdict; the names of the measures, of `base_failed` and of `kept`.
 
@@ -133,12 +151,8 @@ def judged(docs: DataFrame, text_col: str = "text") -> tuple[DataFrame, list[str
     """
     made = fresh(docs, "words", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
     names, base, kept = made[:6], made[6], made[7]
-    rows = docs.count()
-    share = min(1.0, SAMPLE / max(1, rows))
-    few = docs.select(col(text_col)).filter(F.pmod(F.xxhash64(col(text_col)), F.lit(1 << 30)) < int(share * (1 << 30)))
-    sample = measured(stored(few, "quality-sample"), text_col, names)
     tests = rules(col(text_col), names)
-    order = ordered(sample, tests)
+    order = ordered(measured(_sample(docs, text_col), text_col, names), tests)
     full = measured(docs, text_col, names)
     full = full.withColumn(base, base_fails(F.col(names[1]), F.col(names[5])))
     verdict = F.when(F.col(base), False)
@@ -148,6 +162,17 @@ def judged(docs: DataFrame, text_col: str = "text") -> tuple[DataFrame, list[str
 
 
 def kept_documents(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """The rows of `docs` that pass the base rules and every other rule, with its columns."""
-    full, _, _, kept = judged(docs, text_col)
-    return full.filter(F.col(kept)).select(*[col(c) for c in docs.columns])
+    """The rows of `docs` that pass the base rules and every other rule, with its columns.
+
+    The same rows as `judged` keeps. As no measure is asked for, the base rule on repeated words, the
+    dearest, takes its place in the order like any other; only the count of words comes first.
+    """
+    names = fresh(docs, "words", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+    words, n_words = F.col(names[0]), F.col(names[1])
+    tests = rules(col(text_col), names) | {"repeats": too_repetitive(n_words, _repeat_words(words, F.size(words)))}
+    order = ordered(measured(_sample(docs, text_col), text_col, names, repeats=False), tests)
+    fails = F.when(too_short(n_words), True)
+    for name in order:
+        fails = fails.when(tests[name], True)
+    full = measured(docs, text_col, names, repeats=False)
+    return full.filter(~fails.otherwise(False)).select(*[col(c) for c in docs.columns])

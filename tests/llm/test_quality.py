@@ -91,3 +91,18 @@ def test_sql_on_hard_texts(documents):
 def test_no_python_in_the_plan(spark, small, name):
     plan = queries.QUERIES[name](spark, small)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_copies_and_nulls_do_not_fill_the_sample(monkeypatch, spark):
+    monkeypatch.setattr(quality, "SAMPLE", 100)
+    from pyspark.sql import functions as F
+
+    docs = spark.range(6000).select(F.when(F.col("id") % 2 == 0, F.lit(PROSE)).alias("text"))
+    assert 50 < quality._sample(docs, "text").count() < 170
+
+
+def test_kept_documents_are_those_that_are_judged_so(spark, small):
+    docs = spark.read.parquet(f"{small}/documents.parquet")
+    full, _, _, kept = quality.judged(docs)
+    want = {r.doc_id for r in full.filter(kept).collect()}
+    assert {r.doc_id for r in quality.kept_documents(docs).collect()} == want and 0 < len(want) < docs.count()
