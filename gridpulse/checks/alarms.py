@@ -2,19 +2,24 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridpulse.checks.registry import query
 from gridpulse.checks.views import r
-from gridpulse.functions.buckets import bucket_of
+from gridpulse.functions.buckets import bucket_of, instant
 from gridpulse.functions.scalars import round_half_away
 from gridpulse.functions.values import any_value_of, decode_bits, range_quality, translate
 from gridpulse.operators import alarms as al
 from gridpulse.operators.meter import derived_sum, site_meter
 from gridpulse.operators.outages import apply_markers, data_gaps, outage_markers, silence
 from gridpulse.operators.rollups import rollup_1h
+from gridpulse.session import run_dir
 from gridpulse.sources.adapters import Plant
+from gridpulse.streaming.rules import read_rule_events, start_rules
+from gridpulse.streaming.sources import parquet_stream
 
 
 def definitions(p: Plant) -> DataFrame:
@@ -283,7 +288,7 @@ def rule_gate(p: Plant) -> DataFrame:
     return al.evaluate_rules(_valued(p), _rules(p, 1, 0, from_s=8 * 3600), _expressions(p, [("raise", ">", 50.0)]), p.sites)
 
 
-@query("rule_debounced", """
+_DEBOUNCED = """
     WITH steps AS (
         SELECT point_id, moment, sum(d) AS net FROM (
             SELECT point_id, event_time AS moment, 1 AS d FROM valued JOIN points USING (point_id)
@@ -293,12 +298,35 @@ def rule_gate(p: Plant) -> DataFrame:
             WHERE reading_type = 'raw' AND v > 60) GROUP BY 1, 2),
     levels AS (SELECT *, sum(net) OVER (PARTITION BY point_id ORDER BY moment) AS lvl FROM steps)
     SELECT point_id AS alarm_definition_id, moment AS event_time, CASE WHEN lvl >= 2 THEN 'raise' ELSE 'clear' END AS event_condition
-    FROM levels WHERE (lvl >= 2) <> (lvl - net >= 2)""")
+    FROM levels WHERE (lvl >= 2) <> (lvl - net >= 2)"""
+
+
+@query("rule_debounced", _DEBOUNCED)
 def rule_debounced(p: Plant) -> DataFrame:
     """Two readings above 60 within a day raise; clears when they are no longer so close."""
     return al.evaluate_rules(_valued(p), _rules(p, 2, 86400), _expressions(p, [("raise", ">", 60.0)]))
 
 
+@query("stream_rule_debounced", _DEBOUNCED)
+def stream_rule_debounced(p: Plant) -> DataFrame:
+    """The same rule on a stream whose readings arrive up to two days late, in four micro-batches."""
+    late, values = dt.timedelta(days=2), _valued(p)
+    folder = run_dir(p.spark, "stream-rules")
+    arrival = F.col("event_time") + F.make_dt_interval(F.lit(0), F.pmod(F.xxhash64("event_time", "point_id"), F.lit(48)).cast("int"))
+    first, last = values.agg(F.min("event_time"), F.max("event_time")).first()
+    step = (last + late - first) / 4 + dt.timedelta(seconds=1)
+    for i in range(4):
+        part = values.filter((arrival >= instant(first + i * step)) & (arrival < instant(first + (i + 1) * step)))
+        part.coalesce(1).write.mode("append").parquet(f"{folder}/in")
+    for after in (1, 2):  # the clock goes on by a point that no rule watches
+        tick = p.spark.createDataFrame([(last + 3 * late + dt.timedelta(days=after), -1, None)], values.schema)
+        tick.coalesce(1).write.mode("append").parquet(f"{folder}/in")
+    stream = parquet_stream(p.spark, f"{folder}/in", values.schema, max_files_per_trigger=1)
+    expressions = _expressions(p, [("raise", ">", 60.0)])
+    start_rules(stream, _rules(p, 2, 86400), expressions, f"{folder}/log", f"{folder}/checkpoint", lateness=late, once=True).awaitTermination()
+    return read_rule_events(p.spark, f"{folder}/log")
+
+
 @query("suppressed_alarms", f"""
     SELECT {_ALARM_COLUMNS.replace('acknowledged_at, ', '')} FROM alarms a
     WHERE alarm_name = '{al.COMMS_LOST}' AND NOT EXISTS (

@@ -19,7 +19,7 @@ from gridpulse.operators.rollup import power_to_energy, raw_readings
 from gridpulse.operators.rollups import rollup_1d, rollup_1h
 from gridpulse.plans import reports as rp
 from gridpulse.sources.adapters import Plant
-from gridpulse.sources.tables import staged, values
+from gridpulse.sources.tables import discard, staged, values
 
 _DAY_ENERGY = f"""
     local_energy AS (
@@ -266,12 +266,23 @@ def quality_lists(p: Plant) -> DataFrame:
 
 
 @query("plain_limit", """
-    SELECT least(count(*), 100) AS n, true AS known FROM readings""")
+    SELECT least(count(*), 100) AS n, 0::BIGINT AS strangers FROM readings""")
 def plain_limit(p: Plant) -> DataFrame:
-    """Any 100 readings; which ones is not defined, but all of them are readings."""
+    """Any 100 readings; which ones is not defined, but none of them is not a reading."""
     some = p.readings.limit(100).select("event_time", "point_id")
-    known = some.join(p.readings.select("event_time", "point_id").distinct(), ["event_time", "point_id"], "left_semi")
-    return known.agg(F.count(F.lit(1)).alias("n"), F.lit(True).alias("known"))
+    known = p.readings.select("event_time", "point_id").distinct().withColumn("_known", F.lit(True))
+    found = some.join(known, ["event_time", "point_id"], "left")
+    return found.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("_known").isNull()).alias("strangers"))
+
+
+@query("discarded_rollup", f"""
+    SELECT count(*) AS n_rows, sum(n) AS n_samples, {r('max(max_value)')} AS top FROM hours""")
+def discarded_rollup(p: Plant) -> DataFrame:
+    """The hourly rollup run into the discard sink, and what was observed of its rows there."""
+    seen = discard(
+        rollup_1h(p.readings), F.count(F.lit(1)).alias("n_rows"), F.sum("n").alias("n_samples"), F.max("max_value").alias("top")
+    )
+    return rounded(values(p.spark, "n_rows bigint, n_samples bigint, top double", [tuple(seen[c] for c in ("n_rows", "n_samples", "top"))]), "top")
 
 
 @query("inline_values", """

@@ -178,3 +178,10 @@ def ceil_to(t: dt.datetime, width: Bucket | str) -> dt.datetime:
     if b.months:
         return floor_to(low + dt.timedelta(days=31 * b.months + 1), b)
     return low + dt.timedelta(seconds=b.seconds)
+
+
+def utc_timestamp(t: Column) -> Column:
+    """The instant of a UTC wall clock, in any session time zone; streams keep their watermark on it."""
+    return F.make_timestamp_ltz(
+        F.year(t), F.month(t), F.dayofmonth(t), F.hour(t), F.minute(t), F.extract(F.lit("SECOND"), t), F.lit("UTC")
+    )

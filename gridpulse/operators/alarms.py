@@ -85,13 +85,13 @@ def threshold_crossings(
     """First time above `limit` and the peak, per point and UTC day.
 
     One typed column is tested, and the comparison reaches the scan. `points` are
-    the points of the kind that the limit is meant for; all without it.
+    the points of the kind that the limit is meant for, met before anything is grouped; all without it.
     """
     hot = readings.filter(F.col(column) > F.lit(limit)).withColumn("_v", F.col(column))
-    found = hot.groupBy("point_id", bucket_of(F.col("event_time"), "1 day").alias("day")).agg(
+    hot = hot if points is None else hot.join(points.select("point_id"), "point_id", "left_semi")
+    return hot.groupBy("point_id", bucket_of(F.col("event_time"), "1 day").alias("day")).agg(
         F.min("event_time").alias("first_cross"), round_half_away(F.max("_v"), 1).alias("peak")
     )
-    return found if points is None else found.join(points.select("point_id"), "point_id", "left_semi")
 
 
 def _observed(value: Column, bit: Column) -> Column:
@@ -188,25 +188,8 @@ def _compare(value: Column, operator: Column, limit: Column) -> Column:
     )
 
 
-def evaluate_rules(
-    readings: DataFrame, definitions: DataFrame, expressions: DataFrame, sites: DataFrame | None = None
-) -> DataFrame:
-    """Raise and clear times of every alarm definition.
-
-    An expression holds while at least N of its hits are younger than M seconds;
-    with M = 0 a hit lasts until the point's next reading. Expressions of a group
-    combine by the group operator, groups by the definition's match operator. An
-    alarm rises when its raise side holds and clears when only its clear side
-    holds; without clear expressions it clears when the raise side ends. Raise
-    (clear) hits before the window start, in seconds past local midnight, do not
-    count; `sites` gives the zone, UTC otherwise. An expression with a `bit_position`
-    compares that bit of the whole part of the value.
-
-    `readings` has point_id, event_time and value. Everything is a running sum of
-    +1/-1 steps, worked in (alarm, day) blocks: where each expression stands when a day
-    begins is carried over, and from there all levels follow within the day. The steps
-    are kept in the shared folder when the function is called, as they are read twice.
-    """
+def rule_sides(definitions: DataFrame, expressions: DataFrame, sites: DataFrame | None = None) -> DataFrame:
+    """Every expression with what its side of the definition asks for, and the zone of the definition's site."""
     raise_side = F.col("role") == "raise"
     rules = definitions.select(
         "alarm_definition_id", "site_id", "raise_occurrence_limit", "raise_timeframe_s",
@@ -219,7 +202,7 @@ def evaluate_rules(
         rules = rules.withColumn("timezone", F.lit("UTC"))
     if "bit_position" not in expressions.columns:
         expressions = expressions.withColumn("bit_position", F.lit(None).cast("int"))
-    side = expressions.join(rules, "alarm_definition_id").select(
+    return expressions.join(rules, "alarm_definition_id").select(
         "alarm_definition_id", "expression_id", "point_id", "point_value", "comparison_operator", "bit_position",
         "role", "group_operator", "group_number", "timezone",
         F.when(raise_side, F.col("raise_occurrence_limit")).otherwise(F.col("clear_occurrence_limit")).alias("limit"),
@@ -228,17 +211,43 @@ def evaluate_rules(
         F.when(raise_side, F.col("raise_match_operator")).otherwise(F.col("clear_match_operator")).alias("match"),
     )
 
+
+def is_hit() -> Column:
+    """Whether a reading fulfils the expression of `rule_sides` it is joined to; never NULL."""
+    seen = _observed(F.col("value"), F.col("bit_position"))
+    hit = _compare(seen, F.col("comparison_operator"), F.col("point_value").cast("double"))
+    local = to_local(F.col("event_time"), F.col("timezone"))
+    clock = F.hour(local) * 3600 + F.minute(local) * 60 + F.second(local)
+    return F.coalesce(hit & (F.col("from_s").isNull() | (clock >= F.col("from_s"))), F.lit(False))
+
+
+def evaluate_rules(
+    readings: DataFrame, definitions: DataFrame, expressions: DataFrame, sites: DataFrame | None = None
+) -> DataFrame:
+    """Raise and clear times of every alarm definition.
+
+    An expression holds while at least N of its hits are younger than M seconds;
+    with M = 0 a hit lasts until the point's next reading. Expressions of a group
+    combine by the group operator, groups by the definition's match operator. An
+    alarm rises when its raise side holds and clears when only its clear side
+    holds; without clear expressions it clears when the raise side ends. Raise
+    (clear) hits before the window start, in seconds past local midnight, do not
+    count; `sites` gives the zone, UTC otherwise. An expression with a `bit_position`
+    compares that bit of the whole part of the value.
+
+    `readings` has point_id, event_time and value. Everything is a running sum of
+    +1/-1 steps, worked in (alarm, day) blocks: where each expression stands when a day
+    begins is carried over, and from there all levels follow within the day. The steps
+    are kept in the shared folder when the function is called, as they are read twice.
+    """
+    side = rule_sides(definitions, expressions, sites)
+
     # 1. Each reading's successor, then the hits of every expression.
     watched = readings.select("point_id", "event_time", "value").join(side.select("point_id"), "point_id", "left_semi")
     watched = watched.withColumn("_day", bucket_of(F.col("event_time"), "1 day"))
     following = Running("_next", F.col("event_time"), "last", inclusive=False)
     watched = running(watched, ["point_id"], "_day", "event_time", [following], descending=True)
     rows = watched.drop("_day").join(side, "point_id")
-    seen = _observed(F.col("value"), F.col("bit_position"))
-    hit = _compare(seen, F.col("comparison_operator"), F.col("point_value").cast("double"))
-    local = to_local(F.col("event_time"), F.col("timezone"))
-    clock = F.hour(local) * 3600 + F.minute(local) * 60 + F.second(local)
-    hit = F.coalesce(hit & (F.col("from_s").isNull() | (clock >= F.col("from_s"))), F.lit(False))
     expr_keys = ["alarm_definition_id", "role", "group_number", "expression_id"]
     seconds = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.col("seconds").cast("decimal(18,6)"))
     until = F.when(F.col("seconds") > 0, F.col("event_time") + seconds).otherwise(F.col("_next"))
@@ -248,7 +257,7 @@ def evaluate_rules(
             F.struct(until.alias("at"), F.lit(-1).alias("d")),
         )
     )
-    steps = rows.filter(hit).select(*expr_keys, step.alias("s")).filter("s.at IS NOT NULL")
+    steps = rows.filter(is_hit()).select(*expr_keys, step.alias("s")).filter("s.at IS NOT NULL")
     steps = steps.select(*expr_keys, F.col("s.at").alias("at"), F.col("s.d").alias("d"))
 
     # 2. Net steps per expression and instant; read by the carry and by the rows.

@@ -228,6 +228,9 @@ def compact_eligible(
 
 # -- retention ---------------------------------------------------------------
 
+# Statuses of a retention run, and the name of its closing row.
+SUCCESS, NOTHING_DUE, FAILED, COMPLETED, EVERY_TABLE = "success", "no_chunks_eligible", "failed", "completed ({} failures)", "ALL"
+
 
 def seed_retention(spark: SparkSession, settings: DataFrame, now: dt.datetime) -> DataFrame:
     """Settings with the default days for tables that have none yet."""
@@ -260,16 +263,16 @@ def enforce_retention(
     run_start = time.monotonic()
     for name, days in settings.select("table_name", "retention_days").orderBy("table_name").collect():
         started = time.monotonic()
-        dropped, status, error = 0, "failed", None
+        dropped, status, error = 0, FAILED, None
         try:
             dropped = _drop_expired(spark, f"{database}.{name}", days, now)
-            status = "success" if dropped else "no_chunks_eligible"
+            status = SUCCESS if dropped else NOTHING_DUE
         except Exception as exc:  # any failure of one table is recorded, not raised
             failures += 1
             error = str(exc)
         total += dropped
         rows.append((now, name, dropped, time.monotonic() - started, status, error))
-    rows.append((now, "ALL", total, time.monotonic() - run_start, f"completed ({failures} failures)", None))
+    rows.append((now, EVERY_TABLE, total, time.monotonic() - run_start, COMPLETED.format(failures), None))
     _log(spark, log_table, "retention_logs", rows)
     return total, failures
 
@@ -279,7 +282,7 @@ def enforce_retention(
 
 def run_statistics(log: DataFrame) -> DataFrame:
     """Per job: runs, failures, last run and status, last success."""
-    failed = F.col("status") == "failed"
+    failed = F.col("status") == FAILED
     at = F.col("executed_at")
     return log.groupBy("table_name").agg(
         F.count(F.lit(1)).alias("total_runs"),

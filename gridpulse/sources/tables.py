@@ -219,9 +219,12 @@ def staged(df: DataFrame, view: str) -> DataFrame:
     return kept
 
 
-def discard(df: DataFrame) -> None:
-    """Run the whole plan and throw the rows away (for timing)."""
-    df.write.format("noop").mode("overwrite").save()
+def discard(df: DataFrame, *observed: Column) -> dict[str, object]:
+    """Run the whole plan and throw the rows away (for timing); what aggregates, each with a name, have seen of them."""
+    seen = Observation()
+    watched = df.observe(seen, *observed) if observed else df
+    watched.write.format("noop").mode("overwrite").save()
+    return dict(seen.get) if observed else {}
 
 
 def config_value(config: DataFrame, key: str, kind: str = "text") -> object:

@@ -21,11 +21,12 @@ def _dates(rows: DataFrame) -> list:
 
 
 def new_readings(spark: SparkSession, table: str, batch: DataFrame) -> DataFrame:
-    """Rows of the batch, of any age, whose key the table does not hold; one row per key.
+    """Rows of the batch, of any age, whose key the table does not hold; any one of the rows with a key.
 
-    Only the dates that the batch touches are read.
+    Rows without a time or a point have no key and are not taken. Only the dates that the batch touches are read.
     """
-    rows = with_partition(batch, "event_time").dropDuplicates(KEY)
+    keyed = batch.filter(F.col(KEY[0]).isNotNull() & F.col(KEY[1]).isNotNull())
+    rows = with_partition(keyed, "event_time").dropDuplicates(KEY)
     stored = spark.table(table).filter(F.col(PARTITION_COLUMN).isin(_dates(rows)))
     return rows.join(stored.select(PARTITION_COLUMN, *KEY), [PARTITION_COLUMN, *KEY], "left_anti")
 
@@ -47,7 +48,7 @@ def recomputed(spark: SparkSession, table: str, touched: DataFrame) -> DataFrame
 def start_readings(
     readings: DataFrame, table: str, checkpoint: str, once: bool = False, log: str | None = None
 ) -> StreamingQuery:
-    """Append a stream of readings to a managed table; the first of equal keys is kept.
+    """Append a stream of readings to a managed table; of equal keys the row of the earliest batch is kept.
 
     Readings of any age are taken, as only the key decides. With `log`, the hours
     that a micro-batch touches, old ones as well, are rolled up anew from the table

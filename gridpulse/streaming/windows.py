@@ -11,11 +11,11 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from gridpulse.functions.buckets import instant
+from gridpulse.functions.buckets import instant, utc_timestamp
 from gridpulse.functions.values import any_value_of
 from gridpulse.operators.rollups import HOUR, REFRESH_WINDOWS, ROLLUP_COLUMNS, hourly_aggregates
 from gridpulse.sources.tables import PARTITION_COLUMN, append
@@ -27,13 +27,6 @@ LATENESS = {level: back for level, (back, _) in REFRESH_WINDOWS.items()}
 ACCEPTED, REPAIRS, WINDOWS = "accepted", "repairs", "windows"
 
 
-def _utc(t: Column) -> Column:
-    """The instant of a UTC wall clock, in any session time zone."""
-    return F.make_timestamp_ltz(
-        F.year(t), F.month(t), F.dayofmonth(t), F.hour(t), F.minute(t), F.extract(F.lit("SECOND"), t), F.lit("UTC")
-    )
-
-
 def _written(spark: SparkSession, folder: str) -> bool:
     place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{folder}/_SUCCESS")
     return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place)
@@ -89,7 +82,7 @@ def start_windows(
     reader = reader.option("maxFilesPerTrigger", files) if files else reader
     raw = reader.parquet(f"{folder}/{ACCEPTED}/*").filter(F.col("reading_type") == "raw")
     timed = raw.select(
-        "point_id", "event_time", "data_quality", any_value_of().alias("v"), _utc(F.col("event_time")).alias("at")
+        "point_id", "event_time", "data_quality", any_value_of().alias("v"), utc_timestamp(F.col("event_time")).alias("at")
     ).withWatermark("at", f"{int(lateness.total_seconds())} seconds")
     hours = timed.groupBy(F.window("at", f"{HOUR.seconds} seconds").alias("hour"), "point_id").agg(
         *hourly_aggregates(F.col("v"), F.col("event_time"), F.col("data_quality"))

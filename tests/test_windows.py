@@ -8,7 +8,7 @@ from helpers import at, rows
 from gridpulse.operators.rollups import ROLLUP_COLUMNS, create_rollup, rollup_1d, rollup_1h
 from gridpulse.session import run_database
 from gridpulse.sources import tables as tb
-from gridpulse.streaming.ingest import batch_writer
+from gridpulse.streaming.ingest import batch_writer, new_readings
 from gridpulse.streaming.rollups import publish, publish_days
 from gridpulse.streaming.sources import parquet_stream
 from gridpulse.streaming.windows import LATENESS, ingest_batch, newest_time, read_windows, start_ingest, start_windows
@@ -155,3 +155,16 @@ def test_old_versions_go_by_age(spark, readings, table):
     assert tb.remove_versions(spark, table, now + ONE) == 0
     spark.catalog.refreshTable(table)
     assert spark.table(table).count() == 10
+
+
+def test_rows_without_a_key_are_not_taken(spark, readings, table):
+    batch = readings((at("10:00"), "p", 1.0), (at("10:00"), None, 2.0), (None, "p", 3.0), (at("10:00"), "p", 4.0))
+    for _ in range(2):
+        tb.append(spark, table, new_readings(spark, table, batch))
+        spark.catalog.refreshTable(table)
+    assert spark.table(table).count() == 1
+
+
+def test_discard_tells_what_it_has_seen(spark):
+    assert tb.discard(spark.range(50), F.count(F.lit(1)).alias("n"), F.max("id").alias("top")) == {"n": 50, "top": 49}
+    assert tb.discard(spark.range(5)) == {}
