@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from gridpulse.checks.registry import query
 from gridpulse.checks.views import r
+from gridpulse.functions import sql
 from gridpulse.functions.scalars import round_half_away
 from gridpulse.operators import rollups as tables
 from gridpulse.operators.gapfill import readings_gapfilled
@@ -273,6 +274,45 @@ def stream_windows(p: Plant) -> DataFrame:
     return rounded(read_windows(p.spark, folder), *_ROLLUP_VALUES)
 
 
+# -- the same reports asked in SQL ---------------------------------------------
+
+
+def _in_sql(p: Plant, text: str) -> DataFrame:
+    sql.register(p.spark, p.readings, p.points, p.sites, "gp_")
+    return p.spark.sql(text)
+
+
+@query("sql_rollup_hour", f"""
+    SELECT point_id, time_bucket(INTERVAL 1 HOUR, event_time) AS bucket_start,
+           time_bucket(INTERVAL 1 HOUR, event_time) + INTERVAL 1 HOUR AS bucket_end, {_STATS}
+    FROM typed GROUP BY point_id, time_bucket(INTERVAL 1 HOUR, event_time)""")
+def sql_rollup(p: Plant) -> DataFrame:
+    """The rollup as a SQL table function."""
+    return rounded(_in_sql(p, "SELECT * FROM gp_readings_rollup(NULL, NULL, 'hour', 'UTC')"), *_VALUES)
+
+
+@query("sql_history_energy", _history_sql("energy", "a * 24 * u.factor"))
+def sql_history(p: Plant) -> DataFrame:
+    """Every site's daily energy on its own clock: the table function called once per site, laterally."""
+    rows = _in_sql(p, """
+        SELECT h.* FROM gp_function_sites s, LATERAL gp_point_history(s.site_id, NULL, NULL, 'Day', 'Energy') h""")
+    return rounded(rows, "value")
+
+
+@query("sql_typed_values", f"""
+    SELECT site_id, q, count(*) AS n, count(v) AS filled, {r('sum(v * factor)')} AS total
+    FROM typed JOIN units USING (point_id) GROUP BY 1, 2""")
+def sql_typed_values(p: Plant) -> DataFrame:
+    """Value, quality and unit functions called in SQL."""
+    rows = _in_sql(p, """
+        SELECT site_id, q, count(*) AS n, count(v) AS filled, sum(v * factor) AS total
+        FROM (SELECT p.site_id, gp_quality_to_aggregate(r.data_quality) AS q, gp_uom_conversion_factor(p.uom, p.rollup_uom) AS factor,
+                     gp_reading_value(p.value_type, r.value_bigint, r.value_double, r.value_numeric) AS v
+              FROM gp_function_readings r JOIN gp_function_points p ON p.point_id = r.point_id WHERE r.reading_type = 'raw')
+        GROUP BY 1, 2""")
+    return rounded(rows, "total")
+
+
 # -- clocks that change, and ranges that cut ---------------------------------
 
 _ORDER_READINGS = """
