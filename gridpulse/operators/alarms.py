@@ -10,8 +10,7 @@ from pyspark.sql import functions as F
 from gridpulse.functions.buckets import at_local_time, bucket_of, instant, to_local
 from gridpulse.functions.scalars import round_half_away, stable_id
 from gridpulse.operators.outages import not_covered
-from gridpulse.operators.scans import Running, running
-from gridpulse.session import checkpointed
+from gridpulse.operators.scans import Running, in_stretches, running
 
 # Alarm names, message texts, delays and limits.
 COMMS_LOST = "Inverter Communications Lost"
@@ -236,46 +235,51 @@ def evaluate_rules(
     compares that bit of the whole part of the value.
 
     `readings` has point_id, event_time and value. Everything is a running sum of
-    +1/-1 steps, worked in (alarm, day) blocks: where each expression stands when a day
-    begins is carried over, and from there all levels follow within the day. The steps
-    are kept in the shared folder when the function is called, as they are read twice.
+    +1/-1 steps, worked in (alarm, stretch) blocks: where each expression stands when a
+    stretch begins is carried over, and from there all levels follow within the stretch.
+    Stretches are of about equal size however many steps an alarm has. The steps, and the
+    readings of points whose hits last until the next one, are kept in the shared folder
+    when the function is called, as they are read twice.
     """
     side = rule_sides(definitions, expressions, sites)
 
-    # 1. Each reading's successor, then the hits of every expression.
-    watched = readings.select("point_id", "event_time", "value").join(side.select("point_id"), "point_id", "left_semi")
-    watched = watched.withColumn("_day", bucket_of(F.col("event_time"), "1 day"))
-    following = Running("_next", F.col("event_time"), "last", inclusive=False)
-    watched = running(watched, ["point_id"], "_day", "event_time", [following], descending=True)
-    rows = watched.drop("_day").join(side, "point_id")
-    expr_keys = ["alarm_definition_id", "role", "group_number", "expression_id"]
+    # 1. The hits of every expression; only those without a duration need the point's next reading.
+    values = readings.select("point_id", "event_time", "value")
+    timed = F.coalesce(F.col("seconds") > 0, F.lit(False))
+    brief, lasting = side.filter(timed), side.filter(~timed)
     seconds = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.col("seconds").cast("decimal(18,6)"))
-    until = F.when(F.col("seconds") > 0, F.col("event_time") + seconds).otherwise(F.col("_next"))
+    hits = values.join(brief, "point_id").filter(is_hit()).withColumn("_until", F.col("event_time") + seconds)
+    watched = values.join(lasting.select("point_id"), "point_id", "left_semi")
+    watched = in_stretches(watched, ["point_id"], "event_time", "_stretch")
+    following = Running("_until", F.col("event_time"), "last", inclusive=False)
+    watched = running(watched, ["point_id"], "_stretch", "event_time", [following], descending=True)
+    hits = hits.unionByName(watched.drop("_stretch").join(lasting, "point_id").filter(is_hit()))
+    expr_keys = ["alarm_definition_id", "role", "group_number", "expression_id"]
     step = F.explode(
         F.array(
             F.struct(F.col("event_time").alias("at"), F.lit(1).alias("d")),
-            F.struct(until.alias("at"), F.lit(-1).alias("d")),
+            F.struct(F.col("_until").alias("at"), F.lit(-1).alias("d")),
         )
     )
-    steps = rows.filter(is_hit()).select(*expr_keys, step.alias("s")).filter("s.at IS NOT NULL")
+    steps = hits.select(*expr_keys, step.alias("s")).filter("s.at IS NOT NULL")
     steps = steps.select(*expr_keys, F.col("s.at").alias("at"), F.col("s.d").alias("d"))
 
-    # 2. Net steps per expression and instant; read by the carry and by the rows.
-    net = steps.groupBy(*expr_keys, "at").agg(F.sum("d").alias("net"))
-    net = checkpointed(net.filter("net <> 0").withColumn("_day", bucket_of(F.col("at"), "1 day")))
+    # 2. Net steps per expression and instant, in stretches; read by the carry and by the rows.
+    net = steps.groupBy(*expr_keys, "at").agg(F.sum("d").alias("net")).filter("net <> 0")
+    net = in_stretches(net, ["alarm_definition_id"], "at", "_stretch")
 
-    # 3. What every expression of an alarm stands at when one of the alarm's days begins.
+    # 3. What every expression of an alarm stands at when one of the alarm's stretches begins.
     parts = side.select(*expr_keys, "limit").distinct()
-    days = net.select("alarm_definition_id", "_day").distinct()
-    totals = net.groupBy(*expr_keys, "_day").agg(F.sum("net").alias("total"))
-    grid = days.join(parts, "alarm_definition_id").join(totals, [*expr_keys, "_day"], "left")
-    earlier = Window.partitionBy(*expr_keys).orderBy("_day").rowsBetween(Window.unboundedPreceding, -1)
+    stretches = net.select("alarm_definition_id", "_stretch").distinct()
+    totals = net.groupBy(*expr_keys, "_stretch").agg(F.sum("net").alias("total"))
+    grid = stretches.join(parts, "alarm_definition_id").join(totals, [*expr_keys, "_stretch"], "left")
+    earlier = Window.partitionBy(*expr_keys).orderBy("_stretch").rowsBetween(Window.unboundedPreceding, -1)
     begin = grid.select(
-        *expr_keys, "_day", F.lit(None).cast("timestamp_ntz").alias("at"),
+        *expr_keys, "_stretch", F.lit(None).cast("timestamp_ntz").alias("at"),
         F.coalesce(F.sum("total").over(earlier), F.lit(0)).alias("net"),
     )
 
-    # 4. Expression -> group -> side inside (alarm, day), dealt once; a row without a time begins the day.
+    # 4. Expression -> group -> side inside (alarm, stretch), dealt once; a row without a time begins it.
     groups = side.groupBy("alarm_definition_id", "role", "group_number").agg(
         F.countDistinct("expression_id").alias("n"), F.max("group_operator").alias("op")
     )
@@ -286,30 +290,30 @@ def evaluate_rules(
     def needed(of: DataFrame) -> DataFrame:
         return of.withColumn("need", F.when(F.col("op") == "all", F.col("n")).otherwise(F.lit(1))).drop("n", "op")
 
-    dealt = begin.unionByName(net.select(*begin.columns)).repartition("alarm_definition_id", "_day")
-    held = _changes(dealt.join(parts.withColumnRenamed("limit", "need"), expr_keys), [*expr_keys, "_day"])
+    dealt = begin.unionByName(net.select(*begin.columns)).repartition("alarm_definition_id", "_stretch")
+    held = _changes(dealt.join(parts.withColumnRenamed("limit", "need"), expr_keys), [*expr_keys, "_stretch"])
     for of, keys in ((groups, expr_keys[:3]), (sides, expr_keys[:2])):
-        summed = held.groupBy(*keys, "_day", "at").agg(F.sum("change").alias("net"))
-        held = _changes(summed.join(needed(of), keys), [*keys, "_day"])
+        summed = held.groupBy(*keys, "_stretch", "at").agg(F.sum("change").alias("net"))
+        held = _changes(summed.join(needed(of), keys), [*keys, "_stretch"])
 
     # 5. The alarm's state: the last instruction given by either side.
     key = ["alarm_definition_id"]
     on = F.col("role") == "raise"
-    moves = held.groupBy(*key, "_day", "at").agg(
+    moves = held.groupBy(*key, "_stretch", "at").agg(
         F.sum(F.when(on, F.col("change")).otherwise(0)).alias("r"),
         F.sum(F.when(on, 0).otherwise(F.col("change"))).alias("c"),
     )
-    here = Window.partitionBy(*key, "_day").orderBy(F.col("at").asc_nulls_first())
+    here = Window.partitionBy(*key, "_stretch").orderBy(F.col("at").asc_nulls_first())
     so_far = here.rowsBetween(Window.unboundedPreceding, 0)
     has_clear = side.groupBy(*key).agg(F.max((F.col("role") == "clear").cast("int")).alias("has_clear"))
     moves = moves.join(has_clear, key).withColumns({"raise_on": F.sum("r").over(so_far), "clear_on": F.sum("c").over(so_far)})
     off = F.when(F.col("has_clear") == 1, F.col("clear_on") > 0).otherwise(F.lit(True))
-    moves = moves.withColumn("want", F.when(F.col("raise_on") > 0, 1).when(off, 0)).select(*key, "_day", "at", "want")
-    place = F.struct(F.col("at").isNotNull(), F.col("at"))  # sorts the beginning of a day first
-    last = moves.groupBy(*key, "_day").agg(F.max_by("want", F.when(F.col("want").isNotNull(), place)).alias("last"))
-    before_day = Window.partitionBy(*key).orderBy("_day").rowsBetween(Window.unboundedPreceding, -1)
-    carry = last.select(*key, "_day", F.last("last", ignorenulls=True).over(before_day).alias("carry"))
-    moves = moves.join(carry, [*key, "_day"])
+    moves = moves.withColumn("want", F.when(F.col("raise_on") > 0, 1).when(off, 0)).select(*key, "_stretch", "at", "want")
+    place = F.struct(F.col("at").isNotNull(), F.col("at"))  # sorts the beginning of a stretch first
+    last = moves.groupBy(*key, "_stretch").agg(F.max_by("want", F.when(F.col("want").isNotNull(), place)).alias("last"))
+    before_stretch = Window.partitionBy(*key).orderBy("_stretch").rowsBetween(Window.unboundedPreceding, -1)
+    carry = last.select(*key, "_stretch", F.last("last", ignorenulls=True).over(before_stretch).alias("carry"))
+    moves = moves.join(carry, [*key, "_stretch"])
     state = F.coalesce(F.last("want", ignorenulls=True).over(so_far), "carry", F.lit(0))
     before = F.last("want", ignorenulls=True).over(here.rowsBetween(Window.unboundedPreceding, -1))
     moves = moves.withColumns({"state": state, "before": F.coalesce(before, "carry", F.lit(0))})
@@ -323,7 +327,7 @@ def evaluate_rules(
 def _changes(net: DataFrame, keys: list[str]) -> DataFrame:
     """Where the running sum of `net` reaches `need` (+1) or falls below it (-1), within `keys`.
 
-    The row that begins a day is always kept; its change is what holds already.
+    The row that begins a stretch is always kept; its change is what holds already.
     """
     order = Window.partitionBy(*keys).orderBy(F.col("at").asc_nulls_first())
     level = F.sum("net").over(order.rowsBetween(Window.unboundedPreceding, 0))

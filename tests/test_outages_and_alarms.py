@@ -1,5 +1,6 @@
 import datetime as dt
 import random
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -228,8 +229,6 @@ def test_rules_equal_simulation(spark, rule, exprs):
             t += dt.timedelta(seconds=rng.randrange(60, 2400))
             samples.append((t, p, float(rng.randrange(20, 100))))
     full_rule = ("a", "s", *rule)
-    from decimal import Decimal
-
     full_exprs = [("a", eid, p, Decimal(v), op, role, gop, g) for eid, p, v, op, role, gop, g in exprs]
     df = spark.createDataFrame(samples, "event_time timestamp_ntz, point_id string, value double")
     out = al.evaluate_rules(df, spark.createDataFrame([full_rule], RULES), spark.createDataFrame(full_exprs, EXPRESSIONS))
@@ -238,6 +237,44 @@ def test_rules_equal_simulation(spark, rule, exprs):
     assert len(want) > 3
 
 
+@pytest.mark.parametrize("limits", [(3, 1800, 1, 0), (1, 0, 2, 3600)])
+def test_one_hot_alarm_is_split(spark, monkeypatch, limits):
+    """All steps belong to one alarm and one day; they are still dealt over several stretches."""
+    rng = random.Random(5)
+    t, samples = at("00:00"), []
+    for _ in range(700):
+        t += dt.timedelta(seconds=rng.randrange(20, 150))
+        samples.append((t, "p", float(rng.randrange(20, 100))))
+    rule = ("a", "s", *limits, None, None, "any", "any")
+    exprs = [("a", "e1", "p", Decimal(90), ">", "raise", "any", 1), ("a", "e2", "p", Decimal(45), "<=", "clear", "any", 1)]
+    kept, whole = [], al.in_stretches
+
+    def seen(*args):
+        kept.append(whole(*args))
+        return kept[-1]
+
+    monkeypatch.setattr(al, "in_stretches", seen)
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        df = spark.createDataFrame(samples, "event_time timestamp_ntz, point_id string, value double")
+        out = al.evaluate_rules(df, spark.createDataFrame([rule], RULES), spark.createDataFrame(exprs, EXPRESSIONS))
+        got = sorted(rows(out, "alarm_definition_id", "event_time", "event_condition"), key=lambda r: r[1])
+        sizes = [r["count"] for r in kept[-1].groupBy("_stretch").count().collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+    assert got == _simulate(samples, rule, exprs) and len(got) > 3
+    assert len(sizes) > 2 and max(sizes) < sum(sizes) / 2
+
+
+def test_rules_without_readings(spark):
+    rule = ("a", "s", 1, 0, 1, 0, None, None, "any", "any")
+    exprs = [("a", "e1", "p", Decimal(60), ">", "raise", "any", 1)]
+    df = spark.createDataFrame([], "event_time timestamp_ntz, point_id string, value double")
+    out = al.evaluate_rules(df, spark.createDataFrame([rule], RULES), spark.createDataFrame(exprs, EXPRESSIONS))
+    assert out.collect() == []
+
+
 def test_suppression(spark):
     raised = spark.createDataFrame([("x", at("10:00")), ("x", at("12:00")), ("y", at("10:00"))], "alarm_definition_id string, raised_at timestamp_ntz")
     active = spark.createDataFrame([("l", at("09:00"), at("11:00"))], "alarm_definition_id string, raised_at timestamp_ntz, cleared_at timestamp_ntz")
