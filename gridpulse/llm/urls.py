@@ -5,6 +5,8 @@ pass it by chance; the second filter holds exactly those, the third the listed k
 that pass the second, and so on until none passes. For every key of the corpus the
 first filter that it does not pass then tells, without error, whether it is listed, and
 the filters are a few bits per listed key, so they travel in the plan and rows meet no join.
+Where they would be too large for a plan, keys are dealt to parts by their hash and each part
+has a cascade of its own; rows then meet the small row of filters of their part, never the list.
 """
 
 from __future__ import annotations
@@ -20,8 +22,10 @@ from gridpulse.llm.common import col, fresh, stored
 
 ALLOW, BLOCK = "allow", "block"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-#: Bytes that all filters of a cascade may take in a plan; larger lists are joined instead.
+#: Bytes that all filters of a cascade may take in a plan; larger lists are cut into parts.
 MOST_BYTES = 8 << 20
+#: Listed keys that a part holds on average.
+PART_KEYS = 1024
 _BITMAP = 32768  # bits of one of Spark's bitmaps
 
 
@@ -113,6 +117,69 @@ def cascade(universe: DataFrame) -> list[Level] | None:
     return levels
 
 
+def _part(key: Column, parts: int) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(parts)).cast("int")
+
+
+def _positions(key: Column, number: Column, hashes: Column, bits: Column) -> Column:
+    return F.transform(F.sequence(F.lit(0), hashes - 1), lambda i: F.pmod(F.xxhash64(key, number, i), bits))
+
+
+def _passes(key: Column, level: Column) -> Column:
+    """Whether a key passes a filter of its part: all of its bits are set in the words."""
+    spots = _positions(key, level["number"], level["hashes"], level["bits"])
+    return F.forall(spots, lambda p: F.getbit(F.get(level["words"], F.shiftright(p, 6).cast("int")), (p % 64).cast("int")) == 1)
+
+
+def _filters(inside: DataFrame, outside: DataFrame, number: int) -> DataFrame:
+    """The filter of every part that has a key inside: part and level (number, bits, hashes, words of 64 bits)."""
+    n, m = F.col("n"), F.coalesce(F.col("m"), F.lit(0))
+    passing = F.least(F.lit(0.5), F.lit(sqrt(0.5)) * n / F.greatest(F.lit(1), m)) if number == 1 else F.lit(0.5)
+    bits_of_key = -F.log2(passing)
+    inner = inside.groupBy("part").agg(F.count("*").alias("n"))
+    outer = outside.groupBy("part").agg(F.count("*").alias("m"))
+    sizes = inner.join(outer, "part", "left").select(
+        "part", F.lit(number).alias("number"), F.greatest(F.lit(64), F.ceil(n * bits_of_key / log(2))).cast("long").alias("bits"),
+        F.greatest(F.lit(1), F.round(bits_of_key)).cast("int").alias("hashes"),
+    )
+    sizes = stored(sizes, "sizes")
+    spots = F.explode(_positions(F.col("key"), F.col("number"), F.col("hashes"), F.col("bits")))
+    found = inside.join(sizes, "part").select("part", spots.alias("spot"))
+    masks = found.select(
+        "part", F.shiftright("spot", 6).alias("place"), F.expr("shiftleft(1L, CAST(spot % 64 AS INT))").alias("mask")
+    )
+    empty = sizes.select("part", F.explode(F.sequence(F.lit(0).cast("long"), F.shiftright(F.col("bits") - 1, 6))).alias("place"))
+    words = masks.unionByName(empty.withColumn("mask", F.lit(0).cast("long"))).groupBy("part", "place").agg(F.bit_or("mask").alias("mask"))
+    row = words.groupBy("part").agg(F.array_sort(F.collect_list(F.struct("place", "mask")))["mask"].alias("words"))
+    return stored(sizes.join(row, "part").select("part", F.struct("number", "bits", "hashes", "words").alias("level")), "filters")
+
+
+def cascades(universe: DataFrame) -> tuple[DataFrame, int]:
+    """A cascade per part of the universe, for lists of any size: rows of part and levels, and the number of parts.
+
+    Parts without a listed key have no row. Built by joins and groups of keys by part; nothing but counts reaches the driver.
+    """
+    keys = stored(universe.select("key", "listed").filter("key is not null"), "keys")
+    parts = max(1, ceil(keys.filter("listed").count() / PART_KEYS))
+    placed = keys.withColumn("part", _part(F.col("key"), parts))
+    inside, outside = placed.filter("listed").select("part", "key"), placed.filter("not listed").select("part", "key")
+    made: list[DataFrame] = []
+    while not made or not inside.isEmpty():
+        made.append(_filters(inside, outside, len(made) + 1))
+        passed = outside.join(made[-1], "part").filter(_passes(F.col("key"), F.col("level"))).select("part", "key")
+        inside, outside = stored(passed, "passing"), inside
+    every = reduce(DataFrame.unionByName, made)
+    # Numbers come first in a level, so sorting puts the levels in their order.
+    return stored(every.groupBy("part").agg(F.array_sort(F.collect_list("level")).alias("levels")), "cascades"), parts
+
+
+def is_listed_in_part(key: Column, levels: Column) -> Column:
+    """As `is_listed`, for the levels of the key's part; a null key, or one of a part without levels, is not listed."""
+    failed = F.array_position(F.transform(levels, lambda level: _passes(key, level)), F.lit(False))
+    answer = F.when(failed > 0, failed % 2 == 0).otherwise(F.size(levels) % 2 == 1)
+    return F.coalesce(answer & levels.isNotNull() & key.isNotNull(), F.lit(False))
+
+
 def is_listed(key: Column, levels: list[Level]) -> Column:
     """Whether a key of the universe is listed: decided by the first level that it does not pass."""
     answer = F.lit(len(levels) % 2 == 1)
@@ -142,11 +209,12 @@ def judged(pages: DataFrame, rules: list[Rule], listed: Column | DataFrame, url_
     levels = cascade(universe)
     parted = pages.withColumns({host: host_of(url), path: path_of(url)})
     best = best_rule(F.col(host), F.col(path), rules)
-    if levels is None:  # too long a list for a plan: the same answer by a join on the hosts
-        other = fresh(parted, "gp_listed")[0]
-        blocked = universe.filter("listed").select(F.col("key").alias(other))
-        parted = parted.join(blocked, F.col(host) == F.col(other), "left")
-        member, extra = F.col(other).isNotNull(), [other]
+    if levels is None:  # too large for a plan: the filters of a row's part come to the row
+        filters, parts = cascades(universe)
+        extra = fresh(parted, "gp_part", "gp_levels")
+        filters = filters.toDF(*extra)
+        parted = parted.join(filters, _part(F.col(host), parts) == F.col(extra[0]), "left")
+        member = is_listed_in_part(F.col(host), F.col(extra[1]))
     else:
         member, extra = is_listed(F.col(host), levels), []
     full = parted.withColumn(rule, best["rule"]).withColumn(

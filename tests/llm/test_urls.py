@@ -72,6 +72,19 @@ def test_a_list_too_long_for_a_plan(spark, monkeypatch):
     assert got.select(order).orderBy("page_id").collect() == want.select(order).orderBy("page_id").collect()
 
 
+@pytest.mark.parametrize("listed, others, part", [(0, 20, 8), (40, 1500, 8), (300, 20, 50), (60, 0, 1000)])
+def test_cascades_of_parts_are_exact(spark, monkeypatch, listed, others, part):
+    monkeypatch.setattr(urls, "PART_KEYS", part)
+    rows = [(f"k{i}", i < listed) for i in range(listed + others)] + [(None, True)]
+    universe = spark.createDataFrame(rows, "key string, listed boolean")
+    filters, parts = urls.cascades(universe)
+    assert parts == max(1, -(-listed // part))
+    placed = universe.withColumn("part", urls._part(F.col("key"), parts)).join(filters, "part", "left")
+    found = placed.select("key", "listed", urls.is_listed_in_part(F.col("key"), F.col("levels")).alias("got")).collect()
+    assert len(found) == len(rows)
+    assert [r for r in found if r.got != (r.listed and r.key is not None)] == []
+
+
 def test_empty(spark):
     full, _ = urls.judged(pages(spark, "x").limit(0), queries.URL_RULES, F.lit(True))
     assert full.count() == 0
