@@ -188,7 +188,11 @@ def _compare(value: Column, operator: Column, limit: Column) -> Column:
 
 
 def rule_sides(definitions: DataFrame, expressions: DataFrame, sites: DataFrame | None = None) -> DataFrame:
-    """Every expression with what its side of the definition asks for, and the zone of the definition's site."""
+    """Every expression with what its side of the definition asks for, and the zone of the definition's site.
+
+    Neither table is sent whole to the driver: both may have a row per point, and few narrow columns of a
+    compressed table look small enough to broadcast long after their rows are not.
+    """
     raise_side = F.col("role") == "raise"
     rules = definitions.select(
         "alarm_definition_id", "site_id", "raise_occurrence_limit", "raise_timeframe_s",
@@ -201,7 +205,7 @@ def rule_sides(definitions: DataFrame, expressions: DataFrame, sites: DataFrame
         rules = rules.withColumn("timezone", F.lit("UTC"))
     if "bit_position" not in expressions.columns:
         expressions = expressions.withColumn("bit_position", F.lit(None).cast("int"))
-    return expressions.join(rules, "alarm_definition_id").select(
+    return expressions.join(rules.hint("merge"), "alarm_definition_id").select(
         "alarm_definition_id", "expression_id", "point_id", "point_value", "comparison_operator", "bit_position",
         "role", "group_operator", "group_number", "timezone",
         F.when(raise_side, F.col("raise_occurrence_limit")).otherwise(F.col("clear_occurrence_limit")).alias("limit"),

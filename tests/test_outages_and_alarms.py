@@ -267,6 +267,16 @@ def test_one_hot_alarm_is_split(spark, monkeypatch, limits):
     assert len(sizes) > 2 and max(sizes) < sum(sizes) / 2
 
 
+def test_rules_are_not_broadcast(spark):
+    """Definitions and expressions may be as many as points, so they meet by a shuffle however small they look."""
+    rule = ("a", "s", 1, 0, 1, 0, None, None, "any", "any")
+    exprs = [("a", "e1", "p", Decimal(60), ">", "raise", "any", 1)]
+    sides = al.rule_sides(spark.createDataFrame([rule], RULES), spark.createDataFrame(exprs, EXPRESSIONS))
+    plan = sides._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+    assert rows(sides, "alarm_definition_id", "limit", "match") == [("a", 1, "any")]
+
+
 def test_rules_without_readings(spark):
     rule = ("a", "s", 1, 0, 1, 0, None, None, "any", "any")
     exprs = [("a", "e1", "p", Decimal(60), ">", "raise", "any", 1)]
