@@ -19,7 +19,7 @@ from gridpulse.operators.rollups import rollup_1h
 from gridpulse.session import run_dir
 from gridpulse.sources.adapters import Plant
 from gridpulse.streaming.rules import read_rule_events, start_rules
-from gridpulse.streaming.sources import parquet_stream
+from gridpulse.streaming.sources import files_per_batch, parquet_stream, write_batch
 
 
 def definitions(p: Plant) -> DataFrame:
@@ -315,13 +315,15 @@ def stream_rule_debounced(p: Plant) -> DataFrame:
     arrival = F.col("event_time") + F.make_dt_interval(F.lit(0), F.pmod(F.xxhash64("event_time", "point_id"), F.lit(48)).cast("int"))
     first, last = values.agg(F.min("event_time"), F.max("event_time")).first()
     step = (last + late - first) / 4 + dt.timedelta(seconds=1)
-    for i in range(4):
-        part = values.filter((arrival >= instant(first + i * step)) & (arrival < instant(first + (i + 1) * step)))
-        part.coalesce(1).write.mode("append").parquet(f"{folder}/in")
+    parts = [(arrival >= instant(first + i * step)) & (arrival < instant(first + (i + 1) * step)) for i in range(4)]
+    files = files_per_batch(list(values.agg(*[F.count_if(part).alias(f"n{i}") for i, part in enumerate(parts)]).first()))
+    for part in parts:
+        write_batch(values.filter(part), f"{folder}/in", files)
     for after in (1, 2):  # the clock goes on by a point that no rule watches
-        tick = p.spark.createDataFrame([(last + 3 * late + dt.timedelta(days=after), -1, None)], values.schema)
-        tick.coalesce(1).write.mode("append").parquet(f"{folder}/in")
-    stream = parquet_stream(p.spark, f"{folder}/in", values.schema, max_files_per_trigger=1)
+        tick = [instant(last + 3 * late + dt.timedelta(days=after)), F.lit(-1), F.lit(None)]
+        ticks = p.spark.range(0, files, 1, files).select(*[c.cast(f.dataType).alias(f.name) for c, f in zip(tick, values.schema)])
+        ticks.write.mode("append").parquet(f"{folder}/in")
+    stream = parquet_stream(p.spark, f"{folder}/in", values.schema, max_files_per_trigger=files)
     expressions = _expressions(p, [("raise", ">", 60.0)])
     start_rules(stream, _rules(p, 2, 86400), expressions, f"{folder}/log", f"{folder}/checkpoint", lateness=late, once=True).awaitTermination()
     return read_rule_events(p.spark, f"{folder}/log")

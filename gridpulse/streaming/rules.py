@@ -10,8 +10,10 @@ from __future__ import annotations
 import datetime as dt
 import heapq
 import json
+import struct
 import sys
 from collections.abc import Iterator
+from itertools import chain, islice
 
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Row, SparkSession
@@ -29,6 +31,9 @@ _PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 _ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 #: What a waiting row does at its time: a reading that is no hit, one that is, the end of an earlier hit.
 MISS, HIT, END = 0, 1, 2
+KINDS = 3
+#: Waiting rows that are kept as one value.
+PACKED = 10_000
 
 
 # The workers need nothing but this module, so it travels with the processor.
@@ -36,49 +41,60 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
 class AlarmRule(StatefulProcessor):
-    """One alarm: the expressions of its rule, how many hits each has, and whether it is raised."""
+    """One alarm: the expressions of its rule, how many hits each has, whether it is raised, and when it is due next.
+
+    Every call of the state costs a message to the store, so readings wait in packed stretches, and
+    a timer is set only where none is due as early.
+    """
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.alarm = handle.getValueState("alarm", "rule string, levels array<int>, raised boolean")
-        self.waiting = handle.getListState("waiting", "part int, at long, what int")
+        self.alarm = handle.getValueState("alarm", "rule string, levels array<int>, raised boolean, due long")
+        self.waiting = handle.getListState("waiting", "events binary")
 
     def handleInputRows(self, key: tuple, rows: Iterator[Row], timerValues) -> Iterator[Row]:
         rule, first = None, None
-        for row in rows:
-            rule, first = row.rule, row.at if first is None else min(first, row.at)
-            self.waiting.appendValue((row.part, row.at, HIT if row.hit else MISS))
-        if not self.alarm.exists():
-            self.alarm.update((rule, [0] * len(json.loads(rule)), False))
-        self.handle.registerTimer(_timer(first))
+        while some := list(islice(rows, PACKED)):
+            self.waiting.appendValue((pack([(row.at, _code(row.part, HIT if row.hit else MISS)) for row in some]),))
+            rule, earliest = some[0].rule, min(row.at for row in some)
+            first = earliest if first is None else min(first, earliest)
+        rule, levels, raised, due = self.alarm.get() or (rule, [0] * len(json.loads(rule)), False, None)
+        if due is None or first < due:
+            self.alarm.update((rule, levels, raised, first))
+            self.handle.registerTimer(_timer(first))
         return iter(())
 
     def handleExpiredTimer(self, key: tuple, timerValues, expiredTimerInfo) -> Iterator[Row]:
         until = timerValues.getCurrentWatermarkInMs() * 1000
-        events = [(at, part, what) for part, at, what in self.waiting.get()]
-        if not any(at <= until for at, _, _ in events):
+        rule, levels, raised, due = self.alarm.get()
+        if due is None or due > until:
             return
-        rule, levels, raised = self.alarm.get()
         parts, levels = json.loads(rule), list(levels)
+        events, later = [], []
+        for (packed,) in self.waiting.get():
+            for event in unpack(packed):
+                (events if event[0] <= until else later).append(event)
         heapq.heapify(events)
         while events and events[0][0] <= until:
             now = events[0][0]
             while events and events[0][0] == now:
-                _, part, what = heapq.heappop(events)
+                part, what = divmod(heapq.heappop(events)[1], KINDS)
                 if seconds := parts[part]["seconds"]:
                     levels[part] += {MISS: 0, HIT: 1, END: -1}[what]
                     if what == HIT:
-                        heapq.heappush(events, (now + round(seconds * 1_000_000), part, END))
+                        heapq.heappush(events, (now + round(seconds * 1_000_000), _code(part, END)))
                 else:
                     levels[part] = what  # a hit lasts until the point's next reading
             said = instruction(parts, levels)
             if said is not None and said != raised:
                 raised = said
                 yield Row(alarm_definition_id=key[0], at=now, event_condition="raise" if raised else "clear")
-        self.alarm.update((rule, levels, raised))
-        if events:
-            self.waiting.put([(part, at, what) for at, part, what in events])
-            self.handle.registerTimer(_timer(events[0][0]))
+        later += events
+        due = min(later)[0] if later else None
+        self.alarm.update((rule, levels, raised, due))
+        if later:
+            self.waiting.put([(pack(later[i : i + PACKED]),) for i in range(0, len(later), PACKED)])
+            self.handle.registerTimer(_timer(due))
         else:
             self.waiting.clear()
 
@@ -86,6 +102,20 @@ class AlarmRule(StatefulProcessor):
         pass
 
 
+def _code(part: int, what: int) -> int:
+    """What happens to which expression; sorts by expression first."""
+    return part * KINDS + what
+
+
+def pack(events: list[tuple[int, int]]) -> bytes:
+    """Times and codes as bytes."""
+    return struct.pack(f"<{2 * len(events)}q", *chain.from_iterable(events))
+
+
+def unpack(packed: bytes) -> Iterator[tuple[int, int]]:
+    return struct.iter_unpack("<2q", packed)
+
+
 def _timer(at: int) -> int:
     """The first millisecond that has passed a time in microseconds."""
     return -(-at // 1000)
@@ -110,13 +140,18 @@ def instruction(parts: list[dict], levels: list[int]) -> bool | None:
 
 
 def _rules(sides: DataFrame) -> DataFrame:
-    """`sides` with the whole rule of the alarm as text, and the number of the expression in it (`part`)."""
+    """`sides` with the whole rule of the alarm as text, and the number of the expression in it (`part`).
+
+    `quiet` says that a reading which is no hit changes nothing: hits end by themselves, and no expression holds without any.
+    """
     of_rule = ["role", "group_number", "expression_id", "group_operator", "limit", "seconds", "match"]
     every = F.array_sort(F.collect_list(F.struct(*of_rule)))
     rules = sides.groupBy("alarm_definition_id").agg(every.alias("parts"))
     here = F.struct(*of_rule)
     joined = sides.join(rules.select("alarm_definition_id", "parts", F.to_json("parts").alias("rule")), "alarm_definition_id")
-    return joined.withColumn("part", (F.array_position("parts", here) - 1).cast("int")).drop("parts")
+    quiet = (F.col("seconds") > 0) & F.forall("parts", lambda part: part["limit"] > 0)
+    number = (F.array_position("parts", here) - 1).cast("int")
+    return joined.withColumns({"part": number, "quiet": F.coalesce(quiet, F.lit(False))}).drop("parts")
 
 
 def rule_events(
@@ -133,8 +168,9 @@ def rule_events(
     timed = readings.filter("event_time IS NOT NULL").withColumn("_clock", utc_timestamp(F.col("event_time")))
     timed = timed.withWatermark("_clock", f"{int(lateness.total_seconds())} seconds")
     rules = _rules(rule_sides(definitions, expressions, sites))
-    seen = timed.select("_clock", "point_id", "event_time", "value").join(rules, "point_id")
-    rows = seen.select("alarm_definition_id", "_clock", "part", F.unix_micros("_clock").alias("at"), is_hit().alias("hit"), "rule")
+    seen = timed.select("_clock", "point_id", "event_time", "value").join(rules, "point_id")  # the clock is moved by all rows
+    rows = seen.filter(is_hit() | ~F.col("quiet"))
+    rows = rows.select("alarm_definition_id", "_clock", "part", F.unix_micros("_clock").alias("at"), is_hit().alias("hit"), "rule")
     out = T.StructType([
         T.StructField("alarm_definition_id", kind), T.StructField("at", T.LongType()), T.StructField("event_condition", T.StringType()),
     ])

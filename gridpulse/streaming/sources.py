@@ -19,3 +19,20 @@ def parquet_stream(
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     return reader.parquet(f"{path[:-1]}[{path[-1]}]")
+
+
+#: Rows that a file of a micro-batch holds at least, where it has more than one.
+FILE_ROWS = 250_000
+
+
+def files_per_batch(counts: list[int]) -> int:
+    """Into how many files each of several micro-batches can be dealt, so that no file is empty.
+
+    As `max_files_per_trigger` it takes them one by one, as long as all have that many.
+    """
+    return max(1, min(counts) // FILE_ROWS)
+
+
+def write_batch(rows: DataFrame, path: str, files: int) -> None:
+    """Append a micro-batch to the folder of a stream, in that many files, newer than those before."""
+    rows.repartition(files).write.mode("append").parquet(path)
