@@ -19,7 +19,7 @@ from gridpulse.sources.adapters import Plant
 from gridpulse.sources.tables import create_partitioned, read_table, table_location, with_partition
 from gridpulse.streaming.ingest import start_readings
 from gridpulse.streaming.rollups import publish, publish_days, read_published, read_rollup
-from gridpulse.streaming.sources import parquet_stream
+from gridpulse.streaming.sources import files_per_batch, parquet_stream, write_batch
 from gridpulse.streaming.windows import read_windows, start_ingest, start_windows
 
 _VALUES = ("avg_value", "min_value", "max_value", "sum_value", "first_value", "last_value")
@@ -205,17 +205,19 @@ def refresh_window(p: Plant) -> DataFrame:
 
 
 def in_files(p: Plant, label: str, order: tuple[int, ...] = (4, 3, 2, 1, 0)) -> DataFrame:
-    """The events as a stream of files, one per micro-batch: stretches of time in the given order."""
+    """The events as a stream of files, as many per micro-batch as fit its size: stretches of time in the given order."""
     path = f"{run_dir(p.spark, label)}/events"
     cuts = p.events.agg(F.percentile_approx("ts", [i / len(order) for i in range(1, len(order))])).first()[0]
     stretches = list(zip([None, *cuts], [*cuts, None]))
+    inside = []
     for low, high in [stretches[i] for i in order]:
-        part = p.events
-        part = part if low is None else part.filter(F.col("ts") > F.lit(low))
-        part = part if high is None else part.filter(F.col("ts") <= F.lit(high))
-        part.coalesce(1).write.mode("append").parquet(path)
+        after = F.lit(True) if low is None else F.col("ts") > F.lit(low)
+        inside.append(after if high is None else after & (F.col("ts") <= F.lit(high)))
+    files = files_per_batch(list(p.events.agg(*[F.count_if(part).alias(f"n{i}") for i, part in enumerate(inside)]).first()))
+    for part in inside:
+        write_batch(p.events.filter(part), path, files)
     live = Plant(p.spark, p.sf_dir)
-    live.__dict__["events"] = parquet_stream(p.spark, path, p.events.schema, max_files_per_trigger=1)
+    live.__dict__["events"] = parquet_stream(p.spark, path, p.events.schema, max_files_per_trigger=files)
     return live.readings
 
 

@@ -6,8 +6,9 @@ from pyspark.sql import functions as F
 
 from helpers import at, rows
 from gridpulse.operators.alarms import evaluate_rules
-from gridpulse.streaming.rules import instruction, read_rule_events, start_rules
-from gridpulse.streaming.sources import parquet_stream
+from gridpulse.streaming import sources
+from gridpulse.streaming.rules import AlarmRule, instruction, read_rule_events, start_rules
+from gridpulse.streaming.sources import files_per_batch, parquet_stream, write_batch
 
 VALUES = "point_id string, event_time timestamp_ntz, value double"
 DEFINITIONS = (
@@ -91,3 +92,50 @@ def test_instruction():
     assert [instruction(two, x) for x in ([2, 1], [1, 1], [2, 0])] == [True, False, False]
     clear = {"role": "clear", "group_number": 1, "group_operator": "any", "limit": 1, "match": "any"}
     assert [instruction([part, clear], x) for x in ([2, 1], [0, 1], [0, 0])] == [True, False, None]
+
+
+class Store:
+    """What a processor asks of its state, by name."""
+
+    def __init__(self):
+        self.calls, self.value, self.list = [], None, []
+
+    def __getattr__(self, name):
+        def call(*args):
+            self.calls.append(name)
+            if name in ("getValueState", "getListState"):
+                return self
+            if name == "update":
+                self.value = args[0]
+            if name == "appendValue":
+                self.list.append(args[0])
+            return self.value if name == "get" else None
+
+        return call
+
+
+def test_a_batch_of_readings_costs_the_state_a_few_calls():
+    from pyspark.sql import Row
+
+    store, alarm = Store(), AlarmRule()
+    alarm.init(store)
+    for earliest, calls in ((1000, ["appendValue", "get", "update", "registerTimer"]), (2000, ["appendValue", "get"])):
+        store.calls.clear()
+        batch = [Row(rule="[{}]", part=0, at=earliest + i, hit=True) for i in range(50)]
+        alarm.handleInputRows((1,), iter(batch), None)
+        assert store.calls == calls
+    assert store.value == ("[{}]", [0], False, 1000) and len(store.list) == 2
+
+
+def test_micro_batches_of_several_files(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(sources, "FILE_ROWS", 20)
+    src, counts, seen = str(tmp_path / "src"), [100, 60, 75], []
+    files = files_per_batch(counts)
+    for i, n in enumerate(counts):
+        write_batch(spark.range(n).select(F.lit(i).alias("part"), "id"), src, files)
+    stream = parquet_stream(spark, src, spark.read.parquet(src).schema, max_files_per_trigger=files)
+    look = lambda batch, _: seen.append(batch.agg(F.min("part"), F.max("part"), F.count("id")).first())
+    stream.writeStream.option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).foreachBatch(look).start().awaitTermination()
+    assert [tuple(r) for r in seen] == [(i, i, n) for i, n in enumerate(counts)]
+    assert len(spark.read.parquet(src).inputFiles()) == 9
+    assert files_per_batch([100, 0]) == files_per_batch([100, 30]) == 1
