@@ -20,7 +20,7 @@ from gridpulse.sources.tables import create_partitioned, read_table, table_locat
 from gridpulse.streaming.ingest import start_readings
 from gridpulse.streaming.rollups import publish, publish_days, read_published, read_rollup
 from gridpulse.streaming.sources import files_per_batch, parquet_stream, write_batch
-from gridpulse.streaming.windows import read_windows, start_ingest, start_windows
+from gridpulse.streaming.windows import read_windows, start_ingest, start_windows, window_sizes
 
 _VALUES = ("avg_value", "min_value", "max_value", "sum_value", "first_value", "last_value")
 
@@ -271,8 +271,9 @@ def stream_windows(p: Plant) -> DataFrame:
     table = f"{run_database(p.spark, 'windows')}.point_readings"
     create_partitioned(p.spark, table, with_partition(p.readings.limit(0), "event_time"))
     folder = run_dir(p.spark, "stream-windows")
-    start_ingest(in_files(p, "stream-windows-in", (1, 0, 2, 4, 3)), table, folder, once=True).awaitTermination()
-    start_windows(p.spark, table, folder, once=True, files=4).awaitTermination()
+    order = (1, 0, 2, 4, 3)
+    start_ingest(in_files(p, "stream-windows-in", order), table, folder, once=True).awaitTermination()
+    start_windows(p.spark, table, folder, once=True, **window_sizes(p.spark, folder, len(order))).awaitTermination()
     return rounded(read_windows(p.spark, folder), *_ROLLUP_VALUES)
 
 

@@ -7,12 +7,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from gridpulse.functions.buckets import bucket_of
-from gridpulse.operators.rollups import HOUR, ROLLUP_COLUMNS, rollup_1h
+from gridpulse.functions.values import any_value_of
+from gridpulse.operators.rollups import HOUR, ROLLUP_COLUMNS, hourly_aggregates
 from gridpulse.sources.tables import PARTITION_COLUMN, append, with_partition
 
 BATCH = "batch_id"
 KEY = ["event_time", "point_id"]
-TOUCHED = [PARTITION_COLUMN, "point_id", "bucket"]
+HOURLY = ["point_id", "bucket"]
 
 
 def _dates(rows: DataFrame) -> list:
@@ -26,9 +27,9 @@ def new_readings(spark: SparkSession, table: str, batch: DataFrame) -> DataFrame
     Rows without a time or a point have no key and are not taken. Only the dates that the batch touches are read.
     """
     keyed = batch.filter(F.col(KEY[0]).isNotNull() & F.col(KEY[1]).isNotNull())
-    rows = with_partition(keyed, "event_time").dropDuplicates(KEY)
+    rows = with_partition(keyed, "event_time")
     stored = spark.table(table).filter(F.col(PARTITION_COLUMN).isin(_dates(rows)))
-    return rows.join(stored.select(PARTITION_COLUMN, *KEY), [PARTITION_COLUMN, *KEY], "left_anti")
+    return rows.dropDuplicates(KEY).join(stored.select(PARTITION_COLUMN, *KEY), [PARTITION_COLUMN, *KEY], "left_anti")
 
 
 def touched_hours(batch: DataFrame) -> DataFrame:
@@ -38,11 +39,15 @@ def touched_hours(batch: DataFrame) -> DataFrame:
 
 
 def recomputed(spark: SparkSession, table: str, touched: DataFrame) -> DataFrame:
-    """The hourly rollup of the touched points and hours, from all their stored readings."""
-    readings = spark.table(table).filter(F.col(PARTITION_COLUMN).isin(_dates(touched)))
-    timed = readings.withColumn("bucket", bucket_of(F.col("event_time"), HOUR))
-    kept = timed.join(touched, TOUCHED, "left_semi").drop("bucket")
-    return rollup_1h(kept).select(*ROLLUP_COLUMNS)
+    """The hourly rollup of the touched points and hours, from all their stored readings.
+
+    What is joined is dealt by point and hour, as the rollup needs it.
+    """
+    readings = spark.table(table).filter(F.col(PARTITION_COLUMN).isin(_dates(touched)) & (F.col("reading_type") == "raw"))
+    timed = readings.withColumn("bucket", bucket_of(F.col("event_time"), HOUR)).withColumn("v", any_value_of())
+    kept = timed.join(touched.select(*HOURLY), HOURLY, "left_semi")
+    hours = kept.groupBy(*HOURLY).agg(*hourly_aggregates(F.col("v"), F.col("event_time"), F.col("data_quality")))
+    return hours.select(*ROLLUP_COLUMNS)
 
 
 def start_readings(

@@ -22,7 +22,7 @@ def parquet_stream(
 
 
 #: Rows that a file of a micro-batch holds at least, where it has more than one.
-FILE_ROWS = 250_000
+FILE_ROWS = 100_000
 
 
 def files_per_batch(counts: list[int]) -> int:

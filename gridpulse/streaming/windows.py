@@ -15,16 +15,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from gridpulse.functions.buckets import instant, utc_timestamp
+from gridpulse.functions.buckets import floor_to, instant, utc_timestamp
 from gridpulse.functions.values import any_value_of
 from gridpulse.operators.rollups import HOUR, REFRESH_WINDOWS, ROLLUP_COLUMNS, hourly_aggregates
 from gridpulse.sources.tables import PARTITION_COLUMN, append
-from gridpulse.streaming.ingest import batch_writer, new_readings, recomputed, touched_hours
-from gridpulse.streaming.rollups import KEYS, read_rollup
+from gridpulse.streaming.ingest import BATCH, batch_writer, new_readings, recomputed, touched_hours
+from gridpulse.streaming.rollups import KEYS
 
 #: How late a reading may be for the hourly and for the daily level: as far as their refresh looks back.
 LATENESS = {level: back for level, (back, _) in REFRESH_WINDOWS.items()}
 ACCEPTED, REPAIRS, WINDOWS = "accepted", "repairs", "windows"
+#: Files that a micro-batch of the windows takes at least, and readings of it that a partition of their state takes at least.
+BATCH_FILES, STATE_ROWS = 4, 50_000
+_PARTITIONS = "spark.sql.shuffle.partitions"
+#: More than any number of a micro-batch.
+_REPAIRED = 1 << 62
 
 
 def _written(spark: SparkSession, folder: str) -> bool:
@@ -41,21 +46,21 @@ def newest_time(spark: SparkSession, table: str) -> dt.datetime | None:
 def ingest_batch(spark: SparkSession, table: str, folder: str, lateness: dt.timedelta) -> Callable[[DataFrame, int], None]:
     """What ingest does with a micro-batch; doing it again changes nothing.
 
-    The rows that are new are chosen once and kept; only then are they appended, by key.
+    The rows that are new are chosen once and kept; only then are they appended, and by key if an
+    earlier run has kept them, which may have appended them as well.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         place = f"{folder}/{ACCEPTED}/part={batch_id}"
-        if not _written(spark, place):
+        kept = _written(spark, place)
+        if not kept:
             new_readings(spark, table, batch).write.mode("overwrite").parquet(place)
         rows = spark.read.schema(spark.table(table).schema).parquet(place)
-        append(spark, table, new_readings(spark, table, rows))
+        append(spark, table, new_readings(spark, table, rows) if kept else rows)
         spark.catalog.refreshTable(table)
         newest = newest_time(spark, table)
-        touched = touched_hours(rows)
-        if newest is not None:
-            touched = touched.filter(F.col("bucket") <= instant(newest - lateness - dt.timedelta(seconds=HOUR.seconds)))
-        batch_writer(f"{folder}/{REPAIRS}")(recomputed(spark, table, touched), batch_id)
+        late = rows if newest is None else rows.filter(F.col("event_time") < instant(floor_to(newest - lateness, HOUR)))
+        batch_writer(f"{folder}/{REPAIRS}")(recomputed(spark, table, touched_hours(late)), batch_id)
 
     return write
 
@@ -69,14 +74,27 @@ def start_ingest(
     return (writer.trigger(availableNow=True) if once else writer).foreachBatch(write).start()
 
 
+def window_sizes(spark: SparkSession, folder: str, batches: int) -> dict[str, int]:
+    """`files` and `partitions` of a window stream that goes through what ingest has kept in about so many micro-batches.
+
+    A micro-batch has costs of its own for every partition of the state, so neither their number nor
+    that of the micro-batches follows the files or the session. Only the list of the files and their footers are read.
+    """
+    kept = spark.read.parquet(f"{folder}/{ACCEPTED}")
+    files, rows = -(-len(kept.inputFiles()) // batches), -(-kept.count() // batches)
+    return {"files": max(BATCH_FILES, files), "partitions": max(spark.sparkContext.defaultParallelism, -(-rows // STATE_ROWS))}
+
+
 def start_windows(
-    spark: SparkSession, table: str, folder: str, lateness: dt.timedelta = LATENESS["1h"], once: bool = False, files: int | None = None
+    spark: SparkSession, table: str, folder: str, lateness: dt.timedelta = LATENESS["1h"], once: bool = False,
+    files: int | None = None, partitions: int | None = None,
 ) -> StreamingQuery:
     """Keep the hours within the bound as streaming state, and log every change of them.
 
     Readings come in the order in which ingest took them, so what the watermark has
     closed here was past the bound there. The last closed hours leave the state with the
-    next micro-batch. `files` bounds the files of a micro-batch.
+    next micro-batch. `files` bounds the files of a micro-batch. The state has `partitions`, or as many
+    as the session shuffles to, from the first start on.
     """
     reader = spark.readStream.schema(spark.table(table).schema)
     reader = reader.option("maxFilesPerTrigger", files) if files else reader
@@ -91,14 +109,22 @@ def start_windows(
     rows = hours.withColumn("bucket", bucket).select(*ROLLUP_COLUMNS)
     writer = rows.writeStream.outputMode("update").option("checkpointLocation", f"{folder}/checkpoint-windows")
     writer = writer.trigger(availableNow=True) if once else writer
-    return writer.foreachBatch(batch_writer(f"{folder}/{WINDOWS}")).start()
+    before = spark.conf.get(_PARTITIONS)
+    spark.conf.set(_PARTITIONS, partitions or before)  # a query keeps what was set when it started
+    try:
+        return writer.foreachBatch(batch_writer(f"{folder}/{WINDOWS}")).start()
+    finally:
+        spark.conf.set(_PARTITIONS, before)
 
 
 def read_windows(spark: SparkSession, folder: str) -> DataFrame:
     """The hourly rollup that both streams have so far: repaired hours, and the last version of the others.
 
     Once an hour is past the bound all its later readings are, too, so its repair is newer than its window.
+    A micro-batch has an hour once, so versions do not tie, and single columns keep to hash aggregation.
     """
-    repaired = read_rollup(spark, f"{folder}/{REPAIRS}")
-    live = read_rollup(spark, f"{folder}/{WINDOWS}").join(repaired.select(*KEYS), KEYS, "left_anti")
-    return live.unionByName(repaired)
+    batch = F.col(BATCH).cast("bigint")
+    live = spark.read.parquet(f"{folder}/{WINDOWS}").withColumn("version", batch - _REPAIRED)
+    versions = live.unionByName(spark.read.parquet(f"{folder}/{REPAIRS}").withColumn("version", batch))
+    newest = [F.max_by(c, "version").alias(c) for c in ROLLUP_COLUMNS if c not in KEYS]
+    return versions.groupBy(*KEYS).agg(*newest).select(*ROLLUP_COLUMNS)

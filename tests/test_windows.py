@@ -11,7 +11,7 @@ from gridpulse.sources import tables as tb
 from gridpulse.streaming.ingest import batch_writer, new_readings
 from gridpulse.streaming.rollups import publish, publish_days
 from gridpulse.streaming.sources import parquet_stream
-from gridpulse.streaming.windows import LATENESS, ingest_batch, newest_time, read_windows, start_ingest, start_windows
+from gridpulse.streaming.windows import LATENESS, ingest_batch, newest_time, read_windows, start_ingest, start_windows, window_sizes
 
 ONE = dt.timedelta(days=1)
 
@@ -103,6 +103,51 @@ def test_a_batch_that_failed_between_keeping_and_appending(spark, readings, tabl
     assert spark.table(table).count() == 1 and newest_time(spark, table) == at("10:00")
 
 
+def test_a_batch_is_held_against_the_table_once(spark, readings, table, tmp_path, monkeypatch):
+    from gridpulse.streaming import windows
+
+    calls, real = [], windows.new_readings
+    monkeypatch.setattr(windows, "new_readings", lambda *args: calls.append(1) or real(*args))
+    write = ingest_batch(spark, table, str(tmp_path / "streams"), LATENESS["1h"])
+    for batch_id, clock in enumerate(("10:00", "11:00", "10:00")):
+        write(readings((at(clock), "p", 1.0 + batch_id), (at(clock), "p", 1.0 + batch_id)), batch_id)
+    assert len(calls) == 3
+    assert rows(spark.table(table), "event_time", "value_double") == [(at("10:00"), 1.0), (at("11:00"), 2.0)]
+    write(readings((at("11:00"), "p", 2.0)), 1)
+    assert len(calls) == 4 and spark.table(table).count() == 2
+
+
+@pytest.mark.parametrize("minute", [0, 20])
+def test_hours_that_end_at_the_bound_are_repaired(spark, readings, table, tmp_path, minute):
+    newest = at("12:00") + 3 * ONE + dt.timedelta(minutes=minute)
+    write = ingest_batch(spark, table, str(tmp_path / "streams"), LATENESS["1h"])
+    write(readings((newest, "p", 1.0), *[(at(clock), "p", 2.0) for clock in ("10:59", "11:00", "11:59", "12:00", "12:30")]), 0)
+    assert rows(spark.read.parquet(str(tmp_path / "streams/repairs")), "bucket", "n") == [(at("10:00"), 1), (at("11:00"), 2)]
+
+
+def test_micro_batches_and_partitions_of_the_windows_follow_the_rows(spark, readings, table, tmp_path, monkeypatch):
+    from gridpulse.streaming import windows
+
+    folder, session = str(tmp_path / "streams"), spark.conf.get("spark.sql.shuffle.partitions")
+    write, everything = ingest_batch(spark, table, folder, LATENESS["1h"]), []
+    real = windows.new_readings
+    monkeypatch.setattr(windows, "new_readings", lambda *args: real(*args).repartition(9))
+    for batch_id in range(3):
+        everything += (batch := [(at("00:00") + (5 * batch_id + i % 5) * ONE + dt.timedelta(minutes=i), f"p{i % 4}", float(i)) for i in range(90)])
+        write(readings(*batch), batch_id)
+    assert window_sizes(spark, folder, 3) == {"files": 9, "partitions": spark.sparkContext.defaultParallelism}
+    assert window_sizes(spark, folder, 27)["files"] == 4
+    monkeypatch.setattr(windows, "STATE_ROWS", 15)
+    assert (sizes := window_sizes(spark, folder, 3)) == {"files": 9, "partitions": 6}
+    query = start_windows(spark, table, folder, once=True, **sizes)
+    query.awaitTermination()
+    progress = [p for p in query.recentProgress if p["numInputRows"]]
+    assert [p["numInputRows"] for p in progress] == [90, 90, 90]
+    assert {op["numShufflePartitions"] for p in progress for op in p["stateOperators"]} == {6}
+    assert spark.conf.get("spark.sql.shuffle.partitions") == session
+    same(spark, read_windows(spark, folder), rollup_1h(readings(*everything)))
+
+
 def test_only_changed_days_are_built(spark, readings, tmp_path):
     log, database = str(tmp_path / "log"), run_database(spark, "test_days")
     hourly, daily = f"{database}.h", f"{database}.d"
