@@ -3,7 +3,7 @@
 A byte-level BPE tokenizer cuts a text into pieces by a pattern and encodes each on
 its own, so the ids of a text are the ids of its pieces in order. Texts are cut where
 the tokenizer's pattern always cuts too, and each distinct piece is encoded by the
-library once per worker. Texts in which the cuts are not certain go to the library
+library once per batch and, if it is kept, once per worker. Texts in which the cuts are not certain go to the library
 whole. Both ways give the ids of `Tokenizer.encode(text, add_special_tokens=False)`.
 """
 
@@ -20,6 +20,8 @@ import numpy as np
 #: Pieces and characters kept per worker, so that memory is bounded; beyond it the
 #: pieces met most often stay, half as many at most.
 KEPT_PIECES, KEPT_CHARS = 1_500_000, 30_000_000
+#: Pieces that are given to the library as one text.
+_JOINED = 256
 
 _LETTERS = "A-Za-zÀ-ÖØ-öø-ɏ"
 #: Blanks, then letters or else what is neither; letters end where the pattern ends a word.
@@ -28,6 +30,8 @@ _FINE = re.compile(rf"[ \n]*(?:[{_LETTERS}]+|[^ \n{_LETTERS}]+)|[ \n]+")
 _COARSE = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
 #: Characters whose class is the same for every pattern engine.
 _UNSURE = re.compile(rf"[^\x20-\x7e\n{_LETTERS}]")
+#: Pieces that the pattern of a byte-level tokenizer takes as one.
+_WORD = re.compile(rf" ?[{_LETTERS}]+")
 
 
 class PieceEncoder:
@@ -39,8 +43,31 @@ class PieceEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.words = self._words()
         self._clear()
 
+    def _words(self):
+        """A tokenizer of the same model for words in the byte-level alphabet with blanks between them; none if the pattern is another."""
+        from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel, CharDelimiterSplit
+
+        cut = self.tokenizer.pre_tokenizer
+        if self.tokenizer.normalizer is not None or not isinstance(cut, ByteLevel) or cut.add_prefix_space or not cut.use_regex:
+            return None
+        # The alphabet's character of each byte; byte 0, which no word has, stands for the blank between two.
+        same = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        self.alphabet = np.zeros(256, "<u4")
+        self.alphabet[same] = same
+        others = np.setdiff1d(np.arange(256), same)
+        self.alphabet[others] = 256 + np.arange(len(others))
+        self.alphabet[0] = 32
+        vocabulary = self.tokenizer.get_vocab()
+        self.widths = np.zeros(max(vocabulary.values()) + 1, np.int64)  # bytes that an id stands for
+        self.widths[list(vocabulary.values())] = list(map(len, vocabulary))
+        words = Tokenizer(self.tokenizer.model)
+        words.pre_tokenizer = CharDelimiterSplit(" ")
+        return words
+
     def _clear(self) -> None:
         self.codes: dict[str, int] = {}
         self.kept_chars = 0
@@ -49,23 +76,50 @@ class PieceEncoder:
 
     def _shrink(self) -> None:
         pieces, met = list(self.codes), self.met
-        ids, starts = self.ids, self.starts
         best = np.argsort(-met, kind="stable")[: KEPT_PIECES // 2]
+        best = best[met[best] > 1]
+        chars = np.cumsum([len(pieces[i]) for i in best.tolist()])
+        best = best[: np.searchsorted(chars, KEPT_CHARS // 2)]
+        ids, sizes = self._ids_of(best)
         self._clear()
-        for i in best[met[best] > 1].tolist():
-            if self.kept_chars < KEPT_CHARS // 2:
-                self._add(pieces[i], ids[starts[i] : starts[i + 1]])
-        self.met = np.zeros(len(self.codes), np.int64)
+        self._add([pieces[i] for i in best.tolist()], ids, sizes)
+        self.met = met[best] // 2  # so that pieces added later can overtake them
+
+    def _add(self, pieces: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
+        """Keep pieces that are not in the table; `ids` has theirs one after the other, `sizes` how many each has."""
+        known = len(self.codes)
+        self.codes.update(zip(pieces, range(known, known + len(pieces))))
+        self.kept_chars += sum(map(len, pieces))
+        self.ids.frombytes(ids.astype(np.uint32).tobytes())
+        self.starts.frombytes((self.starts[-1] + np.cumsum(sizes, dtype=np.int64)).tobytes())
+
+    def _ids_of(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of kept pieces in order, and their number per piece."""
+        if not len(codes):
+            return np.empty(0, np.uint32), np.empty(0, np.int64)
+        flat, starts = np.frombuffer(self.ids, np.uint32), np.frombuffer(self.starts, np.int64)
+        begin = starts[codes]
+        sizes = starts[codes + 1] - begin
+        ends = np.cumsum(sizes)
+        return flat[np.repeat(begin - (ends - sizes), sizes) + np.arange(int(ends[-1]))], sizes
 
-    def _add(self, piece: str, ids) -> None:
-        self.codes[piece] = len(self.codes)
-        self.kept_chars += len(piece)
-        self.ids.extend(ids)
-        self.starts.append(len(self.ids))
+    def _library(self, tokenizer, texts: list[str]) -> list[list[int]]:
+        return [found.ids for found in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _learn(self, pieces: list[str]) -> None:
-        for piece, found in zip(pieces, self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)):
-            self._add(piece, found.ids)
+        if together := [p for p in pieces if _WORD.fullmatch(p)] if self.words else []:
+            raw = [p.encode() for p in together]
+            texts = [np.frombuffer(b"\0".join(raw[i : i + _JOINED]), np.uint8) for i in range(0, len(raw), _JOINED)]
+            found = self._library(self.words, [self.alphabet[t].tobytes().decode("utf-32-le") for t in texts])
+            ids = np.fromiter(chain.from_iterable(found), np.int64)
+            ends = np.cumsum(np.fromiter(map(len, raw), np.int64, len(raw)))
+            reached = np.cumsum(self.widths[ids])
+            last = np.searchsorted(reached, ends)  # the id with which each piece ends
+            if np.array_equal(reached[last[last < len(reached)]], ends):
+                self._add(together, ids, np.diff(last, prepend=-1))
+                pieces = [p for p in pieces if p not in self.codes]
+        each = self._library(self.tokenizer, pieces)
+        self._add(pieces, np.fromiter(chain.from_iterable(each), np.int64), np.array(list(map(len, each)), np.int64))
 
     def _cut(self, text: str) -> list[str] | None:
         if _UNSURE.search(text) or any(s in text for s in self.special):
@@ -81,21 +135,15 @@ class PieceEncoder:
             self._shrink()
         pieces = np.fromiter(map(self.codes.get, flat_cuts, repeat(-1)), np.int64, len(flat_cuts))
         if len(unknown := np.flatnonzero(pieces < 0)):
-            unknown = unknown.tolist()
-            self._learn(list(dict.fromkeys(flat_cuts[i] for i in unknown)))
-            pieces[unknown] = [self.codes[flat_cuts[i]] for i in unknown]
-        flat, starts = np.frombuffer(self.ids, np.uint32), np.frombuffer(self.starts, np.int64)
+            new = [flat_cuts[i] for i in unknown.tolist()]
+            self._learn(list(dict.fromkeys(new)))
+            pieces[unknown] = [self.codes[p] for p in new]
         met = np.bincount(pieces, minlength=len(self.codes))
         met[: len(self.met)] += self.met
         self.met = met
-        begin = starts[pieces]
-        sizes = starts[pieces + 1] - begin
-        ends = np.cumsum(sizes)
-        total = int(ends[-1]) if len(ends) else 0
-        ids = flat[np.repeat(begin - (ends - sizes), sizes) + np.arange(total)] if total else np.empty(0, np.uint32)
-        bounds = np.concatenate(([0], ends))[np.concatenate(([0], np.cumsum(np.maximum(counts, 0))))]
+        ids, sizes = self._ids_of(pieces)
+        bounds = np.concatenate(([0], np.cumsum(sizes)))[np.concatenate(([0], np.cumsum(np.maximum(counts, 0))))]
         lengths = np.diff(bounds)
-        del flat, starts  # else the views pin the tables at their size
         if (counts < 0).any():
             parts = []
             for i, text in enumerate(texts):

@@ -144,3 +144,22 @@ def test_runs_over_many_stretches_without_places(spark):
     found = packing.pack(rows, share=50).collect()
     order = [r.doc_id for r in sorted(found, key=lambda r: (r.sequence_id >> 32, r.doc_id))]
     assert order == list(range(500))
+
+
+def test_words_are_encoded_together():
+    """Words go to the library as a few texts; each is kept with its own ids, also where the tokenizer is of another kind."""
+    from tokenizers import normalizers
+
+    from gridpulse.llm import tokens
+
+    words = [" eathoueder", "one", " desouèonen", " ñ", " a", "ɏ", " " + "ab" * 300]
+    made, own = tokens.PieceEncoder(PATH), Tokenizer.from_file(PATH)
+    asked = []
+    library = made._library
+    made._library = lambda tokenizer, texts: asked.append(len(texts)) or library(tokenizer, texts)
+    made._learn(words + ["  two", "\n", "7"])
+    assert asked == [1, 3]
+    for word, code in made.codes.items():
+        assert made._ids_of(np.array([code]))[0].tolist() == own.encode(word, add_special_tokens=False).ids
+    made.tokenizer.normalizer = normalizers.Lowercase()
+    assert made._words() is None
