@@ -17,9 +17,9 @@ from itertools import chain, repeat
 
 import numpy as np
 
-#: Pieces and characters kept per worker, so that memory is bounded; beyond it the
-#: pieces met most often stay, half as many at most.
-KEPT_PIECES, KEPT_CHARS = 1_500_000, 30_000_000
+#: Pieces and characters kept per worker, so that memory is bounded (about 200 bytes a piece); beyond it
+#: the pieces met most often stay, half as many at most.
+KEPT_PIECES, KEPT_CHARS = 300_000, 6_000_000
 #: Pieces that are given to the library as one text.
 _JOINED = 256
 

@@ -146,6 +146,23 @@ def test_runs_over_many_stretches_without_places(spark):
     assert order == list(range(500))
 
 
+def test_the_table_of_pieces_is_small_and_ids_stay_the_library_s(monkeypatch):
+    """A worker's table never grows beyond its bound by more than a batch, few bytes as that is; what is left out is encoded anew."""
+    from gridpulse.llm import tokens
+
+    assert tokens.KEPT_PIECES <= 400_000 and tokens.KEPT_CHARS <= 8_000_000  # two workers an executor, about 200 bytes a piece
+    monkeypatch.setattr(tokens, "KEPT_PIECES", 400)
+    rng = np.random.default_rng(5)
+    parts = ["a", "Ber", "één", "ß", "ɏ", "the", "xq", "Zz", "7", "12", ",", ".", "!?", "'s", "_", "~", " ", " ", " ", "  ", "\n", "\n ", " \n"]
+    made, own = tokens.PieceEncoder(PATH), Tokenizer.from_file(PATH)
+    for _ in range(40):
+        texts = ["".join(rng.choice(parts, rng.integers(0, 60))) for _ in range(20)]
+        ids, n = made.encode(texts)
+        assert [x.tolist() for x in np.split(ids, np.cumsum(n)[:-1])] == [own.encode(t, add_special_tokens=False).ids for t in texts]
+        assert len(made.codes) <= 400 + sum(map(len, texts))
+    assert len(made.codes) < 1500
+
+
 def test_words_are_encoded_together():
     """Words go to the library as a few texts; each is kept with its own ids, also where the tokenizer is of another kind."""
     from tokenizers import normalizers
