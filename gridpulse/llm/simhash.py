@@ -146,11 +146,15 @@ def _filed_keys(batch: pa.RecordBatch) -> pa.RecordBatch:
 
 
 def close_pairs(prints: DataFrame) -> DataFrame:
-    """(a, b), a < b: all pairs of the distinct longs in column `fingerprint` that differ in 1 to 3 bits."""
+    """(a, b), a < b: all pairs of the distinct longs in column `fingerprint` that differ in 1 to 3 bits.
+
+    Keys meet by a shuffle: the planner takes each to be a row per fingerprint, though there are about 80,
+    so it would send them to the driver long after they fit.
+    """
     looks = map_batches(prints.select("fingerprint"), _look_keys, "key bigint, a bigint")
     filed = map_batches(prints.select("fingerprint"), _filed_keys, "key bigint, b bigint")
     differing = F.bit_count(F.col("a").bitwiseXOR(F.col("b")))
-    return looks.join(filed, "key").filter((F.col("a") < F.col("b")) & (differing <= MOST_BITS)).select("a", "b").distinct()
+    return looks.join(filed.hint("merge"), "key").filter((F.col("a") < F.col("b")) & (differing <= MOST_BITS)).select("a", "b").distinct()
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3) -> DataFrame:
@@ -170,8 +174,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     named = stored(named, "simhash-roots")
     roots = named.groupBy("root").agg(F.min("least").alias("component"))
     # Components are named once per fingerprint; only then do the documents meet them.
-    found = named.join(roots, "root").select("fingerprint", "component")
-    return printed.join(found, "fingerprint").select("id", "fingerprint", "component")
+    # No table with a row per fingerprint or document is sent to the driver: their files say little of their size in memory.
+    found = named.join(roots.hint("merge"), "root").select("fingerprint", "component")
+    return printed.join(found.hint("merge"), "fingerprint").select("id", "fingerprint", "component")
 
 
 def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3) -> DataFrame:

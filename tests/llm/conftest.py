@@ -1,4 +1,5 @@
 import os
+import re
 
 import pytest
 
@@ -20,3 +21,13 @@ def documents(spark):
         return spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, id string")
 
     return build
+
+
+@pytest.fixture
+def joins():
+    def found(df):
+        """(join, kind, side sent to the driver) of a plan, the last join first, as chosen from the sizes that the planner takes tables to have."""
+        plan = df._jdf.queryExecution().sparkPlan().toString()
+        return [(m[1], m[2], m[3]) for m in re.finditer(r"(\w+Join) .*?(Inner|LeftOuter)(?:, (Build\w+))?", plan)]
+
+    return found

@@ -6,6 +6,7 @@ import pytest
 import xxhash
 
 from gridpulse.llm import queries
+from gridpulse.llm.common import stored
 from gridpulse.llm.components import components
 from gridpulse.llm.simhash import close_pairs, codewords, deduplicated, fingerprint, near_duplicates, neighbour_codewords
 
@@ -59,6 +60,20 @@ def test_close_pairs_lose_nothing(spark):
     assert {tuple(r) for r in found.collect()} == want
 
 
+def test_keys_are_not_broadcast(spark, joins):
+    """A fingerprint has about 80 keys, of which the planner knows nothing, so they meet by a shuffle however few it takes them for."""
+    found = close_pairs(stored(spark.createDataFrame([(1,), (3,), (0xFF00FF00,)], "fingerprint long"), "test-prints"))
+    assert [j for j, *_ in joins(found)] == ["SortMergeJoin"]
+    assert [tuple(r) for r in found.collect()] == [(1, 3)]
+
+
+def test_fingerprints_are_not_broadcast(documents, joins):
+    """Ids and fingerprints of copies take next to nothing in a file, but a row each in memory."""
+    found = near_duplicates(documents(*["same words here"] * 50, "other words there"))
+    assert [j for j, *_ in joins(found)] == ["SortMergeJoin", "SortMergeJoin"]
+    assert sorted((r.id, r.component) for r in found.collect()) == [(i, 1) for i in range(1, 51)] + [(51, 51)]
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(1, 40)] + [(100, 50), (50, 60), (7, 7), (None, 3)]
     found = dict(components(spark.createDataFrame(edges, "a long, b long")).collect())
