@@ -174,7 +174,8 @@ def mixed(
     ).select(F.col("source").alias("s"), F.col("chunk").alias("c"), (F.col("ahead") + F.col("inside")).alias("base"))
     inside = Window.partitionBy("source", "chunk").orderBy("hash", "id", "size").rowsBetween(Window.unboundedPreceding, -1)
     summed = rows.withColumn("inside", F.coalesce(F.sum("size").over(inside), F.lit(0)))
-    begun = summed.join(bases, F.col("source").eqNullSafe(F.col("s")) & (F.col("chunk") == F.col("c")))
+    # Every row has its chunk, so a left join gives the same rows; it keeps the rows, small as their file is, from the driver.
+    begun = summed.join(bases, F.col("source").eqNullSafe(F.col("s")) & (F.col("chunk") == F.col("c")), "left")
     begin = F.col("base") + F.col("inside")
     blocked = begun.select(
         "id", "source", "size", F.expr(f"(base + inside) div {block_size}").alias("block"), (begin % block_size).alias("place")

@@ -125,7 +125,10 @@ def _runs(cut: DataFrame, run: int) -> tuple[DataFrame, int]:
     earlier = Window.partitionBy(at[0]).orderBy(at[1]).rowsBetween(Window.unboundedPreceding, -1)
     here = F.coalesce(F.sum("gp_many").over(earlier), F.lit(0))
     steps = counted.join(bases, at[0]).select(*at, "gp_many", (F.col("gp_base") + here).alias("gp_before"))
-    placed = cut.withColumn("gp_dealt_by", F.monotonically_increasing_id()).join(steps, at)
+    # Pieces and steps take few bytes in a file and many in memory, so the planner is not to send them to the driver: every
+    # piece has its step, so a left join gives the same rows; without positions there is but a step per stretch.
+    steps = steps.hint("merge") if "gp_position" in cut.columns else steps
+    placed = cut.withColumn("gp_dealt_by", F.monotonically_increasing_id()).join(steps, at, "left")
     dealt = F.pmod(F.xxhash64("gp_dealt_by"), F.col("gp_many"))
     return placed.withColumn("gp_share", F.floor((F.col("gp_before") + dealt) / run).cast("long")), max(1, -(-total // run))
 

@@ -193,7 +193,7 @@ def least_of_groups(docs: DataFrame, found: DataFrame, id_col: str = "doc_id") -
     """
     mark, many = fresh(docs, "gp_id", "gp_many")
     kept = found.filter("id = component").groupBy(F.col("id").alias(mark)).agg((F.count("*") > 1).alias(many))
-    rows = docs.join(kept, col(id_col) == F.col(mark))
+    rows = docs.join(kept.hint("merge"), col(id_col) == F.col(mark))  # texts never go to the driver, however well they compress
     whole = F.struct(*[col(c) for c in docs.columns])
     once = rows.filter(F.col(many)).groupBy(mark).agg(F.min_by(whole, F.to_json(whole)).alias(many)).select(f"{many}.*")
     return (

@@ -36,6 +36,14 @@ def test_every_prefix_is_within_a_block_of_the_target(spark):
     assert min(last.values()) > 2 * mixing.PERIOD
 
 
+def test_rows_are_not_broadcast(spark, joins):
+    """A row per document takes few bytes in a file, so only the table of chunks may be sent to the driver."""
+    docs = spark.range(3000).select(F.col("id").alias("doc_id"), (F.col("id") % 3).cast("string").alias("source"), F.lit(4).alias("size"))
+    found = mixing.mixed(docs, {"0": 1.0, "1": 1.0, "2": 1.0}, F.col("size"), block_size=1000)
+    assert joins(found)[1] == ("BroadcastHashJoin", "LeftOuter", "BuildRight")
+    assert sorted(r.id for r in found.collect()) == list(range(3000))
+
+
 def test_rounding_keeps_to_the_target():
     weights = {"hot": (1 / 3) ** 0.5} | {i: (2 / 57) ** 0.5 for i in range(19)}
     assert abs(mixing.slots_per_period(weights)["hot"] - 1024 * weights["hot"] / sum(weights.values())) < 1

@@ -93,6 +93,18 @@ def test_runs_follow_the_positions_at_the_production_share(spark):
     assert sequences <= 1.005 * sum(f[3] for f in found) / 2048 + 1
 
 
+@pytest.mark.parametrize("places", [True, False])
+def test_pieces_are_not_broadcast(spark, joins, places):
+    """The names of stretches take next to nothing in a file, but stand in every row in memory."""
+    from pyspark.sql import functions as F
+
+    name = F.format_string("part-%05d-of-a-file-with-a-long-name.parquet", F.col("id") % 3)
+    rows = spark.range(3000).select(F.col("id").alias("doc_id"), (F.col("id") % 50 + 1).alias("length"), name.alias("stretch"), F.expr("id div 3").alias("position"))
+    found = packing.pack(rows if places else rows.drop("position"))
+    assert joins(found)[0] == (("SortMergeJoin", "LeftOuter", None) if places else ("BroadcastHashJoin", "LeftOuter", "BuildRight"))
+    assert sorted(r.doc_id for r in found.collect()) == list(range(3000))
+
+
 def test_a_giant_document_is_spread_over_runs(spark, monkeypatch):
     from pyspark.sql import functions as F
 

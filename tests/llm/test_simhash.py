@@ -103,6 +103,14 @@ def test_deduplicated(documents, spark):
     assert sorted(((r.doc_id or 0), r.text) for r in kept.collect()) == [(0, "q r s"), (1, "a b c d"), (2, "x y z"), (4, None)]
 
 
+def test_documents_are_not_broadcast(documents, joins):
+    """Copies compress so well that all their texts look small enough to broadcast."""
+    docs = stored(documents(*["same words here"] * 50, "other words there"), "test-documents")
+    kept = deduplicated(docs)
+    assert {j for j, *_ in joins(kept)} == {"SortMergeJoin"}
+    assert sorted(r.doc_id for r in kept.collect()) == [1, 51]
+
+
 def test_query(spark, small):
     rows = queries.QUERIES["op5_golay_simhash"](spark, small).collect()
     docs = dict(spark.read.parquet(f"{small}/documents.parquet").select("doc_id", "text").collect())
