@@ -159,7 +159,8 @@ def pack(cut: DataFrame, length: int = SEQUENCE_TOKENS, share: int = SHARE) -> D
     def run_of(whole: pa.Table) -> pa.Table:
         """One share or run, packed."""
         if ordered:  # from the order of the mix, as far as it is known
-            whole = whole.take(pa.array(np.lexsort([whole.column("gp_at").to_numpy(), whole.column("gp_before").to_numpy()])))
+            by = [whole.column(c).to_numpy() for c in ("gp_dealt_by", "gp_at", "gp_before")]
+            whole = whole.take(pa.array(np.lexsort(by)))
         sequence, offset = place(whole.column(size).to_numpy(), length)
         if ordered:
             mean = np.bincount(sequence, np.arange(len(sequence))) / np.bincount(sequence)
@@ -182,7 +183,7 @@ def pack(cut: DataFrame, length: int = SEQUENCE_TOKENS, share: int = SHARE) -> D
     extra = ["gp_share"]
     if ordered:
         at = F.coalesce("gp_position", F.lit(0)) if "gp_position" in cut.columns else F.lit(0)
-        extra += ["gp_before", at.cast("long").alias("gp_at")]
+        extra += ["gp_dealt_by", "gp_before", at.cast("long").alias("gp_at")]
     rows = numbered.select(*names, *extra)
     dealt = rows.repartitionById(-(-shares // several), (F.col("gp_share") / several).cast("int"))
     return map_arrow(dealt, packed, out)
